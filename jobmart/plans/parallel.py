@@ -1,0 +1,20 @@
+"""Parallelism guard for CPU-heavy row-wise stages.
+
+Regex enrichment, word counting and HTML parsing cost far more per row than the
+scan.  A small input can arrive as one split (one Parquet row group -> one task),
+which would run those stages on a single core.  ``spread`` repartitions
+round-robin only when the input has fewer partitions than the cluster's default
+parallelism; on a large input (thousands of splits) it changes nothing and adds
+no shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
