@@ -65,8 +65,11 @@ def first_posting_per_url(processed: DataFrame) -> DataFrame:
 
 def exploded_skills(processed: DataFrame) -> DataFrame:
     """(ingest_seq, job_url, pos, skill_name, skill_category) for every posting."""
+    # posexplode_outer + a filter, not posexplode: for an inner generator the
+    # optimizer infers size(array) > 0 and pushes it below the projection, which
+    # would evaluate the whole skill extraction twice.
     return (processed.select("ingest_seq", "job_url",
-                             F.posexplode("extracted_skills").alias("pos", "s"))
+                             F.posexplode_outer("extracted_skills").alias("pos", "s"))
             .select("ingest_seq", "job_url", "pos", "s.skill_name", "s.skill_category")
             .filter(F.col("skill_name").isNotNull() & (F.col("skill_name") != "")))
 

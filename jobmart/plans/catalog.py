@@ -49,7 +49,8 @@ def loaded_star(spark: SparkSession, sf_dir: str) -> tuple[L.StarTables, list[Da
     "SELECT ingest_seq, pos - 1 AS skill_pos, skill_name, skill_category FROM tx_skills"))
 def q_extract_skills(spark, sf_dir):
     return (processed(spark, sf_dir)
-            .select("ingest_seq", F.posexplode("extracted_skills").alias("skill_pos", "s"))
+            .select("ingest_seq", F.posexplode_outer("extracted_skills").alias("skill_pos", "s"))
+            .filter(F.col("s").isNotNull())
             .select("ingest_seq", "skill_pos", "s.skill_name", "s.skill_category"))
 
 
@@ -231,3 +232,194 @@ def q_platform_job_count(spark, sf_dir):
 def q_postings_over_time(spark, sf_dir):
     star, _ = loaded_star(spark, sf_dir)
     return V.postings_over_time(star)
+
+
+# --- crawl frontier (derived from events) --------------------------------------
+from .. import dictionaries as D  # noqa: E402
+from ..operators import crawl as C  # noqa: E402
+from ..sources import frontier as FR  # noqa: E402
+
+_MAXP = D.DEFAULT_MAX_PAGES
+_CRAWL_QUERY = "Data Analyst"
+
+
+def _crawl_ctes(max_results: int) -> str:
+    return f"""WITH fr AS ({O.frontier_sql()}),
+pages AS (SELECT platform, page, count(*) FILTER (WHERE NOT page_empty) AS links FROM fr GROUP BY platform, page),
+gaps AS (SELECT p.platform, p.page + 1 AS page FROM pages p
+         WHERE NOT EXISTS (SELECT 1 FROM pages q WHERE q.platform = p.platform AND q.page = p.page + 1)),
+fm AS (SELECT platform, min(page) AS first_missing FROM gaps GROUP BY platform),
+fe AS (SELECT platform, min(page) AS first_empty FROM pages WHERE links = 0 GROUP BY platform),
+lo AS (SELECT platform, min(page) AS lowest FROM pages GROUP BY platform),
+stops AS (SELECT lo.platform, CAST(least(CASE WHEN lowest > 1 THEN 1 ELSE first_missing END,
+                 coalesce(first_empty, first_missing), {_MAXP + 1}) AS BIGINT) AS stop_page
+          FROM lo LEFT JOIN fm ON lo.platform = fm.platform LEFT JOIN fe ON lo.platform = fe.platform),
+prefix AS (SELECT f.platform, f.page, f.pos, f.url FROM fr f JOIN stops s ON f.platform = s.platform
+           WHERE NOT f.page_empty AND f.page < s.stop_page),
+firsts AS (SELECT platform, url, page, pos FROM (
+             SELECT *, row_number() OVER (PARTITION BY platform, url ORDER BY page, pos) AS rn FROM prefix)
+           WHERE rn = 1),
+capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY page, pos) AS rank
+                          FROM firsts) WHERE rank <= {max_results}),
+walk AS (SELECT platform, CAST(unnest(generate_series(1, least(stop_page, {_MAXP}))) AS BIGINT) AS page,
+                stop_page FROM stops)"""
+
+
+def _frontier(spark, sf_dir):
+    return FR.derived_frontier(spark, sf_dir)
+
+
+@register("crawl_prefix", _crawl_ctes(FR.FRONTIER_CAP) +
+          "\nSELECT platform, page, (stop_page <= 10 AND page = stop_page) AS is_stop FROM walk")
+def q_crawl_prefix(spark, sf_dir):
+    return C.crawl_pages(_frontier(spark, sf_dir), _MAXP)
+
+
+@register("crawl_dedupe", _crawl_ctes(FR.FRONTIER_CAP) + "\nSELECT platform, url, page, pos FROM firsts")
+def q_crawl_dedupe(spark, sf_dir):
+    return C.crawl_dedupe(_frontier(spark, sf_dir), _MAXP)
+
+
+@register("crawl_cap", _crawl_ctes(FR.FRONTIER_CAP) + "\nSELECT platform, url, page, pos, rank FROM capped")
+def q_crawl_cap(spark, sf_dir):
+    return C.crawl_cap(_frontier(spark, sf_dir), FR.FRONTIER_CAP, _MAXP)
+
+
+@register("platform_union", _crawl_ctes(FR.FRONTIER_CAP) + """
+SELECT CAST(CASE platform WHEN 'careerviet' THEN 1 WHEN 'topcv' THEN 2 ELSE 3 END AS INTEGER) AS platform_rank,
+       platform, rank, url, page, pos FROM capped""")
+def q_platform_union(spark, sf_dir):
+    return C.platform_union(_frontier(spark, sf_dir), None, FR.FRONTIER_CAP, _MAXP)
+
+
+def _crawl_stats_sql(n: int) -> str:
+    return _crawl_ctes(n) + f"""
+, cut AS (SELECT platform, count(*) AS jobs FROM capped GROUP BY platform),
+lastrow AS (SELECT platform, page AS lpage, pos AS lpos FROM capped WHERE rank = {n}),
+base AS (SELECT s.platform, s.stop_page, coalesce(c.jobs, 0) AS jobs, l.lpage, l.lpos
+         FROM stops s LEFT JOIN cut c ON s.platform = c.platform LEFT JOIN lastrow l ON s.platform = l.platform),
+seen AS (SELECT p.platform, count(*) AS rows_seen FROM prefix p JOIN base b ON p.platform = b.platform
+         WHERE b.jobs < {n} OR p.page < b.lpage OR (p.page = b.lpage AND p.pos <= b.lpos)
+         GROUP BY p.platform)
+SELECT b.platform,
+  CAST(CASE WHEN b.jobs >= {n} THEN b.lpage ELSE least(b.stop_page, {_MAXP}) END AS BIGINT) AS pages_visited,
+  CAST(b.jobs AS BIGINT) AS jobs_scraped,
+  CAST(coalesce(s.rows_seen, 0) - b.jobs AS BIGINT) AS duplicates_skipped,
+  CAST(0 AS BIGINT) AS errors, 'success' AS status
+FROM base b LEFT JOIN seen s ON b.platform = s.platform"""
+
+
+@register("crawl_stats", _crawl_stats_sql(D.DEFAULT_MAX_RESULTS))
+def q_crawl_stats(spark, sf_dir):
+    return C.crawl_stats(_frontier(spark, sf_dir), D.DEFAULT_MAX_RESULTS, _MAXP)
+
+
+@register("crawl_stats_capped", _crawl_stats_sql(FR.FRONTIER_CAP))
+def q_crawl_stats_capped(spark, sf_dir):
+    return C.crawl_stats(_frontier(spark, sf_dir), FR.FRONTIER_CAP, _MAXP)
+
+
+@register("listing_urls", _crawl_ctes(FR.FRONTIER_CAP) +
+          f"\nSELECT platform, page, {O.listing_url_sql('platform', 'page', _CRAWL_QUERY)} AS list_url FROM walk")
+def q_listing_urls(spark, sf_dir):
+    return C.listing_urls(C.crawl_pages(_frontier(spark, sf_dir), _MAXP), _CRAWL_QUERY)
+
+
+# --- relevance, key phrases ------------------------------------------------------
+from ..operators import quality as QL  # noqa: E402
+from ..operators import relevance as R  # noqa: E402
+
+_KW_QUERY = "data analyst the and"
+
+
+def _kw_sql(query: str) -> str:
+    words = query.lower().split()
+    text = "lower(concat_ws(' ', source, text))"
+    m = " + ".join(f"CAST(instr({text}, {O.q(w)}) > 0 AS INTEGER)" for w in words) or "0"
+    thr = max(1, len(words) // 2)
+    return (f"SELECT doc_id, {m} AS matched_words, ({m}) >= {thr} AS relevant FROM documents")
+
+
+@register("keyword_relevance", _kw_sql(_KW_QUERY))
+def q_keyword_relevance(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return R.keyword_relevance(d, _KW_QUERY, title="source", description="text") \
+        .select("doc_id", "matched_words", "relevant")
+
+
+@register("semantic_relevance", f"""
+WITH qv AS (SELECT CAST(embedding AS DOUBLE[]) AS qe FROM embeddings WHERE vec_id = 0),
+s AS (SELECT vec_id,
+        CASE WHEN sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))
+                  * sqrt(list_inner_product(qe, qe)) > 0
+             THEN list_inner_product(CAST(embedding AS DOUBLE[]), qe)
+                  / (sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))
+                     * sqrt(list_inner_product(qe, qe))) END AS sim
+      FROM embeddings, qv)
+SELECT vec_id, round(sim, 6) AS similarity, coalesce(sim >= {D.SEMANTIC_THRESHOLD}, false) AS relevant FROM s""")
+def q_semantic_relevance(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    # the query vector is a scalar subquery (one row, computed once), projected
+    # as a column before the array functions use it
+    query_vec = e.filter(F.col("vec_id") == 0).select("embedding").scalar()
+    e = e.select("*", query_vec.alias("_query_vec"))
+    return (R.semantic_relevance(e, "embedding", F.col("_query_vec"))
+            .select("vec_id", F.round("similarity", 6).alias("similarity"), "relevant"))
+
+
+@register("key_phrases", f"""
+WITH w AS (
+  SELECT doc_id, x.w AS word, x.p AS pos FROM (
+    SELECT doc_id, unnest(list_transform(regexp_split_to_array(lower(text), {O.q(TX.WS_RUN)}),
+                                         lambda v, i: {{'w': v, 'p': i}})) AS x
+    FROM documents WHERE length(text) >= {D.KEY_PHRASE_MIN_TEXT})),
+f AS (SELECT doc_id, word, count(*) AS freq, min(pos) AS first_pos FROM w
+      WHERE length(word) >= {D.KEY_PHRASE_MIN_WORD} AND word NOT IN ({', '.join(O.q(s) for s in D.STOP_WORDS)})
+      GROUP BY doc_id, word)
+SELECT doc_id, rank, word, freq FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY freq DESC, first_pos) AS INTEGER) AS rank FROM f)
+WHERE rank <= 5""")
+def q_key_phrases(spark, sf_dir):
+    return R.key_phrases(table(spark, sf_dir, "documents"), "text", "doc_id", 5)
+
+
+# --- quality ---------------------------------------------------------------------
+_RANGE_VALUES = ", ".join(f"({O.q(k)}, {lo}, {hi})" for k, (lo, hi) in D.SENIORITY_SALARY_RANGES.items())
+
+
+@register("salary_range_check", O.with_tx(f"""
+, rng(seniority_level, range_min, range_max) AS (VALUES {_RANGE_VALUES})
+SELECT t.ingest_seq, t.seniority_level, t.salary_min, t.salary_max, r.range_min, r.range_max,
+  CASE WHEN r.range_min IS NULL OR t.salary_min IS NULL OR t.salary_max IS NULL THEN 'unknown'
+       WHEN t.salary_max < r.range_min THEN 'below'
+       WHEN t.salary_min > r.range_max THEN 'above' ELSE 'within' END AS salary_status
+FROM tx t LEFT JOIN rng r ON t.seniority_level = r.seniority_level""", extra_ctes=True))
+def q_salary_range_check(spark, sf_dir):
+    return QL.salary_range_check(processed(spark, sf_dir)).select(
+        "ingest_seq", "seniority_level", "salary_min", "salary_max", "range_min", "range_max",
+        "salary_status")
+
+
+@register("canonical_location", f"""WITH raw AS ({O.derived_postings_sql()})
+SELECT ingest_seq, location, {O.canonical_location('location')} AS canonical_location FROM raw""")
+def q_canonical_location(spark, sf_dir):
+    raw = derived_postings(spark, sf_dir).select("ingest_seq", "location")
+    return QL.canonical_locations_of(raw, "location")
+
+
+_KW_VALUES = ", ".join(f"({o}, {O.q(n)}, {O.q(k)})" for o, _, n, k in D.keyword_rows())
+
+
+@register("keyword_flat", O.with_tx(f"""
+SELECT m.keyword, m.skill_name, coalesce(c.postings, 0) AS postings
+FROM (SELECT keyword, arg_max(skill_name, kw_order) AS skill_name
+      FROM (VALUES {_KW_VALUES}) v(kw_order, skill_name, keyword) GROUP BY keyword) m
+LEFT JOIN (SELECT skill_name, count(*) AS postings FROM tx_skills GROUP BY skill_name) c
+  ON m.skill_name = c.skill_name"""))
+def q_keyword_flat(spark, sf_dir):
+    from ..operators.load import exploded_skills
+    counts = exploded_skills(processed(spark, sf_dir)).groupBy("skill_name") \
+        .agg(F.count(F.lit(1)).alias("postings"))
+    kw = QL.keyword_skill_map(spark)
+    return (kw.join(F.broadcast(counts), "skill_name", "left")
+            .select("keyword", "skill_name", F.coalesce("postings", F.lit(0)).alias("postings")))

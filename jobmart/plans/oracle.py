@@ -204,8 +204,10 @@ tx_skills AS (
         FROM tx))"""
 
 
-def with_tx(body: str) -> str:
-    return f"WITH {transform_ctes()}\n{body}"
+def with_tx(body: str, extra_ctes: bool = False) -> str:
+    """``body`` is a final SELECT, or (extra_ctes) ", name AS (...) ... SELECT"."""
+    sep = "" if extra_ctes else "\n"
+    return f"WITH {transform_ctes()}{sep}{body}"
 
 
 # --- star load (two batches) -------------------------------------------------
