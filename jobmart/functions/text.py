@@ -11,6 +11,9 @@ oracle) read it the same way:
 
 from __future__ import annotations
 
+from urllib.parse import urljoin
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -174,9 +177,6 @@ def normalize_url(url: Column, base: Column | str) -> Column:
 
 
 def _urljoin_udf(base: Column, url: Column) -> Column:
-    import pandas as pd
-    from urllib.parse import urljoin
-
     @F.pandas_udf("string")
     def urljoin_batch(b: pd.Series, u: pd.Series) -> pd.Series:
         return pd.Series([urljoin(x, y) if y else "" for x, y in zip(b, u)])

@@ -423,3 +423,17 @@ def q_keyword_flat(spark, sf_dir):
     kw = QL.keyword_skill_map(spark)
     return (kw.join(F.broadcast(counts), "skill_name", "left")
             .select("keyword", "skill_name", F.coalesce("postings", F.lit(0)).alias("postings")))
+
+
+# --- HTML pages (rows-only: parsing HTML is not SQL) ------------------------------
+from ..sources import html as H  # noqa: E402
+
+
+@register("page_fields")
+def q_page_fields(spark, sf_dir):
+    return H.page_fields(table(spark, sf_dir, "pages"))
+
+
+@register("page_links")
+def q_page_links(spark, sf_dir):
+    return H.page_links(table(spark, sf_dir, "pages"))
