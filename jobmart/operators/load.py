@@ -167,8 +167,9 @@ def orphans(star: StarTables) -> DataFrame:
 # ---------------------------------------------------------------------------
 class StarStore:
     """Parquet-backed star schema.  ``append`` is safe to retry: every table
-    only receives rows whose key it lacks, and new rows are materialised to the
-    checkpoint folder before any write, so a batch never reads files it writes."""
+    only receives rows whose key it lacks, and new rows are staged as Parquet in
+    the checkpoint folder before any write, so a batch never reads files it is
+    writing."""
 
     WRITE_ORDER = ["skills", "jobs", "job_descriptions", "job_skills"]
 
@@ -193,10 +194,11 @@ class StarStore:
     def append(self, processed: DataFrame) -> DataFrame:
         """Load one batch of processed postings; returns its A09 stats (collected
         already, one row) as a DataFrame."""
-        res = plan_load(self.tables(), processed)
+        from ..session import materialize
+        res = plan_load(self.tables(), materialize(processed, "batch"))
         new = res.new._asdict()
-        staged = {n: new[n].checkpoint(eager=True) for n in self.WRITE_ORDER}
-        stats = res.stats.checkpoint(eager=True)
+        staged = {n: materialize(new[n], n) for n in self.WRITE_ORDER}
+        stats = materialize(res.stats, "stats")
         for n in self.WRITE_ORDER:
             staged[n].write.mode("append").parquet(self.path(n))
         return stats

@@ -59,3 +59,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage with one computation (``DataFrame.checkpoint`` would run the
+    plan twice unless cached, and stores serialized rows); a lost executor then
+    re-reads files instead of recomputing the upstream plan.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/jobmart-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
