@@ -1,6 +1,6 @@
 """salary range from free text, as one native expression.
 
-Reference behaviour is the default, quirks included (dots are thousands
+The original behaviour is the default, quirks included (dots are thousands
 separators, a bare numeric range counts as a salary, the min alone decides the
 million-scaling, an unscaled 1.2x estimate for "up to"/"from").  Rules:
 

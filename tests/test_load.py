@@ -1,4 +1,4 @@
-"""Star load: the reference loader case, idempotence, batching, persistence."""
+"""Star load: the original loader case, idempotence, batching, persistence."""
 
 from pyspark.sql import functions as F
 

@@ -1,4 +1,4 @@
-"""Golden salary rows (reference behaviour, quirks included)."""
+"""Golden salary rows (original behaviour, quirks included)."""
 
 import pytest
 from pyspark.sql import functions as F

@@ -1,4 +1,4 @@
-"""Reference test cases, run through DataFrames."""
+"""The original test cases, run through DataFrames."""
 
 import pytest
 
