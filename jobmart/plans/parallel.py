@@ -3,17 +3,35 @@
 Regex enrichment, word counting and HTML parsing cost far more per row than the
 scan.  A small input can arrive as one split (one Parquet row group -> one task),
 which would run those stages on a single core.  ``spread`` repartitions
-round-robin only when the input has fewer partitions than the cluster's default
-parallelism; on a large input (thousands of splits) it changes nothing and adds
-no shuffle.
+round-robin only when a *scan-level* input (files, filters, projections -- no
+exchange) has fewer partitions than the cluster's default parallelism.  On a
+large input (thousands of splits) it changes nothing and adds no shuffle.
+
+It is applied at the sources, before joins: asking a plan with exchanges for its
+partition count would make adaptive execution run those exchanges first.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# logical operators that introduce an exchange (or depend on one)
+_EXCHANGING = ("Join", "Aggregate", "Repartition", "Window", "Sort", "Generate", "Union",
+               "Distinct", "Deduplicate", "Expand", "Limit", "Sample", "Subquery")
+
+
+def _scan_only(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().optimizedPlan().treeString()
+    for line in plan.splitlines():
+        node = line.lstrip(" :+-").split(" ", 1)[0]
+        if any(node.startswith(op) or node.endswith(op) for op in _EXCHANGING):
+            return False
+    return True
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    if df.isStreaming or not _scan_only(df):
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_POSTING
+from ..plans.parallel import spread
 from .tables import table
 
 # ---------------------------------------------------------------------------
@@ -43,7 +44,8 @@ def _pick(key: Column, values: list[str]) -> Column:
 
 def derived_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW_POSTING rows plus ``batch`` (two load batches), one per order."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # spread the big side before the join (the broadcast join keeps its partitioning)
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     k = F.col("o_orderkey")
     platform = _pick(k % 3, FIX_PLATFORMS)
@@ -74,7 +76,7 @@ def derived_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# The built-in sample source (eight fixed postings; query and pages ignored)
+# Demo rows in the shape of the built-in sample source (query and pages ignored)
 # ---------------------------------------------------------------------------
 SAMPLE_POSTINGS = [
     ("Senior Data Analyst", "Tech Corp Vietnam", "Ho Chi Minh City",
