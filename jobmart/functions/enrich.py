@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import dictionaries as D
-from .text import WS, escape, has_whole_word
+from .text import WS, escape, has_whole_word, is_single_word
 
 
 def enrich_text(title: Column, description: Column, title_first: bool) -> Column:
@@ -108,8 +108,21 @@ def label_value(clean_desc: Column, label: str) -> Column:
 
 
 def parse_date(s: Column) -> Column:
-    """'dd/mm/yyyy' or 'yyyy-mm-dd' -> date; anything else -> NULL."""
-    return F.coalesce(F.try_to_date(s, "dd/MM/yyyy"), F.try_to_date(s, "yyyy-MM-dd"))
+    """'dd/mm/yyyy' or 'yyyy-mm-dd' -> date; anything else -> NULL.
+
+    The pattern is picked by the text's shape: parsing with the wrong pattern
+    fails through an exception inside the parser, which is slow per row."""
+    return (F.when(s.rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), F.try_to_date(s, "dd/MM/yyyy"))
+            .when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(s, "yyyy-MM-dd")))
+
+
+def keyword_hits(tokens: Column, dictionaries: list[list[str]]) -> Column:
+    """The row's tokens that are single-word keywords of any given dictionary.
+
+    One hash-based intersection per row; the per-skill / per-level membership
+    tests then run against this short array instead of every token."""
+    words = sorted({k.lower() for kws in dictionaries for k in kws if is_single_word(k.lower())})
+    return F.array_intersect(tokens, F.array(*[F.lit(w) for w in words]))
 
 
 def extract_company(clean_desc: Column, raw_company: Column) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import dictionaries as D
 from ..functions import enrich as E
 from ..functions.salary import with_salary
 from ..functions.text import clean_description, word_tokens
@@ -60,8 +61,12 @@ def _enriched(df: DataFrame, strict_salary: bool = False, unknown_label: str | N
         E.enrich_text(title, desc, title_first=False).alias("_text_dt"),
     )
     base = with_salary(base, "_text_td", strict=strict_salary)
-    # one token array serves both texts: they hold the same word runs
-    base = base.select("*", word_tokens(F.col("_text_dt")).alias("_tokens"))
+    # one token array serves both texts (they hold the same word runs); keep only
+    # the tokens that are keywords of either dictionary
+    sk = skills or D.SKILL_DICTIONARY
+    lv = levels or D.SENIORITY_LEVELS
+    kw_lists = [kws for cat in sk.values() for kws in cat.values()] + list(lv.values())
+    base = base.select("*", E.keyword_hits(word_tokens(F.col("_text_dt")), kw_lists).alias("_tokens"))
     return base.select(
         "*",
         E.detect_seniority(F.col("_text_td"), levels=levels, unknown_label=unknown_label,
