@@ -53,24 +53,25 @@ def _keys_ok(df: DataFrame) -> Column:
             & F.col("job_url").isNotNull() & F.col("job_title").isNotNull())
 
 
-def first_posting_per_url(processed: DataFrame) -> DataFrame:
-    """The earliest accepted posting (by ingest_seq) for every job_url."""
+def first_posting_per_url(processed: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The earliest accepted posting (by ``order``, default ingest_seq) per job_url."""
     value_cols = [c for c in JOB_COLUMNS if c not in ("job_id",)] + \
         ["raw_description", "clean_description"]
     value_cols = [c for c in value_cols if c != "job_url"]
+    key = F.struct(*(order or ["ingest_seq"]))
     first = (processed.groupBy("job_url")
-             .agg(F.min_by(F.struct(*value_cols), F.col("ingest_seq")).alias("r")))
+             .agg(F.min_by(F.struct(*value_cols), key).alias("r")))
     return first.select("job_url", "r.*")
 
 
 def exploded_skills(processed: DataFrame) -> DataFrame:
-    """(ingest_seq, job_url, pos, skill_name, skill_category) for every posting."""
+    """(ingest_seq, [batch], job_url, pos, skill_name, skill_category) per posting skill."""
     # posexplode_outer + a filter, not posexplode: for an inner generator the
     # optimizer infers size(array) > 0 and pushes it below the projection, which
     # would evaluate the whole skill extraction twice.
-    return (processed.select("ingest_seq", "job_url",
-                             F.posexplode_outer("extracted_skills").alias("pos", "s"))
-            .select("ingest_seq", "job_url", "pos", "s.skill_name", "s.skill_category")
+    keep = ["ingest_seq"] + [c for c in ["batch"] if c in processed.columns] + ["job_url"]
+    return (processed.select(*keep, F.posexplode_outer("extracted_skills").alias("pos", "s"))
+            .select(*keep, "pos", "s.skill_name", "s.skill_category")
             .filter(F.col("skill_name").isNotNull() & (F.col("skill_name") != "")))
 
 
@@ -79,12 +80,15 @@ class LoadResult(NamedTuple):
     stats: DataFrame          # A09, one row
 
 
-def plan_load(existing: StarTables, processed: DataFrame) -> LoadResult:
-    """Rows a batch adds to each table, given what the tables hold already."""
+def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | None = None) -> LoadResult:
+    """Rows a batch adds to each table, given what the tables hold already.
+
+    ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch."""
+    order = order or ["ingest_seq"]
     accepted = processed.filter(_keys_ok(processed))
 
     # First posting per URL, minus URLs already loaded
-    firsts = first_posting_per_url(accepted)
+    firsts = first_posting_per_url(accepted, order)
     new_jobs = (firsts.join(existing.jobs.select("job_url"), "job_url", "left_anti")
                 .select(job_id(F.col("job_url")).alias("job_id"),
                         *[c for c in JOB_COLUMNS if c != "job_id"]))
@@ -97,7 +101,7 @@ def plan_load(existing: StarTables, processed: DataFrame) -> LoadResult:
     # Get-or-create by name; category of the first sighting sticks
     ex = exploded_skills(accepted)
     new_skills = (ex.groupBy("skill_name")
-                  .agg(F.min_by("skill_category", F.struct("ingest_seq", "pos")).alias("skill_category"))
+                  .agg(F.min_by("skill_category", F.struct(*order, "pos")).alias("skill_category"))
                   .join(existing.skills.select("skill_name"), "skill_name", "left_anti")
                   .select(skill_id(F.col("skill_name")).alias("skill_id"), "skill_name",
                           "skill_category"))
@@ -113,6 +117,47 @@ def plan_load(existing: StarTables, processed: DataFrame) -> LoadResult:
     return LoadResult(StarTables(new_jobs, new_skills, new_links, new_desc), stats)
 
 
+def load_ordered(spark: SparkSession, processed: DataFrame,
+                 order: list[str] = ("batch", "ingest_seq")) -> StarTables:
+    """Batches loaded in ``batch`` order into empty tables, in one pass.
+
+    Loading batch after batch keeps the first row per key in (batch, ingest_seq)
+    order, so with empty tables it equals one first-wins pass over all batches:
+    one aggregate per table, no anti-join against rows written a moment earlier.
+    (The incremental path, ``plan_load`` against existing tables, is what
+    ``StarStore.append`` and the stream use.)"""
+    return plan_load(empty_star(spark), processed, list(order)).new
+
+
+def load_stats_by_batch(processed: DataFrame, batch: str = "batch") -> DataFrame:
+    """A09 for every batch of a sequential load into empty tables, in one pass:
+    a row, skill, URL or link is new in the batch where it is first seen."""
+    ok = _keys_ok(processed)
+    accepted = processed.filter(ok)
+    ex = exploded_skills(accepted)
+
+    def new_in(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        return (df.groupBy(*keys).agg(F.min(batch).alias(batch))
+                .groupBy(batch).agg(F.count(F.lit(1)).alias(name)))
+
+    rows = processed.groupBy(batch).agg(F.count(F.when(ok, 1)).alias("jobs_inserted"),
+                                        F.count(F.when(~ok, 1)).alias("errors"))
+    linked = ex.groupBy(batch).agg(F.count(F.lit(1)).alias("job_skills_linked"))
+    out = (rows.join(new_in(ex, ["skill_name"], "skills_inserted"), batch, "left")
+           .join(linked, batch, "left")
+           .join(new_in(accepted, ["job_url"], "jobs_new"), batch, "left")
+           .join(new_in(ex, ["job_url", "skill_name"], "job_skills_new"), batch, "left"))
+    zero = F.lit(0).cast("long")
+    return out.select(
+        F.col(batch).cast("long").alias("batch"), "jobs_inserted",
+        F.col("jobs_inserted").alias("job_descriptions_inserted"),
+        F.coalesce("skills_inserted", zero).alias("skills_inserted"),
+        F.coalesce("job_skills_linked", zero).alias("job_skills_linked"),
+        F.coalesce("jobs_new", zero).alias("jobs_new"),
+        F.coalesce("job_skills_new", zero).alias("job_skills_new"),
+        "errors")
+
+
 def _load_stats(processed: DataFrame, ex: DataFrame, new_jobs: DataFrame,
                 new_skills: DataFrame, new_links: DataFrame) -> DataFrame:
     ok = _keys_ok(processed)

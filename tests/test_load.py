@@ -65,3 +65,15 @@ def test_star_store_append_retry_safe(spark, tmp_path):
     mem, _ = L.load_batches(spark, [tx.filter("batch = 0"), tx.filter("batch = 1")])
     assert _keys(store.tables()) == _keys(mem)
     assert L.orphans(store.tables()).filter("orphans > 0").count() == 0
+
+
+def test_one_pass_ordered_load_equals_sequential(spark):
+    tx = transform_postings(derived_postings(spark, SF001)).cache()
+    seq, stats = L.load_batches(spark, [tx.filter("batch = 0"), tx.filter("batch = 1")])
+    one = L.load_ordered(spark, tx, ["batch", "ingest_seq"])
+    assert _keys(seq) == _keys(one)
+    by_batch = {r.batch: r.asDict() for r in L.load_stats_by_batch(tx, "batch").collect()}
+    for b, st in enumerate(stats):
+        want = st.first().asDict()
+        got = {k: v for k, v in by_batch[b].items() if k != "batch"}
+        assert got == want, (b, got, want)
