@@ -55,6 +55,20 @@ def embed_text(title: Column, description: Column, chars: int = D.SEMANTIC_TEXT_
     return F.concat_ws(" ", title, F.substring(description, 1, chars))
 
 
+def word_frequency(df: DataFrame, text: str = "text", key: str = "doc_id",
+                   stop_words: list[str] | None = None) -> DataFrame:
+    """(key, word, freq, first_pos) for the words the key-phrase extractor
+    counts (lower-cased, whitespace split, stop words and words of <= 3 chars
+    dropped; texts under 50 chars skipped).  A (key, word) aggregate, combined
+    map-side, over whole texts."""
+    stops = stop_words if stop_words is not None else D.STOP_WORDS
+    d = spread(df.select(key, text).filter(F.length(text) >= D.KEY_PHRASE_MIN_TEXT))
+    words = (d.select(key, F.posexplode_outer(F.split(F.lower(F.col(text)), WS_RUN)).alias("pos", "word"))
+             .filter((F.length("word") >= D.KEY_PHRASE_MIN_WORD) & ~F.col("word").isin(stops)))
+    return words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("freq"),
+                                          F.min("pos").alias("first_pos"))
+
+
 def key_phrases(df: DataFrame, text: str = "text", key: str = "doc_id", top_n: int = 5,
                 stop_words: list[str] | None = None) -> DataFrame:
     """the ``top_n`` most frequent words per text (lower-cased, whitespace
@@ -65,12 +79,7 @@ def key_phrases(df: DataFrame, text: str = "text", key: str = "doc_id", top_n: i
     the top-n is ``row_number() <= n``, which Spark evaluates as a partial
     top-n before the shuffle.  Whole texts are read; nothing is truncated.
     """
-    stops = stop_words if stop_words is not None else D.STOP_WORDS
-    d = spread(df.select(key, text).filter(F.length(text) >= D.KEY_PHRASE_MIN_TEXT))
-    words = (d.select(key, F.posexplode_outer(F.split(F.lower(F.col(text)), WS_RUN)).alias("pos", "word"))
-             .filter((F.length("word") >= D.KEY_PHRASE_MIN_WORD) & ~F.col("word").isin(stops)))
-    freq = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("freq"),
-                                          F.min("pos").alias("first_pos"))
+    freq = word_frequency(df, text, key, stop_words)
     w = Window.partitionBy(key).orderBy(F.desc("freq"), F.asc("first_pos"))
     return (freq.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= top_n)

@@ -376,6 +376,22 @@ def q_semantic_relevance(spark, sf_dir):
             .select("vec_id", F.round("similarity", 6).alias("similarity"), "relevant"))
 
 
+_WORDS_CTE = f"""
+WITH w AS (
+  SELECT doc_id, x.w AS word, x.p AS pos FROM (
+    SELECT doc_id, unnest(list_transform(regexp_split_to_array(lower(text), {O.q(TX.WS_RUN)}),
+                                         lambda v, i: {{'w': v, 'p': i}})) AS x
+    FROM documents WHERE length(text) >= {D.KEY_PHRASE_MIN_TEXT})),
+f AS (SELECT doc_id, word, count(*) AS freq, min(pos) - 1 AS first_pos FROM w
+      WHERE length(word) >= {D.KEY_PHRASE_MIN_WORD} AND word NOT IN ({', '.join(O.q(s) for s in D.STOP_WORDS)})
+      GROUP BY doc_id, word)"""
+
+
+@register("word_frequency", _WORDS_CTE + "\nSELECT doc_id, word, freq, first_pos FROM f")
+def q_word_frequency(spark, sf_dir):
+    return R.word_frequency(table(spark, sf_dir, "documents"), "text", "doc_id")
+
+
 @register("key_phrases", f"""
 WITH w AS (
   SELECT doc_id, x.w AS word, x.p AS pos FROM (

@@ -77,3 +77,14 @@ def test_one_pass_ordered_load_equals_sequential(spark):
         want = st.first().asDict()
         got = {k: v for k, v in by_batch[b].items() if k != "batch"}
         assert got == want, (b, got, want)
+
+
+def test_views_registered_for_sql(spark):
+    from jobmart.plans.views import register_views
+    tx = transform_postings(derived_postings(spark, SF001))
+    star = L.load_ordered(spark, tx)
+    names = register_views(spark, star)
+    assert "skill_demand_view" in names
+    top = spark.sql("SELECT skill_name, job_count FROM skill_demand_view ORDER BY job_count DESC LIMIT 1").first()
+    assert top.job_count > 0
+    assert spark.sql("SELECT count(*) AS n FROM job_details_view").first().n == star.jobs.count()
