@@ -508,3 +508,45 @@ def _stage_in_order(spark, dirs: list[str], target: str) -> None:
                 fs.rename(st.getPath(), dst)
                 fs.setTimes(dst, int(_time.time() * 1000) + n * 1000, -1)
                 n += 1
+
+
+# --- platform pages rendered from the tables, parsed back (S04, S05, S06) ---------
+from ..sources import rendered as RD  # noqa: E402
+
+_DETAIL_COLS = ["ingest_seq", "platform", "job_url", "job_title", "company", "location",
+                "job_description", "posting_date"]
+
+
+def _n(c: str) -> str:
+    return O.normalize_text(c)
+
+
+@register("detail_pages", f"""WITH raw AS ({O.derived_postings_sql()})
+SELECT ingest_seq, platform, job_url,
+  {_n("coalesce(job_title, '')")} AS job_title,
+  CASE WHEN platform = 'vieclam24h' THEN '' ELSE {_n("coalesce(company, '')")} END AS company,
+  CASE WHEN platform = 'vieclam24h' THEN '' ELSE {_n("coalesce(location, '')")} END AS location,
+  {_n("regexp_replace(coalesce(job_description, ''), '<[^>]+>', ' ', 'g')")} AS job_description,
+  CASE WHEN platform = 'topcv' THEN NULL ELSE {_n("coalesce(posting_date, '')")} END AS posting_date
+FROM raw""")
+def q_detail_pages(spark, sf_dir):
+    """S05a-c: every derived posting rendered as its platform's detail page and
+    parsed back with the platform's selectors."""
+    pages = RD.detail_pages(derived_postings(spark, sf_dir))
+    return H.parse_detail_pages(pages).select(*_DETAIL_COLS)
+
+
+@register("listing_links", f"""WITH fr AS ({O.frontier_sql()})
+SELECT platform, page,
+  CAST(row_number() OVER (PARTITION BY platform, page ORDER BY pos) - 1 AS INTEGER) AS link_pos,
+  CASE platform WHEN 'careerviet' THEN 'https://www.careerviet.vn/job/u' || CAST("user" AS VARCHAR) || '.html'
+                WHEN 'topcv' THEN '{D.TOPCV_JOB_PREFIX}u' || CAST("user" AS VARCHAR) || '.html'
+                ELSE 'https://vieclam24h.vn/viec-lam/u' || CAST("user" AS VARCHAR) END AS url
+FROM fr WHERE NOT page_empty""")
+def q_listing_links(spark, sf_dir):
+    """S04a-c: every non-empty frontier page rendered as its platform's listing
+    page (with decoy links) and parsed back into detail links."""
+    pages = RD.listing_pages(_frontier(spark, sf_dir))
+    links = H.listing_page_links(pages)
+    return links.select("platform", (F.col("page_id") % 1_000_000_000).alias("page"),
+                        F.col("pos").alias("link_pos"), "url")

@@ -242,7 +242,8 @@ def frontier_sql() -> str:
     return f"""SELECT {plat} AS platform, CAST(floor(event_id / {FR.EVENTS_PER_PAGE}) AS BIGINT) + 1 AS page,
   event_id AS pos,
   'https://' || {plat} || '.example/job/u' || CAST(user_id AS VARCHAR) AS url,
-  (((CAST(floor(event_id / {FR.EVENTS_PER_PAGE}) AS BIGINT) + 1) % {FR.EMPTY_PAGE_MOD}) = {FR.EMPTY_PAGE_REM}) AS page_empty
+  (((CAST(floor(event_id / {FR.EVENTS_PER_PAGE}) AS BIGINT) + 1) % {FR.EMPTY_PAGE_MOD}) = {FR.EMPTY_PAGE_REM}) AS page_empty,
+  user_id AS "user"
 FROM events"""
 
 

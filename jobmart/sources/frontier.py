@@ -31,4 +31,5 @@ def derived_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://"), platform, F.lit(".example/job/u"),
                  F.col("user_id").cast("string")).alias("url"),
         (page % EMPTY_PAGE_MOD == EMPTY_PAGE_REM).alias("page_empty"),
+        F.col("user_id").alias("user"),
     )
