@@ -80,7 +80,7 @@ def canonical_location(c: Column, aliases: dict[str, list[str]] | None = None) -
     lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
     norm = F.regexp_replace(F.lower(c), f"^{WS}+|{WS}+$", "")
     return F.when(c.isNull() | (c == ""), F.lit("")) \
-            .otherwise(F.coalesce(F.element_at(lookup, norm), norm))
+            .otherwise(F.coalesce(F.try_element_at(lookup, norm), norm))
 
 
 def canonical_locations(spark: SparkSession, aliases: dict[str, list[str]] | None = None) -> DataFrame:
