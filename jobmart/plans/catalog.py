@@ -467,9 +467,10 @@ def q_page_links(spark, sf_dir):
 # --- incremental ingest (rows-only: a stream with side effects) -------------------
 @register("incremental_ingest")
 def q_incremental_ingest(spark, sf_dir):
-    """Derived postings written as two files (batch 0, then batch 1) into a folder
-    under the shared checkpoint dir, streamed into a fresh star store; returns the
-    loaded jobs (natural columns)."""
+    """Derived postings arrive in two rounds (batch 0, then batch 1) as Parquet
+    files in a folder under the shared checkpoint dir; after each round the stream
+    runs with ``availableNow`` against the same checkpoint, loading the new files
+    into one star store.  Returns the loaded jobs (natural columns)."""
     import uuid
 
     from ..schemas import RAW_POSTING
@@ -479,35 +480,27 @@ def q_incremental_ingest(spark, sf_dir):
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobmart-stream-{uuid.uuid4().hex}"
     raw = derived_postings(spark, sf_dir)
     cols = [f.name for f in RAW_POSTING.fields]
+    store = None
     for b in (0, 1):
-        raw.filter(F.col("batch") == b).select(*cols).coalesce(1) \
-            .write.mode("error").parquet(f"{root}/in/batch={b}-files")
-    # one folder the stream reads; files are moved in one batch at a time so the
-    # file source sees them in order
-    _stage_in_order(spark, [f"{root}/in/batch={b}-files" for b in (0, 1)], f"{root}/source")
-    store = ingest_available(spark, f"{root}/source", f"{root}/star", f"{root}/checkpoint")
+        raw.filter(F.col("batch") == b).select(*cols).write.mode("error").parquet(f"{root}/in/{b}")
+        _arrive(spark, f"{root}/in/{b}", f"{root}/source", f"b{b}")
+        store = ingest_available(spark, f"{root}/source", f"{root}/star", f"{root}/checkpoint",
+                                 max_files_per_trigger=None)
     return store.tables().jobs.select(*_JOB_OUT)
 
 
-def _stage_in_order(spark, dirs: list[str], target: str) -> None:
-    """Rename the data files of each folder into ``target``, folder by folder,
-    with increasing modification times (the file source orders by them)."""
-    import time as _time
+def _arrive(spark, src_dir: str, target: str, tag: str) -> None:
+    """Move the data files of ``src_dir`` into the stream's source folder (a
+    rename per file: the files are already written, the stream sees them whole)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     tgt = jvm.org.apache.hadoop.fs.Path(target)
     fs = tgt.getFileSystem(conf)
     fs.mkdirs(tgt)
-    n = 0
-    for d in dirs:
-        src = jvm.org.apache.hadoop.fs.Path(d)
-        for st in fs.listStatus(src):
-            name = st.getPath().getName()
-            if name.endswith(".parquet"):
-                dst = jvm.org.apache.hadoop.fs.Path(target, f"part-{n:05d}.parquet")
-                fs.rename(st.getPath(), dst)
-                fs.setTimes(dst, int(_time.time() * 1000) + n * 1000, -1)
-                n += 1
+    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(src_dir)):
+        name = st.getPath().getName()
+        if name.endswith(".parquet"):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(target, f"{tag}-{name}"))
 
 
 # --- platform pages rendered from the tables, parsed back (S04, S05, S06) ---------

@@ -7,6 +7,9 @@ is checked against the tables themselves -- an anti-join per table -- rather tha
 kept in watermark state that would have to grow with every URL ever seen.  A
 replayed micro-batch (after a driver or executor failure) therefore adds nothing
 twice: the sink is idempotent, and the source offsets live in the checkpoint.
+First-wins follows arrival: an earlier micro-batch beats a later one, and inside a
+micro-batch ``ingest_seq`` decides.  By default a micro-batch takes every new
+file (``max_files_per_trigger=None``), so throughput scales with the cluster.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ def raw_posting_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet
 
 def start_ingest(spark: SparkSession, source_dir: str, store_root: str, checkpoint: str,
                  fmt: str = "parquet", available_now: bool = True,
-                 max_files_per_trigger: int | None = 1, **transform_opts) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, **transform_opts) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and stops."""
     store = StarStore(spark, store_root)
     store.setup()
@@ -45,9 +48,11 @@ def start_ingest(spark: SparkSession, source_dir: str, store_root: str, checkpoi
 
 
 def ingest_available(spark: SparkSession, source_dir: str, store_root: str, checkpoint: str,
-                     fmt: str = "parquet", **transform_opts) -> StarStore:
-    """Process every file present now, then return the store."""
-    q = start_ingest(spark, source_dir, store_root, checkpoint, fmt, True, **transform_opts)
+                     fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                     **transform_opts) -> StarStore:
+    """Process every file not yet seen by this checkpoint, then return the store."""
+    q = start_ingest(spark, source_dir, store_root, checkpoint, fmt, True,
+                     max_files_per_trigger, **transform_opts)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
