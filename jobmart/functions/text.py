@@ -163,15 +163,23 @@ def normalize_url(url: Column, base: Column | str) -> Column:
     base_dir = F.regexp_replace(no_query, "[^/]*$", "")
     base_dir = F.when(F.length(origin) == F.length(no_query), F.concat(no_query, F.lit("/"))) \
                 .otherwise(base_dir)
-    has_dots = url.rlike(r"(^|/)\.\.?(/|$|\?|#)")
+    # urljoin resolves dot segments and drops empty segments ("a//b") of a
+    # relative path -- and of the base path it is merged with -- so such rows go
+    # to the helper; every other shape has an exact native form.
+    odd_path = r"(^|/)\.\.?(/|$|\?|#)|[^/:]//|^/[^/?#]*//"
+    url_path = F.regexp_extract(url, r"^([^?#]*)", 1)
+    base_path = F.regexp_replace(no_query, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*", "")
+    needs_helper = ~url.startswith("//") & ~url.startswith("?") & ~url.startswith("#") & (
+        url_path.rlike(odd_path) | F.concat(F.lit("/"), base_path).rlike(odd_path))
     return (
         F.when(url.isNull() | (url == ""), F.lit(""))
         .when(url.rlike(_SCHEME), url)
-        .when(has_dots, _urljoin_udf(b, url))
+        .when(needs_helper, _urljoin_udf(b, url))
         .when(url.startswith("//"), F.concat(scheme, F.lit(":"), url))
         .when(url.startswith("/"), F.concat(origin, url))
         .when(url.startswith("?"), F.concat(no_query, url))
-        .when(url.startswith("#"), F.concat(no_frag, url))
+        # an empty query ("...?") is not written back by urljoin
+        .when(url.startswith("#"), F.concat(F.regexp_replace(no_frag, r"\?$", ""), url))
         .otherwise(F.concat(base_dir, url))
     )
 

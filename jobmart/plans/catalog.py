@@ -543,3 +543,35 @@ def q_listing_links(spark, sf_dir):
     links = H.listing_page_links(pages)
     return links.select("platform", (F.col("page_id") % 1_000_000_000).alias("page"),
                         F.col("pos").alias("link_pos"), "url")
+
+
+# --- F05 over the pages table ------------------------------------------------------
+_HREF = 'href="([^"]*)"'
+
+
+@register("page_hrefs", f"""
+WITH h AS (
+  SELECT page_id, url, x.h AS href, x.i - 1 AS pos FROM (
+    SELECT page_id, url, unnest(list_transform(regexp_extract_all(html, {O.q(_HREF)}, 1),
+                                               lambda v, i: {{'h': v, 'i': i}})) AS x
+    FROM pages))
+SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
+  CASE WHEN href = '' THEN ''
+       WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN href
+       WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1) || ':' || href
+       WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1) || href
+       WHEN starts_with(href, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || href
+       WHEN starts_with(href, '#') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?$', '') || href
+       ELSE regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''), '[^/]*$', '') || href
+  END AS absolute_url
+FROM h""")
+def q_page_hrefs(spark, sf_dir):
+    """every href of every page (native extraction), made absolute against
+    the page URL with ``normalize_url``."""
+    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    hrefs = (p.select("page_id", "url",
+                      F.posexplode_outer(F.regexp_extract_all("html", F.lit(_HREF), F.lit(1)))
+                      .alias("pos", "href"))
+             .filter(F.col("href").isNotNull()))
+    return hrefs.select("page_id", "pos", "href",
+                        TX.normalize_url(F.col("href"), F.col("url")).alias("absolute_url"))

@@ -61,12 +61,13 @@ def test_quote_plus_matches_python(spark):
 
 
 def test_normalize_url_matches_urljoin(spark):
-    base = "https://www.careerviet.vn/viec-lam/tim?x=1#f"
-    urls = ["", "https://other.example/a", "//cdn.example/x", "/job/1", "?page=2", "#top",
-            "job/2", "../up/3", "./here"]
-    df = spark.createDataFrame([(u,) for u in urls], "u string")
-    out = [r.n for r in df.select(TX.normalize_url(F.col("u"), base).alias("n")).collect()]
-    assert out == [urljoin(base, u) if u else "" for u in urls]
+    urls = ["", "https://other.example/a", "//cdn.example/x//y", "/job/1", "?page=2", "#top",
+            "job/2", "../up/3", "./here", "/x//y", "a//b", "/a/./b/../c?q=1#f", "sub/"]
+    for base in ["https://www.careerviet.vn/viec-lam/tim?x=1#f", "https://host", "http://h/a//b/c",
+                 "https://vieclam24h.vn/tim-kiem-viec-lam-nhanh?"]:
+        df = spark.createDataFrame([(u,) for u in urls], "u string")
+        out = [r.n for r in df.select(TX.normalize_url(F.col("u"), base).alias("n")).collect()]
+        assert out == [urljoin(base, u) if u else "" for u in urls], base
 
 
 def test_whole_word_rules(spark):
