@@ -575,3 +575,11 @@ def q_page_hrefs(spark, sf_dir):
              .filter(F.col("href").isNotNull()))
     return hrefs.select("page_id", "pos", "href",
                         TX.normalize_url(F.col("href"), F.col("url")).alias("absolute_url"))
+
+
+@register("extract_salary_strict", O.with_tx(O.strict_salary_select(), extra_ctes=True))
+def q_extract_salary_strict(spark, sf_dir):
+    """F09 strict: thousands separators and decimals read, "up to"/"from" maxima
+    scaled, bare numeric ranges ignored."""
+    return transform_postings(derived_postings(spark, sf_dir), strict_salary=True).select(
+        "ingest_seq", "salary_min", "salary_max", "salary_currency", "salary_overflow")

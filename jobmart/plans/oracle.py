@@ -263,3 +263,42 @@ def listing_url_sql(platform: str, page: str, query: str) -> str:
 __all__ = ["q", "with_tx", "with_star", "frontier_sql", "listing_url_sql", "normalize_text",
            "clean_html", "truncate_text", "clean_description", "canonical_location",
            "LABELS"]
+
+
+def strict_salary_select(text: str = "_t_td") -> str:
+    """The strict salary reading (SQL twin of ``with_salary(strict=True)``).
+
+    The Spark side strips thousands separators with a lookahead; RE2 has none,
+    so here the number is split into its integer part (groups of three digits)
+    and an optional 1-2 digit decimal part."""
+    pats = SAL.STRICT_PATTERNS
+    tagged = "coalesce(" + ", ".join(
+        f"nullif('{i}' || regexp_extract({text}, {q(p)}, 0), '{i}')" for i, (p, _, _) in enumerate(pats)) + ")"
+    idx = "CAST(substr(_tagged, 1, 1) AS INTEGER)"
+    m = "substr(_tagged, 2)"
+
+    def grp(g: int) -> str:
+        whens = " ".join(f"WHEN {idx} = {i} THEN regexp_extract({m}, {q(p)}, {g})"
+                         for i, (p, n, _) in enumerate(pats) if n >= g)
+        return f"(CASE {whens} END)"
+
+    def num(g: str) -> str:
+        ip = f"regexp_extract({g}, '^([0-9]+(?:[.,][0-9]{{3}})*)', 1)"
+        dp = f"regexp_extract({g}, '^[0-9]+(?:[.,][0-9]{{3}})*[.,]([0-9]{{1,2}})$', 1)"
+        return (f"TRY_CAST(regexp_replace({ip}, '[.,]', '', 'g') || "
+                f"CASE WHEN {dp} <> '' THEN '.' || {dp} ELSE '' END AS DOUBLE)")
+
+    pair = " OR ".join(f"{idx} = {i}" for i, (_, n, _) in enumerate(pats) if n == 2)
+    return f"""
+, st1 AS (SELECT ingest_seq, {tagged} AS _tagged FROM acc),
+st2 AS (SELECT ingest_seq, _tagged, {num(grp(1))} AS lo, {num(grp(2))} AS hi,
+               (instr({m}, 'tr') > 0) AS has_tr, ({pair}) AS is_pair FROM st1),
+st3 AS (SELECT *, CASE WHEN has_tr OR lo < 1000000 THEN lo * 1000000 ELSE lo END AS lo_s,
+                  CASE WHEN has_tr OR lo < 1000000 THEN hi * 1000000 ELSE hi END AS hi_s FROM st2),
+st4 AS (SELECT *, (_tagged IS NOT NULL AND abs(lo_s) < {LONG_MAX_D}) AS ok FROM st3)
+SELECT ingest_seq,
+  CASE WHEN ok THEN CAST(trunc(lo_s) AS BIGINT) END AS salary_min,
+  CASE WHEN ok THEN (CASE WHEN is_pair THEN hi_s ELSE lo_s * 1.2 END) END AS salary_max,
+  CASE WHEN _tagged IS NOT NULL THEN 'vnd' ELSE 'VND' END AS salary_currency,
+  coalesce(_tagged IS NOT NULL AND NOT ok, false) AS salary_overflow
+FROM st4"""
