@@ -75,41 +75,61 @@ def exploded_skills(processed: DataFrame) -> DataFrame:
             .filter(F.col("skill_name").isNotNull() & (F.col("skill_name") != "")))
 
 
+def _not_loaded(batch: DataFrame, existing: DataFrame, keys: list[str],
+                broadcast_keys: bool = False) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``existing`` (J05, insert-or-ignore).
+
+    The existing table grows with every batch, so it should not be shuffled: its
+    key column is semi-joined with the batch's distinct keys and the batch is
+    anti-joined with those few hits.  ``broadcast_keys`` (set by the caller after
+    counting the batch) broadcasts the batch keys, so history is only scanned;
+    without it the joins shuffle on the key.  With empty tables the optimizer
+    prunes both joins."""
+    batch_keys = batch.select(*keys).distinct()
+    if broadcast_keys:
+        batch_keys = F.broadcast(batch_keys)
+    hits = existing.select(*keys).join(batch_keys, keys, "left_semi")
+    return batch.join(hits, keys, "left_anti")
+
+
 class LoadResult(NamedTuple):
     new: StarTables           # rows to append
     stats: DataFrame          # A09, one row
 
 
-def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | None = None) -> LoadResult:
+def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | None = None,
+              broadcast_keys: bool = False) -> LoadResult:
     """Rows a batch adds to each table, given what the tables hold already.
 
-    ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch."""
+    ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch;
+    ``broadcast_keys`` is for callers that checked the batch is small."""
+    bk = broadcast_keys
     order = order or ["ingest_seq"]
     accepted = processed.filter(_keys_ok(processed))
 
     # First posting per URL, minus URLs already loaded
     firsts = first_posting_per_url(accepted, order)
-    new_jobs = (firsts.join(existing.jobs.select("job_url"), "job_url", "left_anti")
+    new_jobs = (_not_loaded(firsts, existing.jobs, ["job_url"], bk)
                 .select(job_id(F.col("job_url")).alias("job_id"),
                         *[c for c in JOB_COLUMNS if c != "job_id"]))
 
     # One description per job; the first posting's text; skip existing ids
-    new_desc = (firsts.select(job_id(F.col("job_url")).alias("job_id"),
-                              "raw_description", "clean_description")
-                .join(existing.job_descriptions.select("job_id"), "job_id", "left_anti"))
+    new_desc = _not_loaded(firsts.select(job_id(F.col("job_url")).alias("job_id"),
+                                         "raw_description", "clean_description"),
+                           existing.job_descriptions, ["job_id"], bk)
 
     # Get-or-create by name; category of the first sighting sticks
     ex = exploded_skills(accepted)
-    new_skills = (ex.groupBy("skill_name")
-                  .agg(F.min_by("skill_category", F.struct(*order, "pos")).alias("skill_category"))
-                  .join(existing.skills.select("skill_name"), "skill_name", "left_anti")
+    seen = (ex.groupBy("skill_name")
+            .agg(F.min_by("skill_category", F.struct(*order, "pos")).alias("skill_category")))
+    new_skills = (_not_loaded(seen, existing.skills, ["skill_name"], bk)
                   .select(skill_id(F.col("skill_name")).alias("skill_id"), "skill_name",
                           "skill_category"))
 
     # Every accepted posting links its skills, duplicates of a URL included
     links = ex.select(job_id(F.col("job_url")).alias("job_id"),
                       skill_id(F.col("skill_name")).alias("skill_id")).distinct()
-    new_links = links.join(existing.job_skills, ["job_id", "skill_id"], "left_anti")
+    new_links = _not_loaded(links, existing.job_skills, ["job_id", "skill_id"], bk)
 
     # The original counts every accepted row for jobs, descriptions and links
     # (an ignored duplicate still "succeeds"); skills count only new ones.
@@ -218,9 +238,11 @@ class StarStore:
 
     WRITE_ORDER = ["skills", "jobs", "job_descriptions", "job_skills"]
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, broadcast_key_limit: int = 500_000):
         self.spark = spark
         self.root = root
+        # ~100 bytes per key: 500k keys stay well inside a broadcast
+        self.broadcast_key_limit = broadcast_key_limit
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -240,7 +262,12 @@ class StarStore:
         """Load one batch of processed postings; returns its A09 stats (collected
         already, one row) as a DataFrame."""
         from ..session import materialize
-        res = plan_load(self.tables(), materialize(processed, "batch"))
+        batch = materialize(processed, "batch")
+        # the largest key set of a batch is its (job, skill) links: count them on
+        # the staged batch and broadcast the batch keys only below the limit
+        n_links = batch.select(F.sum(F.size("extracted_skills")).alias("n")).first().n or 0
+        small = max(batch.count(), n_links) <= self.broadcast_key_limit
+        res = plan_load(self.tables(), batch, broadcast_keys=small)
         new = res.new._asdict()
         staged = {n: materialize(new[n], n) for n in self.WRITE_ORDER}
         stats = materialize(res.stats, "stats")
