@@ -44,10 +44,19 @@ def page_table(frontier: DataFrame) -> DataFrame:
             .select("platform", "page", "links", (F.col("links") == 0).alias("page_empty")))
 
 
-def stop_pages(frontier: DataFrame, max_pages: int = D.DEFAULT_MAX_PAGES) -> DataFrame:
+def _known(frontier: DataFrame, platforms: list[str] | None) -> DataFrame:
+    """Only registered platforms are crawled (the original skips unknown names).
+    This also bounds every per-platform table by ``len(platforms)`` rows, which
+    is what makes broadcasting them safe."""
+    return frontier.filter(F.col("platform").isin(platforms or D.PLATFORMS))
+
+
+def stop_pages(frontier: DataFrame, max_pages: int = D.DEFAULT_MAX_PAGES,
+               platforms: list[str] | None = None) -> DataFrame:
     """Per platform the first page that is empty or missing (a failed
-    fetch), capped at ``max_pages + 1`` (no stop within the page budget)."""
-    pages = page_table(frontier)
+    fetch), capped at ``max_pages + 1`` (no stop within the page budget).
+    One row per registered platform."""
+    pages = page_table(_known(frontier, platforms))
     present = pages.select("platform", "page")
     # a gap: page p present, p + 1 absent; page 1 absent is a gap too
     after = present.select("platform", (F.col("page") + 1).alias("page"))
@@ -63,11 +72,14 @@ def stop_pages(frontier: DataFrame, max_pages: int = D.DEFAULT_MAX_PAGES) -> Dat
                             F.lit(max_pages + 1)).cast("long").alias("stop_page")))
 
 
-def crawl_prefix(frontier: DataFrame, max_pages: int = D.DEFAULT_MAX_PAGES) -> DataFrame:
-    """Links on the pages walked before the stop page."""
-    stops = stop_pages(frontier, max_pages)
-    return (frontier.filter(~F.col("page_empty"))
-            .join(stops, "platform")
+def crawl_prefix(frontier: DataFrame, max_pages: int = D.DEFAULT_MAX_PAGES,
+                 platforms: list[str] | None = None) -> DataFrame:
+    """Links on the pages walked before the stop page.  The join key is the
+    platform -- a third of all rows each -- so the stop table (one row per
+    registered platform) is broadcast rather than shuffled against."""
+    stops = stop_pages(frontier, max_pages, platforms)
+    return (_known(frontier, platforms).filter(~F.col("page_empty"))
+            .join(F.broadcast(stops), "platform")
             .filter(F.col("page") < F.col("stop_page"))
             .drop("stop_page", "page_empty"))
 
@@ -127,7 +139,8 @@ def crawl_stats(frontier: DataFrame, max_results: int = D.DEFAULT_MAX_RESULTS,
     base = stops.join(cut, "platform", "left").select(
         "platform", "stop_page", F.coalesce("jobs_scraped", F.lit(0)).alias("jobs_scraped"), "last")
     full = F.col("jobs_scraped") >= max_results
-    seen = (prefix.join(base.select("platform", "jobs_scraped", "last"), "platform")
+    # base has one row per registered platform: broadcast, never a platform shuffle
+    seen = (prefix.join(F.broadcast(base.select("platform", "jobs_scraped", "last")), "platform")
             .filter(~(F.col("jobs_scraped") >= max_results) | (F.struct("page", "pos") <= F.col("last")))
             .groupBy("platform").agg(F.count(F.lit(1)).alias("rows_seen")))
     return (base.join(seen, "platform", "left")
