@@ -88,3 +88,15 @@ def test_views_registered_for_sql(spark):
     top = spark.sql("SELECT skill_name, job_count FROM skill_demand_view ORDER BY job_count DESC LIMIT 1").first()
     assert top.job_count > 0
     assert spark.sql("SELECT count(*) AS n FROM job_details_view").first().n == star.jobs.count()
+
+
+def test_run_batch_end_to_end_and_rerun(spark, tmp_path):
+    from jobmart.etl import run_batch
+    raw = derived_postings(spark, SF001).drop("batch")
+    root = str(tmp_path / "etl")
+    first = run_batch(spark, root, raw=raw)
+    assert first.transform["total_jobs"] == raw.count()
+    assert first.load["jobs_new"] > 0
+    again = run_batch(spark, root, raw=raw)
+    assert again.load["jobs_new"] == 0 and again.load["job_skills_new"] == 0
+    assert spark.sql("SELECT sum(total_jobs) AS n FROM platform_job_count_view").first().n == first.load["jobs_new"]
