@@ -170,3 +170,16 @@ def listing_urls(pages: DataFrame, query: str) -> DataFrame:
                    .when(F.col("platform") == "topcv", tc)
                    .when(F.col("platform") == "vieclam24h", vl))
     return pages.select("platform", "page", url.alias("list_url"))
+
+
+def crawl_summary(frontier: DataFrame, max_results: int = D.DEFAULT_MAX_RESULTS,
+                  max_pages: int = D.DEFAULT_MAX_PAGES) -> DataFrame:
+    """A08 session total: platforms crawled, and their pages, postings,
+    duplicates and errors summed (one row; durations are not data)."""
+    s = crawl_stats(frontier, max_results, max_pages)
+    return s.agg(F.count(F.lit(1)).alias("platforms"),
+                 F.sum("pages_visited").alias("pages_visited"),
+                 F.sum("jobs_scraped").alias("jobs_scraped"),
+                 F.sum("duplicates_skipped").alias("duplicates_skipped"),
+                 F.sum("errors").alias("errors"),
+                 F.count(F.when(F.col("status") == "success", 1)).alias("succeeded"))

@@ -56,7 +56,7 @@ def loaded_star(spark: SparkSession, sf_dir: str) -> tuple[L.StarTables, DataFra
 
 # --- transform ---------------------------------------------------------------
 @register("extract_skills", O.with_tx(
-    "SELECT ingest_seq, pos - 1 AS skill_pos, skill_name, skill_category FROM tx_skills"))
+    "SELECT ingest_seq, CAST(pos - 1 AS INTEGER) AS skill_pos, skill_name, skill_category FROM tx_skills"))
 def q_extract_skills(spark, sf_dir):
     return (processed(spark, sf_dir)
             .select("ingest_seq", F.posexplode_outer("extracted_skills").alias("skill_pos", "s"))
@@ -268,7 +268,7 @@ prefix AS (SELECT f.platform, f.page, f.pos, f.url FROM fr f JOIN stops s ON f.p
 firsts AS (SELECT platform, url, page, pos FROM (
              SELECT *, row_number() OVER (PARTITION BY platform, url ORDER BY page, pos) AS rn FROM prefix)
            WHERE rn = 1),
-capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform ORDER BY page, pos) AS rank
+capped AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY platform ORDER BY page, pos) AS INTEGER) AS rank
                           FROM firsts) WHERE rank <= {max_results}),
 walk AS (SELECT platform, CAST(unnest(generate_series(1, least(stop_page, {_MAXP}))) AS BIGINT) AS page,
                 stop_page FROM stops)"""
@@ -328,6 +328,16 @@ def q_crawl_stats_capped(spark, sf_dir):
     return C.crawl_stats(_frontier(spark, sf_dir), FR.FRONTIER_CAP, _MAXP)
 
 
+@register("crawl_summary", "WITH stats AS (" + _crawl_stats_sql(D.DEFAULT_MAX_RESULTS) + """)
+SELECT count(*) AS platforms, CAST(sum(pages_visited) AS BIGINT) AS pages_visited,
+       CAST(sum(jobs_scraped) AS BIGINT) AS jobs_scraped,
+       CAST(sum(duplicates_skipped) AS BIGINT) AS duplicates_skipped, CAST(sum(errors) AS BIGINT) AS errors,
+       count(*) FILTER (WHERE status = 'success') AS succeeded
+FROM stats""")
+def q_crawl_summary(spark, sf_dir):
+    return C.crawl_summary(_frontier(spark, sf_dir), D.DEFAULT_MAX_RESULTS, _MAXP)
+
+
 @register("listing_urls", _crawl_ctes(FR.FRONTIER_CAP) +
           f"\nSELECT platform, page, {O.listing_url_sql('platform', 'page', _CRAWL_QUERY)} AS list_url FROM walk")
 def q_listing_urls(spark, sf_dir):
@@ -382,7 +392,7 @@ WITH w AS (
     SELECT doc_id, unnest(list_transform(regexp_split_to_array(lower(text), {O.q(TX.WS_RUN)}),
                                          lambda v, i: {{'w': v, 'p': i}})) AS x
     FROM documents WHERE length(text) >= {D.KEY_PHRASE_MIN_TEXT})),
-f AS (SELECT doc_id, word, count(*) AS freq, min(pos) - 1 AS first_pos FROM w
+f AS (SELECT doc_id, word, count(*) AS freq, CAST(min(pos) - 1 AS INTEGER) AS first_pos FROM w
       WHERE length(word) >= {D.KEY_PHRASE_MIN_WORD} AND word NOT IN ({', '.join(O.q(s) for s in D.STOP_WORDS)})
       GROUP BY doc_id, word)"""
 
@@ -414,7 +424,8 @@ _RANGE_VALUES = ", ".join(f"({O.q(k)}, {lo}, {hi})" for k, (lo, hi) in D.SENIORI
 
 @register("salary_range_check", O.with_tx(f"""
 , rng(seniority_level, range_min, range_max) AS (VALUES {_RANGE_VALUES})
-SELECT t.ingest_seq, t.seniority_level, t.salary_min, t.salary_max, r.range_min, r.range_max,
+SELECT t.ingest_seq, t.seniority_level, t.salary_min, t.salary_max,
+  CAST(r.range_min AS BIGINT) AS range_min, CAST(r.range_max AS BIGINT) AS range_max,
   CASE WHEN r.range_min IS NULL OR t.salary_min IS NULL OR t.salary_max IS NULL THEN 'unknown'
        WHEN t.salary_max < r.range_min THEN 'below'
        WHEN t.salary_min > r.range_max THEN 'above' ELSE 'within' END AS salary_status
