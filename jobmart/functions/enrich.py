@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import dictionaries as D
 from .text import WS, escape, has_whole_word, is_single_word
@@ -152,5 +151,5 @@ def extract_posted_date(clean_desc: Column, raw_posting_date: Column | None = No
 __all__ = [
     "enrich_text", "detect_seniority", "extract_skills", "skill_table", "keyword_table",
     "canonical_location", "canonical_locations", "extract_company", "extract_location",
-    "extract_posted_date", "parse_date", "label_pattern", "T",
+    "extract_posted_date", "parse_date", "label_pattern", "keyword_hits",
 ]

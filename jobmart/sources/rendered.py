@@ -4,7 +4,7 @@ The ``pages`` test table holds generic pages only, so detail pages (S05) and
 listing pages (S04) in each platform's markup are built natively from the
 derived postings and the derived crawl frontier; parsing them back must give the
 fields and links they were built from.  Listing pages group the links of one
-(platform, page); a page holds at most ``EVENTS_PER_PAGE`` links by construction.
+(platform, page); a page holds at most ``frontier.EVENTS_PER_PAGE`` links by construction.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import dictionaries as D
-from .frontier import EVENTS_PER_PAGE  # noqa: F401  (the bound on links per page)
 from .html import CAREERVIET_DATE_BOX, DETAIL_SELECTORS, LISTING_ITEMS, TOPCV_TITLE
 
 

@@ -1,7 +1,5 @@
 """Star load: the original loader case, idempotence, batching, persistence."""
 
-from pyspark.sql import functions as F
-
 from conftest import SF001, raw_df
 from jobmart.operators import load as L
 from jobmart.operators.transform import transform_postings

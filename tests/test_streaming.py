@@ -1,7 +1,6 @@
 """A two-file stream gives the same star as loading the two batches."""
 
 from conftest import SF001
-from test_load import _keys
 
 import __spark_entry__ as E
 from jobmart.operators import load as L

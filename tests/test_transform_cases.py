@@ -1,7 +1,5 @@
 """The original test cases, run through DataFrames."""
 
-import pytest
-
 from conftest import raw_df
 from jobmart.operators.transform import transform_postings, transform_stats
 
