@@ -159,7 +159,8 @@ def q_load_skills(spark, sf_dir):
 def q_load_job_skills(spark, sf_dir):
     star, _ = loaded_star(spark, sf_dir)
     return (star.job_skills.join(star.jobs.select("job_id", "job_url"), "job_id")
-            .join(star.skills.select("skill_id", "skill_name"), "skill_id")
+            # bounded by the dictionary vocabulary; a popular skill is a hot key
+            .join(F.broadcast(star.skills.select("skill_id", "skill_name")), "skill_id")
             .select("job_url", "skill_name"))
 
 

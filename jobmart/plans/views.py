@@ -23,7 +23,8 @@ def skill_demand(star: StarTables) -> DataFrame:
     join meets one row per skill rather than one per link."""
     per_skill = star.job_skills.groupBy("skill_id").agg(F.count("job_id").alias("job_count"))
     jobs_with_skills = star.job_skills.select(F.countDistinct("job_id")).scalar()
-    return (per_skill.join(star.skills, "skill_id")
+    # skills holds at most the dictionaries' vocabulary: a bounded broadcast
+    return (per_skill.join(F.broadcast(star.skills), "skill_id")
             .groupBy("skill_name", "skill_category")
             .agg(F.sum("job_count").alias("job_count"))
             .select("skill_name", "skill_category", "job_count",
