@@ -59,9 +59,11 @@ def first_posting_per_url(processed: DataFrame, order: list[str] | None = None)
         ["raw_description", "clean_description"]
     value_cols = [c for c in value_cols if c != "job_url"]
     key = F.struct(*(order or ["ingest_seq"]))
-    first = (processed.groupBy("job_url")
-             .agg(F.min_by(F.struct(*value_cols), key).alias("r")))
-    return first.select("job_url", "r.*")
+    # one min_by per column (not one over a struct of all of them): a report that
+    # reads few columns lets the optimizer drop the other aggregates -- and with
+    # them the enrichment that computes those columns.  The order key is unique
+    # per row, so every column still comes from the same first posting.
+    return processed.groupBy("job_url").agg(*[F.min_by(c, key).alias(c) for c in value_cols])
 
 
 def exploded_skills(processed: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ SKILL = T.StructType([
 ])
 
 # A raw posting as a scraper (or any upstream job) hands it over.  ``ingest_seq``
-# replaces list order: first-wins rules order on it, ties break on ``job_url``.
+# replaces list order: first-wins rules order on it, so it must be unique per
+# posting (a file offset, a Kafka offset, ``monotonically_increasing_id``).
 RAW_POSTING = T.StructType([
     T.StructField("ingest_seq", T.LongType()),
     T.StructField("platform", T.StringType()),
