@@ -4,14 +4,15 @@ Identity: ``job_id = xxhash64(job_url)`` and ``skill_id = xxhash64(skill_name)``
 so ids are computed in parallel from natural keys, never by a global counter, and
 a later batch finds an existing row's id without reading it back (J03/J04).
 
-First-wins without row order: ``min_by(row, ingest_seq)`` per key.  It is an
+First-wins without row order: ``min_by(column, ingest_seq)`` per key.  It is an
 aggregate, so Spark combines map-side before the shuffle and a hot key (one URL
 holding a third of the rows) costs one partial row per map task, not one
 oversized window partition.
 
-Loading appends only: new rows are the batch minus what exists (``left_anti``);
-nothing is read-modified-written.  Dimensions are written before facts so a
-retried batch re-derives exactly the missing rows.
+Loading appends only: new rows are the batch minus what exists (semi-join of the
+stored keys with the batch keys, then ``left_anti``); nothing is
+read-modified-written.  Dimensions are written before facts so a retried batch
+re-derives exactly the missing rows.
 """
 
 from __future__ import annotations
