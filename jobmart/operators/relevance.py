@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,3 +93,26 @@ def key_phrase_lists(df: DataFrame, text: str = "text", key: str = "doc_id", top
     return (kp.groupBy(key)
             .agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("r"))
             .select(key, F.col("r.word").alias("key_phrases")))
+
+
+def semantic_relevance_text(df: DataFrame, embed, query: str, title: str = "job_title",
+                            description: str = "job_description",
+                            threshold: float = D.SEMANTIC_THRESHOLD) -> DataFrame:
+    """P06 with a user embedding function (U03): ``embed(list[str]) -> list[list[float]]``.
+
+    Texts are embedded in Arrow batches on the executors (title + ' ' + the first
+    500 chars of the description, as the original); the query is embedded once on
+    the driver -- a single vector.  Rows whose similarity is undefined fall back
+    to the keyword test (P05), as the original does without a model."""
+
+    @F.pandas_udf("array<float>")
+    def embed_batch(texts: pd.Series) -> pd.Series:
+        return pd.Series([list(map(float, v)) for v in embed(texts.tolist())])
+
+    qvec = [float(x) for x in embed([query])[0]]
+    vec = embed_batch(embed_text(F.col(title), F.col(description)))
+    kw = keyword_matches(F.col(title), F.col(description), query) >= keyword_threshold(query) \
+        if query.split() else F.lit(False)
+    out = semantic_relevance(df.select("*", vec.alias("_embedding")), "_embedding",
+                             F.array(*[F.lit(x) for x in qvec]), threshold, fallback=kw)
+    return out.drop("_embedding")

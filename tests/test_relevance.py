@@ -39,3 +39,17 @@ def test_semantic_relevance(spark):
     out = {r.id: (r.similarity, r.relevant) for r in
            R.semantic_relevance(df, "v", F.array(F.lit(1.0), F.lit(0.2))).collect()}
     assert out[1][1] is True and out[2][1] is False and out[3] == (None, False)
+
+
+def test_semantic_relevance_with_user_embedding(spark):
+    def _toy_embed(texts):
+        """A stand-in model: counts of a few letters (defined here so it is
+        shipped to the workers by value)."""
+        return [[t.lower().count(c) for c in "aeiost"] for t in texts]
+
+    rows = [(1, "data analyst", "sql"), (2, "xyz", ""), (3, "", "")]
+    df = spark.createDataFrame(rows, "id int, job_title string, job_description string")
+    out = {r.id: r for r in R.semantic_relevance_text(df, _toy_embed, "data analyst").collect()}
+    assert out[1].relevant is True and out[1].similarity > 0.95
+    assert out[2].similarity is None and out[2].relevant is False      # zero vector -> keyword fallback
+    assert out[3].relevant is False
