@@ -75,3 +75,30 @@ def materialize(df, name: str = "stage"):
     path = f"{root.rstrip('/')}/jobmart-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``jobmart`` importable in the Python workers (the HTML parsers and
+    the ``urljoin`` helper run there): zip the package once and add it with
+    ``addPyFile``, once per SparkContext.  On a cluster, ``--py-files`` at submit
+    time does the same."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="jobmart-pyfiles-"), "jobmart.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
