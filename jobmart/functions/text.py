@@ -113,7 +113,7 @@ def truncate_text(c: Column, max_length: int = 500, suffix: str = "...") -> Colu
 
 
 def clean_description(c: Column, boilerplate: list[str] | None = None,
-                      max_word_chars: int = D.MAX_WORD_CHARS) -> Column:
+                      max_word_chars: int = D.MAX_WORD_CHARS, lowered: Column | None = None) -> Column:
     """lower, strip tags, collapse whitespace, drop boilerplate, drop long words.
 
     Empty input or empty result gives NULL.  All steps are regex passes: after the
@@ -123,7 +123,7 @@ def clean_description(c: Column, boilerplate: list[str] | None = None,
     Python's ``len``).
     """
     phrases = boilerplate if boilerplate is not None else D.BOILERPLATE
-    s = F.lower(c)
+    s = lowered if lowered is not None else F.lower(c)     # reuse an already lowered column
     s = F.regexp_replace(s, "<[^>]+>", "")
     s = F.regexp_replace(s, WS_RUN, " ")
     if phrases:

@@ -45,6 +45,11 @@ def _enriched(df: DataFrame, strict_salary: bool = False, unknown_label: str | N
     scraped = (F.coalesce(F.upper(F.col("scraped_at")).try_cast("timestamp_ntz"), now)
                if "scraped_at" in df.columns else now)
     seq = F.col("ingest_seq") if "ingest_seq" in df.columns else F.monotonically_increasing_id()
+    # lower-case title and description once; lower(a + ' ' + b) equals
+    # lower(a) + ' ' + lower(b) (context-dependent lower-casing only looks at
+    # neighbouring letters, and the separator is a space)
+    df = df.select("*", F.lower(title).alias("_lt"), F.lower(desc).alias("_ld"))
+    lt, ld = F.col("_lt"), F.col("_ld")
     base = df.select(
         seq.alias("ingest_seq"),
         *[c for c in ["batch"] if c in df.columns],
@@ -56,9 +61,9 @@ def _enriched(df: DataFrame, strict_salary: bool = False, unknown_label: str | N
         scraped.alias("scraped_at"),
         essential_ok(df).alias("_ok"),
         # computed once and reused below (not re-evaluated per consumer)
-        clean_description(desc).alias("clean_description"),
-        E.enrich_text(title, desc, title_first=True).alias("_text_td"),
-        E.enrich_text(title, desc, title_first=False).alias("_text_dt"),
+        clean_description(desc, lowered=ld).alias("clean_description"),
+        F.concat(lt, F.lit(" "), ld).alias("_text_td"),
+        F.concat(ld, F.lit(" "), lt).alias("_text_dt"),
     )
     base = with_salary(base, "_text_td", strict=strict_salary)
     # one token array serves both texts (they hold the same word runs); keep only
