@@ -98,3 +98,20 @@ def test_run_batch_end_to_end_and_rerun(spark, tmp_path):
     again = run_batch(spark, root, raw=raw)
     assert again.load["jobs_new"] == 0 and again.load["job_skills_new"] == 0
     assert spark.sql("SELECT sum(total_jobs) AS n FROM platform_job_count_view").first().n == first.load["jobs_new"]
+
+
+def test_star_store_recovers_from_a_crash_between_table_writes(spark, tmp_path):
+    tx = transform_postings(derived_postings(spark, SF001))
+    batch = tx.filter("batch = 0")
+    store = L.StarStore(spark, str(tmp_path / "crash"))
+    store.setup()
+    # a first attempt writes the dimensions and jobs, then dies before the rest
+    partial = L.plan_load(store.tables(), batch).new
+    for name in ["skills", "jobs"]:
+        getattr(partial, name).write.mode("append").parquet(store.path(name))
+    store.append(batch)                       # the retry
+    clean, _ = L.load_batches(spark, [batch])
+    got = store.tables()
+    assert _keys(got) == _keys(clean)
+    assert got.jobs.count() == got.jobs.select("job_url").distinct().count()
+    assert got.job_descriptions.count() == got.jobs.count()
