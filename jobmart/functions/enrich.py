@@ -103,7 +103,11 @@ DATE_ANY = r"([0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})"
 
 
 def label_value(clean_desc: Column, label: str) -> Column:
-    return F.regexp_extract(F.coalesce(clean_desc, F.lit("")), label_pattern(label), 1)
+    """Group 1 of the label pattern; the regex only runs where the label occurs
+    as a substring (without it the pattern cannot match)."""
+    text = F.coalesce(clean_desc, F.lit(""))
+    return F.when(F.instr(text, label) > 0, F.regexp_extract(text, label_pattern(label), 1)) \
+            .otherwise(F.lit(""))
 
 
 def parse_date(s: Column) -> Column:
