@@ -61,10 +61,12 @@ def _tag(text: Column, patterns: list[tuple[str, int, str]]) -> Column:
 
     Coalesce evaluates lazily, so later patterns only run when earlier ones miss.
     """
-    return F.coalesce(*[
+    cascade = F.coalesce(*[
         F.nullif(F.concat(F.lit(str(i)), F.regexp_extract(text, p, 0)), F.lit(str(i)))
         for i, (p, _, _) in enumerate(patterns)
     ])
+    # every pattern needs a digit: texts without one skip the cascade
+    return F.when(text.rlike("[0-9]"), cascade)
 
 
 def _group(idx: Column, matched: Column, patterns, g: int) -> Column:
