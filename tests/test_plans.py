@@ -1,5 +1,7 @@
 """Scale properties of the physical plans (guards against regressions)."""
 
+import re
+
 from conftest import SF001, raw_df
 from jobmart.operators import crawl as C
 from jobmart.operators import load as L
@@ -41,3 +43,21 @@ def test_crawl_join_on_platform_is_broadcast(spark):
 def test_scans_read_only_needed_columns(spark):
     plan = _plan(R.word_frequency(table(spark, SF001, "documents")))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_incremental_append_does_not_shuffle_history(spark, tmp_path):
+    from jobmart.sources.postings import derived_postings
+    tx = transform_postings(derived_postings(spark, SF001))
+    store = L.StarStore(spark, str(tmp_path / "hist"))
+    store.setup()
+    store.append(tx.filter("batch = 0"))
+    jobs = L.plan_load(store.tables(), tx.filter("batch = 1"), broadcast_keys=True).new.jobs
+    final = _plan(jobs).split("== Initial Plan ==")[0]
+    semi = [l for l in final.splitlines() if "LeftSemi" in l]
+    assert semi and all("BroadcastHashJoin" in l for l in semi)
+    # the stored table's key column is scanned, never under a hash exchange
+    lines = final.splitlines()
+    scans = [i for i, l in enumerate(lines) if re.search(r"FileScan parquet \[job_url#\d+\]", l)]
+    assert scans
+    for i in scans:
+        assert not any("Exchange hashpartitioning" in l for l in lines[max(0, i - 3):i])
