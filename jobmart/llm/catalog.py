@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, mixing, ngram_join, packing, tokencount, toxicity, warc
+from . import embed_dedup, fingerprint, lm, mixing, ngram_join, packing, tokencount, toxicity, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,15 @@ def q_mix(spark, sf_dir):
     """All documents mixed to target weights."""
     return mixing.mix_sources(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op3_lm_scores")
+def q_lm(spark, sf_dir):
+    """Scores of all documents under a model learned from the training fold."""
+    return lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register("op7_embedding_near_dedup")
+def q_embeddings(spark, sf_dir):
+    """Links and components of all embeddings by cosine, 0.9 or more."""
+    return embed_dedup.near_dedup(read_table(spark, sf_dir, "embeddings"))
