@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed_dedup, fingerprint, lm, mixing, ngram_join, packing, tokencount, toxicity, warc
+from . import embed_dedup, fingerprint, html_extract, lm, mixing, ngram_join, packing, tokencount, toxicity, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def q_lm(spark, sf_dir):
 def q_embeddings(spark, sf_dir):
     """Links and components of all embeddings by cosine, 0.9 or more."""
     return embed_dedup.near_dedup(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op2_html_extraction")
+def q_html(spark, sf_dir):
+    """Main text of every page, by a field trained on labelled pages."""
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))

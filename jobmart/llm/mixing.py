@@ -10,7 +10,7 @@ budget is met by taking the same share of every size, and what is left by a boun
 knapsack over the counts (subset-sum dynamic programming).  ``m`` documents of a
 size are then chosen by a seeded hash: a hash bucket is taken whole until the bucket
 where the count is reached, so a size that a third of all rows share is split into
-buckets of a few thousand rows and never ordered in one task.
+buckets of a few hundred rows and never ordered in one task.
 
 Defined results: null text has size 0; a source whose documents are all empty has
 target 0; null sources are one source; repeated rows are separate documents, of
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import WORD, materialize, text_or_empty
 
 SEED = 20240229
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 256
 SOURCES_BROADCAST = 100_000
 
 
