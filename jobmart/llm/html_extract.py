@@ -22,6 +22,7 @@ code points; repeated rows repeat their result; pages of any length and nesting
 
 from __future__ import annotations
 
+import functools
 import html as _html
 import random
 import re
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
-TRAIN_PAGES = 600
+TRAIN_PAGES = 1000
 SEED = 17
 
 _SKIP = "script|style|noscript|template|svg|math|iframe|object|select|button|textarea|title|head(?!er)"
@@ -54,12 +55,38 @@ _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 _SCOPE = frozenset("ul ol dl table div section article body".split())
 
 
+# what class and id words and tags say an element is; its kind is a feature like any other, weighted in training
+_KINDS = {
+    "advert": "ad ads advert advertisement sponsor sponsored promo promoted promotion adsbygoogle dfp outbrain taboola",
+    "comment": "comment commentlist discussion reply replie response respond disqus review",
+    "notice": "cookie consent gdpr notice alert banner popup modal overlay paywall disclaimer warning notification message toast",
+    "menu": "menu nav navbar navigation topnav breadcrumb tab pagination pager toc",
+    "side": "sidebar side widget rail secondary related recommended trending popular teaser aside more",
+    "form": "newsletter subscribe signup login search contact form",
+    "share": "share sharing social tag byline author meta",
+    "head": "header masthead topbar",
+    "foot": "footer copyright colophon legal",
+    "main": "content article post entry story body prose main",
+}
+_KIND_OF = {w: k for k, ws in _KINDS.items() for w in ws.split()}
+_TAG_KIND = {"nav": "menu", "menu": "menu", "aside": "side", "footer": "foot", "header": "head", "form": "form", "article": "main", "main": "main"}
+
+
+def _kind(features: set[str]) -> str | None:
+    """The kind of an element; what is around the text goes before the text itself, as in
+    an article's comments."""
+    kinds = {_KIND_OF[f[2:]] for f in features if f[:2] == "c=" and f[2:] in _KIND_OF}
+    kinds |= {_TAG_KIND[f[2:]] for f in features if f[:2] == "t=" and f[2:] in _TAG_KIND}
+    other = sorted(kinds - {"main"})
+    return other[0] if other else "main" if kinds else None
+
+
 class _Open:
     """An open element: its tag, whether inside a link, and the features of its path."""
-    __slots__ = ("tag", "link", "path")
+    __slots__ = ("tag", "link", "path", "kind")
 
-    def __init__(self, tag: str, link: bool, path: frozenset):
-        self.tag, self.link, self.path = tag, link, path
+    def __init__(self, tag: str, link: bool, path: frozenset, kind: str | None = None):
+        self.tag, self.link, self.path, self.kind = tag, link, path, kind
 
 
 def _element_features(tag: str, attrs: str) -> set[str]:
@@ -81,13 +108,13 @@ def _element_features(tag: str, attrs: str) -> set[str]:
 
 def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, set[str]]]:
     """(text, features) of the leaf blocks in page order; ``known`` limits the features kept."""
-    found: list[tuple[str, str, frozenset, float]] = []
+    found: list[tuple[str, str, frozenset, float, str | None]] = []
     root = _Open("html", False, frozenset())
     stack = [root]
     parts: list[str] = []
     linked = total = 0
     first: _Open | None = None
-    made: dict[tuple[str, str], frozenset] = {}
+    made: dict[tuple[str, str], tuple[frozenset, str | None]] = {}
 
     def close_block() -> None:
         nonlocal linked, total, first
@@ -95,7 +122,8 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
             text = " ".join("".join(parts).split())
             if text:
                 own = next((e.tag for e in reversed(stack) if e.tag in _BLOCK), "html") if first is None else first.tag
-                found.append((text, own, first.path if first else frozenset(), linked / max(1, total)))
+                found.append((text, own, first.path if first else frozenset(), linked / max(1, total),
+                              first.kind if first else None))
             parts.clear()
         linked = total = 0
         first = None
@@ -110,7 +138,7 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
             top = stack[-1]
             if first is None:
                 at = next((e for e in reversed(stack) if e.tag in _BLOCK), root)
-                first = _Open(at.tag, False, top.path)
+                first = _Open(at.tag, False, top.path, top.kind)
             total += n
             if top.link:
                 linked += n
@@ -156,24 +184,30 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
         if tag in _VOID or m.group(4).endswith("/"):
             continue
         key = (tag, m.group(4))
-        own = made.get(key)
-        if own is None:
-            own = frozenset(_element_features(*key))
-            if known is not None:
-                own &= known
+        got = made.get(key)
+        if got is None:
+            own = _element_features(*key)
+            kind = _kind(own)
+            if kind:
+                own.add("in=" + kind)
+            got = (frozenset(own) if known is None else known & own), kind
             if len(made) < 4096:
-                made[key] = own
+                made[key] = got
+        own, kind = got
         path = stack[-1].path
-        stack.append(_Open(tag, tag == "a" or stack[-1].link, path if own <= path else path | own))
+        stack.append(_Open(tag, tag == "a" or stack[-1].link, path if own <= path else path | own, kind or stack[-1].kind))
     add(body[at:])
     close_block()
 
     out, n = [], len(found)
     headline = next((i for i, b in enumerate(found) if b[1] == "h1"), -1)
-    for i, (text, own, path, link) in enumerate(found):
+    for i, (text, own, path, link, kind) in enumerate(found):
         words = text.count(" ") + 1
         feats = set(path)
         feats.add("own=" + own)
+        feats.add(f"near={kind}")
+        if own[0] == "h" and own[1:].isdigit():
+            feats.add(f"heading near={kind}")
         feats.add("words=" + ("1" if words == 1 else "3" if words < 4 else "8" if words < 9 else "20" if words < 21 else "50" if words < 51 else "more"))
         feats.add("link=" + ("none" if link == 0 else "some" if link < 0.5 else "most"))
         feats.add("stop" if text[-1] in ".!?…:\"”»。" else "nostop")
@@ -221,7 +255,7 @@ class Crf:
         return out[::-1]
 
 
-def fit(pages: list[tuple[list[tuple[str, set[str]]], list[bool]]], l2: float = 1.0, steps: int = 200) -> Crf:
+def fit(pages: list[tuple[list[tuple[str, set[str]]], list[bool]]], l2: float = 0.3, steps: int = 200) -> Crf:
     """Maximum likelihood of the labels by forward-backward and Adam, all pages side by side."""
     pages = [p for p in pages if p[0]]
     names: dict[str, int] = {}
@@ -458,6 +492,12 @@ def labelled_pages(n: int, seed: int) -> list[tuple[list[tuple[str, set[str]]],
     return out
 
 
+@functools.lru_cache(1)
+def default_model() -> Crf:
+    """The field trained on the labelled pages; once a process."""
+    return fit(labelled_pages(TRAIN_PAGES, SEED))
+
+
 def main_text(page: str, model: Crf) -> str:
     blocks = leaf_blocks(page, model.known)
     return "\n".join(text for (text, _), main in zip(blocks, model.decode(model.scores(blocks))) if main)
@@ -465,7 +505,7 @@ def main_text(page: str, model: Crf) -> str:
 
 def extract(pages: DataFrame, model: Crf | None = None, html: str = "html") -> DataFrame:
     """``page_id, url`` with text and n_chars for every row."""
-    model = model or fit(labelled_pages(TRAIN_PAGES, SEED))
+    model = model or default_model()
     shared = pages.sparkSession.sparkContext.broadcast(model)     # one weight a feature
 
     @F.pandas_udf("string")

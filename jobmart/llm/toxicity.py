@@ -69,10 +69,8 @@ def _select(ptr: np.ndarray, idx: np.ndarray, y: np.ndarray, rows: np.ndarray, n
 
 
 def fit_linear(ptr: np.ndarray, idx: np.ndarray, n_features: int, earlier: np.ndarray, y: np.ndarray,
-               rows: np.ndarray, l2: float = 0.02, steps: int = 150) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Logistic regression on ``rows``: (features, weights, weights of earlier logits, bias).
-
-    Damped diagonal Newton steps with momentum on the summed loss."""
+               rows: np.ndarray, l2: float = 0.5, steps: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Logistic regression on ``rows``: (features, weights, weights of earlier logits, bias)."""
     n, n1 = int(rows.sum()), float(y[rows].sum())
     if n == 0 or n1 in (0, n):
         share = (n1 + 0.5) / (n + 1) if n else 0.0
@@ -84,20 +82,53 @@ def fit_linear(ptr: np.ndarray, idx: np.ndarray, n_features: int, earlier: np.nd
     col = place[idx]
     use = (col >= 0) & rows[doc]
     doc, col = doc[use], col[use]
-    target, past = y * 1.0, earlier * rows[:, None]
-    w, v, bias = np.zeros(len(kept)), np.zeros(earlier.shape[1]), float(np.log(n1 / (n - n1)))
-    mw, mv, mb = np.zeros_like(w), np.zeros_like(v), 0.0
-    for _ in range(steps):
-        z = np.bincount(doc, w[col], minlength=len(y)) + past @ v + bias
+    target, past, k = y * 1.0, earlier * rows[:, None], len(kept)
+
+    def loss(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        z = np.bincount(doc, theta[:k][col], minlength=len(y)) + past @ theta[k:-1] + theta[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        g, h = (p - target) * rows, np.maximum(p * (1 - p), 1e-3) * rows
-        gw = np.bincount(col, g[doc], minlength=len(kept)) + l2 * n * 0.01 * w
-        hw = np.bincount(col, h[doc], minlength=len(kept)) + l2 * n * 0.01 + 1
-        mw = 0.8 * mw - 0.1 * gw / hw
-        mv = 0.8 * mv - 0.1 * (past.T @ g + l2 * v) / ((past ** 2).T @ h + l2 + 1)
-        mb = 0.8 * mb - 0.1 * g.sum() / h.sum()
-        w, v, bias = w + mw, v + mv, bias + mb
-    return kept, w, v, float(bias)
+        g = (p - target) * rows
+        grad = np.concatenate([np.bincount(col, g[doc], minlength=k) + l2 * theta[:k], past.T @ g + l2 * theta[k:-1], [g.sum()]])
+        value = (np.logaddexp(0, z) - target * z)[rows].sum() + 0.5 * l2 * float(theta[:-1] @ theta[:-1])
+        return float(value), grad
+
+    start = np.zeros(k + earlier.shape[1] + 1)
+    start[-1] = np.log(n1 / (n - n1))
+    theta = _lbfgs(loss, start, steps)
+    return kept, theta[:k], theta[k:-1], float(theta[-1])
+
+
+def _lbfgs(loss, theta: np.ndarray, steps: int, memory: int = 8) -> np.ndarray:
+    """Minimum of a convex function by limited-memory BFGS with step halving."""
+    value, grad = loss(theta)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        way, alphas = grad.copy(), []
+        for s, d in reversed(past):
+            a = (s @ way) / (s @ d)
+            alphas.append(a)
+            way -= a * d
+        if past:
+            s, d = past[-1]
+            way *= (s @ d) / (d @ d)
+        else:
+            way /= max(1.0, float(np.abs(way).max()))
+        for (s, d), a in zip(past, reversed(alphas)):
+            way += (a - (d @ way) / (s @ d)) * s
+        step, slope = 1.0, float(grad @ way)
+        while True:
+            new, new_grad = loss(theta - step * way)
+            if new <= value - 1e-4 * step * slope or step < 1e-6:
+                break
+            step /= 2
+        s, d = -step * way, new_grad - grad
+        if s @ d > 1e-12:
+            past = [*past, (s, d)][-memory:]
+        done = value - new < 1e-6 * max(1.0, abs(value))
+        theta, value, grad = theta + s, new, new_grad
+        if done:
+            break
+    return theta
 
 
 def fit_chain(found: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) -> list[Linear]:

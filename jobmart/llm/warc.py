@@ -169,6 +169,9 @@ def write_archives(pages: DataFrame, root: str, archive_bytes: int = 32 << 20) -
 
     (rows.mapInPandas(write, "archive string, records long, bytes long")
      .write.mode("overwrite").parquet(f"{root.rstrip('/')}/manifest"))
+    from pyarrow import fs
+    store, base = fs.FileSystem.from_uri(folder)
+    store.create_dir(base, recursive=True)         # without pages no task has made it
     return folder
 
 
