@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import dictionaries as D
@@ -50,10 +52,10 @@ def semantic_relevance(df: DataFrame, vector: str, query_vector: Column,
     return df.select("*", sim.alias("similarity"), rel.alias("relevant"))
 
 
-def embed_text(title: Column, description: Column, chars: int = D.SEMANTIC_TEXT_CHARS) -> Column:
-    """The text the original embeds: title + ' ' + the first 500 chars of the
-    description (for a user-supplied embedding pandas UDF, U03)."""
-    return F.concat_ws(" ", title, F.substring(description, 1, chars))
+def embed_text(title: Column, description: Column, chars: int | None = None) -> Column:
+    """The text to embed (U03): title + ' ' + the description, whole unless the
+    caller asks for its first ``chars`` characters."""
+    return F.concat_ws(" ", title, description if chars is None else F.substring(description, 1, chars))
 
 
 def word_frequency(df: DataFrame, text: str = "text", key: str = "doc_id",
@@ -70,49 +72,69 @@ def word_frequency(df: DataFrame, text: str = "text", key: str = "doc_id",
                                           F.min("pos").alias("first_pos"))
 
 
+_PHRASES = "array<struct<word: string, freq: bigint>>"
+
+
+def _phrases(text: Column, top_n: int, stop_words: list[str] | None) -> Column:
+    """The ``top_n`` most frequent words of a text, counted inside its row."""
+    stops = frozenset(stop_words if stop_words is not None else D.STOP_WORDS)
+    least, shortest = D.KEY_PHRASE_MIN_WORD, D.KEY_PHRASE_MIN_TEXT
+
+    @F.pandas_udf(_PHRASES)
+    def count(lowered: pd.Series) -> pd.Series:
+        out = []
+        for t in lowered:
+            words = [] if t is None else [w for w in t.split() if len(w) >= least and w not in stops]
+            # str.split() knows the white space of WS_RUN; Counter keeps first positions' order among equal counts
+            out.append([{"word": w, "freq": n} for w, n in Counter(words).most_common(top_n)])
+        return pd.Series(out, dtype=object)
+    return count(F.when(F.length(text) >= shortest, F.lower(text)))
+
+
 def key_phrases(df: DataFrame, text: str = "text", key: str = "doc_id", top_n: int = 5,
                 stop_words: list[str] | None = None) -> DataFrame:
     """the ``top_n`` most frequent words per text (lower-cased, whitespace
     split, stop words and words of <= 3 chars dropped; ties by first position).
     Texts shorter than 50 chars give none.  Rows: (key, rank, word, freq).
 
-    Counting is a (key, word) aggregate, so a long text is combined map-side;
-    the top-n is ``row_number() <= n``, which Spark evaluates as a partial
-    top-n before the shuffle.  Whole texts are read; nothing is truncated.
-    """
-    freq = word_frequency(df, text, key, stop_words)
-    w = Window.partitionBy(key).orderBy(F.desc("freq"), F.asc("first_pos"))
-    return (freq.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= top_n)
-            .select(key, "rank", "word", "freq"))
+    A text lies in one row, so it is counted there: nothing is shuffled, and rows
+    that share a key stay apart.  Whole texts are read; nothing is truncated."""
+    p = df.select(key, F.posexplode_outer(_phrases(F.col(text), top_n, stop_words)).alias("pos", "p"))
+    return (p.filter(F.col("p").isNotNull())
+            .select(key, (F.col("pos") + 1).alias("rank"), "p.word", "p.freq"))
 
 
-def key_phrase_lists(df: DataFrame, text: str = "text", key: str = "doc_id", top_n: int = 5) -> DataFrame:
-    """F18 as the original returns it: one ordered list of words per text."""
-    kp = key_phrases(df, text, key, top_n)
-    return (kp.groupBy(key)
-            .agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("r"))
-            .select(key, F.col("r.word").alias("key_phrases")))
+def key_phrase_lists(df: DataFrame, text: str = "text", key: str = "doc_id", top_n: int = 5,
+                     stop_words: list[str] | None = None) -> DataFrame:
+    """F18 as one ordered list of words per text; ``[]`` where there are none."""
+    return (df.select(key, _phrases(F.col(text), top_n, stop_words).alias("_p"))
+            .select(key, F.col("_p.word").alias("key_phrases")))
 
 
 def semantic_relevance_text(df: DataFrame, embed, query: str, title: str = "job_title",
                             description: str = "job_description",
-                            threshold: float = D.SEMANTIC_THRESHOLD) -> DataFrame:
+                            threshold: float = D.SEMANTIC_THRESHOLD, chars: int | None = None) -> DataFrame:
     """P06 with a user embedding function (U03): ``embed(list[str]) -> list[list[float]]``.
 
-    Texts are embedded in Arrow batches on the executors (title + ' ' + the first
-    500 chars of the description, as the original); the query is embedded once on
-    the driver -- a single vector.  Rows whose similarity is undefined fall back
-    to the keyword test (P05), as the original does without a model."""
+    Texts (title + ' ' + description, whole unless ``chars`` is given) are embedded in
+    Arrow batches on the executors; the query is embedded once on the driver -- a
+    single vector.  Where ``embed`` raises (a batch, or the query) or the similarity is
+    undefined, the keyword test (P05) decides, as the original does without a model."""
 
     @F.pandas_udf("array<float>")
     def embed_batch(texts: pd.Series) -> pd.Series:
-        return pd.Series([list(map(float, v)) for v in embed(texts.tolist())])
-
-    qvec = [float(x) for x in embed([query])[0]]
-    vec = embed_batch(embed_text(F.col(title), F.col(description)))
+        try:
+            return pd.Series([list(map(float, v)) for v in embed(texts.tolist())])
+        except Exception:  # noqa: BLE001  a model's failure is any exception
+            return pd.Series([None] * len(texts), dtype=object)
+
+    try:
+        qvec = [float(x) for x in embed([query])[0]]
+    except Exception:  # noqa: BLE001
+        qvec = []
+    vec = embed_batch(embed_text(F.col(title), F.col(description), chars)) if qvec else F.lit(None).cast("array<float>")
     kw = keyword_matches(F.col(title), F.col(description), query) >= keyword_threshold(query) \
         if query.split() else F.lit(False)
     out = semantic_relevance(df.select("*", vec.alias("_embedding")), "_embedding",
-                             F.array(*[F.lit(x) for x in qvec]), threshold, fallback=kw)
+                             F.array(*[F.lit(x) for x in qvec]).cast("array<double>"), threshold, fallback=kw)
     return out.drop("_embedding")
