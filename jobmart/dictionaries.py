@@ -196,7 +196,6 @@ KEY_PHRASE_MIN_WORD = 4
 
 # relevance
 SEMANTIC_THRESHOLD = 0.3
-SEMANTIC_TEXT_CHARS = 500
 
 # crawling: one listing-URL scheme per platform, the prefix a topcv detail link
 # must carry, and the default caps
@@ -216,32 +215,26 @@ DEFAULT_MAX_RESULTS = 500
 
 
 def category_type(category: str, types: dict[str, str] | None = None) -> str:
-    return (types or CATEGORY_TYPES).get(category, OTHER_CATEGORY)
+    return (CATEGORY_TYPES if types is None else types).get(category, OTHER_CATEGORY)
 
 
 def skill_entries(dictionary: dict[str, dict[str, list[str]]] | None = None,
                   types: dict[str, str] | None = None) -> list[tuple[int, str, str, list[str]]]:
-    """(order, skill_name, skill_type, keywords) per skill, in dictionary order.
+    """(order, skill_name, skill_type, keywords) per dictionary entry, in order.
 
-    A skill name listed under two categories keeps its first entry, as the
-    extractor never reports one name twice.
-    """
+    A skill name may stand under several categories; the extractor reports the
+    first of its entries that matches."""
     out: list[tuple[int, str, str, list[str]]] = []
-    seen: set[str] = set()
-    for category, skills in (dictionary or SKILL_DICTIONARY).items():
+    for category, skills in (SKILL_DICTIONARY if dictionary is None else dictionary).items():
         for name, keywords in skills.items():
-            if name in seen:
-                continue
-            seen.add(name)
-            out.append((len(out), name, category_type(category, types),
-                        [k.lower() for k in keywords]))
+            out.append((len(out), name, category_type(category, types), [k.lower() for k in keywords]))
     return out
 
 
 def keyword_rows(dictionary: dict[str, dict[str, list[str]]] | None = None) -> list[tuple[int, str, str, str]]:
     """(order, category, skill_name, keyword) for every keyword, in dictionary order."""
     rows = []
-    for category, skills in (dictionary or SKILL_DICTIONARY).items():
+    for category, skills in (SKILL_DICTIONARY if dictionary is None else dictionary).items():
         for name, keywords in skills.items():
             for keyword in keywords:
                 rows.append((len(rows), category, name, keyword.lower()))
@@ -251,7 +244,7 @@ def keyword_rows(dictionary: dict[str, dict[str, list[str]]] | None = None) -> l
 def alias_map(aliases: dict[str, list[str]] | None = None) -> dict[str, str]:
     """alias -> canonical; the first canonical listing an alias wins."""
     out: dict[str, str] = {}
-    for canonical, names in (aliases or LOCATION_ALIASES).items():
+    for canonical, names in (LOCATION_ALIASES if aliases is None else aliases).items():
         for name in names:
             out.setdefault(name, canonical)
     return out

@@ -26,7 +26,7 @@ def detect_seniority(text: Column, levels: dict[str, list[str]] | None = None,
                      unknown_label: str | None = None, tokens: Column | None = None) -> Column:
     """First level (in priority order) with a whole-word keyword hit; else NULL
     (or ``unknown_label``).  ``text`` is lower(title + ' ' + description)."""
-    levels = levels or D.SENIORITY_LEVELS
+    levels = D.SENIORITY_LEVELS if levels is None else levels
     order = priority or [lvl for lvl in D.SENIORITY_PRIORITY if lvl in levels] + \
         [lvl for lvl in levels if lvl not in D.SENIORITY_PRIORITY]
     expr = None
@@ -35,7 +35,10 @@ def detect_seniority(text: Column, levels: dict[str, list[str]] | None = None,
         hit = has_whole_word(text, kws, tokens)
         expr = F.when(hit, F.lit(level)) if expr is None else expr.when(hit, F.lit(level))
     fallback = F.lit(unknown_label) if unknown_label is not None else F.lit(None).cast("string")
-    return expr.otherwise(fallback)
+    return fallback if expr is None else expr.otherwise(fallback)
+
+
+_SKILLS = "array<struct<skill_name: string, skill_category: string>>"
 
 
 # --- F10 / F11 -------------------------------------------------------------
@@ -44,11 +47,16 @@ def extract_skills(text: Column, dictionary: dict | None = None,
     """array<struct<skill_name, skill_category>> in dictionary order, one entry per
     skill with any keyword as a whole word.  ``text`` is lower(desc + ' ' + title)."""
     entries = D.skill_entries(dictionary, types)
-    found = [
-        F.when(has_whole_word(text, kws, tokens),
-               F.struct(F.lit(name).alias("skill_name"), F.lit(kind).alias("skill_category")))
-        for _, name, kind, kws in entries
-    ]
+    if not entries:
+        return F.array().cast(_SKILLS)
+    hits = [has_whole_word(text, kws, tokens) for _, _, _, kws in entries]
+    found = []
+    for i, (_, name, kind, _) in enumerate(entries):
+        hit = hits[i]
+        for j in range(i):                 # a name that matched under an earlier category is not repeated
+            if entries[j][1] == name:
+                hit = hit & ~hits[j]
+        found.append(F.when(hit, F.struct(F.lit(name).alias("skill_name"), F.lit(kind).alias("skill_category"))))
     # The lambda filter is deliberate: it keeps this (large) projection out of
     # whole-stage codegen.  Inside a whole-stage stage the ~50 keyword branches
     # become one method too big for the JIT; the per-operator projection splits
@@ -76,7 +84,7 @@ def keyword_table(spark: SparkSession, dictionary: dict | None = None) -> DataFr
 def canonical_location(c: Column, aliases: dict[str, list[str]] | None = None) -> Column:
     """lower + strip, alias -> canonical, unknown -> normalised input, empty -> ''."""
     mapping = D.alias_map(aliases)
-    lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv]) if mapping else F.lit(None).cast("map<string,string>")
     norm = F.regexp_replace(F.lower(c), f"^{WS}+|{WS}+$", "")
     return F.when(c.isNull() | (c == ""), F.lit("")) \
             .otherwise(F.coalesce(F.try_element_at(lookup, norm), norm))
@@ -84,7 +92,7 @@ def canonical_location(c: Column, aliases: dict[str, list[str]] | None = None) -
 
 def canonical_locations(spark: SparkSession, aliases: dict[str, list[str]] | None = None) -> DataFrame:
     """the canonical location names."""
-    names = list((aliases or D.LOCATION_ALIASES).keys())
+    names = list((D.LOCATION_ALIASES if aliases is None else aliases).keys())
     return spark.createDataFrame([(n,) for n in names], "location string")
 
 

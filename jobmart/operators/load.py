@@ -4,10 +4,10 @@ Identity: ``job_id = xxhash64(job_url)`` and ``skill_id = xxhash64(skill_name)``
 so ids are computed in parallel from natural keys, never by a global counter, and
 a later batch finds an existing row's id without reading it back (J03/J04).
 
-First-wins without row order: ``min_by(column, ingest_seq)`` per key.  It is an
-aggregate, so Spark combines map-side before the shuffle and a hot key (one URL
-holding a third of the rows) costs one partial row per map task, not one
-oversized window partition.
+First-wins without row order: ``row_number() = 1`` per key, which Spark limits to one
+row per key and map task before the shuffle, so a hot key (one URL holding a third
+of the rows) is no oversized window partition.  Rows are picked before they are
+enriched.
 
 Loading appends only: new rows are the batch minus what exists (semi-join of the
 stored keys with the batch keys, then ``left_anti``); nothing is
@@ -20,10 +20,11 @@ from __future__ import annotations
 import os
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import STAR
+from ..session import drop_staged, materialize, stage
 
 JOB_COLUMNS = [f.name for f in STAR["jobs"].fields]
 
@@ -56,17 +57,16 @@ def _keys_ok(df: DataFrame) -> Column:
             & F.col("job_url").isNotNull() & F.col("job_title").isNotNull())
 
 
-def first_posting_per_url(processed: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """The earliest accepted posting (by ``order``, default ingest_seq) per job_url."""
-    value_cols = [c for c in JOB_COLUMNS if c not in ("job_id",)] + \
-        ["raw_description", "clean_description"]
-    value_cols = [c for c in value_cols if c != "job_url"]
-    key = F.struct(*(order or ["ingest_seq"]))
-    # one min_by per column (not one over a struct of all of them): a report that
-    # reads few columns lets the optimizer drop the other aggregates -- and with
-    # them the enrichment that computes those columns.  The order key is unique
-    # per row, so every column still comes from the same first posting.
-    return processed.groupBy("job_url").agg(*[F.min_by(c, key).alias(c) for c in value_cols])
+def first_per_url(rows: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The earliest row (by ``order``, default ingest_seq) per job_url.
+
+    ``row_number() = 1`` keeps one row per URL and map task before the shuffle
+    (``WindowGroupLimit``), so a URL that holds a third of all rows is no large
+    partition; whole rows are kept, so all columns come from the same posting.  Rows
+    that share the order are told apart by their content, the same way every time."""
+    text = [c for c in ("platform", "job_title", "job_description", "raw_description") if c in rows.columns]
+    w = Window.partitionBy("job_url").orderBy(*(order or ["ingest_seq"]), F.xxhash64(*text))
+    return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
 def exploded_skills(processed: DataFrame) -> DataFrame:
@@ -80,20 +80,14 @@ def exploded_skills(processed: DataFrame) -> DataFrame:
             .filter(F.col("skill_name").isNotNull() & (F.col("skill_name") != "")))
 
 
-def _not_loaded(batch: DataFrame, existing: DataFrame, keys: list[str],
-                broadcast_keys: bool = False) -> DataFrame:
+def _not_loaded(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing`` (J05, insert-or-ignore).
 
-    The existing table grows with every batch, so it should not be shuffled: its
-    key column is semi-joined with the batch's distinct keys and the batch is
-    anti-joined with those few hits.  ``broadcast_keys`` (set by the caller after
-    counting the batch) broadcasts the batch keys, so history is only scanned;
-    without it the joins shuffle on the key.  With empty tables the optimizer
-    prunes both joins."""
-    batch_keys = batch.select(*keys).distinct()
-    if broadcast_keys:
-        batch_keys = F.broadcast(batch_keys)
-    hits = existing.select(*keys).join(batch_keys, keys, "left_semi")
+    Only the key columns of the stored table are read; they are reduced to the batch's
+    keys first, so what meets the batch's wide rows is never larger than the batch.
+    Spark broadcasts the batch's keys when they are small in bytes and shuffles keys
+    otherwise.  With empty tables the optimizer prunes both joins."""
+    hits = existing.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
     return batch.join(hits, keys, "left_anti")
 
 
@@ -102,75 +96,80 @@ class LoadResult(NamedTuple):
     stats: DataFrame          # A09, one row
 
 
-def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | None = None,
-              broadcast_keys: bool = False) -> LoadResult:
+def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | None = None) -> LoadResult:
     """Rows a batch adds to each table, given what the tables hold already.
 
-    ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch;
-    ``broadcast_keys`` is for callers that checked the batch is small."""
-    bk = broadcast_keys
-    order = order or ["ingest_seq"]
+    ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch."""
     accepted = processed.filter(_keys_ok(processed))
-
-    # First posting per URL, minus URLs already loaded
-    firsts = first_posting_per_url(accepted, order)
-    new_jobs = (_not_loaded(firsts, existing.jobs, ["job_url"], bk)
-                .select(job_id(F.col("job_url")).alias("job_id"),
-                        *[c for c in JOB_COLUMNS if c != "job_id"]))
-
-    # One description per job; the first posting's text; skip existing ids
-    new_desc = _not_loaded(firsts.select(job_id(F.col("job_url")).alias("job_id"),
-                                         "raw_description", "clean_description"),
-                           existing.job_descriptions, ["job_id"], bk)
-
-    # Get-or-create by name; category of the first sighting sticks
     ex = exploded_skills(accepted)
-    seen = (ex.groupBy("skill_name")
-            .agg(F.min_by("skill_category", F.struct(*order, "pos")).alias("skill_category")))
-    new_skills = (_not_loaded(seen, existing.skills, ["skill_name"], bk)
-                  .select(skill_id(F.col("skill_name")).alias("skill_id"), "skill_name",
-                          "skill_category"))
-
-    # Every accepted posting links its skills, duplicates of a URL included
-    links = ex.select(job_id(F.col("job_url")).alias("job_id"),
-                      skill_id(F.col("skill_name")).alias("skill_id")).distinct()
-    new_links = _not_loaded(links, existing.job_skills, ["job_id", "skill_id"], bk)
-
+    batch = _star_of(first_per_url(accepted, order), ex, order or ["ingest_seq"])
+    new = StarTables(
+        jobs=_not_loaded(batch.jobs, existing.jobs, ["job_url"]),               # K01
+        skills=_not_loaded(batch.skills, existing.skills, ["skill_name"]),      # K03
+        job_skills=_not_loaded(batch.job_skills, existing.job_skills, ["job_id", "skill_id"]),      # K04
+        job_descriptions=_not_loaded(batch.job_descriptions, existing.job_descriptions, ["job_id"]))  # K02
     # The original counts every accepted row for jobs, descriptions and links
     # (an ignored duplicate still "succeeds"); skills count only new ones.
-    stats = _load_stats(processed, ex, new_jobs, new_skills, new_links)
-    return LoadResult(StarTables(new_jobs, new_skills, new_links, new_desc), stats)
+    return LoadResult(new, _load_stats(processed, ex, new.jobs, new.skills, new.job_skills))
 
 
-def load_ordered(spark: SparkSession, processed: DataFrame,
-                 order: list[str] = ("batch", "ingest_seq")) -> StarTables:
-    """Batches loaded in ``batch`` order into empty tables, in one pass.
+def _star_of(firsts: DataFrame, ex: DataFrame, order: list[str]) -> StarTables:
+    """The four tables' rows from the first posting of every URL and the postings' skills."""
+    jid = job_id(F.col("job_url")).alias("job_id")
+    seen = ex.groupBy("skill_name").agg(F.min_by("skill_category", F.struct(*order, "pos")).alias("skill_category"))
+    return StarTables(
+        jobs=firsts.select(jid, *[c for c in JOB_COLUMNS if c != "job_id"]),
+        # category of the first sighting sticks
+        skills=seen.select(skill_id(F.col("skill_name")).alias("skill_id"), "skill_name", "skill_category"),
+        # every accepted posting links its skills, duplicates of a URL included
+        job_skills=ex.select(jid, skill_id(F.col("skill_name")).alias("skill_id")).distinct(),
+        # the first posting's text
+        job_descriptions=firsts.select(jid, "raw_description", "clean_description"))
 
-    Loading batch after batch keeps the first row per key in (batch, ingest_seq)
-    order, so with empty tables it equals one first-wins pass over all batches:
-    one aggregate per table, no anti-join against rows written a moment earlier.
-    (The incremental path, ``plan_load`` against existing tables, is what
-    ``StarStore.append`` and the stream use.)"""
-    return plan_load(empty_star(spark), processed, list(order)).new
 
+def load_ordered(raw: DataFrame, order: list[str] = ("batch", "ingest_seq"), staged: bool = False,
+                 **transform_opts) -> StarTables:
+    """Batches of raw postings loaded in ``batch`` order into empty tables, in one pass.
 
-def load_stats_by_batch(processed: DataFrame, batch: str = "batch") -> DataFrame:
-    """A09 for every batch of a sequential load into empty tables, in one pass:
-    a row, skill, URL or link is new in the batch where it is first seen."""
-    ok = _keys_ok(processed)
-    accepted = processed.filter(ok)
-    ex = exploded_skills(accepted)
+    Loading batch after batch keeps the first row per key in (batch, ingest_seq)
+    order, so with empty tables it equals one first-wins pass over all batches.
+    The first posting of every URL is picked from the raw rows, and only those are
+    enriched for ``jobs`` and ``job_descriptions``; all postings' skills are
+    extracted for the links.  ``staged`` writes both (each once) for reports that
+    read several of the tables; without it the plan stays lazy and a report
+    computes only the columns it reads."""
+    from .transform import essential_ok, transform_postings
+
+    order = list(order)
+    accepted = raw.filter(essential_ok(raw))
+    firsts = transform_postings(first_per_url(accepted, order), **transform_opts)
+    ex = exploded_skills(transform_postings(accepted, **transform_opts))
+    if staged:
+        firsts, ex = materialize(firsts, "firsts"), materialize(ex, "skills")
+    return _star_of(firsts, ex, order)
+
+
+def load_stats_by_batch(raw: DataFrame, batch: str = "batch", **transform_opts) -> DataFrame:
+    """A09 for every batch of a sequential load into empty tables: a row, skill, URL or
+    link is new in the batch where it is first seen.  Rows are read once for their
+    keys and once for their skills; both are staged, narrow, and counted from there."""
+    from .transform import essential_ok, transform_postings
+
+    ok = essential_ok(raw)
+    rows_ = materialize(raw.select(batch, "job_url", ok.alias("ok")), "stats-rows")
+    ex = materialize(exploded_skills(transform_postings(raw, **transform_opts)).select(batch, "job_url", "skill_name"),
+                     "stats-skills")
 
     def new_in(df: DataFrame, keys: list[str], name: str) -> DataFrame:
         return (df.groupBy(*keys).agg(F.min(batch).alias(batch))
                 .groupBy(batch).agg(F.count(F.lit(1)).alias(name)))
 
-    rows = processed.groupBy(batch).agg(F.count(F.when(ok, 1)).alias("jobs_inserted"),
-                                        F.count(F.when(~ok, 1)).alias("errors"))
+    counts = rows_.groupBy(batch).agg(F.count(F.when(F.col("ok"), 1)).alias("jobs_inserted"),
+                                      F.count(F.when(~F.col("ok"), 1)).alias("errors"))
     linked = ex.groupBy(batch).agg(F.count(F.lit(1)).alias("job_skills_linked"))
-    out = (rows.join(new_in(ex, ["skill_name"], "skills_inserted"), batch, "left")
+    out = (counts.join(new_in(ex, ["skill_name"], "skills_inserted"), batch, "left")
            .join(linked, batch, "left")
-           .join(new_in(accepted, ["job_url"], "jobs_new"), batch, "left")
+           .join(new_in(rows_.filter("ok"), ["job_url"], "jobs_new"), batch, "left")
            .join(new_in(ex, ["job_url", "skill_name"], "job_skills_new"), batch, "left"))
     zero = F.lit(0).cast("long")
     return out.select(
@@ -245,11 +244,9 @@ class StarStore:
 
     WRITE_ORDER = ["skills", "jobs", "job_descriptions", "job_skills"]
 
-    def __init__(self, spark: SparkSession, root: str, broadcast_key_limit: int = 500_000):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        # ~100 bytes per key: 500k keys stay well inside a broadcast
-        self.broadcast_key_limit = broadcast_key_limit
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -267,20 +264,25 @@ class StarStore:
 
     def append(self, processed: DataFrame) -> DataFrame:
         """Load one batch of processed postings; returns its A09 stats (collected
-        already, one row) as a DataFrame."""
-        from ..session import materialize
-        batch = materialize(processed, "batch")
-        # the largest key set of a batch is its (job, skill) links: count them on
-        # the staged batch and broadcast the batch keys only below the limit
-        n_links = batch.select(F.sum(F.size("extracted_skills")).alias("n")).first().n or 0
-        small = max(batch.count(), n_links) <= self.broadcast_key_limit
-        res = plan_load(self.tables(), batch, broadcast_keys=small)
-        new = res.new._asdict()
-        staged = {n: materialize(new[n], n) for n in self.WRITE_ORDER}
-        stats = materialize(res.stats, "stats")
+        already, one row) as a DataFrame.
+
+        The batch and then its new rows are staged, so each stored table is read
+        once; the stats count the staged rows; the staging folders go when the
+        batch is written."""
+        batch, path = stage(processed, "batch")
+        paths = [path]
+        new = plan_load(self.tables(), batch).new._asdict()
+        staged = {}
+        for n in self.WRITE_ORDER:
+            staged[n], path = stage(new[n], n)
+            paths.append(path)
+        accepted = batch.filter(_keys_ok(batch))
+        stats = _load_stats(batch, exploded_skills(accepted), staged["jobs"], staged["skills"], staged["job_skills"])
+        row = stats.first()                     # one row of counts
         for n in self.WRITE_ORDER:
             staged[n].write.mode("append").parquet(self.path(n))
-        return stats
+        drop_staged(self.spark, paths)
+        return self.spark.createDataFrame([row], stats.schema)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

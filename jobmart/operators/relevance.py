@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from .. import dictionaries as D
 from ..functions.text import WS_RUN
 from ..functions.vectors import cosine_similarity
-from ..plans.parallel import spread
 
 
 def keyword_matches(title: Column, description: Column, query: str) -> Column:
@@ -65,7 +64,7 @@ def word_frequency(df: DataFrame, text: str = "text", key: str = "doc_id",
     dropped; texts under 50 chars skipped).  A (key, word) aggregate, combined
     map-side, over whole texts."""
     stops = stop_words if stop_words is not None else D.STOP_WORDS
-    d = spread(df.select(key, text).filter(F.length(text) >= D.KEY_PHRASE_MIN_TEXT))
+    d = df.select(key, text).filter(F.length(text) >= D.KEY_PHRASE_MIN_TEXT)
     words = (d.select(key, F.posexplode_outer(F.split(F.lower(F.col(text)), WS_RUN)).alias("pos", "word"))
              .filter((F.length("word") >= D.KEY_PHRASE_MIN_WORD) & ~F.col("word").isin(stops)))
     return words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("freq"),

@@ -14,7 +14,6 @@ from .. import dictionaries as D
 from ..functions import enrich as E
 from ..functions.salary import with_salary
 from ..functions.text import clean_description, word_tokens
-from ..plans.parallel import spread
 
 
 def _nonempty(c: Column) -> Column:
@@ -41,9 +40,10 @@ def _enriched(df: DataFrame, strict_salary: bool = False, unknown_label: str | N
               aliases: dict | None = None) -> DataFrame:
     title, desc = F.col("job_title"), F.col("job_description")
     now = F.current_timestamp().cast("timestamp_ntz")
-    # ISO text (a lower-case 't' separator is accepted); absent -> now
-    scraped = (F.coalesce(F.upper(F.col("scraped_at")).try_cast("timestamp_ntz"), now)
-               if "scraped_at" in df.columns else now)
+    # ISO text (a lower-case 't' separator is accepted); unreadable -> NULL; only a
+    # source without the column gets the time of the run
+    scraped = F.upper(F.col("scraped_at")).try_cast("timestamp_ntz") if "scraped_at" in df.columns else now
+    # a source without an order of its own gets the scan's (file split, row); nothing is shuffled before
     seq = F.col("ingest_seq") if "ingest_seq" in df.columns else F.monotonically_increasing_id()
     # lower-case title and description once; lower(a + ' ' + b) equals
     # lower(a) + ' ' + lower(b) (context-dependent lower-casing only looks at
@@ -68,8 +68,8 @@ def _enriched(df: DataFrame, strict_salary: bool = False, unknown_label: str | N
     base = with_salary(base, "_text_td", strict=strict_salary)
     # one token array serves both texts (they hold the same word runs); keep only
     # the tokens that are keywords of either dictionary
-    sk = skills or D.SKILL_DICTIONARY
-    lv = levels or D.SENIORITY_LEVELS
+    sk = D.SKILL_DICTIONARY if skills is None else skills
+    lv = D.SENIORITY_LEVELS if levels is None else levels
     kw_lists = [kws for cat in sk.values() for kws in cat.values()] + list(lv.values())
     base = base.select("*", E.keyword_hits(word_tokens(F.col("_text_dt")), kw_lists).alias("_tokens"))
     return base.select(
@@ -94,7 +94,7 @@ def transform_postings(df: DataFrame, strict_salary: bool = False,
     Rejected rows (P01 guard) are dropped unless ``keep_rejected``; then a
     boolean ``accepted`` column tells them apart.
     """
-    e = _enriched(spread(df), strict_salary, unknown_label, skills, levels, aliases)
+    e = _enriched(df, strict_salary, unknown_label, skills, levels, aliases)
     out = e.select(
         "ingest_seq",
         *[c for c in ["batch"] if c in e.columns],
@@ -120,3 +120,9 @@ def transform_stats(df: DataFrame) -> DataFrame:
         F.count(F.when(ok, 1)).alias("transformed_jobs"),
         F.count(F.when(~ok, 1)).alias("errors"),
     )
+
+
+def unreadable_times(df: DataFrame) -> DataFrame:
+    """Rows whose ``scraped_at`` text is no timestamp (P04 leaves it NULL), one row."""
+    bad = F.col("scraped_at").isNotNull() & F.upper(F.col("scraped_at")).try_cast("timestamp_ntz").isNull()
+    return df.agg(F.count(F.when(bad, 1)).alias("unreadable_scraped_at"))

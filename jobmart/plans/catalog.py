@@ -16,7 +16,6 @@ from ..operators import load as L
 from ..operators.transform import transform_postings, transform_stats
 from ..sources.postings import derived_postings
 from ..sources.tables import table
-from .parallel import spread
 from . import oracle as O
 from . import views as V
 
@@ -39,19 +38,29 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform_postings(derived_postings(spark, sf_dir))
 
 
-def loaded_star(spark: SparkSession, sf_dir: str) -> tuple[L.StarTables, DataFrame]:
+def loaded_star(spark: SparkSession, sf_dir: str, staged: bool = False) -> L.StarTables:
     """Derived postings loaded as two batches (batch 0, then batch 1) into empty
-    tables, and the per-batch load statistics.
+    tables: one first-wins pass in (batch, ingest_seq) order.
 
-    With empty tables, loading batch after batch equals one first-wins pass in
-    (batch, ingest_seq) order, so each table is one aggregate over the processed
-    postings.  The plan stays lazy: column pruning reaches the enrichment, and a
-    report computes only the columns it needs (skill demand never runs the salary
-    or label regexes).  The incremental path (anti-joins against existing tables)
-    is exercised by ``incremental_ingest`` and the tests.
-    """
-    tx = processed(spark, sf_dir)
-    return L.load_ordered(spark, tx, ["batch", "ingest_seq"]), L.load_stats_by_batch(tx, "batch")
+    Lazy by default: column pruning reaches the enrichment, and a report that reads
+    one table computes only the columns it needs.  ``staged`` writes the first
+    postings and the skills once each, for reports that read several tables.  The
+    anti-joins against existing tables are run by ``load_incremental_*``."""
+    return L.load_ordered(derived_postings(spark, sf_dir), ["batch", "ingest_seq"], staged)
+
+
+def incremental_star(spark: SparkSession, sf_dir: str) -> L.StarTables:
+    """The same two batches through the persistent store: batch 1 meets the tables that
+    batch 0 left (J03, J05, X03)."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    store = L.StarStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobmart-star-{uuid.uuid4().hex}")
+    store.setup()
+    raw = derived_postings(spark, sf_dir)
+    for b in (0, 1):
+        store.append(transform_postings(raw.filter(F.col("batch") == b)))
+    return store.tables()
 
 
 # --- transform ---------------------------------------------------------------
@@ -108,25 +117,25 @@ def q_transform_stats(spark, sf_dir):
 @register("clean_description",
           f"SELECT doc_id, {O.clean_description('text')} AS clean_description FROM documents")
 def q_clean_description(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select("doc_id", TX.clean_description(F.col("text")).alias("clean_description"))
 
 
 @register("normalize_text", f"SELECT doc_id, {O.normalize_text('text')} AS normalized FROM documents")
 def q_normalize_text(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select("doc_id", TX.normalize_text(F.col("text")).alias("normalized"))
 
 
 @register("clean_html", f"SELECT page_id, {O.clean_html('html')} AS text FROM pages")
 def q_clean_html(spark, sf_dir):
-    p = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
     return p.select("page_id", TX.clean_html(F.col("html")).alias("text"))
 
 
 @register("truncate_text", f"SELECT doc_id, {O.truncate_text('text')} AS truncated FROM documents")
 def q_truncate_text(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select("doc_id", TX.truncate_text(F.col("text")).alias("truncated"))
 
 
@@ -137,33 +146,57 @@ _JOB_OUT = ["platform", "job_url", "job_title", "company_name", "location", "pos
 
 @register("load_jobs", O.with_star(f"SELECT {', '.join(_JOB_OUT)} FROM s_jobs"))
 def q_load_jobs(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
-    return star.jobs.select(*_JOB_OUT)
+    return loaded_star(spark, sf_dir).jobs.select(*_JOB_OUT)
 
 
 @register("load_descriptions", O.with_star(
     "SELECT job_url, raw_description, clean_description FROM s_desc"))
 def q_load_descriptions(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
+    return _descriptions(loaded_star(spark, sf_dir, staged=True))
+
+
+def _descriptions(star):
     return (star.job_descriptions.join(star.jobs.select("job_id", "job_url"), "job_id")
             .select("job_url", "raw_description", "clean_description"))
 
 
 @register("load_skills", O.with_star("SELECT skill_name, skill_category FROM s_skills"))
 def q_load_skills(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
-    return star.skills.select("skill_name", "skill_category")
+    return loaded_star(spark, sf_dir).skills.select("skill_name", "skill_category")
 
 
 @register("load_job_skills", O.with_star("SELECT job_url, skill_name FROM s_links"))
 def q_load_job_skills(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
+    return _links(loaded_star(spark, sf_dir, staged=True))
+
+
+def _links(star):
     return (star.job_skills.join(star.jobs.select("job_id", "job_url"), "job_id")
-            # bounded by the dictionary vocabulary; a popular skill is a hot key
-            .join(F.broadcast(star.skills.select("skill_id", "skill_name")), "skill_id")
+            .join(star.skills.select("skill_id", "skill_name"), "skill_id")
             .select("job_url", "skill_name"))
 
 
+# the same tables, batch by batch through the persistent store
+@register("load_incremental_jobs", ORACLE["load_jobs"])
+def q_incremental_jobs(spark, sf_dir):
+    return incremental_star(spark, sf_dir).jobs.select(*_JOB_OUT)
+
+
+@register("load_incremental_descriptions", ORACLE["load_descriptions"])
+def q_incremental_descriptions(spark, sf_dir):
+    return _descriptions(incremental_star(spark, sf_dir))
+
+
+@register("load_incremental_skills", ORACLE["load_skills"])
+def q_incremental_skills(spark, sf_dir):
+    return incremental_star(spark, sf_dir).skills.select("skill_name", "skill_category")
+
+
+@register("load_incremental_links", ORACLE["load_job_skills"])
+def q_incremental_links(spark, sf_dir):
+    return _links(incremental_star(spark, sf_dir))
+
+
 @register("load_stats", O.with_star("""
 SELECT p.batch,
   (SELECT count(*) FROM tx WHERE tx.batch = p.batch) AS jobs_inserted,
@@ -178,22 +211,25 @@ SELECT p.batch,
   CAST(0 AS BIGINT) AS errors
 FROM (SELECT DISTINCT batch FROM tx) p"""))
 def q_load_stats(spark, sf_dir):
-    _, stats = loaded_star(spark, sf_dir)
-    return stats
+    return L.load_stats_by_batch(derived_postings(spark, sf_dir), "batch")
 
 
 @register("orphans", O.with_star("""
+, jobs_left AS (SELECT * FROM s_jobs WHERE platform <> 'topcv'),
+skills_left AS (SELECT * FROM s_skills WHERE skill_name <> 'SQL')
 SELECT 'job_skills.job_id' AS relation, count(*) AS orphans FROM s_links l
-  WHERE NOT EXISTS (SELECT 1 FROM s_jobs j WHERE j.job_url = l.job_url)
+  WHERE NOT EXISTS (SELECT 1 FROM jobs_left j WHERE j.job_url = l.job_url)
 UNION ALL
 SELECT 'job_skills.skill_id', count(*) FROM s_links l
-  WHERE NOT EXISTS (SELECT 1 FROM s_skills s WHERE s.skill_name = l.skill_name)
+  WHERE NOT EXISTS (SELECT 1 FROM skills_left s WHERE s.skill_name = l.skill_name)
 UNION ALL
 SELECT 'job_descriptions.job_id', count(*) FROM s_desc d
-  WHERE NOT EXISTS (SELECT 1 FROM s_jobs j WHERE j.job_url = d.job_url)"""))
+  WHERE NOT EXISTS (SELECT 1 FROM jobs_left j WHERE j.job_url = d.job_url)"""))
 def q_orphans(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
-    return L.orphans(star)
+    """J06 on tables that lost parents: the jobs of one platform and one skill."""
+    star = loaded_star(spark, sf_dir, staged=True)
+    return L.orphans(star._replace(jobs=star.jobs.filter("platform <> 'topcv'"),
+                                   skills=star.skills.filter("skill_name <> 'SQL'")))
 
 
 # --- views ---------------------------------------------------------------------
@@ -203,8 +239,7 @@ SELECT s.skill_name, s.skill_category, count(*) AS job_count,
 FROM s_links l JOIN s_skills s ON l.skill_name = s.skill_name
 GROUP BY s.skill_name, s.skill_category"""))
 def q_skill_demand(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
-    return V.skill_demand(star)
+    return V.skill_demand(loaded_star(spark, sf_dir, staged=True))
 
 
 _DETAIL_OUT = _JOB_OUT + ["clean_description", "raw_description"]
@@ -214,8 +249,7 @@ _DETAIL_OUT = _JOB_OUT + ["clean_description", "raw_description"]
     f"SELECT {', '.join('j.' + c for c in _JOB_OUT)}, d.clean_description, d.raw_description "
     "FROM s_jobs j JOIN s_desc d ON j.job_url = d.job_url"))
 def q_job_details(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
-    return V.job_details(star).select(*_DETAIL_OUT)
+    return V.job_details(loaded_star(spark, sf_dir, staged=True)).select(*_DETAIL_OUT)
 
 
 @register("salary_by_seniority_location", O.with_star("""
@@ -225,14 +259,14 @@ FROM s_jobs
 WHERE salary_min IS NOT NULL AND salary_max IS NOT NULL AND seniority_level IS NOT NULL AND location IS NOT NULL
 GROUP BY seniority_level, location, salary_currency"""))
 def q_salary_view(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
+    star = loaded_star(spark, sf_dir)
     return V.salary_by_seniority_location(star)
 
 
 @register("platform_job_count", O.with_star(
     "SELECT platform, count(*) AS total_jobs FROM s_jobs GROUP BY platform"))
 def q_platform_job_count(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
+    star = loaded_star(spark, sf_dir)
     return V.platform_job_count(star)
 
 
@@ -240,7 +274,7 @@ def q_platform_job_count(spark, sf_dir):
     "SELECT CAST(posted_date AS DATE) AS date, count(*) AS daily_job_count FROM s_jobs "
     "WHERE posted_date IS NOT NULL GROUP BY CAST(posted_date AS DATE)"))
 def q_postings_over_time(spark, sf_dir):
-    star, _ = loaded_star(spark, sf_dir)
+    star = loaded_star(spark, sf_dir)
     return V.postings_over_time(star)
 
 
@@ -362,7 +396,7 @@ def _kw_sql(query: str) -> str:
 
 @register("keyword_relevance", _kw_sql(_KW_QUERY))
 def q_keyword_relevance(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return R.keyword_relevance(d, _KW_QUERY, title="source", description="text") \
         .select("doc_id", "matched_words", "relevant")
 
@@ -476,8 +510,8 @@ def q_page_links(spark, sf_dir):
     return H.page_links(table(spark, sf_dir, "pages"))
 
 
-# --- incremental ingest (rows-only: a stream with side effects) -------------------
-@register("incremental_ingest")
+# --- incremental ingest: a stream into the persistent store -------------------------
+@register("incremental_ingest", ORACLE["load_jobs"])
 def q_incremental_ingest(spark, sf_dir):
     """Derived postings arrive in two rounds (batch 0, then batch 1) as Parquet
     files in a folder under the shared checkpoint dir; after each round the stream
@@ -580,7 +614,7 @@ FROM h""")
 def q_page_hrefs(spark, sf_dir):
     """every href of every page (native extraction), made absolute against
     the page URL with ``normalize_url``."""
-    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     hrefs = (p.select("page_id", "url",
                       F.posexplode_outer(F.regexp_extract_all("html", F.lit(_HREF), F.lit(1)))
                       .alias("pos", "href"))

@@ -191,7 +191,7 @@ tx AS (
          THEN {canonical_location(label_value('clean_description', D.LABEL_LOCATION))}
          ELSE location END AS location,
     {posted_date('clean_description', 'posting_date')} AS posted_date,
-    coalesce(TRY_CAST(upper(scraped_at) AS TIMESTAMP), CAST(now() AS TIMESTAMP)) AS scraped_at,
+    TRY_CAST(upper(scraped_at) AS TIMESTAMP) AS scraped_at,
     {seniority('_t_td')} AS seniority_level,
     {salary_final()},
     job_description AS raw_description, clean_description,

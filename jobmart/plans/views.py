@@ -21,23 +21,17 @@ def skill_demand(star: StarTables) -> DataFrame:
     """View 2 (A01, A02, J02, J09): jobs per skill and the share of jobs that have
     any skill.
 
-    One pass over the links: each job's link with the lowest skill_id is marked
-    (a window per job -- a job has at most vocabulary-many links, so no window
-    partition grows with the data), so summing the marks counts every job with a
-    skill exactly once.  Counts are aggregated per skill_id before the join, and
-    the denominator is summed over the per-skill result, whose size is bounded by
-    the dictionaries' vocabulary -- no second pass over the links."""
-    js = star.job_skills
-    marked = js.select("job_id", "skill_id",
-                       (F.col("skill_id") == F.min("skill_id").over(Window.partitionBy("job_id")))
-                       .cast("long").alias("first_of_job"))
-    per_skill = marked.groupBy("skill_id").agg(F.count("job_id").alias("job_count"),
-                                               F.sum("first_of_job").alias("jobs_marked"))
-    # skills holds at most the dictionaries' vocabulary: a bounded broadcast
-    per_name = (per_skill.join(F.broadcast(star.skills), "skill_id")
+    One shuffle of the links, by job: a job's skills are a set of at most
+    vocabulary size, and the rows left are counted per skill (combined before the
+    shuffle).  The number of jobs with a skill is the number of those sets."""
+    sets = star.job_skills.groupBy("job_id").agg(F.collect_set("skill_id").alias("skills"))
+    marked = sets.select(F.posexplode("skills").alias("pos", "skill_id"))
+    per_skill = marked.groupBy("skill_id").agg(F.count(F.lit(1)).alias("job_count"),
+                                               F.count(F.when(F.col("pos") == 0, 1)).alias("jobs_marked"))
+    per_name = (per_skill.join(star.skills, "skill_id")
                 .groupBy("skill_name", "skill_category")
                 .agg(F.sum("job_count").alias("job_count"), F.sum("jobs_marked").alias("jobs_marked")))
-    # vocabulary-sized: one window over all rows is bounded by the dictionary
+    # one row per skill: one window over all rows is bounded by the vocabulary
     jobs_with_skills = F.sum("jobs_marked").over(Window.partitionBy())
     return (per_name.select("skill_name", "skill_category", "job_count",
                             F.try_divide(F.col("job_count").cast("double") * 100, jobs_with_skills)

@@ -45,36 +45,53 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
-
-    On a cluster the folder is configured by the submitter and is only read here.
-    Only when it is unset (local tests) a scratch folder is created and set.
-    """
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, else the folder set on the
+    context.  Only a local master (tests) gets a scratch folder of its own; on a
+    cluster executors would not see it, so its absence is an error."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
+        if not current:
+            sc.setCheckpointDir(configured)
         return configured
+    if current:
+        # the context keeps a folder of its own below the one that was set
+        spark.conf.set("spark.checkpoint.dir", current)
+        return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="jobmart-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 
-def materialize(df, name: str = "stage"):
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+def stage(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder; (frame that reads it, path).
 
     Cuts the lineage with one computation (``DataFrame.checkpoint`` would run the
     plan twice unless cached, and stores serialized rows); a lost executor then
-    re-reads files instead of recomputing the upstream plan.
-    """
+    re-reads files instead of recomputing the upstream plan."""
     import uuid
 
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/jobmart-{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobmart-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df, name: str = "stage"):
+    """``stage`` for frames whose files live as long as the session's folder."""
+    return stage(df, name)[0]
+
+
+def drop_staged(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that ``stage`` wrote, once nothing reads them any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
 
 
 _SHIPPED: set[str] = set()

@@ -1,6 +1,10 @@
 """Star load: the original loader case, idempotence, batching, persistence."""
 
+import os
+
 from conftest import SF001, raw_df
+from pyspark.sql import functions as F
+
 from jobmart.operators import load as L
 from jobmart.operators.transform import transform_postings
 from jobmart.sources.postings import derived_postings
@@ -66,21 +70,23 @@ def test_star_store_append_retry_safe(spark, tmp_path):
 
 
 def test_one_pass_ordered_load_equals_sequential(spark):
-    tx = transform_postings(derived_postings(spark, SF001)).cache()
+    raw = derived_postings(spark, SF001)
+    tx = transform_postings(raw).cache()
     seq, stats = L.load_batches(spark, [tx.filter("batch = 0"), tx.filter("batch = 1")])
-    one = L.load_ordered(spark, tx, ["batch", "ingest_seq"])
-    assert _keys(seq) == _keys(one)
-    by_batch = {r.batch: r.asDict() for r in L.load_stats_by_batch(tx, "batch").collect()}
+    one = L.load_ordered(raw, ["batch", "ingest_seq"])
+    assert _keys(seq) == _keys(one) == _keys(L.load_ordered(raw, ["batch", "ingest_seq"], staged=True))
+    rejected = {r.batch: r.n for r in raw.filter("job_title IS NULL OR job_description = ''").groupBy("batch")
+                .agg(F.count("*").alias("n")).collect()}
+    by_batch = {r.batch: r.asDict() for r in L.load_stats_by_batch(raw, "batch").collect()}
     for b, st in enumerate(stats):
-        want = st.first().asDict()
+        want = st.first().asDict() | {"errors": rejected[b]}
         got = {k: v for k, v in by_batch[b].items() if k != "batch"}
         assert got == want, (b, got, want)
 
 
 def test_views_registered_for_sql(spark):
     from jobmart.plans.views import register_views
-    tx = transform_postings(derived_postings(spark, SF001))
-    star = L.load_ordered(spark, tx)
+    star = L.load_ordered(derived_postings(spark, SF001))
     names = register_views(spark, star)
     assert "skill_demand_view" in names
     top = spark.sql("SELECT skill_name, job_count FROM skill_demand_view ORDER BY job_count DESC LIMIT 1").first()
@@ -115,3 +121,41 @@ def test_star_store_recovers_from_a_crash_between_table_writes(spark, tmp_path):
     assert _keys(got) == _keys(clean)
     assert got.jobs.count() == got.jobs.select("job_url").distinct().count()
     assert got.job_descriptions.count() == got.jobs.count()
+
+
+def test_ties_in_the_order_keep_one_whole_row(spark):
+    rows = [{"job_title": t, "platform": "p", "job_url": "u", "job_description": d, "ingest_seq": 5}
+            for t, d in (("a", "needs sql"), ("b", "needs python"), ("b", "needs python"))]
+    star = L.load_ordered(raw_df(spark, rows), ["ingest_seq"])
+    job, text = star.jobs.collect(), star.job_descriptions.collect()
+    assert len(job) == len(text) == 1
+    assert (job[0].job_title, text[0].clean_description) in {("a", "needs sql"), ("b", "needs python")}
+
+
+def test_append_leaves_no_staging(spark, tmp_path):
+    from jobmart.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    store = L.StarStore(spark, str(tmp_path / "clean"))
+    store.setup()
+    store.append(transform_postings(raw_df(spark, [{"job_title": "t", "platform": "p", "job_url": "u", "job_description": "sql"}])))
+    assert set(os.listdir(folder)) - before == set()
+
+
+def test_user_dictionary_with_one_name_in_two_categories(spark):
+    rows = [{"job_title": "t", "platform": "p", "job_url": "u", "job_description": "we use go here"}]
+    two = {"a": {"Go": ["golang"]}, "b": {"Go": ["go"], "Here": ["here"]}}
+    got = transform_postings(raw_df(spark, rows), skills=two).first().extracted_skills
+    assert [s.skill_name for s in got] == ["Go", "Here"]
+    assert transform_postings(raw_df(spark, rows), skills={}).first().extracted_skills == []
+
+
+def test_unreadable_time_is_null_not_now(spark):
+    from jobmart.operators.transform import unreadable_times
+    rows = [{"job_title": "t", "platform": "p", "job_url": f"u{i}", "job_description": "x", "scraped_at": s}
+            for i, s in enumerate(["2025-01-02t03:04:05", "yesterday", None])]
+    raw = raw_df(spark, rows)
+    got = [r.scraped_at for r in transform_postings(raw).orderBy("ingest_seq").collect()]
+    assert str(got[0]) == "2025-01-02 03:04:05" and got[1:] == [None, None]
+    assert unreadable_times(raw).first()[0] == 1
+    assert transform_postings(raw.drop("scraped_at")).first().scraped_at is not None
