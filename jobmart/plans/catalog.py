@@ -283,29 +283,33 @@ from .. import dictionaries as D  # noqa: E402
 from ..operators import crawl as C  # noqa: E402
 from ..sources import frontier as FR  # noqa: E402
 
-_MAXP = D.DEFAULT_MAX_PAGES
 _CRAWL_QUERY = "Data Analyst"
+_CAP_PAGES = D.DEFAULT_MAX_PAGES
+_PLATFORMS = [*D.PLATFORMS, "quietboard"]         # one without a single link
 
 
-def _crawl_ctes(max_results: int) -> str:
+def _crawl_ctes(max_results: int | None, max_pages: int | None) -> str:
+    """The walks by window functions: pages with links numbered from 1 without a gap."""
+    cap = f"WHERE rank <= {max_results}" if max_results else ""
+    budget = f"least(stop_page, {max_pages + 1})" if max_pages else "stop_page"
     return f"""WITH fr AS ({O.frontier_sql()}),
-pages AS (SELECT platform, page, count(*) FILTER (WHERE NOT page_empty) AS links FROM fr GROUP BY platform, page),
-gaps AS (SELECT p.platform, p.page + 1 AS page FROM pages p
-         WHERE NOT EXISTS (SELECT 1 FROM pages q WHERE q.platform = p.platform AND q.page = p.page + 1)),
-fm AS (SELECT platform, min(page) AS first_missing FROM gaps GROUP BY platform),
-fe AS (SELECT platform, min(page) AS first_empty FROM pages WHERE links = 0 GROUP BY platform),
-lo AS (SELECT platform, min(page) AS lowest FROM pages GROUP BY platform),
-stops AS (SELECT lo.platform, CAST(least(CASE WHEN lowest > 1 THEN 1 ELSE first_missing END,
-                 coalesce(first_empty, first_missing), {_MAXP + 1}) AS BIGINT) AS stop_page
-          FROM lo LEFT JOIN fm ON lo.platform = fm.platform LEFT JOIN fe ON lo.platform = fe.platform),
-prefix AS (SELECT f.platform, f.page, f.pos, f.url FROM fr f JOIN stops s ON f.platform = s.platform
+full_pages AS (SELECT DISTINCT crawl, platform, page FROM fr WHERE NOT page_empty),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY crawl, platform ORDER BY page) AS rn FROM full_pages),
+stops AS (SELECT crawl, platform, {budget} AS stop_page FROM (
+            SELECT w.crawl, w.platform, CAST(coalesce(max(n.page), 0) + 1 AS BIGINT) AS stop_page
+            FROM (SELECT DISTINCT crawl, platform FROM fr) w
+            LEFT JOIN numbered n ON n.crawl = w.crawl AND n.platform = w.platform AND n.rn = n.page
+            GROUP BY w.crawl, w.platform)),
+prefix AS (SELECT f.crawl, f.platform, f.page, f.pos, f.url, f.failed
+           FROM fr f JOIN stops s ON f.crawl = s.crawl AND f.platform = s.platform
            WHERE NOT f.page_empty AND f.page < s.stop_page),
-firsts AS (SELECT platform, url, page, pos FROM (
-             SELECT *, row_number() OVER (PARTITION BY platform, url ORDER BY page, pos) AS rn FROM prefix)
+firsts AS (SELECT crawl, platform, url, page, pos, failed FROM (
+             SELECT *, row_number() OVER (PARTITION BY crawl, platform, url ORDER BY page, pos) AS rn FROM prefix)
            WHERE rn = 1),
-capped AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY platform ORDER BY page, pos) AS INTEGER) AS rank
-                          FROM firsts) WHERE rank <= {max_results}),
-walk AS (SELECT platform, CAST(unnest(generate_series(1, least(stop_page, {_MAXP}))) AS BIGINT) AS page,
+capped AS (SELECT * FROM (SELECT crawl, platform, url, page, pos,
+                                 CAST(row_number() OVER (PARTITION BY crawl, platform ORDER BY page, pos) AS INTEGER) AS rank
+                          FROM firsts WHERE NOT failed) {cap}),
+walk AS (SELECT crawl, platform, CAST(unnest(generate_series(1, {f"least(stop_page, {max_pages})" if max_pages else "stop_page"})) AS BIGINT) AS page,
                 stop_page FROM stops)"""
 
 
@@ -313,70 +317,75 @@ def _frontier(spark, sf_dir):
     return FR.derived_frontier(spark, sf_dir)
 
 
-@register("crawl_prefix", _crawl_ctes(FR.FRONTIER_CAP) +
-          "\nSELECT platform, page, (stop_page <= 10 AND page = stop_page) AS is_stop FROM walk")
+@register("crawl_prefix", _crawl_ctes(None, None) + "\nSELECT crawl, platform, page, page = stop_page AS is_stop FROM walk")
 def q_crawl_prefix(spark, sf_dir):
-    return C.crawl_pages(_frontier(spark, sf_dir), _MAXP)
+    return C.crawl_pages(_frontier(spark, sf_dir), None)
 
 
-@register("crawl_dedupe", _crawl_ctes(FR.FRONTIER_CAP) + "\nSELECT platform, url, page, pos FROM firsts")
+@register("crawl_dedupe", _crawl_ctes(None, None) + "\nSELECT crawl, platform, url, page, pos, failed FROM firsts")
 def q_crawl_dedupe(spark, sf_dir):
-    return C.crawl_dedupe(_frontier(spark, sf_dir), _MAXP)
+    return C.crawl_dedupe(_frontier(spark, sf_dir), None)
 
 
-@register("crawl_cap", _crawl_ctes(FR.FRONTIER_CAP) + "\nSELECT platform, url, page, pos, rank FROM capped")
+@register("crawl_cap", _crawl_ctes(FR.FRONTIER_CAP, _CAP_PAGES) + "\nSELECT crawl, platform, url, page, pos, rank FROM capped")
 def q_crawl_cap(spark, sf_dir):
-    return C.crawl_cap(_frontier(spark, sf_dir), FR.FRONTIER_CAP, _MAXP)
+    return C.crawl_cap(_frontier(spark, sf_dir), FR.FRONTIER_CAP, _CAP_PAGES)
 
 
-@register("platform_union", _crawl_ctes(FR.FRONTIER_CAP) + """
+@register("platform_union", _crawl_ctes(None, None) + """
 SELECT CAST(CASE platform WHEN 'careerviet' THEN 1 WHEN 'topcv' THEN 2 ELSE 3 END AS INTEGER) AS platform_rank,
-       platform, rank, url, page, pos FROM capped""")
+       crawl, platform, rank, url, page, pos FROM capped""")
 def q_platform_union(spark, sf_dir):
-    return C.platform_union(_frontier(spark, sf_dir), None, FR.FRONTIER_CAP, _MAXP)
-
-
-def _crawl_stats_sql(n: int) -> str:
-    return _crawl_ctes(n) + f"""
-, cut AS (SELECT platform, count(*) AS jobs FROM capped GROUP BY platform),
-lastrow AS (SELECT platform, page AS lpage, pos AS lpos FROM capped WHERE rank = {n}),
-base AS (SELECT s.platform, s.stop_page, coalesce(c.jobs, 0) AS jobs, l.lpage, l.lpos
-         FROM stops s LEFT JOIN cut c ON s.platform = c.platform LEFT JOIN lastrow l ON s.platform = l.platform),
-seen AS (SELECT p.platform, count(*) AS rows_seen FROM prefix p JOIN base b ON p.platform = b.platform
-         WHERE b.jobs < {n} OR p.page < b.lpage OR (p.page = b.lpage AND p.pos <= b.lpos)
-         GROUP BY p.platform)
-SELECT b.platform,
-  CAST(CASE WHEN b.jobs >= {n} THEN b.lpage ELSE least(b.stop_page, {_MAXP}) END AS BIGINT) AS pages_visited,
-  CAST(b.jobs AS BIGINT) AS jobs_scraped,
-  CAST(coalesce(s.rows_seen, 0) - b.jobs AS BIGINT) AS duplicates_skipped,
-  CAST(0 AS BIGINT) AS errors, 'success' AS status
-FROM base b LEFT JOIN seen s ON b.platform = s.platform"""
-
-
-@register("crawl_stats", _crawl_stats_sql(D.DEFAULT_MAX_RESULTS))
+    """Each platform's postings as a table of its own, joined end to end."""
+    fr = _frontier(spark, sf_dir)
+    return C.platform_union({p: C.crawl_cap(C.select_platforms(fr, [p]), None, None) for p in D.PLATFORMS})
+
+
+def _crawl_stats_sql(n: int | None, pages: int | None) -> str:
+    inside = "(b.lpage IS NULL OR x.page < b.lpage OR (x.page = b.lpage AND x.pos <= b.lpos))"
+    names = ", ".join(f"({O.q(p)})" for p in _PLATFORMS)
+    return _crawl_ctes(n, pages) + f"""
+, base AS (SELECT s.crawl, s.platform, s.stop_page, l.page AS lpage, l.pos AS lpos FROM stops s
+           LEFT JOIN capped l ON s.crawl = l.crawl AND s.platform = l.platform AND l.rank = {n or 0}),
+seen AS (SELECT b.crawl, b.platform, count(*) AS rows_seen FROM prefix x
+         JOIN base b ON x.crawl = b.crawl AND x.platform = b.platform WHERE {inside} GROUP BY 1, 2),
+got AS (SELECT b.crawl, b.platform, count(*) FILTER (WHERE NOT failed) AS jobs, count(*) FILTER (WHERE failed) AS bad
+        FROM firsts x JOIN base b ON x.crawl = b.crawl AND x.platform = b.platform WHERE {inside} GROUP BY 1, 2)
+SELECT w.crawl, p.platform,
+  CAST(coalesce(b.lpage, {f"least(b.stop_page, {pages})" if pages else "b.stop_page"}, 0) AS BIGINT) AS pages_visited,
+  coalesce(g.jobs, 0) AS jobs_scraped, coalesce(s.rows_seen, 0) - coalesce(g.jobs, 0) - coalesce(g.bad, 0) AS duplicates_skipped,
+  CASE WHEN b.platform IS NULL THEN 1 ELSE coalesce(g.bad, 0) END AS errors,
+  CASE WHEN b.platform IS NULL OR b.stop_page = 1 THEN 'failed' ELSE 'success' END AS status
+FROM (SELECT DISTINCT crawl FROM fr) w CROSS JOIN (VALUES {names}) p(platform)
+LEFT JOIN base b ON b.crawl = w.crawl AND b.platform = p.platform
+LEFT JOIN seen s ON s.crawl = w.crawl AND s.platform = p.platform
+LEFT JOIN got g ON g.crawl = w.crawl AND g.platform = p.platform"""
+
+
+@register("crawl_stats", _crawl_stats_sql(None, None))
 def q_crawl_stats(spark, sf_dir):
-    return C.crawl_stats(_frontier(spark, sf_dir), D.DEFAULT_MAX_RESULTS, _MAXP)
+    return C.crawl_stats(_frontier(spark, sf_dir), None, None, _PLATFORMS)
 
 
-@register("crawl_stats_capped", _crawl_stats_sql(FR.FRONTIER_CAP))
+@register("crawl_stats_capped", _crawl_stats_sql(FR.FRONTIER_CAP, _CAP_PAGES))
 def q_crawl_stats_capped(spark, sf_dir):
-    return C.crawl_stats(_frontier(spark, sf_dir), FR.FRONTIER_CAP, _MAXP)
+    return C.crawl_stats(_frontier(spark, sf_dir), FR.FRONTIER_CAP, _CAP_PAGES, _PLATFORMS)
 
 
-@register("crawl_summary", "WITH stats AS (" + _crawl_stats_sql(D.DEFAULT_MAX_RESULTS) + """)
-SELECT count(*) AS platforms, CAST(sum(pages_visited) AS BIGINT) AS pages_visited,
+@register("crawl_summary", "WITH stats AS (" + _crawl_stats_sql(None, None) + """)
+SELECT count(*) AS walks, CAST(sum(pages_visited) AS BIGINT) AS pages_visited,
        CAST(sum(jobs_scraped) AS BIGINT) AS jobs_scraped,
        CAST(sum(duplicates_skipped) AS BIGINT) AS duplicates_skipped, CAST(sum(errors) AS BIGINT) AS errors,
        count(*) FILTER (WHERE status = 'success') AS succeeded
 FROM stats""")
 def q_crawl_summary(spark, sf_dir):
-    return C.crawl_summary(_frontier(spark, sf_dir), D.DEFAULT_MAX_RESULTS, _MAXP)
+    return C.crawl_summary(_frontier(spark, sf_dir), None, None, _PLATFORMS)
 
 
-@register("listing_urls", _crawl_ctes(FR.FRONTIER_CAP) +
-          f"\nSELECT platform, page, {O.listing_url_sql('platform', 'page', _CRAWL_QUERY)} AS list_url FROM walk")
+@register("listing_urls", _crawl_ctes(None, None) +
+          f"\nSELECT crawl, platform, page, {O.listing_url_sql('platform', 'page', _CRAWL_QUERY)} AS list_url FROM walk")
 def q_listing_urls(spark, sf_dir):
-    return C.listing_urls(C.crawl_pages(_frontier(spark, sf_dir), _MAXP), _CRAWL_QUERY)
+    return C.listing_urls(C.crawl_pages(_frontier(spark, sf_dir), None), _CRAWL_QUERY)
 
 
 # --- relevance, key phrases ------------------------------------------------------
@@ -496,18 +505,26 @@ def q_keyword_flat(spark, sf_dir):
             .select("keyword", "skill_name", F.coalesce("postings", F.lit(0)).alias("postings")))
 
 
-# --- HTML pages (rows-only: parsing HTML is not SQL) ------------------------------
+# --- HTML pages ---------------------------------------------------------------------
 from ..sources import html as H  # noqa: E402
 
+# markup that SQL can read: one h1, article and nav a page, tags without '>' in attributes
+_TEXT = "regexp_replace({0}, '<[^>]*>', ' ', 'g')"
 
-@register("page_fields")
-def q_page_fields(spark, sf_dir):
-    return H.page_fields(table(spark, sf_dir, "pages"))
 
+def _decoded(c: str) -> str:
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "\'\'"), ("&amp;", "&")):
+        c = f"replace({c}, '{name}', '{char}')"
+    return c
 
-@register("page_links")
-def q_page_links(spark, sf_dir):
-    return H.page_links(table(spark, sf_dir, "pages"))
+
+@register("page_fields", f"""
+SELECT page_id, url, {O.normalize_text(_decoded(_TEXT.format("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")))} AS title,
+  {O.normalize_text(_decoded(_TEXT.format("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")))} AS body,
+  CAST(len(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a[ >]')) AS INTEGER) AS nav_links
+FROM pages""")
+def q_page_fields(spark, sf_dir):
+    return H.page_fields(table(spark, sf_dir, "pages"))
 
 
 # --- incremental ingest: a stream into the persistent store -------------------------
@@ -576,18 +593,18 @@ def q_detail_pages(spark, sf_dir):
 
 
 @register("listing_links", f"""WITH fr AS ({O.frontier_sql()})
-SELECT platform, page,
-  CAST(row_number() OVER (PARTITION BY platform, page ORDER BY pos) - 1 AS INTEGER) AS link_pos,
+SELECT crawl, platform, page,
+  CAST(row_number() OVER (PARTITION BY crawl, platform, page ORDER BY pos) - 1 AS INTEGER) AS link_pos,
   CASE platform WHEN 'careerviet' THEN 'https://www.careerviet.vn/job/u' || CAST("user" AS VARCHAR) || '.html'
-                WHEN 'topcv' THEN '{D.TOPCV_JOB_PREFIX}u' || CAST("user" AS VARCHAR) || '.html'
+                WHEN 'topcv' THEN 'https://www.topcv.vn/viec-lam/u' || CAST("user" AS VARCHAR) || '.html'
                 ELSE 'https://vieclam24h.vn/viec-lam/u' || CAST("user" AS VARCHAR) END AS url
 FROM fr WHERE NOT page_empty""")
 def q_listing_links(spark, sf_dir):
     """S04a-c: every non-empty frontier page rendered as its platform's listing
     page (with decoy links) and parsed back into detail links."""
-    pages = RD.listing_pages(_frontier(spark, sf_dir))
-    links = H.listing_page_links(pages)
-    return links.select("platform", (F.col("page_id") % 1_000_000_000).alias("page"),
+    links = H.listing_page_links(RD.listing_pages(_frontier(spark, sf_dir)))
+    walk = F.floor(F.col("page_id") / 1000).cast("long")
+    return links.select(F.floor(walk / 4).cast("long").alias("crawl"), "platform", (F.col("page_id") % 1000).alias("page"),
                         F.col("pos").alias("link_pos"), "url")
 
 
@@ -595,6 +612,16 @@ def q_listing_links(spark, sf_dir):
 _HREF = 'href="([^"]*)"'
 
 
+_ABSOLUTE = """CASE WHEN href = '' THEN ''
+       WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN href
+       WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1) || ':' || href
+       WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1) || href
+       WHEN starts_with(href, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || href
+       WHEN starts_with(href, '#') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?$', '') || href
+       ELSE regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''), '[^/]*$', '') || href
+  END"""
+
+
 @register("page_hrefs", f"""
 WITH h AS (
   SELECT page_id, url, x.h AS href, x.i - 1 AS pos FROM (
@@ -602,14 +629,7 @@ WITH h AS (
                                                lambda v, i: {{'h': v, 'i': i}})) AS x
     FROM pages))
 SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
-  CASE WHEN href = '' THEN ''
-       WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\\-]*:') THEN href
-       WHEN starts_with(href, '//') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1) || ':' || href
-       WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1) || href
-       WHEN starts_with(href, '?') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', '') || href
-       WHEN starts_with(href, '#') THEN regexp_replace(regexp_replace(url, '#.*$', ''), '\\?$', '') || href
-       ELSE regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\\?.*$', ''), '[^/]*$', '') || href
-  END AS absolute_url
+  {_ABSOLUTE} AS absolute_url
 FROM h""")
 def q_page_hrefs(spark, sf_dir):
     """every href of every page (native extraction), made absolute against
@@ -629,3 +649,15 @@ def q_extract_salary_strict(spark, sf_dir):
     scaled, bare numeric ranges ignored."""
     return transform_postings(derived_postings(spark, sf_dir), strict_salary=True).select(
         "ingest_seq", "salary_min", "salary_max", "salary_currency", "salary_overflow")
+
+
+@register("page_links", f"""
+WITH h AS (
+  SELECT page_id, url, x.h AS href, x.i - 1 AS pos FROM (
+    SELECT page_id, url, unnest(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), {O.q(_HREF)}, 1),
+                                               lambda v, i: {{'h': v, 'i': i}})) AS x
+    FROM pages))
+SELECT page_id, CAST(pos AS INTEGER) AS pos, {_ABSOLUTE} AS url FROM h""")
+def q_page_links(spark, sf_dir):
+    """The links of every page's menu, absolute, by the HTML parser."""
+    return H.page_links(table(spark, sf_dir, "pages"))

@@ -239,10 +239,12 @@ def with_star(body: str) -> str:
 def frontier_sql() -> str:
     from ..sources import frontier as FR
     plat = pick("event_id % 3", D.PLATFORMS)
-    return f"""SELECT {plat} AS platform, CAST(floor(event_id / {FR.EVENTS_PER_PAGE}) AS BIGINT) + 1 AS page,
-  event_id AS pos,
+    crawl = f"(event_id // {FR.EVENTS_PER_CRAWL})"
+    page = f"((event_id % {FR.EVENTS_PER_CRAWL}) // {FR.EVENTS_PER_PAGE} + 1)"
+    return f"""SELECT CAST({crawl} AS BIGINT) AS crawl, {plat} AS platform, CAST({page} AS BIGINT) AS page,
+  event_id AS pos, event_type = 'error' AS failed,
   'https://' || {plat} || '.example/job/u' || CAST(user_id AS VARCHAR) AS url,
-  (((CAST(floor(event_id / {FR.EVENTS_PER_PAGE}) AS BIGINT) + 1) % {FR.EMPTY_PAGE_MOD}) = {FR.EMPTY_PAGE_REM}) AS page_empty,
+  (({page} + {crawl}) % {FR.EMPTY_PAGE_MOD} = {FR.EMPTY_PAGE_REM}) AS page_empty,
   user_id AS "user"
 FROM events"""
 

@@ -31,10 +31,10 @@ def test_key_phrases_are_counted_inside_the_row(spark):
     assert "Exchange" not in _plan(R.key_phrases(table(spark, SF001, "documents")))
 
 
-def test_crawl_join_on_platform_is_broadcast(spark):
-    plan = _plan(C.crawl_prefix(derived_frontier(spark, SF001)))
-    assert "BroadcastHashJoin [platform" in plan
-    assert "hashpartitioning(platform" not in plan.split("BroadcastHashJoin [platform")[0]
+def test_crawl_cap_is_limited_before_the_shuffle(spark):
+    plan = _plan(C.crawl_cap(derived_frontier(spark, SF001), 20, 10))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "SinglePartition" not in plan
 
 
 def test_scans_read_only_needed_columns(spark):
