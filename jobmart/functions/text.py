@@ -167,12 +167,16 @@ def normalize_url(url: Column, base: Column | str) -> Column:
     # relative path -- and of the base path it is merged with -- so such rows go
     # to the helper; every other shape has an exact native form.
     odd_path = r"(^|/)\.\.?(/|$|\?|#)|[^/:]//|^/[^/?#]*//"
+    # leading blanks and controls, line breaks inside, empty queries, fragments or parameters
+    odd_url = r"^[\x00-\x20]|[\t\r\n]|\?$|\?#|#$|;"
     url_path = F.regexp_extract(url, r"^([^?#]*)", 1)
     base_path = F.regexp_replace(no_query, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*", "")
     needs_helper = ~url.startswith("//") & ~url.startswith("?") & ~url.startswith("#") & (
         url_path.rlike(odd_path) | F.concat(F.lit("/"), base_path).rlike(odd_path))
     return (
         F.when(url.isNull() | (url == ""), F.lit(""))
+        .when(b.isNull() | (b == ""), url)
+        .when(url.rlike(odd_url), _urljoin_udf(b, url))
         .when(url.rlike(_SCHEME), url)
         .when(needs_helper, _urljoin_udf(b, url))
         .when(url.startswith("//"), F.concat(scheme, F.lit(":"), url))
@@ -184,9 +188,17 @@ def normalize_url(url: Column, base: Column | str) -> Column:
     )
 
 
+def _join(base: str | None, url: str | None) -> str:
+    """``urljoin``; '' for what it refuses (a malformed host)."""
+    try:
+        return urljoin(base or "", url) if url else ""
+    except ValueError:
+        return ""
+
+
 def _urljoin_udf(base: Column, url: Column) -> Column:
     @F.pandas_udf("string")
     def urljoin_batch(b: pd.Series, u: pd.Series) -> pd.Series:
-        return pd.Series([urljoin(x, y) if y else "" for x, y in zip(b, u)])
+        return pd.Series([_join(x, y) for x, y in zip(b, u)])
 
     return urljoin_batch(base, url)

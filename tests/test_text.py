@@ -48,14 +48,20 @@ def test_quote_plus_matches_python(spark):
 
 def test_normalize_url_matches_urljoin(spark):
     urls = ["", "https://other.example/a", "//cdn.example/x//y", "/job/1", "?page=2", "#top",
-            "job/2", "../up/3", "./here", "/x//y", "a//b", "/a/./b/../c?q=1#f", "sub/"]
+            "job/2", "../up/3", "./here", "/x//y", "a//b", "/a/./b/../c?q=1#f", "sub/",
+            " /x", "\n/x", "a\tb", "x?", "?", "?a=1#", "/x#", "x;", "http://h/?", "https://www.careerviet.vn?#", "mailto:a@b", "\x01"]
     for base in ["https://www.careerviet.vn/viec-lam/tim?x=1#f", "https://host", "http://h/a//b/c",
-                 "https://vieclam24h.vn/tim-kiem-viec-lam-nhanh?"]:
+                 "https://vieclam24h.vn/tim-kiem-viec-lam-nhanh?", ""]:
         df = spark.createDataFrame([(u,) for u in urls], "u string")
         out = [r.n for r in df.select(TX.normalize_url(F.col("u"), base).alias("n")).collect()]
         assert out == [urljoin(base, u) if u else "" for u in urls], base
 
 
+def test_malformed_hosts_are_empty(spark):
+    df = spark.createDataFrame([("http://[bad?",), (" http://[bad",)], "u string")
+    assert [r.n for r in df.select(TX.normalize_url(F.col("u"), "https://h/").alias("n")).collect()] == ["", ""]
+
+
 def test_whole_word_rules(spark):
     df = spark.createDataFrame([("5+ years",), ("5+years",), ("tỉ mỉ, careful",), ("pythonic code",)], "t string")
     out = df.select(
