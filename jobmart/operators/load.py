@@ -155,8 +155,9 @@ def load_stats_by_batch(raw: DataFrame, batch: str = "batch", **transform_opts)
     keys and once for their skills; both are staged, narrow, and counted from there."""
     from .transform import essential_ok, transform_postings
 
-    ok = essential_ok(raw)
-    rows_ = materialize(raw.select(batch, "job_url", ok.alias("ok")), "stats-rows")
+    # what the transform rejects never reaches the load; its errors are rows without a key
+    ok = F.col("platform").isNotNull() & F.col("job_url").isNotNull() & F.col("job_title").isNotNull()
+    rows_ = materialize(raw.filter(essential_ok(raw)).select(batch, "job_url", ok.alias("ok")), "stats-rows")
     ex = materialize(exploded_skills(transform_postings(raw, **transform_opts)).select(batch, "job_url", "skill_name"),
                      "stats-skills")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..operators import load as L
-from ..operators.transform import transform_postings, transform_stats
+from ..operators.transform import essential_ok, transform_postings, transform_stats
 from ..sources.postings import derived_postings
 from ..sources.tables import table
 from . import oracle as O
@@ -73,6 +73,17 @@ def q_extract_skills(spark, sf_dir):
             .select("ingest_seq", "skill_pos", "s.skill_name", "s.skill_category"))
 
 
+@register("extract_skills_by_table", ORACLE["extract_skills"])
+def q_extract_skills_by_table(spark, sf_dir):
+    """The same skills with the dictionary as a table."""
+    from .. import dictionaries as D
+    from ..operators.skills import extract_skills_by_table
+    entries = [(o, n, k, kw) for o, n, k, kws in D.skill_entries() for kw in kws]
+    table_ = spark.createDataFrame(entries, "entry_order int, skill_name string, skill_category string, keyword string")
+    raw = derived_postings(spark, sf_dir)
+    return extract_skills_by_table(raw.filter(essential_ok(raw)), table_)
+
+
 @register("detect_seniority", O.with_tx("SELECT ingest_seq, seniority_level FROM tx"))
 def q_detect_seniority(spark, sf_dir):
     return processed(spark, sf_dir).select("ingest_seq", "seniority_level")
@@ -352,7 +363,8 @@ seen AS (SELECT b.crawl, b.platform, count(*) AS rows_seen FROM prefix x
 got AS (SELECT b.crawl, b.platform, count(*) FILTER (WHERE NOT failed) AS jobs, count(*) FILTER (WHERE failed) AS bad
         FROM firsts x JOIN base b ON x.crawl = b.crawl AND x.platform = b.platform WHERE {inside} GROUP BY 1, 2)
 SELECT w.crawl, p.platform,
-  CAST(coalesce(b.lpage, {f"least(b.stop_page, {pages})" if pages else "b.stop_page"}, 0) AS BIGINT) AS pages_visited,
+  CAST(CASE WHEN b.platform IS NULL THEN 0 ELSE coalesce(b.lpage, {f"least(b.stop_page, {pages})" if pages else "b.stop_page"}) END
+       AS BIGINT) AS pages_visited,
   coalesce(g.jobs, 0) AS jobs_scraped, coalesce(s.rows_seen, 0) - coalesce(g.jobs, 0) - coalesce(g.bad, 0) AS duplicates_skipped,
   CASE WHEN b.platform IS NULL THEN 1 ELSE coalesce(g.bad, 0) END AS errors,
   CASE WHEN b.platform IS NULL OR b.stop_page = 1 THEN 'failed' ELSE 'success' END AS status
@@ -661,3 +673,14 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, {_ABSOLUTE} AS url FROM h""")
 def q_page_links(spark, sf_dir):
     """The links of every page's menu, absolute, by the HTML parser."""
     return H.page_links(table(spark, sf_dir, "pages"))
+
+
+# --- a user platform (U02): the pages table as one more platform ----------------------
+@register("user_platform_pages", ORACLE["page_fields"].replace(" AS title", " AS job_title").replace(" AS body", " AS job_description")
+          .replace("SELECT page_id, url,", "SELECT page_id AS ingest_seq, url AS job_url, 'site' AS platform,")
+          .rsplit(",\n  CAST(len(", 1)[0] + "\nFROM pages")
+def q_user_platform_pages(spark, sf_dir):
+    """Postings from the ``pages`` table with a user's selectors."""
+    rules = {"site": {"job_title": ("h1", None), "job_description": ("article", None)}}
+    pages = table(spark, sf_dir, "pages").withColumn("platform", F.lit("site"))
+    return H.parse_detail_pages(pages, selectors=rules).select("ingest_seq", "job_url", "platform", "job_title", "job_description")
