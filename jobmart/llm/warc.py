@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, id_text, partitions, text_or_empty
+from .common import ensure_checkpoint_dir, id_text, text_or_empty
 
 READ_STEP = 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -122,19 +122,17 @@ def write_archives(pages: DataFrame, root: str, archive_bytes: int = 32 << 20) -
     """Write ``pages`` (page_id, url, html) as ``root``/archives/*.warc.gz; returns that folder.
 
     ``root`` must be reachable from every executor (a URI that pyarrow's file systems open)."""
-    spark = pages.sparkSession
     folder = f"{root.rstrip('/')}/archives"
     rows = pages.select("page_id", text_or_empty("url").alias("url"), text_or_empty("html").alias("html"))
     rows = rows.withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
     # digests that occur once need no partner; the maximum combines before the shuffle
     groups = (rows.groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
               .filter("n > 1").drop("n"))
-    n = partitions(spark)
     rows = (rows.join(groups, "digest", "left")
             .withColumn("revisit", F.coalesce(F.col("page_id") != F.col("last"),
                                               F.col("page_id").isNull() & F.col("last").isNotNull()))
             .select("page_id", "url", "html", id_text("last").alias("last"), "revisit")
-            .repartition(n, F.xxhash64("page_id", "url")).sortWithinPartitions("page_id", "url", F.xxhash64("html"))
+            .sortWithinPartitions("page_id", "url", F.xxhash64("html"))
             .withColumn("page_id", id_text("page_id")))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
