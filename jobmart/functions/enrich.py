@@ -14,12 +14,6 @@ from .. import dictionaries as D
 from .text import WS, escape, has_whole_word, is_single_word
 
 
-def enrich_text(title: Column, description: Column, title_first: bool) -> Column:
-    """lower(title + ' ' + desc) for seniority, lower(desc + ' ' + title) for skills."""
-    parts = (title, description) if title_first else (description, title)
-    return F.lower(F.concat(parts[0], F.lit(" "), parts[1]))
-
-
 # --- F08 -------------------------------------------------------------------
 def detect_seniority(text: Column, levels: dict[str, list[str]] | None = None,
                      priority: list[str] | None = None,
@@ -64,13 +58,6 @@ def extract_skills(text: Column, dictionary: dict | None = None,
     return F.filter(F.array(*found), lambda s: s.isNotNull())
 
 
-def skill_table(spark: SparkSession, dictionary: dict | None = None,
-                types: dict[str, str] | None = None) -> DataFrame:
-    """(skill_order, skill_name, skill_category) -- a dictionary-sized table."""
-    rows = [(o, n, k) for o, n, k, _ in D.skill_entries(dictionary, types)]
-    return spark.createDataFrame(rows, "skill_order int, skill_name string, skill_category string")
-
-
 # --- F16 -------------------------------------------------------------------
 def keyword_table(spark: SparkSession, dictionary: dict | None = None) -> DataFrame:
     """Flattened keyword -> skill map; a later category overwrites an earlier one."""
@@ -161,7 +148,7 @@ def extract_posted_date(clean_desc: Column, raw_posting_date: Column | None = No
 
 
 __all__ = [
-    "enrich_text", "detect_seniority", "extract_skills", "skill_table", "keyword_table",
+    "detect_seniority", "extract_skills", "keyword_table",
     "canonical_location", "canonical_locations", "extract_company", "extract_location",
     "extract_posted_date", "parse_date", "label_pattern", "keyword_hits",
 ]

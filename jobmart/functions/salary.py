@@ -29,7 +29,7 @@ UNIT = r"(?:triệu|tr|vnd|vnđ)"
 RANGE_SEP = r"(?:-|đến|tới)"
 S = WS + "*"
 
-# (pattern, number of numeric groups, max rule); the order is the priority order.
+# FIXED VALUES: (pattern, number of numeric groups, max rule); the order is the priority order.
 #   rule "pair": max from group 2;  "est_raw": 1.2 x unscaled min;  "est": 1.2 x scaled min
 PATTERNS: list[tuple[str, int, str]] = [
     (f"({NUM}){S}{RANGE_SEP}{S}({NUM}){S}{UNIT}", 2, "pair"),
@@ -44,10 +44,6 @@ MILLION = 1_000_000
 LONG_MAX = 9223372036854775807
 
 
-def salary_text(title: Column, description: Column) -> Column:
-    return F.lower(F.concat_ws(" ", title, description))
-
-
 def _read_number(digits: Column) -> tuple[Column, Column]:
     """int(float(s)) -> (value or null, overflow flag)."""
     d = digits.try_cast("double")

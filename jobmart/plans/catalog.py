@@ -499,6 +499,22 @@ def q_canonical_location(spark, sf_dir):
     return QL.canonical_locations_of(raw, "location")
 
 
+_CANONICAL = ", ".join(f"({O.q(n)})" for n in D.LOCATION_ALIASES)
+
+
+@register("canonical_locations", f"""WITH raw AS ({O.derived_postings_sql()}),
+found AS (SELECT {O.canonical_location('location')} AS location, count(*) AS postings FROM raw GROUP BY 1)
+SELECT n.location, coalesce(f.postings, 0) AS postings FROM (VALUES {_CANONICAL}) n(location)
+LEFT JOIN found f ON f.location = n.location""")
+def q_canonical_locations(spark, sf_dir):
+    """every canonical location, with its postings."""
+    from ..functions import enrich as E
+    found = (derived_postings(spark, sf_dir).groupBy(E.canonical_location(F.col("location")).alias("location"))
+             .agg(F.count(F.lit(1)).alias("postings")))
+    return (E.canonical_locations(spark).join(found, "location", "left")
+            .select("location", F.coalesce("postings", F.lit(0)).alias("postings")))
+
+
 _KW_VALUES = ", ".join(f"({o}, {O.q(n)}, {O.q(k)})" for o, _, n, k in D.keyword_rows())
 
 

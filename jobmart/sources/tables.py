@@ -1,4 +1,4 @@
-"""Parquet sources (S01 re-aimed): the given tables and raw postings files."""
+"""The given Parquet tables."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import RAW_POSTING
-
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -20,9 +18,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     n = spark.conf.get("jobmart.inputPartitions", None)
     return df.repartition(int(n)) if n else df
-
-
-def read_raw_postings(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Raw postings from files (json lines or parquet) with the declared schema."""
-    reader = spark.read.schema(RAW_POSTING)
-    return reader.json(path) if fmt == "json" else reader.parquet(path)
