@@ -445,7 +445,7 @@ def q_semantic_relevance(spark, sf_dir):
 _WORDS_CTE = f"""
 WITH w AS (
   SELECT doc_id, x.w AS word, x.p AS pos FROM (
-    SELECT doc_id, unnest(list_transform(regexp_split_to_array(lower(text), {O.q(TX.WS_RUN)}),
+    SELECT doc_id, unnest(list_transform(regexp_split_to_array(lower(text), {O.q(O.WS_RUN)}),
                                          lambda v, i: {{'w': v, 'p': i}})) AS x
     FROM documents WHERE length(text) >= {D.KEY_PHRASE_MIN_TEXT})),
 f AS (SELECT doc_id, word, count(*) AS freq, CAST(min(pos) - 1 AS INTEGER) AS first_pos FROM w
@@ -461,7 +461,7 @@ def q_word_frequency(spark, sf_dir):
 @register("key_phrases", f"""
 WITH w AS (
   SELECT doc_id, x.w AS word, x.p AS pos FROM (
-    SELECT doc_id, unnest(list_transform(regexp_split_to_array(lower(text), {O.q(TX.WS_RUN)}),
+    SELECT doc_id, unnest(list_transform(regexp_split_to_array(lower(text), {O.q(O.WS_RUN)}),
                                          lambda v, i: {{'w': v, 'p': i}})) AS x
     FROM documents WHERE length(text) >= {D.KEY_PHRASE_MIN_TEXT})),
 f AS (SELECT doc_id, word, count(*) AS freq, min(pos) AS first_pos FROM w

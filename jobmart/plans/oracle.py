@@ -1,7 +1,7 @@
 """DuckDB SQL for every registered query: the correctness oracle.
 
 Each builder below is the SQL twin of a Column function in ``jobmart.functions``
-and reads the same fixed dictionaries and regex text.  DuckDB specifics: global
+and reads the same fixed dictionaries; patterns are written out here.  DuckDB specifics: global
 ``regexp_replace`` needs the 'g' flag, BIGINT casts round (so ``trunc`` first),
 lambdas use ``lambda x:``.  Ids are 64-bit hashes on the Spark side, which
 DuckDB cannot compute, so oracle queries compare on natural keys.
@@ -12,11 +12,49 @@ from __future__ import annotations
 from urllib.parse import quote_plus as py_quote_plus
 
 from .. import dictionaries as D
-from ..functions import salary as SAL
-from ..functions.enrich import DATE_ANY, DATE_LEAD, LABELS, label_pattern
-from ..functions.text import WS, WS_RUN, escape, whole_word_pattern
 from ..sources import postings as P
 
+# the patterns, written out here on their own: none is taken from the code they check
+WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
+WS_RUN = r"[\t-\r\x1c-\x20\x85\p{Z}]+"
+DATE_LEAD = r"^([0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})"
+DATE_ANY = r"([0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{4}-[0-9]{2}-[0-9]{2})"
+LABEL_PATTERNS = {
+    label: r"(?:^|[^\p{L}\p{N}_])" + label + r"\s*:\s*(.*?)\s*(?:công ty\s*:|địa điểm\s*:|ngày cập nhật\s*:|$)"
+    for label in ("công ty", "địa điểm", "ngày cập nhật")}
+_GAP = WS + "*"
+
+
+def _salary(template: str, number: str) -> str:
+    """``#`` is a number, ``~`` optional white space, ``$`` the unit, ``=`` a range sign."""
+    return (template.replace("~", _GAP).replace("#", f"({number})").replace("$", "(?:triệu|tr|vnd|vnđ)")
+            .replace("=", "(?:-|đến|tới)"))
+
+
+_PLAIN = r"[0-9][0-9\.]*"
+SALARY = [(_salary(t, _PLAIN), n, rule) for t, n, rule in (
+    ("#~=~#~$", 2, "pair"), ("#~=~#", 2, "pair"), ("up to~#~$", 1, "est_raw"), ("from~#~$", 1, "est_raw"),
+    ("#~$~-~#~$", 2, "pair"), ("#~$", 1, "est"))]
+_STRICT = r"[0-9]+(?:[\.,][0-9]{3})*(?:[\.,][0-9]{1,2})?"
+SALARY_STRICT = [(_salary(t, _STRICT), n, rule) for t, n, rule in (
+    ("#~=~#~$", 2, "pair"), ("up to~#~$", 1, "est"), ("from~#~$", 1, "est"), ("#~$~=~#~$", 2, "pair"), ("#~$", 1, "est"))]
+
+_SPECIAL = set("\\.^$|?*+()[]{}")
+
+
+def escape(text: str) -> str:
+    return "".join("\\" + c if c in _SPECIAL else c for c in text)
+
+
+def whole_word_pattern(keywords: list[str]) -> str:
+    """Any keyword between word boundaries: beside a word character stands none or an edge,
+    beside another character a word character."""
+    word, other = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+    inside = lambda c: c.isalnum() or c == "_"
+    return "(?:" + "|".join(
+        (f"(?:^|{other})" if inside(k[0]) else word) + escape(k) + (f"(?:$|{other})" if inside(k[-1]) else word)
+        for k in keywords) + ")"
+
 
 def q(s: str) -> str:
     """SQL string literal."""
@@ -99,7 +137,7 @@ def canonical_location(c: str) -> str:
 
 
 def label_value(clean: str, label: str) -> str:
-    return f"regexp_extract(coalesce({clean}, ''), {q(label_pattern(label))}, 1)"
+    return f"regexp_extract(coalesce({clean}, ''), {q(LABEL_PATTERNS[label])}, 1)"
 
 
 def parse_date(s: str) -> str:
@@ -119,14 +157,14 @@ SCALE_LIMIT = 9223372036854  # largest value that can be multiplied by 1e6 in a
 def salary_columns(text: str) -> str:
     """SELECT-list fragment producing salary_min, salary_max, salary_currency,
     salary_overflow from an already lower-cased text column."""
-    pats = SAL.PATTERNS
+    pats = SALARY
     tagged = "coalesce(" + ", ".join(
         f"nullif('{i}' || regexp_extract({text}, {q(p)}, 0), '{i}')" for i, (p, _, _) in enumerate(pats)) + ")"
     return f"{tagged} AS _tagged"
 
 
 def salary_finish(prefix: str = "") -> str:
-    pats = SAL.PATTERNS
+    pats = SALARY
     idx = "CAST(substr(_tagged, 1, 1) AS INTEGER)"
     m = "substr(_tagged, 2)"
 
@@ -263,8 +301,7 @@ def listing_url_sql(platform: str, page: str, query: str) -> str:
 
 
 __all__ = ["q", "with_tx", "with_star", "frontier_sql", "listing_url_sql", "normalize_text",
-           "clean_html", "truncate_text", "clean_description", "canonical_location",
-           "LABELS"]
+           "clean_html", "truncate_text", "clean_description", "canonical_location"]
 
 
 def strict_salary_select(text: str = "_t_td") -> str:
@@ -273,7 +310,7 @@ def strict_salary_select(text: str = "_t_td") -> str:
     The Spark side strips thousands separators with a lookahead; RE2 has none,
     so here the number is split into its integer part (groups of three digits)
     and an optional 1-2 digit decimal part."""
-    pats = SAL.STRICT_PATTERNS
+    pats = SALARY_STRICT
     tagged = "coalesce(" + ", ".join(
         f"nullif('{i}' || regexp_extract({text}, {q(p)}, 0), '{i}')" for i, (p, _, _) in enumerate(pats)) + ")"
     idx = "CAST(substr(_tagged, 1, 1) AS INTEGER)"
