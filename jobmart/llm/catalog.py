@@ -22,6 +22,47 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _reach(nodes: str, links: str) -> str:
+    """CTE ``comp``: the smallest node that each node of ``links`` (a, b) reaches."""
+    return f"""
+reach(node, seen) AS (SELECT node, node FROM {nodes} UNION SELECT l.a, r.seen FROM reach r JOIN {links} l ON l.b = r.node),
+comp AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)"""
+
+
+_JOIN_SQL = f"""WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+grams AS (SELECT DISTINCT doc_id AS node, g FROM (
+  SELECT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: list_slice(ws, i, i + 4))
+                             WHEN len(ws) > 0 THEN [ws] ELSE [] END) AS g FROM w)),
+sizes AS (SELECT node, count(*) AS n FROM grams GROUP BY node),
+links AS (SELECT a, b, c = na AND c = nb AS same FROM (
+  SELECT x.node AS a, y.node AS b, count(*) AS c, any_value(sx.n) AS na, any_value(sy.n) AS nb
+  FROM grams x JOIN grams y ON x.g = y.g AND x.node <> y.node JOIN sizes sx ON sx.node = x.node JOIN sizes sy ON sy.node = y.node
+  GROUP BY 1, 2) WHERE c >= 0.8 * (na + nb - c)),
+{_reach("(SELECT doc_id AS node FROM documents)", "links")}
+SELECT d.doc_id, least(d.doc_id, (SELECT min(b) FROM links l WHERE l.a = d.doc_id AND same)) AS class_id,
+  (SELECT count(*) FROM links l WHERE l.a = d.doc_id) AS n_links, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN comp c ON c.node = d.doc_id"""
+
+_DEDUP_SQL = f"""WITH RECURSIVE v AS (
+  SELECT vec_id AS node, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE list_aggregate(list_transform(embedding, lambda x: abs(x)), 'max') > 0),
+links AS (SELECT x.node AS a, y.node AS b FROM v x JOIN v y ON x.node <> y.node AND list_cosine_similarity(x.e, y.e) >= 0.9),
+{_reach("(SELECT vec_id AS node FROM embeddings)", "links")}
+SELECT m.vec_id, (SELECT count(*) FROM links l WHERE l.a = m.vec_id) AS n_links, c.component_id, m.vec_id = c.component_id AS kept
+FROM embeddings m JOIN comp c ON c.node = m.vec_id"""
+
+_WARC_SQL = """WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+SELECT page_id, octet_length(encode(h)) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(CAST(
+    substr(CAST(CAST(unhex(sha1(h)) AS BIT) AS VARCHAR), CAST(i * 5 + 1 AS BIGINT), 5) AS BIT) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to, url
+FROM p"""
+
+
 @register("op1_best_fit_packing")
 def q_packing(spark, sf_dir):
     """All documents packed into sequences of at most 1024 tokens."""
@@ -40,13 +81,13 @@ def q_toxicity(spark, sf_dir):
     return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-@register("op6_ngram_jaccard_join")
+@register("op6_ngram_jaccard_join", _JOIN_SQL)
 def q_ngram_join(spark, sf_dir):
     """Links and components of all documents by five-word shingles, similarity 0.8 or more."""
     return ngram_join.jaccard_join(read_table(spark, sf_dir, "documents")).drop("node")
 
 
-@register("op8_warc")
+@register("op8_warc", _WARC_SQL)
 def q_warc(spark, sf_dir):
     """Every page written to WARC archives and read back."""
     return warc.round_trip(read_table(spark, sf_dir, "pages")).select(
@@ -72,7 +113,7 @@ def q_lm(spark, sf_dir):
     return lm.score_documents(read_table(spark, sf_dir, "documents"))
 
 
-@register("op7_embedding_near_dedup")
+@register("op7_embedding_near_dedup", _DEDUP_SQL)
 def q_embeddings(spark, sf_dir):
     """Links and components of all embeddings by cosine, 0.9 or more."""
     return embed_dedup.near_dedup(read_table(spark, sf_dir, "embeddings"))
