@@ -40,7 +40,8 @@ THRESHOLD = 0.8
 TREES = 12
 MAX_DEPTH = 4
 TARGET = 0.9995
-BLOCK = 512
+BLOCK = 256
+BITMAP = 1 << 24
 _MULTIPLY = np.random.default_rng(11).integers(1, 2**63, TREES * MAX_DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -196,17 +197,21 @@ def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, targ
                          .mapInPandas(sign, "has_id boolean, node long, set binary, grams int, nodes array<long>"), "join-signed")
     classes = materialize(signed.groupBy("set").agg(F.min("node").alias("class_id"), F.count(F.lit(1)).alias("copies"),
                                                     F.first("grams").alias("grams"), F.first("nodes").alias("nodes")), "join-classes")
-    trees = classes.filter("grams > 0").select(F.col("class_id").alias("node"), "nodes", F.posexplode("nodes").alias("tree", "trie"))
+    labelled = classes.filter("grams > 0").select(F.col("class_id").alias("node"), "nodes")
+    # one narrow row a class and tree; only members of shared trie nodes go on
+    trees = labelled.select("node", F.posexplode("nodes").alias("tree", "trie"))
     multi = materialize(trees.groupBy("tree", "trie").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "join-multi")
-    members = trees.join(multi, ["tree", "trie"])
+    members = materialize(trees.join(multi, ["tree", "trie"]), "join-members")
     # members that all share a node of one earlier tree meet there already
     one = [F.min(F.element_at("nodes", t + 1)) == F.max(F.element_at("nodes", t + 1)) for t in range(TREES)]
-    useful = (members.groupBy("tree", "trie").agg(F.max("n").alias("n"), *[o.alias(f"o{t}") for t, o in enumerate(one)])
+    useful = (members.join(labelled, "node").groupBy("tree", "trie")
+              .agg(F.max("n").alias("n"), *[o.alias(f"o{t}") for t, o in enumerate(one)])
               .filter(~_any([(F.col("tree") > t) & F.col(f"o{t}") for t in range(TREES)]))
               .select("tree", "trie", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    places = materialize(trees.select("node", "tree", "trie").join(useful, ["tree", "trie"]), "join-places")
+    places = materialize(members.select("node", "tree", "trie").join(useful, ["tree", "trie"]), "join-places")
     wanted = places.select("node").distinct().join(
         classes.filter("grams > 0").select(F.col("class_id").alias("node"), "set", "copies", "nodes"), "node")
+    maybe = _bitmap(places.select("node"))
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -219,7 +224,7 @@ def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, targ
                                     "nodes": [np.asarray(x, "<i8").tobytes() for x in part["nodes"]],
                                     "grams": [s.astype("<u8").tobytes() for s in sets]})[same]
 
-    sets = materialize(rows.select("node", "text").join(wanted, "node")
+    sets = materialize(rows.select("node", "text").filter(maybe("node")).join(wanted, "node")
                        .mapInPandas(grams, "node long, copies long, set binary, nodes binary, grams binary")
                        .dropDuplicates(["node", "set"]).drop("set"), "join-sets")
 
@@ -268,6 +273,26 @@ def jaccard_join(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, targ
             .select("node", F.when(F.col("has_id"), F.col("node")).alias("doc_id"), "class_id", "n_links", "component_id", (F.col("node") == F.col("component_id")).alias("kept")))
 
 
+def _bitmap(ids: DataFrame, bits: int = BITMAP):
+    """A filter that every id of ``ids`` passes and few others, from a bitmap of ``bits`` bits.
+
+    Texts that cannot be candidates need not be shuffled to the join that follows.  The
+    bitmap's size is fixed: with more ids it lets more rows through, and the join
+    still decides."""
+    at = F.pmod(F.xxhash64("node"), F.lit(bits))
+    words = (ids.select(F.shiftright(at, 5).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(node), {bits}) & 31 as int))").alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas())      # bits / 32 rows at most
+    table = np.zeros(bits // 32, np.int64)
+    table[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64)
+    shared = ids.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def test(place: pd.Series) -> pd.Series:
+        p = place.to_numpy(np.int64)
+        return pd.Series((shared.value[p >> 5] >> (p & 31)) & 1 == 1)
+    return lambda node: test(F.pmod(F.xxhash64(node), F.lit(bits)))
+
+
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with one row of each group of linked rows (the smallest id), all columns."""
     kept = jaccard_join(docs, **how).filter("kept").select(F.col("node").alias("_node")).distinct()
