@@ -15,7 +15,8 @@ def norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
-def cosine_similarity(a: Column, b: Column) -> Column:
-    """NULL when either side is NULL, empty or all zero."""
-    denom = norm(a) * norm(b)
+def cosine_similarity(a: Column, b: Column, b_norm: Column | None = None) -> Column:
+    """NULL when either side is NULL, empty or all zero.  ``b_norm``: the norm of ``b`` where
+    it is known already (one query vector for all rows)."""
+    denom = norm(a) * (norm(b) if b_norm is None else b_norm)
     return F.when(denom > 0, dot(a, b) / denom)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import pandas as pd
@@ -41,11 +42,11 @@ def keyword_relevance(df: DataFrame, query: str, title: str = "job_title",
 
 def semantic_relevance(df: DataFrame, vector: str, query_vector: Column,
                        threshold: float = D.SEMANTIC_THRESHOLD,
-                       fallback: Column | None = None) -> DataFrame:
+                       fallback: Column | None = None, query_norm: Column | None = None) -> DataFrame:
     """cosine(vector, query_vector) >= threshold.  Where the similarity is
     undefined (missing or zero vector) the ``fallback`` flag decides (P05 in the
     original); without one the row is not relevant."""
-    sim = cosine_similarity(F.col(vector), query_vector)
+    sim = cosine_similarity(F.col(vector), query_vector, query_norm)
     rel = F.when(sim.isNotNull(), sim >= threshold)
     rel = F.coalesce(rel, fallback if fallback is not None else F.lit(False))
     return df.select("*", sim.alias("similarity"), rel.alias("relevant"))
@@ -135,5 +136,6 @@ def semantic_relevance_text(df: DataFrame, embed, query: str, title: str = "job_
     kw = keyword_matches(F.col(title), F.col(description), query) >= keyword_threshold(query) \
         if query.split() else F.lit(False)
     out = semantic_relevance(df.select("*", vec.alias("_embedding")), "_embedding",
-                             F.array(*[F.lit(x) for x in qvec]).cast("array<double>"), threshold, fallback=kw)
+                             F.array(*[F.lit(x) for x in qvec]).cast("array<double>"), threshold, fallback=kw,
+                             query_norm=F.lit(math.sqrt(sum(x * x for x in qvec))))
     return out.drop("_embedding")

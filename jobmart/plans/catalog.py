@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..functions.vectors import norm
 from ..operators import load as L
 from ..operators.transform import essential_ok, transform_postings, transform_stats
 from ..sources.postings import derived_postings
@@ -437,8 +438,9 @@ def q_semantic_relevance(spark, sf_dir):
     # the query vector is a scalar subquery (one row, computed once), projected
     # as a column before the array functions use it
     query_vec = e.filter(F.col("vec_id") == 0).select("embedding").scalar()
-    e = e.select("*", query_vec.alias("_query_vec"))
-    return (R.semantic_relevance(e, "embedding", F.col("_query_vec"))
+    query_norm = e.filter(F.col("vec_id") == 0).select(norm(F.col("embedding"))).scalar()
+    e = e.select("*", query_vec.alias("_query_vec"), query_norm.alias("_query_norm"))
+    return (R.semantic_relevance(e, "embedding", F.col("_query_vec"), query_norm=F.col("_query_norm"))
             .select("vec_id", F.round("similarity", 6).alias("similarity"), "relevant"))
 
 
