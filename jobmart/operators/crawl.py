@@ -13,8 +13,7 @@ means no cap.
 * the first sighting of a URL and the first N postings are ``row_number() <= N``,
   which Spark runs as a partial top-N (``WindowGroupLimit``) before the shuffle, so
   a platform or URL that holds a third of all rows sends N rows per map task;
-* links meet the small per-walk tables in joins whose side Spark picks by size in
-  bytes and splits when a platform is skewed.
+* links meet per-walk values page by page, so no join deals out links by platform.
 """
 
 from __future__ import annotations
@@ -51,11 +50,24 @@ def select_platforms(frontier: DataFrame, enabled: list[str] | None = None,
     return frontier.filter(F.col("platform").isin([p for p in enabled if p not in unknown]))
 
 
+def _pages(frontier: DataFrame) -> DataFrame:
+    """The pages that hold links, one row each."""
+    return frontier.filter(~F.col("page_empty")).select(*_walk(frontier), "page").distinct()
+
+
+def _on_pages(rows: DataFrame, frontier: DataFrame, per_walk: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their walk's row in ``per_walk``.
+
+    Links meet them page by page: a platform may hold a third of all links, a page does not."""
+    keys = _walk(frontier)
+    return rows.join(_pages(frontier).join(per_walk, keys), [*keys, "page"])
+
+
 def stop_pages(frontier: DataFrame, max_pages: int | None) -> DataFrame:
     """Per walk the first page, from 1, that holds no links or is missing (a failed
     fetch); ``max_pages + 1`` when the page budget ends first."""
     keys = _walk(frontier)
-    full = frontier.filter(~F.col("page_empty")).select(*keys, "page").distinct()
+    full = _pages(frontier)
     # the page after every page with links, and page 1: those without links are stops
     after = full.select(*keys, (F.col("page") + 1).alias("page"))
     first = frontier.select(*keys).distinct().select(*keys, F.lit(1).cast("long").alias("page"))
@@ -68,8 +80,7 @@ def stop_pages(frontier: DataFrame, max_pages: int | None) -> DataFrame:
 
 def crawl_prefix(frontier: DataFrame, max_pages: int | None) -> DataFrame:
     """Links on the pages walked before the stop page."""
-    return (frontier.filter(~F.col("page_empty"))
-            .join(stop_pages(frontier, max_pages), _walk(frontier))
+    return (_on_pages(frontier.filter(~F.col("page_empty")), frontier, stop_pages(frontier, max_pages))
             .filter(F.col("page") < F.col("stop_page"))
             .drop("stop_page", "page_empty"))
 
@@ -134,8 +145,9 @@ def crawl_stats(frontier: DataFrame, max_results: int | None, max_pages: int | N
                .select(*keys, place.alias("last")))
     base = stops.join(cut, keys, "left")
     inside = F.col("last").isNull() | (place <= F.col("last"))
-    seen = (prefix.join(base, keys).filter(inside).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_seen")))
-    got = (firsts.join(base, keys).filter(inside).groupBy(*keys)
+    ends = base.select(*keys, "last")
+    seen = (_on_pages(prefix, frontier, ends).filter(inside).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_seen")))
+    got = (_on_pages(firsts, frontier, ends).filter(inside).groupBy(*keys)
            .agg(F.count(F.when(~F.col("failed"), 1)).alias("jobs"), F.count(F.when(F.col("failed"), 1)).alias("bad")))
     zero = F.lit(0).cast("long")
     jobs, bad = F.coalesce("jobs", zero), F.coalesce("bad", zero)
