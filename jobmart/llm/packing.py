@@ -9,7 +9,8 @@
 3. Each block evolves ``islands`` populations, every (block, island) a group of its own.
    An individual is a partition of the block's pieces into bins (the groups).
    Crossover injects whole well-filled bins of one parent into the other, bins that hold
-   duplicates of injected pieces are dissolved, and displaced pieces are best-fitted.
+   duplicates of injected pieces are dissolved, and displaced pieces are best-fitted (those that
+   fill a bin exactly go first).
    Mutation dissolves the emptiest bins and a few others.  Between epochs every
    island's elite also migrates to the next island of its block.
 4. The best individual of a block places its pieces gapless into sequences.
@@ -38,7 +39,7 @@ BLOCK = 8192
 ISLANDS = 3
 EPOCHS = 2
 POPULATION = 4
-GENERATIONS = 4
+GENERATIONS = 8
 
 
 # --- pieces -------------------------------------------------------------------
@@ -114,6 +115,70 @@ class Problem:
                 mask |= 1 << r
         return out
 
+    def refit(self, bins: np.ndarray, items: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """Best-fit displaced ``items``: bins with room first take one or two of them that fill
+        it to the last token; then the longest item left opens a bin and those that fit its room best
+        join it -- one, two or three that fill it exactly, else the longest that fits."""
+        cap, out, placed = self.capacity, bins.copy(), bins >= 0
+        used = np.bincount(bins[placed], weights=self.lengths[placed]).astype(np.int64)
+        pool: list[list[int]] = [[] for _ in range(cap + 1)]
+        for i in items.tolist():
+            pool[int(self.lengths[i])].append(i)
+        left = np.array([len(x) for x in pool])
+        n, longest, remaining = len(used), cap, len(items)
+
+        def exact(gap: int) -> tuple[int, ...] | None:
+            if left[gap]:
+                return (gap,)
+            short = np.arange(gap // 2, 0, -1)
+            both = (left[short] > 0) & (left[gap - short] > 0)
+            if gap % 2 == 0 and len(both) and left[gap // 2] < 2:
+                both[0] = False
+            found = short[both]
+            if not len(found):
+                return None
+            a = int(found[rng.integers(len(found))])
+            return (gap - a, a)
+
+        def three(gap: int) -> tuple[int, ...] | None:
+            for a in np.flatnonzero(left[:gap])[::-1][:12].tolist():
+                left[a] -= 1
+                rest = exact(gap - a)
+                left[a] += 1
+                if rest:
+                    return (a, *rest)
+            return None
+
+        def put(b: int, lengths: tuple[int, ...]) -> None:
+            nonlocal remaining
+            for size in lengths:
+                out[pool[size].pop()] = b
+                left[size] -= 1
+                remaining -= 1
+
+        room = cap - used
+        for b in rng.permutation(np.flatnonzero(room > 0)).tolist():
+            found = exact(int(room[b])) if remaining else None
+            if found:
+                put(b, found)
+        while remaining:
+            while not left[longest]:
+                longest -= 1
+            put(n, (longest,))
+            gap = cap - longest
+            while gap and remaining:
+                found = exact(gap) or three(gap)
+                if found:
+                    put(n, found)
+                    break
+                fits = np.flatnonzero(left[:gap + 1])
+                if not len(fits):
+                    break
+                put(n, (int(fits[-1]),))
+                gap -= int(fits[-1])
+            n += 1
+        return out
+
     def crossover(self, a: np.ndarray, b: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """Whole well-filled bins of ``b`` go into ``a``; displaced pieces are best-fitted."""
         fill_a, fill_b = self.loads(a), self.loads(b)
@@ -140,7 +205,7 @@ class Problem:
         kept = child >= 0
         out = child.copy()
         out[kept] = np.unique(child[kept], return_inverse=True)[1]
-        return self.best_fit(out, np.flatnonzero(~kept), rng)
+        return self.refit(out, np.flatnonzero(~kept), rng)
 
 
 def evolve(problem: Problem, population: list[np.ndarray], rng: np.random.Generator,
