@@ -264,6 +264,15 @@ def q_job_details(spark, sf_dir):
     return V.job_details(loaded_star(spark, sf_dir, staged=True)).select(*_DETAIL_OUT)
 
 
+def _jobs_of(spark, sf_dir, columns):
+    """The star with the columns of ``jobs`` that a report reads, staged: a report's filters
+    on computed columns would be pushed into the enrichment and compute it once more for
+    every condition."""
+    from ..session import materialize
+    star = loaded_star(spark, sf_dir)
+    return star._replace(jobs=materialize(star.jobs.select(*columns), "jobs"))
+
+
 @register("salary_by_seniority_location", O.with_star("""
 SELECT seniority_level, location, avg(CAST(salary_min AS DOUBLE)) AS avg_salary_min,
        avg(salary_max) AS avg_salary_max, salary_currency, count(*) AS job_count
@@ -271,23 +280,21 @@ FROM s_jobs
 WHERE salary_min IS NOT NULL AND salary_max IS NOT NULL AND seniority_level IS NOT NULL AND location IS NOT NULL
 GROUP BY seniority_level, location, salary_currency"""))
 def q_salary_view(spark, sf_dir):
-    star = loaded_star(spark, sf_dir)
-    return V.salary_by_seniority_location(star)
+    return V.salary_by_seniority_location(_jobs_of(
+        spark, sf_dir, ["job_id", "seniority_level", "location", "salary_min", "salary_max", "salary_currency"]))
 
 
 @register("platform_job_count", O.with_star(
     "SELECT platform, count(*) AS total_jobs FROM s_jobs GROUP BY platform"))
 def q_platform_job_count(spark, sf_dir):
-    star = loaded_star(spark, sf_dir)
-    return V.platform_job_count(star)
+    return V.platform_job_count(_jobs_of(spark, sf_dir, ["job_id", "platform"]))
 
 
 @register("postings_over_time", O.with_star(
     "SELECT CAST(posted_date AS DATE) AS date, count(*) AS daily_job_count FROM s_jobs "
     "WHERE posted_date IS NOT NULL GROUP BY CAST(posted_date AS DATE)"))
 def q_postings_over_time(spark, sf_dir):
-    star = loaded_star(spark, sf_dir)
-    return V.postings_over_time(star)
+    return V.postings_over_time(_jobs_of(spark, sf_dir, ["job_id", "posted_date"]))
 
 
 # --- crawl frontier (derived from events) --------------------------------------
