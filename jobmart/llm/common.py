@@ -130,7 +130,10 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else e
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        linked = both.join(low, "a")
+        # joined on a second key too: both sides get an exchange of their own, which adaptive
+        # execution can split where one node holds many of the edges
+        k = F.xxhash64("a").alias("k")
+        linked = both.select("*", k).join(low.select("*", k), ["k", "a"]).drop("k")
         if large:
             out = linked.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:
