@@ -158,10 +158,12 @@ def crawl_stats(frontier: DataFrame, max_results: int | None, max_pages: int | N
                    bad.alias("errors"), F.when(F.col("stop_page") == 1, "failed").otherwise("success").alias("status")))
     if not platforms:
         return out
-    spark = frontier.sparkSession
-    wanted = spark.createDataFrame([(p,) for p in platforms], "platform string")
+    # a row for each platform asked for
+    asked = F.explode(F.array(*[F.lit(p) for p in platforms])).alias("platform")
     if "crawl" in keys:
-        wanted = frontier.select("crawl").distinct().crossJoin(F.broadcast(wanted))      # a row for each platform asked for
+        wanted = frontier.select("crawl").distinct().select("crawl", asked)
+    else:
+        wanted = frontier.sparkSession.range(1).select(asked)
     silent = wanted.join(out, keys, "left_anti").select(
         *keys, zero.alias("pages_visited"), zero.alias("jobs_scraped"), zero.alias("duplicates_skipped"),
         F.lit(1).cast("long").alias("errors"), F.lit("failed").alias("status"))

@@ -223,9 +223,9 @@ def load_batches(spark: SparkSession, batches: list[DataFrame]) -> tuple[StarTab
 def orphans(star: StarTables) -> DataFrame:
     """Rows whose declared foreign key has no parent, per relation."""
     js_jobs = star.job_skills.join(star.jobs.select("job_id"), "job_id", "left_anti")
-    # skills is bounded by the dictionaries' vocabulary, while one skill may be
-    # in a third of all links: broadcast it rather than shuffle on skill_id
-    js_skills = star.job_skills.join(F.broadcast(star.skills.select("skill_id")), "skill_id", "left_anti")
+    # one skill may be in a third of all links: Spark broadcasts the skills when they are
+    # small in bytes and splits the skewed side otherwise
+    js_skills = star.job_skills.join(star.skills.select("skill_id"), "skill_id", "left_anti")
     desc_jobs = star.job_descriptions.join(star.jobs.select("job_id"), "job_id", "left_anti")
     return (js_jobs.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit("job_skills.job_id").alias("relation"), "orphans")
             .unionByName(js_skills.agg(F.count(F.lit(1)).alias("orphans"))

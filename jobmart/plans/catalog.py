@@ -538,7 +538,7 @@ def q_keyword_flat(spark, sf_dir):
     counts = exploded_skills(processed(spark, sf_dir)).groupBy("skill_name") \
         .agg(F.count(F.lit(1)).alias("postings"))
     kw = QL.keyword_skill_map(spark)
-    return (kw.join(F.broadcast(counts), "skill_name", "left")
+    return (kw.join(counts, "skill_name", "left")
             .select("keyword", "skill_name", F.coalesce("postings", F.lit(0)).alias("postings")))
 
 
