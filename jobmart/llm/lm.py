@@ -111,9 +111,6 @@ class Block:
                            self.warm_key[w], self.pair_counts[self.n_cold:][w])
 
 
-_PLAIN = ("<u8", "<u4")
-
-
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays one after the other: hashes as they are, counts in the least width, compressed."""
     out = []
