@@ -127,25 +127,27 @@ def _star_of(firsts: DataFrame, ex: DataFrame, order: list[str]) -> StarTables:
         job_descriptions=firsts.select(jid, "raw_description", "clean_description"))
 
 
-def load_ordered(raw: DataFrame, order: list[str] = ("batch", "ingest_seq"), staged: bool = False,
-                 **transform_opts) -> StarTables:
+def load_ordered(raw: DataFrame, order: list[str] = ("batch", "ingest_seq"),
+                 staged: tuple[str, ...] = (), **transform_opts) -> StarTables:
     """Batches of raw postings loaded in ``batch`` order into empty tables, in one pass.
 
     Loading batch after batch keeps the first row per key in (batch, ingest_seq)
     order, so with empty tables it equals one first-wins pass over all batches.
     The first posting of every URL is picked from the raw rows, and only those are
     enriched for ``jobs`` and ``job_descriptions``; all postings' skills are
-    extracted for the links.  ``staged`` writes both (each once) for reports that
-    read several of the tables; without it the plan stays lazy and a report
-    computes only the columns it reads."""
+    extracted for the links.  ``staged`` ("firsts", "skills") names what is written once
+    for reports that read it more than once; the rest of the plan stays lazy, and a
+    report computes only the columns it reads."""
     from .transform import essential_ok, transform_postings
 
     order = list(order)
     accepted = raw.filter(essential_ok(raw))
     firsts = transform_postings(first_per_url(accepted, order), **transform_opts)
     ex = exploded_skills(transform_postings(accepted, **transform_opts))
-    if staged:
-        firsts, ex = materialize(firsts, "firsts"), materialize(ex, "skills")
+    if "firsts" in staged:
+        firsts = materialize(firsts, "firsts")
+    if "skills" in staged:
+        ex = materialize(ex, "skills")
     return _star_of(firsts, ex, order)
 
 

@@ -39,14 +39,13 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform_postings(derived_postings(spark, sf_dir))
 
 
-def loaded_star(spark: SparkSession, sf_dir: str, staged: bool = False) -> L.StarTables:
+def loaded_star(spark: SparkSession, sf_dir: str, staged: tuple[str, ...] = ()) -> L.StarTables:
     """Derived postings loaded as two batches (batch 0, then batch 1) into empty
     tables: one first-wins pass in (batch, ingest_seq) order.
 
     Lazy by default: column pruning reaches the enrichment, and a report that reads
-    one table computes only the columns it needs.  ``staged`` writes the first
-    postings and the skills once each, for reports that read several tables.  The
-    anti-joins against existing tables are run by ``load_incremental_*``."""
+    one table computes only the columns it needs.  ``staged`` ("firsts", "skills") writes
+    what a report reads more than once.  The anti-joins against existing tables are run by ``load_incremental_*``."""
     return L.load_ordered(derived_postings(spark, sf_dir), ["batch", "ingest_seq"], staged)
 
 
@@ -164,7 +163,7 @@ def q_load_jobs(spark, sf_dir):
 @register("load_descriptions", O.with_star(
     "SELECT job_url, raw_description, clean_description FROM s_desc"))
 def q_load_descriptions(spark, sf_dir):
-    return _descriptions(loaded_star(spark, sf_dir, staged=True))
+    return _descriptions(loaded_star(spark, sf_dir, ("firsts",)))
 
 
 def _descriptions(star):
@@ -179,7 +178,7 @@ def q_load_skills(spark, sf_dir):
 
 @register("load_job_skills", O.with_star("SELECT job_url, skill_name FROM s_links"))
 def q_load_job_skills(spark, sf_dir):
-    return _links(loaded_star(spark, sf_dir, staged=True))
+    return _links(loaded_star(spark, sf_dir, ("skills",)))
 
 
 def _links(star):
@@ -239,7 +238,7 @@ SELECT 'job_descriptions.job_id', count(*) FROM s_desc d
   WHERE NOT EXISTS (SELECT 1 FROM jobs_left j WHERE j.job_url = d.job_url)"""))
 def q_orphans(spark, sf_dir):
     """J06 on tables that lost parents: the jobs of one platform and one skill."""
-    star = loaded_star(spark, sf_dir, staged=True)
+    star = loaded_star(spark, sf_dir, ("skills",))
     return L.orphans(star._replace(jobs=star.jobs.filter("platform <> 'topcv'"),
                                    skills=star.skills.filter("skill_name <> 'SQL'")))
 
@@ -251,7 +250,7 @@ SELECT s.skill_name, s.skill_category, count(*) AS job_count,
 FROM s_links l JOIN s_skills s ON l.skill_name = s.skill_name
 GROUP BY s.skill_name, s.skill_category"""))
 def q_skill_demand(spark, sf_dir):
-    return V.skill_demand(loaded_star(spark, sf_dir, staged=True))
+    return V.skill_demand(loaded_star(spark, sf_dir, ("skills",)))
 
 
 _DETAIL_OUT = _JOB_OUT + ["clean_description", "raw_description"]
@@ -261,7 +260,7 @@ _DETAIL_OUT = _JOB_OUT + ["clean_description", "raw_description"]
     f"SELECT {', '.join('j.' + c for c in _JOB_OUT)}, d.clean_description, d.raw_description "
     "FROM s_jobs j JOIN s_desc d ON j.job_url = d.job_url"))
 def q_job_details(spark, sf_dir):
-    return V.job_details(loaded_star(spark, sf_dir, staged=True)).select(*_DETAIL_OUT)
+    return V.job_details(loaded_star(spark, sf_dir, ("firsts",))).select(*_DETAIL_OUT)
 
 
 def _jobs_of(spark, sf_dir, columns):

@@ -72,7 +72,7 @@ def test_one_pass_ordered_load_equals_sequential(spark):
     tx = transform_postings(raw).cache()
     seq, stats = L.load_batches(spark, [tx.filter("batch = 0"), tx.filter("batch = 1")])
     one = L.load_ordered(raw, ["batch", "ingest_seq"])
-    assert _keys(seq) == _keys(one) == _keys(L.load_ordered(raw, ["batch", "ingest_seq"], staged=True))
+    assert _keys(seq) == _keys(one) == _keys(L.load_ordered(raw, ["batch", "ingest_seq"], ("firsts", "skills")))
     by_batch = {r.batch: r.asDict() for r in L.load_stats_by_batch(raw, "batch").collect()}
     for b, st in enumerate(stats):
         want = st.first().asDict()
