@@ -3,14 +3,16 @@
 Vectors are compared by cosine, so they are scaled to length one.  Each half of a vector
 has a codebook of its own (k-means on a bounded sample); the pair of nearest codewords
 is the vector's cell in the product grid.  As a query, a vector visits the cells nearest to
-it, in the multi-sequence order of d1(i) + d2(j).  How many: the bounded set of sample queries is
-compared with all rows by brute force, and the visits are those at which ``target`` of
-their true neighbours lie in visited cells, half as many again for safety.  Every pair that meets in
-a cell is verified in double precision.
+it, in the multi-sequence order of d1(i) + d2(j).  How many: the most that any of these takes
+for a recall of ``target``, half as many again for safety: sampled vectors against copies
+turned to a cosine of exactly the threshold, in random directions and in those of the sample's own
+differences; and a bounded set of sample queries against all rows by brute force, as the mean
+of each query's recall.  Of sampled vectors that link with each other one stands for all.
+Every pair that meets in a cell is verified in double precision.
 
 Vectors with equal components are one class (joined once).  Cells of more than ``BLOCK`` rows are
-dealt out as pairs of blocks, so that no task holds a large cell; a pair that meets in
-both vectors' cells counts in the lower one; tasks return each class's number of links
+dealt out as pairs of blocks (homes with homes, homes with visitors), so that no task holds a
+large cell; a pair that meets in both vectors' cells counts in the lower one; tasks return each class's number of links
 and its smallest linked id, from which components are built.
 
 Rows: vec_id, n_links, component_id, kept.
@@ -34,7 +36,8 @@ from .common import components, materialize, partitions
 from .groups import local_roots, sorted_groups
 
 SAMPLE = 20_000      # vectors the codebooks are fitted on, at most
-QUERIES = 256        # sample queries that set the number of visits
+QUERIES = 256        # sample queries compared with all rows for the number of visits
+PROBES = 2048        # sampled vectors that are turned to the threshold for it
 PER_CELL = 48        # wanted vectors in a cell
 MAX_CODES = 1024     # codewords of a half
 BLOCK = 1024
@@ -91,11 +94,44 @@ class MultiIndex:
         at = np.argsort(total, 1, kind="stable")[:, :n]
         return o1[rows, pa[at]].astype(np.int64) * len(self.second) + o2[rows, pb[at]]
 
+    def ranks(self, x: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """How many cells are nearer to each row than its one of ``cells``."""
+        half, out = self.first.shape[1], []
+        for lo in range(0, len(x), 1000):
+            part, at = x[lo:lo + 1000], cells[lo:lo + 1000]
+            d1, d2 = _distances(part[:, :half], self.first), _distances(part[:, half:], self.second)
+            rows = np.arange(len(part))
+            limit = d1[rows, at // len(self.second)] + d2[rows, at % len(self.second)]
+            out += [np.searchsorted(s, f - one).sum() for s, f, one in zip(np.sort(d2, 1), limit, d1)]
+        return np.array(out, np.int64)
+
+    def meeting(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The rank at which row i of ``x`` and of ``y`` meet: either visits the other's cell."""
+        a, b = self.visits(x, 1)[:, 0], self.visits(y, 1)[:, 0]
+        out = np.zeros(len(x), np.int64)
+        apart = np.flatnonzero(a != b)
+        out[apart] = np.minimum(self.ranks(x[apart], b[apart]), self.ranks(y[apart], a[apart]))
+        return out
+
+
+def turned(x: np.ndarray, towards: np.ndarray, cosine: float) -> np.ndarray:
+    """Each row of ``x`` (length one) turned towards its row of ``towards`` to the given cosine."""
+    side = towards - (towards * x).sum(1, keepdims=True) * x
+    size = np.sqrt((side * side).sum(1, keepdims=True))
+    return cosine * x + (1 - cosine * cosine) ** 0.5 * side / np.where(size > 0, size, 1)
+
 
 def _vectors(column) -> np.ndarray:
     return np.vstack([np.asarray(v, float) for v in column])
 
 
+def _needed(ranks: np.ndarray, weights: np.ndarray, target: float) -> int:
+    """The visits at which ``target`` of the weight has met."""
+    at = np.argsort(ranks, kind="stable")
+    share = np.cumsum(weights[at])
+    return int(ranks[at[np.searchsorted(share, target * share[-1] * (1 - 1e-12))]]) + 1
+
+
 def fit_index(classes: DataFrame, threshold: float, target: float) -> tuple[MultiIndex, int]:
     """Codebooks from a bounded sample, and the number of visits that ``target`` recall takes."""
     n = classes.count()
@@ -103,36 +139,39 @@ def fit_index(classes: DataFrame, threshold: float, target: float) -> tuple[Mult
     k = int(min(MAX_CODES, max(1, round((n / PER_CELL) ** 0.5))))
     half = sample.shape[1] // 2
     index = MultiIndex(codebook(sample[:, :half], k, 1), codebook(sample[:, half:], k, 2))
-    queries = sample[:QUERIES]
-    order = index.visits(queries, min(index.cells, 4096))
-    shared = classes.sparkSession.sparkContext.broadcast((index, queries, order))   # at most QUERIES x 4096 cells
+    lone = sample[:PROBES]
+    lone = lone[~np.tril(lone @ lone.T >= threshold, -1).any(1)]      # a group of close vectors weighs as one
+    needed = _LEAST
+    if sample.shape[1] > 1:      # in one dimension all vectors are parallel or opposite
+        rng = np.random.default_rng(3)
+        probes = lone[np.arange(PROBES) % len(lone)]
+        noise = rng.normal(size=probes.shape)
+        own = sample[rng.integers(len(sample), size=PROBES)] - sample[rng.integers(len(sample), size=PROBES)]
+        for towards in (noise, own + 1e-9 * noise):
+            met = index.meeting(probes, turned(probes, towards, threshold))
+            needed = max(needed, _needed(met, np.ones(PROBES), target))
+    queries = lone[:QUERIES]
+    shared = classes.sparkSession.sparkContext.broadcast((index, queries))
 
     def ranks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, queries, order = shared.value
+        index, queries = shared.value
         for pdf in batches:
             if not len(pdf):
                 continue
             x = unit(_vectors(pdf["embedding"]))
             near = x @ queries.T
             row, q = np.nonzero((near >= threshold) & (near < 1 - 1e-12))
-            found = np.zeros(order.shape[1] + 1, np.int64)      # the last: not among the cells of the order
-            for one in np.unique(q):
-                hits = index.visits(x[row[q == one]], 1)[:, 0]
-                sorter = np.argsort(order[one])
-                place = np.minimum(np.searchsorted(order[one], hits, sorter=sorter), order.shape[1] - 1)
-                cell = sorter[place]
-                np.add.at(found, np.where(order[one][cell] == hits, cell, order.shape[1]), 1)
-            at = np.flatnonzero(found)
-            yield pd.DataFrame({"rank": at, "n": found[at]})
-
-    # a row for each rank comes back, not for each pair
-    got = (classes.select("embedding").mapInPandas(ranks, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n"))
-           .orderBy("rank").toPandas())
-    if not len(got):
-        return index, min(index.cells, 2 * _LEAST)
-    share = got["n"].cumsum() / got["n"].sum()
-    needed = int(got["rank"][share >= target].iloc[0]) + 1
-    return index, min(index.cells, max(_LEAST, -(-3 * needed // 2)))
+            if len(row):
+                met = pd.DataFrame({"query": q, "rank": index.meeting(x[row], queries[q])})
+                yield met.groupby(["query", "rank"]).size().rename("n").reset_index()
+
+    # a row for each query and rank comes back, not for each pair
+    got = (classes.select("embedding").mapInPandas(ranks, "query long, rank long, n long").groupBy("query", "rank")
+           .agg(F.sum("n").alias("n")).orderBy("query", "rank").toPandas())
+    if len(got):
+        weights = got["n"] / got.groupby("query")["n"].transform("sum")
+        needed = max(needed, _needed(got["rank"].to_numpy(), weights.to_numpy(), target))
+    return index, min(index.cells, -(-3 * needed // 2))
 
 
 def _verify(cell: int, left: pd.DataFrame, right: pd.DataFrame | None, threshold: float) -> pd.DataFrame:
@@ -141,20 +180,21 @@ def _verify(cell: int, left: pd.DataFrame, right: pd.DataFrame | None, threshold
     x = unit(np.vstack([np.frombuffer(v, "<f8") for v in both["vector"]]))
     visitor, home = both["visitor"].to_numpy(bool), both["home"].to_numpy(np.int64)
     ids, copies = both["node"].to_numpy(np.int64), both["copies"].to_numpy(np.int64)
-    linked = x @ x.T >= threshold
-    linked &= ~(visitor[:, None] & visitor[None, :])
+    homes = np.flatnonzero(~visitor)
+    linked = np.zeros((len(x), len(x)), bool)      # two visitors do not meet
+    linked[homes] = x[homes] @ x.T >= threshold
+    linked |= linked.T
     np.fill_diagonal(linked, False)
     if right is not None:     # pairs within a block meet in the group of that block alone
         linked[:len(left), :len(left)] = False
         linked[len(left):, len(left):] = False
     # a home and a visitor that each visit the other's cell: the lower cell counts
-    h, v = np.nonzero(linked & ~visitor[:, None] & visitor[None, :])
+    h, v = np.nonzero(linked & ~visitor[:, None] & (visitor & (home < cell))[None, :])
     if len(h):
-        visits = np.vstack([np.frombuffer(b, "<i8") for b in both["visits"]])
-        again = np.zeros(len(h), bool)
-        for t in range(visits.shape[1]):
-            again |= visits[h, t] == home[v]
-        drop = again & (home[v] < cell)
+        held, h_at = np.unique(h, return_inverse=True)
+        cells, v_at = np.unique(home[v], return_inverse=True)
+        again = np.vstack([np.isin(cells, np.frombuffer(both["visits"].iloc[i], "<i8")) for i in held])
+        drop = again[h_at, v_at]
         linked[h[drop], v[drop]] = False
         linked[v[drop], h[drop]] = False
     links = linked @ copies
@@ -181,11 +221,12 @@ def near_dedup(embeddings: DataFrame, threshold: float = 0.9, target: float = 0.
                           "dedup-classes")
     index, visits = fit_index(classes, threshold, target)
     shared = spark.sparkContext.broadcast(index)
+    step = max(1, min(2000, 200_000 // visits))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for lo in range(0, len(pdf), 2000):
-                part = pdf.iloc[lo:lo + 2000]
+            for lo in range(0, len(pdf), step):
+                part = pdf.iloc[lo:lo + step]
                 raw = _vectors(part["embedding"])
                 seen = shared.value.visits(unit(raw), visits)
                 yield pd.DataFrame({"node": part["node"], "copies": part["copies"], "home": seen[:, 0],
@@ -195,13 +236,19 @@ def near_dedup(embeddings: DataFrame, threshold: float = 0.9, target: float = 0.
     placed = materialize(classes.mapInPandas(place, "node long, copies long, home long, vector binary, cells array<long>, visits binary"),
                          "dedup-placed")
     met = placed.select("node", "copies", "home", "vector", "visits", F.explode("cells").alias("cell"))
-    met = met.withColumn("visitor", F.col("cell") != F.col("home"))
-    large = (placed.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") > BLOCK).select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    met = met.withColumn("visitor", F.col("cell") != F.col("home")).withColumn("visits", F.when(~F.col("visitor"), F.col("visits")))
+    large = (placed.select("home", F.explode("cells").alias("cell")).groupBy("cell")
+             .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("cell") == F.col("home")).alias("homes"))
+             .filter((F.col("n") > BLOCK) & (F.col("homes") > 0))
+             .select("cell", F.ceil(F.col("homes") / BLOCK).cast("int").alias("inner"), F.ceil((F.col("n") - F.col("homes")) / BLOCK).cast("int").alias("outer")))
     keys = ["cell", "low", "high"]
-    dealt = (met.join(large, "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-             .withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # blocks of homes are numbered before blocks of visitors, which meet homes only
+    hashed = F.xxhash64("node", F.lit(3))
+    dealt = (met.join(large, "cell", "left").withColumn("own", F.when(F.col("inner").isNull(), 0).when(
+                 F.col("visitor"), F.col("inner") + F.pmod(hashed, F.col("outer"))).otherwise(F.pmod(hashed, F.col("inner"))).cast("int"))
+             .withColumn("last", F.when(F.col("inner").isNull(), 0).when(F.col("visitor"), F.col("inner") - 1)
+                         .otherwise(F.col("inner") + F.col("outer") - 1))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
              .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

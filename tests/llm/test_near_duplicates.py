@@ -158,3 +158,22 @@ def test_visits_are_the_nearest_cells():
 def test_embeddings_empty_and_all_bad(spark):
     assert embed_dedup.near_dedup(spark.createDataFrame([], EMB)).count() == 0
     assert embed_dedup.near_dedup(spark.createDataFrame([(1, None, 0), (2, [0.0], 0)], EMB)).filter("kept").count() == 2
+
+
+def turn(x, towards, cosine):
+    side = towards - (towards * x).sum(1, keepdims=True) * x
+    return cosine * x + (1 - cosine ** 2) ** 0.5 * side / np.linalg.norm(side, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("pairs, others, hot", [(2000, 0, 0), (300, 6000, 0), (1500, 0, 1500)])
+def test_lone_pairs_are_found_with_large_codebooks(spark, monkeypatch, pairs, others, hot):
+    monkeypatch.setattr(embed_dedup, "PER_CELL", 0.5)     # codebooks as large as those of a table 96 times as long
+    rng = np.random.default_rng(6)
+    x = embed_dedup.unit(rng.normal(size=(pairs, 64)))
+    y = turn(x, rng.normal(size=x.shape), 0.901)
+    rest = rng.normal(size=(others, 64))
+    group = turn(np.repeat(x[:1], hot, 0), rng.normal(size=(hot, 64)), 0.995)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.vstack([x, y, rest, group]))]
+    got = {r.vec_id: r.n_links for r in embed_dedup.near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert np.mean([got[i] > 0 for i in range(1, pairs)]) >= 0.997
+    assert len(got) == len(rows) and not any(got[i] for i in range(2 * pairs, 2 * pairs + others))
