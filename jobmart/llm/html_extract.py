@@ -4,7 +4,8 @@ A page is read once, tag by tag, with a stack of open elements (no recursion; un
 misnested and truncated markup is ordinary).  Text between block-level boundaries (block
 tags and line breaks) is a leaf block.  Its features: the tags, roles and class and id words of
 its ancestors, its own element, its length, the share of its text in links, how it ends,
-and its place on the page.  Scripts, styles, comments, the head and form controls are no text.
+and its place on the page.  Scripts, styles, comments, titles, form controls, drawings and embedded objects
+are no text; one that is never closed ends with the element around it or at the next block.
 
 The field has two labels, main and other: emission weights for each feature, transition
 weights between neighbours, trained by maximum likelihood (forward-backward, L2) on labelled
@@ -38,18 +39,21 @@ from .common import text_or_empty
 TRAIN_PAGES = 1000
 SEED = 17
 
-_SKIP = "script|style|noscript|template|svg|math|iframe|object|select|button|textarea|title|head(?!er)"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_SKIP})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*(?:>|\Z)", re.I | re.S)
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*(?:>|\Z)", re.I | re.S)
+# elements that hold no markup: they run to their end tag
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I) for t in "script style noscript iframe textarea title".split()}
+# elements whose text is not kept, and where the next tag of that name is
+_UNKEPT = {t: re.compile(rf"<(/?){t}(?=[\s/>])", re.I) for t in "template svg math object select button".split()}
+_FOREIGN = frozenset(("svg", "math"))
 _ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_HEAD = re.compile(r"<head\b[^>]*>.*?(?:</head\s*>|(?=<body\b)|\Z)", re.I | re.S)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _BLOCK = frozenset("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section "
                    "summary table tbody td tfoot th thead tr ul caption".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES_P = _BLOCK - {"br", "body", "html"}
+_ENDS_UNKEPT = _BLOCK - {"br", "hr", "option", "optgroup"}
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "option": {"option"}}
 _SCOPE = frozenset("ul ol dl table div section article body".split())
@@ -82,11 +86,12 @@ def _kind(features: set[str]) -> str | None:
 
 
 class _Open:
-    """An open element: its tag, whether inside a link, and the features of its path."""
-    __slots__ = ("tag", "link", "path", "kind")
+    """An open element: its tag, whether inside a link, the features of its path, and the
+    innermost element around that keeps no text, with whether all such are unclosed."""
+    __slots__ = ("tag", "link", "path", "kind", "unkept", "loose")
 
-    def __init__(self, tag: str, link: bool, path: frozenset, kind: str | None = None):
-        self.tag, self.link, self.path, self.kind = tag, link, path, kind
+    def __init__(self, tag: str, link: bool, path: frozenset, kind: str | None = None, unkept: str | None = None, loose: bool = True):
+        self.tag, self.link, self.path, self.kind, self.unkept, self.loose = tag, link, path, kind, unkept, loose
 
 
 def _element_features(tag: str, attrs: str) -> set[str]:
@@ -130,7 +135,7 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
 
     def add(raw: str) -> None:
         nonlocal linked, total, first
-        if not raw:
+        if not raw or stack[-1].unkept:
             return
         text = _html.unescape(raw) if "&" in raw else raw
         n = len(text.strip())
@@ -148,25 +153,47 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
         del stack[i:]
 
     at = 0
-    body = _HEAD.sub("", page, count=1) if "<head" in page or "<HEAD" in page else page
-    for m in _TOKEN.finditer(body):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
-            add(body[at:m.start()])
+            add(page[at:m.start()])
         at = m.end()
-        tag = m.group(3)
+        tag = m.group(2)
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in _BLOCK:
-            close_block()
-        if m.group(2):
+        if tag == "head":            # what cannot stand in a head is the body's, with or without its tags
+            continue
+        if m.group(1):
+            if tag in _BLOCK and not stack[-1].unkept:
+                close_block()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
+                    if tag in _BLOCK and stack[-1].unkept and not stack[i].unkept:
+                        close_block()
                     pop_to(i)
                     break
-                if tag not in _BLOCK and stack[i].tag in _BLOCK and stack[i].tag not in ("p", "li"):
+                if tag not in _BLOCK and tag not in _UNKEPT and stack[i].tag in _BLOCK and stack[i].tag not in ("p", "li"):
                     break            # an inline end tag does not close blocks
             continue
+        top = stack[-1]
+        if top.unkept and top.loose and (tag in _ENDS_UNKEPT or tag in _UNKEPT and top.unkept not in _FOREIGN):
+            pop_to(next(i for i, e in enumerate(stack) if e.unkept))     # no end tag is left: what cannot stand in it ends it
+            top = stack[-1]
+        if tag in _RAW_END and top.unkept not in _FOREIGN:
+            at = _RAW_END[tag].search(page, at).end()
+            continue
+        if tag in _UNKEPT:
+            if not m.group(3).endswith("/") or tag not in _FOREIGN and top.unkept not in _FOREIGN:
+                following = _UNKEPT[tag].search(page, at)
+                loose = following is None or not following.group(1)
+                stack.append(_Open(tag, False, top.path, top.kind, tag, top.loose and loose))
+            continue
+        if top.unkept:
+            if tag not in _VOID and tag not in ("option", "optgroup") and not m.group(3).endswith("/"):
+                stack.append(_Open(tag, False, top.path, top.kind, top.unkept, top.loose))
+            continue
+        if tag in _BLOCK:
+            close_block()
         if tag in _CLOSES_P:         # a block element ends an open paragraph
             for i in range(len(stack) - 1, max(0, len(stack) - 12), -1):
                 if stack[i].tag == "p":
@@ -181,9 +208,9 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
                     break
                 if stack[i].tag in _SCOPE:
                     break
-        if tag in _VOID or m.group(4).endswith("/"):
+        if tag in _VOID or m.group(3).endswith("/"):
             continue
-        key = (tag, m.group(4))
+        key = (tag, m.group(3))
         got = made.get(key)
         if got is None:
             own = _element_features(*key)
@@ -196,7 +223,7 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
         own, kind = got
         path = stack[-1].path
         stack.append(_Open(tag, tag == "a" or stack[-1].link, path if own <= path else path | own, kind or stack[-1].kind))
-    add(body[at:])
+    add(page[at:])
     close_block()
 
     out, n = [], len(found)

@@ -29,6 +29,26 @@ def test_blocks_of_broken_markup():
     assert text("<a href='>'>q</a><a title=\"x>") == ["q"]
 
 
+def test_blocks_after_open_heads_and_unclosed_controls():
+    text = lambda h: [t for t, _ in H.leaf_blocks(h)]
+    art = "<article><p>main</p></article>"
+    for head in ("<head><title>T</title>", "<HEAD><meta charset=x><style>s</style><script>'<p>'</script>", "<head/>", "<Head><title>t</title></Head>",
+                 "<head><title>T</title></head>", "<head><noscript><p>n</p></noscript><link rel=a><body>"):
+        assert text("<html>" + head + art) == ["main"], head
+    for tag in ("svg", "math", "button", "select", "object", "template"):
+        assert text(f"<nav><{tag}>x</nav>{art}") == ["main"], tag
+        assert text(f"<{tag}>x{art}<{tag}>y</{tag}>{art}") == ["main", "main"], tag
+        assert text(f"<div>a <{tag}><b>x</b><i>y</{tag}> b</div>{art}") == ["a b", "main"], tag
+        assert text(f"<p>a<{tag}><div>x<p>y</{tag}>b</p>{art}") == ["ab", "main"], tag
+    assert text(f"<nav>a<svg class='i'/>b</nav>{art}<svg><path d='m'/></svg>") == ["ab", "main"]
+    assert text(f"<svg><title/><style/><g><text>x</text></svg>{art}<math/>z") == ["main", "z"]
+    assert text(f"<svg><title>x</svg>{art}") == ["main"]
+    assert text(f"<p>a<select><option>x<option>y<optgroup><option>z</select>b</p>{art}") == ["ab", "main"]
+    assert text(f"<select><option>x<option>y{art}") == ["main"] and text(f"<button>x<button>y</button>z{art}") == ["z", "main"]
+    assert text("<textarea><p>x</textarea>a<iframe><p>x</iframe>b<noscript><p>x</noscript>c<title><p>x</title >d") == ["abcd"]
+    assert text(f"<button><button>x</button>{art}" * 2000) == ["main"] * 2000
+
+
 def test_viterbi_against_all_labellings():
     rng = np.random.default_rng(0)
     model = H.Crf({}, 0.0, rng.normal(size=(2, 2)), rng.normal(size=2), rng.normal(size=2))
