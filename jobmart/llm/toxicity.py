@@ -14,8 +14,9 @@ their id, and scores every row of the input, whole texts.
 
 Defined results: null text is empty; a text without known features gets the chain's
 intercept; without labelled rows every probability is 0; a category of which the sample
-holds one value only gets 0.999 or 0.001; of repeated labels of one id the largest of each
-category counts; repeated rows are scored alike.  A row is toxic from a probability of
+holds one value only gets 0.999 or 0.001; a category's model learns from the rows that hold
+its label, also if those of other categories are null; of repeated labels of one id the
+largest of each category counts; repeated rows are scored alike.  A row is toxic from a probability of
 ``TOXIC`` on: held-out clean rows stay below a fifth of it.
 """
 
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
+MISSING = -2**31      # a row's label of a category that it does not hold
 SAMPLE = 12_000       # labelled rows the chain is fitted on, at most
 FOLDS = 3
 KEEP = 3_000
@@ -142,15 +144,16 @@ def fit_chain(found: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) ->
     chain = []
     for c in range(labels.shape[1]):
         y = labels[:, c]
+        has = y != MISSING
         out = np.zeros(len(found))
         for f in range(FOLDS):
-            rows, held = folds != f, folds == f
+            rows, held = (folds != f) & has, folds == f
             kept, w, v, b = fit_linear(ptr, idx, len(names), earlier, y, rows)
             full = np.zeros(len(names))
             full[kept] = w
             z = np.bincount(doc, full[idx], minlength=len(found)) + earlier @ v + b
             out[held] = np.clip(z[held], -12, 12)
-        kept, w, v, b = fit_linear(ptr, idx, len(names), earlier, y, np.ones(len(found), bool))
+        kept, w, v, b = fit_linear(ptr, idx, len(names), earlier, y, has)
         chain.append(Linear(dict(zip(names[kept].tolist(), w.tolist())), v, b))
         earlier = np.column_stack([earlier, out])
     return chain
@@ -169,7 +172,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], sam
     """The chain for ``categories`` (name -> 0/1 column of ``labels``), fitted in one task on a
     bounded sample: the ``sample`` labelled rows with the smallest hash of their id."""
     known = labels.select(F.col(key).alias("doc_id"), *[c.cast("int").alias(f"y{i}") for i, c in enumerate(categories.values())])
-    known = known.dropna().groupBy("doc_id").agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(categories))])
+    known = (known.filter("doc_id is not null").dropna("all", subset=[f"y{i}" for i in range(len(categories))]).groupBy("doc_id")
+             .agg(*[F.coalesce(F.max(f"y{i}"), F.lit(MISSING)).alias(f"y{i}") for i in range(len(categories))]))
     rows = docs.select(F.col(key).alias("doc_id"), text_or_empty(text).alias("text"))
     # ids alone decide which rows are in the sample; their number bounds the broadcast
     chosen = (rows.select("doc_id").join(known, "doc_id").dropDuplicates(["doc_id"])

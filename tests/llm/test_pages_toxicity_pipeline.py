@@ -170,6 +170,20 @@ def test_classify_tables(spark):
     assert len(got) == docs.count() and agree.mean() > 0.98
 
 
+def test_a_label_counts_where_the_others_are_null(spark):
+    rng = np.random.default_rng(8)
+    words = np.array([f"word{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)])
+    docs, labels = [], []
+    for i in range(600):
+        toxic = i % 4 == 0
+        docs.append((i, " ".join([*rng.choice(words, 30), *["vileword"] * toxic])))
+        if i < 400:      # no toxic row has a quality, and some rows have nothing else
+            labels += [(i, None, int(toxic))] if i % 2 == 0 else [(i, i % 3 % 2, None)] if i % 3 else [(i, None, None), (i, 1, 0)]
+    got = toxicity.classify(spark.createDataFrame(docs, "doc_id long, text string"),
+                            spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert len(got) == 600 and {r.doc_id for r in got if r.toxic} == set(range(0, 600, 4))
+
+
 def test_toxicity_edges(spark):
     schema = "doc_id long, text string, toxic string"
     docs = spark.createDataFrame([(1, None, "x"), (None, "text", "x"), (2, "", "x"), (2, "", "x")], schema)
