@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed_dedup, fingerprint, html_extract, lm, mixing, ngram_join, packing, tokencount, toxicity, warc
+from . import embed_dedup, fingerprint, html_extract, lexsearch, lm, mixing, ngram_join, packing, tokencount, toxicity, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,22 @@ SELECT page_id, octet_length(encode(h)) AS payload_bytes,
 FROM p"""
 
 
+_TERMS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+_SEARCH_SQL = f"""WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+total AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS docs, CAST(sum(len(ts)) AS BIGINT) AS words FROM d),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS t FROM d) GROUP BY ALL),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+gain AS (SELECT tf.doc_id, tf.t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words))) AS gain
+  FROM tf JOIN df ON df.t = tf.t CROSS JOIN total),
+scores AS (SELECT item_id, doc_id, CAST(sum(gain) AS BIGINT) AS score
+  FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) i JOIN gain g ON g.t = i.t GROUP BY 1, 2),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
 @register("op1_best_fit_packing")
 def q_packing(spark, sf_dir):
     """All documents packed into sequences of at most 1024 tokens."""
@@ -123,3 +139,9 @@ def q_embeddings(spark, sf_dir):
 def q_html(spark, sf_dir):
     """Main text of every page, by a field trained on labelled pages."""
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+@register("op13_ranked_search", _SEARCH_SQL)
+def q_search(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    return lexsearch.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -19,12 +19,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def token_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def token_hashes(texts: list[str], between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of all texts, A-Z lower-cased, in
-    order, and the number of words of each text."""
+    order, and the number of words of each text.  ``between`` marks the byte values that
+    stand between words (space among them)."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     start = inside.copy()
     start[1:] &= ~inside[:-1]
     at = np.flatnonzero(start)
