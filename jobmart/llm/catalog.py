@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed_dedup, fingerprint, html_extract, lexsearch, lm, mixing, ngram_join, packing, tokencount, toxicity, warc
+from . import embed_dedup, fingerprint, html_extract, lexsearch, lm, mixing, ngram_join, packing, tokencount, toxicity, urlfilter, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,10 @@ def q_html(spark, sf_dir):
 def q_search(spark, sf_dir):
     """The ten best documents of every benchmark item."""
     return lexsearch.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_url_filters")
+def q_url_filters(spark, sf_dir):
+    """Every page's URL judged by the rules, else by a model trained on a small labelled table."""
+    labelled = spark.createDataFrame(urlfilter.labelled_urls(), "url string, block int")
+    return urlfilter.judge(read_table(spark, sf_dir, "pages"), urlfilter.train(labelled))
