@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed_dedup, fingerprint, html_extract, lexsearch, lm, mixing, ngram_join, packing, tokencount, toxicity, urlfilter, warc
+from . import convtrie, embed_dedup, fingerprint, html_extract, lexsearch, lm, mixing, ngram_join, packing, tokencount, toxicity, urlfilter, warc
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,44 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
 
 
+# the remainder table of the checksum's polynomial for four bits at a time
+_NIBBLES = []
+for _i in range(16):
+    for _ in range(4):
+        _i = _i >> 1 ^ (0xEDB88320 if _i & 1 else 0)
+    _NIBBLES.append(_i)
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text."""
+    def step(x: str) -> str:
+        return f"xor(list_extract([{', '.join(f'{n}::UBIGINT' for n in _NIBBLES)}], ({x} & 15)::BIGINT + 1), {x} >> 4)"
+    return (f"xor(4294967295::UBIGINT, list_reduce(list_transform(string_split({text}, ''), lambda c: ascii(c)::UBIGINT), "
+            f"lambda r, c: {step(step('xor(r, c)'))}, 4294967295::UBIGINT))")
+
+
+_TRIE_SQL = f"""WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32)) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, c - c % 20 AS base, CAST({_crc32_sql('CAST(c AS VARCHAR)')} % 4 AS BIGINT) AS h FROM (SELECT DISTINCT c FROM t)),
+parts AS (SELECT convs.c, 0 AS own, t.pos, t.role, t.text FROM convs JOIN t ON t.c = convs.base AND t.pos <= h
+  UNION ALL SELECT convs.c, 1, t.pos, t.role, t.text FROM convs JOIN t ON t.c = convs.c AND t.pos > h),
+seqs AS (SELECT convs.c, coalesce(s, []) AS s FROM convs LEFT JOIN (
+  SELECT c, list(sha256(length(role) || ':' || role || text) ORDER BY own, pos) AS s FROM parts GROUP BY c) USING (c)),
+words AS (SELECT DISTINCT sha256(length(role) || ':' || role || text) AS k, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS n FROM t),
+pref AS (SELECT c, d, list_slice(s, 1, d) AS node, len(s) = d AS ends FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seqs)),
+nodes AS (SELECT node, d AS depth, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM pref GROUP BY node, d),
+kids AS (SELECT list_slice(node, 1, depth - 1) AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+whole AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce((SELECT n FROM words WHERE k = nodes.node[depth]), 0) AS saved
+  FROM nodes LEFT JOIN kids ON kids.node = nodes.node),
+up AS (SELECT list_slice(node, 1, d) AS node, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM (SELECT node, n_children, saved, unnest(range(0, depth + 1)) AS d FROM whole) GROUP BY 1)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, up.n_leaves, up.saved_tokens, w.ends_sha256
+FROM whole w JOIN up ON up.node = w.node LEFT JOIN nodes p ON w.depth > 0 AND p.node = list_slice(w.node, 1, w.depth - 1)"""
+
+
 @register("op1_best_fit_packing")
 def q_packing(spark, sf_dir):
     """All documents packed into sequences of at most 1024 tokens."""
@@ -147,6 +185,12 @@ def q_search(spark, sf_dir):
     return lexsearch.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@register("op11_conversation_trie", _TRIE_SQL)
+def q_trie(spark, sf_dir):
+    """The prefix trie of all rebuilt conversations."""
+    return convtrie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 @register("op12_url_filters")
 def q_url_filters(spark, sf_dir):
     """Every page's URL judged by the rules, else by a model trained on a small labelled table."""
