@@ -236,8 +236,11 @@ class Parentheses:
             found = right & (self.low[np.minimum(node + 1, len(self.low) - 1)] <= want)
             node = np.where(found, node + 1, np.where(up, node // 2, node))
             up &= ~found
-        while len(node) and node[0] < leaves:
-            node = np.where(self.low[2 * node] <= want, 2 * node, 2 * node + 1)
+        inner = node < leaves
+        while inner.any():                                      # and down to it
+            left = np.minimum(2 * node, len(self.low) - 1)
+            node = np.where(inner, np.where(self.low[left] <= want, 2 * node, 2 * node + 1), node)
+            inner = node < leaves
         if len(far):
             out[far] = (node - leaves) * BLOCK + (self.grid[node - leaves] <= want[:, None]).argmax(1)
         return out

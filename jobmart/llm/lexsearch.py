@@ -128,9 +128,9 @@ def _statistics(index: DataFrame, size: int, docs: int, terms: int) -> tuple[np.
 def owners_of(df: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
     """The owner of every term: falling weight, about the same number of postings each."""
     order = np.lexsort((np.arange(len(df)), -weights))
-    before = np.cumsum(df[order]) - df[order]
+    middle = 2 * np.cumsum(df[order]) - df[order]
     owner = np.zeros(len(df), np.int64)
-    owner[order] = np.minimum(before * count // max(int(df.sum()), 1), count - 1)
+    owner[order] = np.minimum(middle * count // max(2 * int(df.sum()), 1), count - 1)
     return owner
 
 
