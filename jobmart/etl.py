@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators.load import StarStore
-from .operators.transform import transform_postings, transform_stats
+from .operators.transform import observed_transform
 from .plans.views import register_views
 from .sources.html import parse_detail_pages
 
@@ -27,7 +27,7 @@ class RunStats(NamedTuple):
 
 
 def run_batch(spark: SparkSession, store_root: str, raw: DataFrame | None = None,
-              pages: DataFrame | None = None, register: bool = True,
+              pages: DataFrame | None = None, register: bool = True, digits: int = 1,
               **transform_opts) -> RunStats:
     """Load one batch of raw postings (or detail pages) into the star store at
     ``store_root`` and (re)register the tables and views for SQL.  Safe to
@@ -35,10 +35,11 @@ def run_batch(spark: SparkSession, store_root: str, raw: DataFrame | None = None
     if (raw is None) == (pages is None):
         raise ValueError("pass exactly one of raw= or pages=")
     postings = raw if raw is not None else parse_detail_pages(pages)
-    store = StarStore(spark, store_root)
+    store = StarStore(spark, store_root, digits)
     store.setup()
-    t_stats = transform_stats(postings).first().asDict()       # one row
-    l_stats = store.append(transform_postings(postings, **transform_opts)).first().asDict()
+    rows, seen = observed_transform(postings, **transform_opts)
+    l_stats = store.append(rows).first().asDict()              # one row
+    t_stats = dict(seen.get)                                   # counted while the rows were staged
     if register:
         register_views(spark, store.tables())
     return RunStats(t_stats, l_stats)

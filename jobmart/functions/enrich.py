@@ -147,8 +147,13 @@ def extract_posted_date(clean_desc: Column, raw_posting_date: Column | None = No
     return F.coalesce(labelled, raw)
 
 
+def posted_text(clean_desc: Column, raw_posting_date: Column) -> Column:
+    """The text that tells the posting's date, whether it can be read or not; NULL where nothing does."""
+    return F.coalesce(F.nullif(label_value(clean_desc, D.LABEL_POSTED), F.lit("")), F.nullif(F.trim(raw_posting_date), F.lit("")))
+
+
 __all__ = [
-    "detect_seniority", "extract_skills", "keyword_table",
+    "posted_text", "detect_seniority", "extract_skills", "keyword_table",
     "canonical_location", "canonical_locations", "extract_company", "extract_location",
     "extract_posted_date", "parse_date", "label_pattern", "keyword_hits",
 ]

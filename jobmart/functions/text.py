@@ -11,9 +11,6 @@ oracle) read it the same way:
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -145,60 +142,104 @@ def quote_path20(c: Column) -> Column:
     return F.replace(quote_plus(c), F.lit("+"), F.lit("%20"))
 
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+# fixed values: schemes whose URLs are resolved against a base, and those of them whose last segment has parameters
+RELATIVE_SCHEMES = ["", "ftp", "http", "gopher", "nntp", "imap", "file", "https", "shttp", "mms", "prospero", "rtsp", "rtsps",
+                    "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss"]
+PARAMETER_SCHEMES = ["", "ftp", "prospero", "http", "imap", "https", "shttp", "rtsp", "rtsps", "rtspu", "mms", "sftp"]
 
 
-def normalize_url(url: Column, base: Column | str) -> Column:
-    """join ``url`` onto ``base`` like ``urllib.parse.urljoin``; '' when empty.
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-    Common shapes (absolute, ``//host``, ``/path``, ``?query``, ``#frag``, plain
-    relative path) are native.  Paths with dot segments go through a small
-    Arrow-batched helper because their resolution is a loop.
-    """
+
+def _url_parts(url: Column, default_scheme: Column) -> Column:
+    """Struct of a URL's scheme, host, path, params, query, fragment, and whether its host is well formed.
+
+    Leading blanks and controls and all line breaks and tabs go first, as browsers do."""
+    clean = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+
+    def after_scheme(s: Column) -> Column:
+        named = F.lower(F.regexp_extract(s, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
+        return F.struct(F.when(named == "", default_scheme).otherwise(named).alias("scheme"),
+                        F.when(named == "", s).otherwise(F.substr(s, F.length(named) + 2)).alias("rest"))
+
+    def after_host(p: Column) -> Column:
+        host = F.regexp_extract(p["rest"], r"(?s)^//([^/?#]*)", 1)
+        return F.struct(p["scheme"].alias("scheme"), host.alias("host"),
+                        F.when(p["rest"].startswith("//"), F.substr(p["rest"], F.length(host) + 3)).otherwise(p["rest"]).alias("rest"))
+
+    def whole(p: Column) -> Column:
+        path = F.regexp_extract(p["rest"], r"(?s)^([^?#]*)", 1)
+        cut = p["scheme"].isin(PARAMETER_SCHEMES)
+        bracketed = F.regexp_extract(p["host"], r"\[([^\]]*)\]", 1)
+        well_formed = (~p["host"].rlike(r"[\[\]]")) | bracketed.rlike(r"^(?:[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*(?:%.+)?|v[0-9A-Fa-f]+\..+)$")
+        return F.struct(
+            p["scheme"].alias("scheme"), p["host"].alias("host"),
+            F.when(cut, F.regexp_extract(path, r"(?s)^((?:.*/)?[^/;]*)", 1)).otherwise(path).alias("path"),
+            F.when(cut, F.regexp_extract(path, r"(?s)^(?:.*/)?[^/;]*;([^/]*)$", 1)).otherwise(F.lit("")).alias("params"),
+            F.regexp_extract(p["rest"], r"(?s)^[^?#]*\?([^#]*)", 1).alias("query"),
+            F.regexp_extract(p["rest"], r"(?s)^[^#]*#(.*)$", 1).alias("fragment"), well_formed.alias("well_formed"))
+    return _let(_let(_let(clean, after_scheme), after_host), whole)
+
+
+def _written(scheme: Column, host: Column, path: Column, params: Column, query: Column, fragment: Column) -> Column:
+    """The URL of its parts; empty parameters, queries and fragments are not written."""
+    def sign(s: str, c: Column) -> Column:
+        return F.when(c == "", F.lit("")).otherwise(F.concat(F.lit(s), c))
+
+    def full(local: Column) -> Column:
+        rooted = F.when((local != "") & ~local.startswith("/"), F.concat(F.lit("/"), local)).otherwise(local)
+        front = (F.when(host != "", F.concat(F.lit("//"), host, rooted))
+                 .when(local.startswith("//") | ((scheme != "") & ((local == "") | local.startswith("/"))), F.concat(F.lit("//"), local))
+                 .otherwise(local))
+        return F.concat(F.when(scheme == "", F.lit("")).otherwise(F.concat(scheme, F.lit(":"))), front)
+    return F.concat(_let(F.concat(path, sign(";", params)), full), sign("?", query), sign("#", fragment))
+
+
+def _without_dots(segments: Column) -> Column:
+    """RFC 3986 5.2.4 as a fold: ``.`` adds nothing, ``..`` takes the segment before it away; either as the last one leaves a slash."""
+    kept = F.reduce(segments, F.slice(segments, F.lit(1), F.lit(0)), lambda acc, s:
+                    F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+                    .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    last = F.element_at(segments, -1)
+    path = F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+    return F.when(path == "", F.lit("/")).otherwise(path)
+
+
+def _merged(base_path: Column, path: Column) -> Column:
+    """A path resolved against the base's: from the root, or from the base's folder with empty segments left out."""
+    folder = F.split(base_path, "/")
+    folder = F.when(F.element_at(folder, -1) == "", folder).otherwise(F.slice(folder, F.lit(1), F.size(folder) - 1))
+
+    def relative(all_: Column) -> Column:
+        inner = F.filter(F.slice(all_, F.lit(2), F.greatest(F.size(all_) - 2, F.lit(0))), lambda s: s != "")
+        return F.when(F.size(all_) <= 2, all_).otherwise(
+            F.concat(F.slice(all_, F.lit(1), F.lit(1)), inner, F.slice(all_, F.lit(-1), F.lit(1))))
+    segments = F.when(path.startswith("/"), F.split(path, "/")).otherwise(_let(F.concat(folder, F.split(path, "/")), relative))
+    return _let(segments, _without_dots)
+
+
+def normalize_url(url: Column, base: Column | str) -> Column:
+    """``url`` made absolute against ``base`` like ``urllib.parse.urljoin``; '' when empty or when
+    a host is malformed.  All native: RFC 3986 resolution over arrays of path segments."""
     b = F.lit(base) if isinstance(base, str) else base
-    scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
-    origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    no_frag = F.regexp_replace(b, "#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    base_dir = F.regexp_replace(no_query, "[^/]*$", "")
-    base_dir = F.when(F.length(origin) == F.length(no_query), F.concat(no_query, F.lit("/"))) \
-                .otherwise(base_dir)
-    # urljoin resolves dot segments and drops empty segments ("a//b") of a
-    # relative path -- and of the base path it is merged with -- so such rows go
-    # to the helper; every other shape has an exact native form.
-    odd_path = r"(^|/)\.\.?(/|$|\?|#)|[^/:]//|^/[^/?#]*//"
-    # leading blanks and controls, line breaks inside, empty queries, fragments or parameters
-    odd_url = r"^[\x00-\x20]|[\t\r\n]|\?$|\?#|#$|;"
-    url_path = F.regexp_extract(url, r"^([^?#]*)", 1)
-    base_path = F.regexp_replace(no_query, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*", "")
-    needs_helper = ~url.startswith("//") & ~url.startswith("?") & ~url.startswith("#") & (
-        url_path.rlike(odd_path) | F.concat(F.lit("/"), base_path).rlike(odd_path))
-    return (
-        F.when(url.isNull() | (url == ""), F.lit(""))
-        .when(b.isNull() | (b == ""), url)
-        .when(url.rlike(odd_url), _urljoin_udf(b, url))
-        .when(url.rlike(_SCHEME), url)
-        .when(needs_helper, _urljoin_udf(b, url))
-        .when(url.startswith("//"), F.concat(scheme, F.lit(":"), url))
-        .when(url.startswith("/"), F.concat(origin, url))
-        .when(url.startswith("?"), F.concat(no_query, url))
-        # an empty query ("...?") is not written back by urljoin
-        .when(url.startswith("#"), F.concat(F.regexp_replace(no_frag, r"\?$", ""), url))
-        .otherwise(F.concat(base_dir, url))
-    )
-
-
-def _join(base: str | None, url: str | None) -> str:
-    """``urljoin``; '' for what it refuses (a malformed host)."""
-    try:
-        return urljoin(base or "", url) if url else ""
-    except ValueError:
-        return ""
-
-
-def _urljoin_udf(base: Column, url: Column) -> Column:
-    @F.pandas_udf("string")
-    def urljoin_batch(b: pd.Series, u: pd.Series) -> pd.Series:
-        return pd.Series([_join(x, y) for x, y in zip(b, u)])
-
-    return urljoin_batch(base, url)
+
+    def resolve(p: Column) -> Column:
+        u, o = p["u"], p["o"]
+        path = (F.when(u["host"] != "", u["path"])
+                .when((u["path"] == "") & (u["params"] == ""), o["path"])
+                .otherwise(_merged(o["path"], u["path"])))
+        same = (u["host"] == "") & (u["path"] == "") & (u["params"] == "")
+        return (F.when(~u["well_formed"] | ~o["well_formed"], F.lit(""))
+                .when((u["scheme"] != o["scheme"]) | ~u["scheme"].isin(RELATIVE_SCHEMES), url)
+                .otherwise(_let(F.struct(
+                    F.when(u["host"] != "", u["host"]).otherwise(o["host"]).alias("host"), path.alias("path"),
+                    F.when(same, o["params"]).otherwise(u["params"]).alias("params"),
+                    F.when(same & (u["query"] == ""), o["query"]).otherwise(u["query"]).alias("query")),
+                    lambda r: _written(u["scheme"], r["host"], r["path"], r["params"], r["query"], u["fragment"]))))
+
+    joined = _let(_let(_url_parts(b, F.lit("")), lambda o: F.struct(o.alias("o"), _url_parts(url, o["scheme"]).alias("u"))), resolve)
+    return (F.when(url.isNull() | (url == ""), F.lit(""))
+            .when(b.isNull() | (b == ""), url)
+            .otherwise(joined))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .. import dictionaries as D
 from ..functions.text import quote_path20, quote_plus
+from .rank import distributed_rank
 
 
 def _walk(frontier: DataFrame) -> list[str]:
@@ -105,11 +106,14 @@ def crawl_dedupe(frontier: DataFrame, max_pages: int | None) -> DataFrame:
 
 
 def crawl_cap(frontier: DataFrame, max_results: int | None, max_pages: int | None) -> DataFrame:
-    """The first ``max_results`` URLs per walk whose detail page was read."""
+    """The first ``max_results`` URLs per walk whose detail page was read.
+
+    With a cap, map tasks send that many rows of a walk at most; without one, no task holds a walk."""
     read = crawl_dedupe(frontier, max_pages).filter(~F.col("failed")).drop("failed")
+    if max_results is None:
+        return distributed_rank(read, _walk(frontier), ["page", "pos"]).withColumn("rank", F.col("rank").cast("int"))
     w = Window.partitionBy(*_walk(frontier)).orderBy("page", "pos")
-    out = read.withColumn("rank", F.row_number().over(w))
-    return out if max_results is None else out.filter(F.col("rank") <= max_results)
+    return read.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= max_results)
 
 
 def platform_union(tables: dict[str, DataFrame]) -> DataFrame:

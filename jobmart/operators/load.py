@@ -1,27 +1,31 @@
-"""Idempotent star-schema load.
+"""Idempotent star-schema load.
 
-Identity: ``job_id = xxhash64(job_url)`` and ``skill_id = xxhash64(skill_name)``,
-so ids are computed in parallel from natural keys, never by a global counter, and
-a later batch finds an existing row's id without reading it back (J03/J04).
+Identity: ``job_id`` and ``skill_id`` are the 128-bit MD5 of the natural key, so ids are
+computed in parallel from natural keys, never by a global counter, a later batch
+finds an existing row's id without reading it back (J03/J04), and two URLs do not share an
+id at any number of rows that fits on disks (at 10^12 rows the chance is 10^-15).
 
-First-wins without row order: ``row_number() = 1`` per key, which Spark limits to one
-row per key and map task before the shuffle, so a hot key (one URL holding a third
-of the rows) is no oversized window partition.  Rows are picked before they are
-enriched.
+First-wins without row order: the first order of every URL is found on narrow rows (URL and
+order), and only rows whose URL repeats are looked at again; a row whose URL occurs once
+never has its text shuffled, and one URL that holds a third of all rows meets only
+aggregates that combine before the shuffle.  Rows are picked before they are enriched.
 
 Loading appends only: new rows are the batch minus what exists (semi-join of the
 stored keys with the batch keys, then ``left_anti``); nothing is
-read-modified-written.  Dimensions are written before facts so a retried batch
-re-derives exactly the missing rows.
+read-modified-written.  Tables that hold a job's key are laid out by a prefix of its id,
+and a batch reads only the prefixes it has keys in.  Dimensions are written before facts so a
+retried batch re-derives exactly the missing rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import STAR
 from ..session import drop_staged, materialize, stage
@@ -44,11 +48,11 @@ def empty_star(spark: SparkSession) -> StarTables:
 
 
 def job_id(url: Column) -> Column:
-    return F.xxhash64(url)
+    return F.unhex(F.md5(url))
 
 
 def skill_id(name: Column) -> Column:
-    return F.xxhash64(name)
+    return F.unhex(F.md5(name))
 
 
 def _keys_ok(df: DataFrame) -> Column:
@@ -57,16 +61,48 @@ def _keys_ok(df: DataFrame) -> Column:
             & F.col("job_url").isNotNull() & F.col("job_title").isNotNull())
 
 
-def first_per_url(rows: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """The earliest row (by ``order``, default ingest_seq) per job_url.
-
-    ``row_number() = 1`` keeps one row per URL and map task before the shuffle
-    (``WindowGroupLimit``), so a URL that holds a third of all rows is no large
-    partition; whole rows are kept, so all columns come from the same posting.  Rows
-    that share the order are told apart by their content, the same way every time."""
+# The repeated URLs are marked in a bitmap of 64 * REPEAT_WORDS bits, sent to all executors as
+# (word, bits) rows, one a word at most: its size is bounded however many URLs repeat.  Where they
+# are so many that other URLs share their bits, more rows take the way of the repeated ones.
+REPEAT_WORDS = 1 << 18
+
+
+def first_per_url(rows: DataFrame, order: list[str] | None = None, words: int = REPEAT_WORDS) -> DataFrame:
+    """The earliest row (by ``order``, default ingest_seq) per job_url; rows without a URL are left out.
+
+    A first job reads URLs and orders alone and stages the URLs that repeat, with their first
+    order.  Whole rows are looked up there only where the bitmap says that their URL may repeat; without
+    repeated URLs, or without ties, those steps are not in the plan.  Whole rows are kept, so all columns
+    come from the same posting.  Rows that share URL and order are told apart by their content, the same way every time."""
+    return _first_per_url(rows, order, words)[0]
+
+
+def _first_per_url(rows: DataFrame, order: list[str] | None, words: int = REPEAT_WORDS) -> tuple[DataFrame, str]:
+    """``first_per_url`` and the folder that its rows read."""
+    place = F.struct(*[F.col(c) for c in (order or ["ingest_seq"])])
+    rows = rows.filter(F.col("job_url").isNotNull())
+    repeated, path = stage(
+        rows.select("job_url", place.alias("_at")).groupBy("job_url", "_at").agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("job_url").agg(F.min(F.struct("_at", "_n")).alias("_first"), F.sum("_n").alias("_rows"))
+        .filter("_rows > 1").select("job_url", "_first"), "repeated")
+    seen = repeated.agg(F.count(F.lit(1)).alias("urls"), F.count(F.when(F.col("_first._n") > 1, 1)).alias("ties")).first()
+    if not seen.urls:
+        return rows, path
+    bit = F.xxhash64("job_url")
+    word, shift = F.pmod(bit, F.lit(words)).alias("_word"), F.pmod(F.shiftright(bit, 32), F.lit(64)).cast("int")
+    marks = repeated.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), shift)).alias("_marks"))
+    marked = rows.select("*", word, shift.alias("_bit")).join(F.broadcast(marks), "_word", "left")
+    may_repeat = F.coalesce(F.call_function("shiftright", F.col("_marks"), F.col("_bit")).bitwiseAND(1) == 1, F.lit(False))
+    once = marked.filter(~may_repeat).select(*rows.columns)
+    again = (marked.filter(may_repeat).join(repeated, "job_url", "left")
+             .filter(F.col("_first").isNull() | (place == F.col("_first._at"))))
+    if not seen.ties:
+        return once.unionByName(again.select(*rows.columns)), path
+    tied = F.coalesce(F.col("_first._n"), F.lit(1)) > 1
     text = [c for c in ("platform", "job_title", "job_description", "raw_description") if c in rows.columns]
-    w = Window.partitionBy("job_url").orderBy(*(order or ["ingest_seq"]), F.xxhash64(*text))
-    return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    by_content = Window.partitionBy("job_url").orderBy(F.xxhash64(*text))
+    ties = again.filter(tied).withColumn("_n", F.row_number().over(by_content)).filter("_n = 1")
+    return once.unionByName(again.filter(~tied).select(*rows.columns)).unionByName(ties.select(*rows.columns)), path
 
 
 def exploded_skills(processed: DataFrame) -> DataFrame:
@@ -94,15 +130,20 @@ def _not_loaded(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataF
 class LoadResult(NamedTuple):
     new: StarTables           # rows to append
     stats: DataFrame          # A09, one row
+    staged: list[str]         # folders that both read
 
 
 def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | None = None) -> LoadResult:
     """Rows a batch adds to each table, given what the tables hold already.
 
-    ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch."""
+    ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch.  The first
+    postings are staged, for two tables read them."""
     accepted = processed.filter(_keys_ok(processed))
     ex = exploded_skills(accepted)
-    batch = _star_of(first_per_url(accepted, order), ex, order or ["ingest_seq"])
+    picked, repeated = _first_per_url(accepted, order)
+    firsts, path = stage(picked, "firsts")
+    drop_staged(processed.sparkSession, [repeated])
+    batch = _star_of(firsts, ex, order or ["ingest_seq"])
     new = StarTables(
         jobs=_not_loaded(batch.jobs, existing.jobs, ["job_url"]),               # K01
         skills=_not_loaded(batch.skills, existing.skills, ["skill_name"]),      # K03
@@ -110,25 +151,25 @@ def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | Non
         job_descriptions=_not_loaded(batch.job_descriptions, existing.job_descriptions, ["job_id"]))  # K02
     # The original counts every accepted row for jobs, descriptions and links
     # (an ignored duplicate still "succeeds"); skills count only new ones.
-    return LoadResult(new, _load_stats(processed, ex, new.jobs, new.skills, new.job_skills))
+    return LoadResult(new, _load_stats(processed, ex, new.jobs, new.skills, new.job_skills), [path])
 
 
-def _star_of(firsts: DataFrame, ex: DataFrame, order: list[str]) -> StarTables:
+def _star_of(firsts: DataFrame | None, ex: DataFrame, order: list[str]) -> StarTables:
     """The four tables' rows from the first posting of every URL and the postings' skills."""
     jid = job_id(F.col("job_url")).alias("job_id")
     seen = ex.groupBy("skill_name").agg(F.min_by("skill_category", F.struct(*order, "pos")).alias("skill_category"))
     return StarTables(
-        jobs=firsts.select(jid, *[c for c in JOB_COLUMNS if c != "job_id"]),
+        jobs=firsts and firsts.select(jid, *[c for c in JOB_COLUMNS if c != "job_id"]),
         # category of the first sighting sticks
         skills=seen.select(skill_id(F.col("skill_name")).alias("skill_id"), "skill_name", "skill_category"),
         # every accepted posting links its skills, duplicates of a URL included
         job_skills=ex.select(jid, skill_id(F.col("skill_name")).alias("skill_id")).distinct(),
         # the first posting's text
-        job_descriptions=firsts.select(jid, "raw_description", "clean_description"))
+        job_descriptions=firsts and firsts.select(jid, "raw_description", "clean_description"))
 
 
 def load_ordered(raw: DataFrame, order: list[str] = ("batch", "ingest_seq"),
-                 staged: tuple[str, ...] = (), **transform_opts) -> StarTables:
+                 staged: tuple[str, ...] = (), jobs: bool = True, **transform_opts) -> StarTables:
     """Batches of raw postings loaded in ``batch`` order into empty tables, in one pass.
 
     Loading batch after batch keeps the first row per key in (batch, ingest_seq)
@@ -137,20 +178,28 @@ def load_ordered(raw: DataFrame, order: list[str] = ("batch", "ingest_seq"),
     enriched for ``jobs`` and ``job_descriptions``; all postings' skills are
     extracted for the links.  ``staged`` ("firsts", "skills") names what is written once
     for reports that read it more than once; the rest of the plan stays lazy, and a
-    report computes only the columns it reads."""
+    report computes only the columns it reads.  ``jobs=False`` leaves out the tables of the first
+    postings (None) for reports that read skills and links alone."""
     from .transform import essential_ok, transform_postings
 
     order = list(order)
     accepted = raw.filter(essential_ok(raw))
-    firsts = transform_postings(first_per_url(accepted, order), **transform_opts)
+    firsts = first_postings(raw, order, **transform_opts) if jobs else None
     ex = exploded_skills(transform_postings(accepted, **transform_opts))
-    if "firsts" in staged:
+    if "firsts" in staged and jobs:
         firsts = materialize(firsts, "firsts")
     if "skills" in staged:
         ex = materialize(ex, "skills")
     return _star_of(firsts, ex, order)
 
 
+def first_postings(raw: DataFrame, order: list[str] = ("batch", "ingest_seq"), **transform_opts) -> DataFrame:
+    """The processed first posting of every URL: what ``jobs`` and ``job_descriptions`` hold of an ordered load."""
+    from .transform import essential_ok, transform_postings
+
+    return transform_postings(first_per_url(raw.filter(essential_ok(raw)), list(order)), **transform_opts)
+
+
 def load_stats_by_batch(raw: DataFrame, batch: str = "batch", **transform_opts) -> DataFrame:
     """A09 for every batch of a sequential load into empty tables: a row, skill, URL or
     link is new in the batch where it is first seen.  Rows are read once for their
@@ -243,38 +292,76 @@ class StarStore:
     """Parquet-backed star schema.  ``append`` is safe to retry: every table
     only receives rows whose key it lacks, and new rows are staged as Parquet in
     the checkpoint folder before any write, so a batch never reads files it is
-    writing."""
+    writing.
+
+    ``jobs``, ``job_descriptions`` and ``job_skills`` lie in folders by the first ``digits`` hex digits of
+    the job's id (16 ** digits folders, all about equally large): one digit up to some 10^8 jobs, two to 10^10,
+    three beyond, so that a folder holds several files.  A batch and a lookup read the folders of their
+    keys alone.  Files of ``jobs`` and ``skills`` carry Bloom filters on URL and name, sized by the rows written."""
 
     WRITE_ORDER = ["skills", "jobs", "job_descriptions", "job_skills"]
+    LOOKUP = {"jobs": "job_url", "skills": "skill_name"}
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, digits: int = 1):
         self.spark = spark
         self.root = root
+        self.digits = digits
+        self.prefix = f"prefix{digits}"
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
     def setup(self) -> None:
-        """Create the four tables when absent."""
+        """Create the four tables when absent; a store laid out with other prefixes is refused."""
         for name, schema in STAR.items():
             p = self.path(name)
             if not _exists(self.spark, p):
-                self.spark.createDataFrame([], schema).write.mode("ignore").parquet(p)
-
-    def tables(self) -> StarTables:
-        return StarTables(*[self.spark.read.schema(STAR[n]).parquet(self.path(n))
-                            for n in StarTables._fields])
+                self._write(name, self.spark.createDataFrame([], schema), 0)
+            other = [f for f in _folders(self.spark, p) if f.startswith("prefix") and not f.startswith(self.prefix + "=")]
+            if other:
+                raise ValueError(f"{p} is laid out as {other[0].split('=')[0]}, not {self.prefix}")
+
+    def prefix_of(self, job_id: Column) -> Column:
+        return F.lower(F.substring(F.hex(job_id), 1, self.digits))
+
+    def _read(self, name: str) -> DataFrame:
+        schema = STAR[name] if name == "skills" else T.StructType([*STAR[name].fields, T.StructField(self.prefix, T.StringType())])
+        return self.spark.read.schema(schema).parquet(self.path(name))
+
+    def tables(self, prefixes: list[str] | None = None) -> StarTables:
+        """The tables; with ``prefixes``, only the folders of these are read."""
+        def read(name: str) -> DataFrame:
+            df = self._read(name)
+            if name == "skills":
+                return df
+            return (df if prefixes is None else df.filter(F.col(self.prefix).isin(prefixes))).drop(self.prefix)
+        return StarTables(*[read(n) for n in StarTables._fields])
+
+    def prefixes_in(self, batch: DataFrame) -> list[str]:
+        """The prefixes of a batch's URLs, at most 16 ** digits."""
+        rows = batch.select(self.prefix_of(job_id(F.col("job_url"))).alias("p")).distinct().collect()
+        return sorted(r.p for r in rows if r.p is not None)
+
+    def jobs_by_url(self, urls: list[str]) -> DataFrame:
+        """The jobs of these URLs, read from their prefixes' folders, row groups without them skipped."""
+        jobs = self._read("jobs")
+        where = [hashlib.md5(u.encode()).hexdigest()[:self.digits] for u in urls]
+        return jobs.filter(F.col(self.prefix).isin(where) & F.col("job_url").isin(urls)).drop(self.prefix)
+
+    def skills_by_name(self, names: list[str]) -> DataFrame:
+        """The skills of these names."""
+        return self._read("skills").filter(F.col("skill_name").isin(names))
 
     def append(self, processed: DataFrame) -> DataFrame:
         """Load one batch of processed postings; returns its A09 stats (collected
         already, one row) as a DataFrame.
 
         The batch and then its new rows are staged, so each stored table is read
-        once; the stats count the staged rows; the staging folders go when the
-        batch is written."""
+        once, and only in the batch's prefixes; the stats count the staged rows; the staging
+        folders go when the batch is written."""
         batch, path = stage(processed, "batch")
-        paths = [path]
-        new = plan_load(self.tables(), batch).new._asdict()
+        load = plan_load(self.tables(self.prefixes_in(batch)), batch)
+        new, paths = load.new._asdict(), [path, *load.staged]
         staged = {}
         for n in self.WRITE_ORDER:
             staged[n], path = stage(new[n], n)
@@ -282,11 +369,30 @@ class StarStore:
         accepted = batch.filter(_keys_ok(batch))
         stats = _load_stats(batch, exploded_skills(accepted), staged["jobs"], staged["skills"], staged["job_skills"])
         row = stats.first()                     # one row of counts
+        counts = {"jobs": row.jobs_new, "skills": row.skills_inserted}
         for n in self.WRITE_ORDER:
-            staged[n].write.mode("append").parquet(self.path(n))
+            self._write(n, staged[n], counts.get(n, 0))
         drop_staged(self.spark, paths)
         return self.spark.createDataFrame([row], stats.schema)
 
+    def _write(self, name: str, rows: DataFrame, count: int) -> None:
+        """Append rows to a table: about one file a prefix, more where a prefix has many rows; ``count``, their
+        number, sizes the Bloom filters."""
+        if name != "skills":
+            rows = rows.withColumn(self.prefix, self.prefix_of(F.col("job_id"))).hint("rebalance", self.prefix)
+        out = rows.write.mode("append")
+        if name in self.LOOKUP:
+            a_file = 64 + (2 * count // 16 ** self.digits if name == "jobs" else count)
+            out = (out.option(f"parquet.bloom.filter.enabled#{self.LOOKUP[name]}", "true")
+                   .option(f"parquet.bloom.filter.expected.ndv#{self.LOOKUP[name]}", str(a_file)))
+        (out if name == "skills" else out.partitionBy(self.prefix)).parquet(self.path(name))
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in p.getFileSystem(conf).listStatus(p) if s.isDirectory()]
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm

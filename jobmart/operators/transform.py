@@ -7,10 +7,11 @@ cleaned one -- as in the original transformer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import dictionaries as D
+from ..schemas import CORRUPT
 from ..functions import enrich as E
 from ..functions.salary import with_salary
 from ..functions.text import clean_description, word_tokens
@@ -21,14 +22,16 @@ def _nonempty(c: Column) -> Column:
 
 
 def essential_ok(df: DataFrame) -> Column:
-    """Title, description, platform and url present and non-empty (no trim)."""
-    return (_nonempty(F.col("job_title")) & _nonempty(F.col("job_description"))
-            & _nonempty(F.col("platform")) & _nonempty(F.col("job_url")))
+    """Title, description, platform and url present and non-empty (no trim); rows that the
+    reader could not parse (``sources.raw``) are rejected."""
+    ok = (_nonempty(F.col("job_title")) & _nonempty(F.col("job_description"))
+          & _nonempty(F.col("platform")) & _nonempty(F.col("job_url")))
+    return ok & F.col(CORRUPT).isNull() if CORRUPT in df.columns else ok
 
 
 def platform_job_id(platform: Column, url: Column) -> Column:
-    """platform + '_' + a stable 64-bit hash of the URL."""
-    return F.concat(platform, F.lit("_"), F.xxhash64(url).cast("string"))
+    """platform + '_' + a stable 128-bit hash of the URL."""
+    return F.concat(platform, F.lit("_"), F.md5(url))
 
 
 def _col_or_null(df: DataFrame, name: str) -> Column:
@@ -82,6 +85,7 @@ def _enriched(df: DataFrame, strict_salary: bool = False, unknown_label: str | N
         E.extract_location(F.col("clean_description"), F.col("raw_location"), aliases)
          .alias("location"),
         E.extract_posted_date(F.col("clean_description"), F.col("posting_date")).alias("posted_date"),
+        E.posted_text(F.col("clean_description"), F.col("posting_date")).alias("_posted_text"),
     )
 
 
@@ -100,6 +104,7 @@ def transform_postings(df: DataFrame, strict_salary: bool = False,
         *[c for c in ["batch"] if c in e.columns],
         platform_job_id(F.col("platform"), F.col("job_url")).alias("platform_job_id"),
         "platform", "job_url", "job_title", "company_name", "location", "posted_date",
+        F.when(F.col("posted_date").isNull(), F.col("_posted_text")).alias("posted_date_text"),
         "scraped_at", "seniority_level",
         "salary_min", "salary_max", "salary_currency", "salary_overflow",
         "raw_description", "clean_description",
@@ -112,14 +117,26 @@ def transform_postings(df: DataFrame, strict_salary: bool = False,
     return out.filter("accepted").drop("accepted")
 
 
-def transform_stats(df: DataFrame) -> DataFrame:
-    """Total, transformed, errors (each row counted once), one row."""
-    ok = essential_ok(df)
-    return df.agg(
-        F.count(F.lit(1)).alias("total_jobs"),
-        F.count(F.when(ok, 1)).alias("transformed_jobs"),
-        F.count(F.when(~ok, 1)).alias("errors"),
-    )
+def _stats(accepted: Column, overflow: Column) -> list[Column]:
+    bad = ~accepted | F.coalesce(overflow, F.lit(False))
+    return [F.count(F.lit(1)).alias("total_jobs"), F.count(F.when(accepted, 1)).alias("transformed_jobs"),
+            F.count(F.when(bad, 1)).alias("errors")]
+
+
+def transform_stats(df: DataFrame, strict_salary: bool = False) -> DataFrame:
+    """Total, transformed, errors, one row.  An error is a rejected row or an accepted one
+    whose salary is too large for its column (it is kept, without the salary)."""
+    rows = with_salary(df.select(essential_ok(df).alias("_ok"), F.concat(
+        F.lower("job_title"), F.lit(" "), F.lower("job_description")).alias("_text_td")), "_text_td", strict=strict_salary)
+    return rows.agg(*_stats(F.col("_ok"), F.col("salary_overflow")))
+
+
+def observed_transform(df: DataFrame, **opts) -> tuple[DataFrame, Observation]:
+    """``transform_postings`` that counts A07 on the way: the observation holds total_jobs, transformed_jobs and
+    errors once the rows were written, so statistics need no scan of their own."""
+    seen = Observation("transform")
+    rows = transform_postings(df, keep_rejected=True, **opts).observe(seen, *_stats(F.col("accepted"), F.col("salary_overflow")))
+    return rows.filter("accepted").drop("accepted"), seen
 
 
 def unreadable_times(df: DataFrame) -> DataFrame:

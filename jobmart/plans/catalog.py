@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..functions.vectors import norm
+from .. import dictionaries as D
 from ..operators import load as L
 from ..operators.transform import essential_ok, transform_postings, transform_stats
 from ..sources.postings import derived_postings
@@ -39,17 +40,21 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform_postings(derived_postings(spark, sf_dir))
 
 
-def loaded_star(spark: SparkSession, sf_dir: str, staged: tuple[str, ...] = ()) -> L.StarTables:
+def loaded_star(spark: SparkSession, sf_dir: str, staged: tuple[str, ...] = (), jobs: bool = True) -> L.StarTables:
     """Derived postings loaded as two batches (batch 0, then batch 1) into empty
     tables: one first-wins pass in (batch, ingest_seq) order.
 
     Lazy by default: column pruning reaches the enrichment, and a report that reads
     one table computes only the columns it needs.  ``staged`` ("firsts", "skills") writes
     what a report reads more than once.  The anti-joins against existing tables are run by ``load_incremental_*``."""
-    return L.load_ordered(derived_postings(spark, sf_dir), ["batch", "ingest_seq"], staged)
+    return L.load_ordered(derived_postings(spark, sf_dir), ["batch", "ingest_seq"], staged, jobs)
 
 
 def incremental_star(spark: SparkSession, sf_dir: str) -> L.StarTables:
+    return incremental_store(spark, sf_dir).tables()
+
+
+def incremental_store(spark: SparkSession, sf_dir: str) -> L.StarStore:
     """The same two batches through the persistent store: batch 1 meets the tables that
     batch 0 left (J03, J05, X03)."""
     import uuid
@@ -60,7 +65,7 @@ def incremental_star(spark: SparkSession, sf_dir: str) -> L.StarTables:
     raw = derived_postings(spark, sf_dir)
     for b in (0, 1):
         store.append(transform_postings(raw.filter(F.col("batch") == b)))
-    return store.tables()
+    return store
 
 
 # --- transform ---------------------------------------------------------------
@@ -76,7 +81,6 @@ def q_extract_skills(spark, sf_dir):
 @register("extract_skills_by_table", ORACLE["extract_skills"])
 def q_extract_skills_by_table(spark, sf_dir):
     """The same skills with the dictionary as a table."""
-    from .. import dictionaries as D
     from ..operators.skills import extract_skills_by_table
     entries = [(o, n, k, kw) for o, n, k, kws in D.skill_entries() for kw in kws]
     table_ = spark.createDataFrame(entries, "entry_order int, skill_name string, skill_category string, keyword string")
@@ -163,7 +167,8 @@ def q_load_jobs(spark, sf_dir):
 @register("load_descriptions", O.with_star(
     "SELECT job_url, raw_description, clean_description FROM s_desc"))
 def q_load_descriptions(spark, sf_dir):
-    return _descriptions(loaded_star(spark, sf_dir, ("firsts",)))
+    firsts = L.first_postings(derived_postings(spark, sf_dir))
+    return firsts.select("job_url", "raw_description", "clean_description")
 
 
 def _descriptions(star):
@@ -173,7 +178,7 @@ def _descriptions(star):
 
 @register("load_skills", O.with_star("SELECT skill_name, skill_category FROM s_skills"))
 def q_load_skills(spark, sf_dir):
-    return loaded_star(spark, sf_dir).skills.select("skill_name", "skill_category")
+    return loaded_star(spark, sf_dir, jobs=False).skills.select("skill_name", "skill_category")
 
 
 @register("load_job_skills", O.with_star("SELECT job_url, skill_name FROM s_links"))
@@ -250,7 +255,7 @@ SELECT s.skill_name, s.skill_category, count(*) AS job_count,
 FROM s_links l JOIN s_skills s ON l.skill_name = s.skill_name
 GROUP BY s.skill_name, s.skill_category"""))
 def q_skill_demand(spark, sf_dir):
-    return V.skill_demand(loaded_star(spark, sf_dir, ("skills",)))
+    return V.skill_demand(loaded_star(spark, sf_dir, ("skills",), jobs=False))
 
 
 _DETAIL_OUT = _JOB_OUT + ["clean_description", "raw_description"]
@@ -260,7 +265,14 @@ _DETAIL_OUT = _JOB_OUT + ["clean_description", "raw_description"]
     f"SELECT {', '.join('j.' + c for c in _JOB_OUT)}, d.clean_description, d.raw_description "
     "FROM s_jobs j JOIN s_desc d ON j.job_url = d.job_url"))
 def q_job_details(spark, sf_dir):
-    return V.job_details(loaded_star(spark, sf_dir, ("firsts",))).select(*_DETAIL_OUT)
+    """View 1 over a load's own postings: both tables' columns are in one row, nothing is joined."""
+    return V.details_of(L.first_postings(derived_postings(spark, sf_dir))).select(*_DETAIL_OUT)
+
+
+@register("job_details_stored", ORACLE["job_details"])
+def q_job_details_stored(spark, sf_dir):
+    """View 1 over the stored tables."""
+    return V.job_details(incremental_star(spark, sf_dir)).select(*_DETAIL_OUT)
 
 
 def _jobs_of(spark, sf_dir, columns):
@@ -286,18 +298,96 @@ def q_salary_view(spark, sf_dir):
 @register("platform_job_count", O.with_star(
     "SELECT platform, count(*) AS total_jobs FROM s_jobs GROUP BY platform"))
 def q_platform_job_count(spark, sf_dir):
-    return V.platform_job_count(_jobs_of(spark, sf_dir, ["job_id", "platform"]))
+    return V.platform_job_count(loaded_star(spark, sf_dir))
 
 
 @register("postings_over_time", O.with_star(
     "SELECT CAST(posted_date AS DATE) AS date, count(*) AS daily_job_count FROM s_jobs "
     "WHERE posted_date IS NOT NULL GROUP BY CAST(posted_date AS DATE)"))
 def q_postings_over_time(spark, sf_dir):
-    return V.postings_over_time(_jobs_of(spark, sf_dir, ["job_id", "posted_date"]))
+    return V.postings_over_time(_jobs_of(spark, sf_dir, ["job_id", "posted_date", "posted_date_text"]))
+
+
+_LABEL = " Ngày cập nhật: "
+
+
+@register("postings_over_time_undated", O.with_star("SELECT CAST(posted_date AS DATE) AS date, count(*) AS daily_job_count FROM s_jobs GROUP BY 1")
+          .replace(f"'{_LABEL}' ||", f"'{_LABEL}' || CASE WHEN o.o_orderkey % 20 = 0 THEN 'chưa rõ ' ELSE '' END ||"))
+def q_postings_over_time_undated(spark, sf_dir):
+    """View 5 where every 20th posting's label holds no date: those without another date are the NULL group."""
+    raw = derived_postings(spark, sf_dir)
+    unclear = F.replace("job_description", F.lit(_LABEL), F.lit(_LABEL + "chưa rõ "))
+    raw = raw.withColumn("job_description", F.when(F.col("ingest_seq") % 20 == 0, unclear).otherwise(F.col("job_description")))
+    from ..session import materialize
+    jobs = L.load_ordered(raw, ["batch", "ingest_seq"]).jobs.select("job_id", "posted_date", "posted_date_text")
+    return V.postings_over_time(L.StarTables(materialize(jobs, "jobs"), None, None, None))
+
+
+@register("top_skills", ORACLE["skill_demand"] + "\nORDER BY job_count DESC, skill_name LIMIT 10")
+def q_top_skills(spark, sf_dir):
+    """The first ten rows of the ordered report."""
+    return V.skill_demand(loaded_star(spark, sf_dir, ("skills",), jobs=False)).limit(10)
+
+
+@register("skill_demand_view", ORACLE["skill_demand"])
+def q_skill_demand_view(spark, sf_dir):
+    """The report by its name in SQL, over the registered tables."""
+    V.register_views(spark, loaded_star(spark, sf_dir, ("skills",)))
+    return spark.sql("SELECT skill_name, skill_category, job_count, percentage_of_jobs FROM skill_demand_view")
+
+
+@register("skill_demand_approx", O.with_star("""
+SELECT skill_name, count(*) AS job_count, true AS within_bound FROM s_links GROUP BY skill_name"""))
+def q_skill_demand_approx(spark, sf_dir):
+    """A02's approximate option: daily sketches merged per skill; ``within_bound`` tells whether the estimate is
+    within three standard errors of the exact count beside it."""
+    star = loaded_star(spark, sf_dir, ("firsts", "skills"))
+    estimates = V.distinct_jobs(V.job_sketches(star), "skill_name").withColumnRenamed("job_count", "estimate")
+    exact = V.skill_demand(star).select("skill_name", "job_count")
+    bound = 3 * 1.04 / 4096 ** 0.5
+    return exact.join(estimates, "skill_name").select(
+        "skill_name", "job_count", (F.abs(F.col("estimate") - F.col("job_count")) <= F.greatest(F.lit(1.0), bound * F.col("job_count")))
+        .alias("within_bound"))
+
+
+@register("platform_job_ids", O.with_tx("SELECT ingest_seq, platform || '_' || md5(job_url) AS platform_job_id FROM tx"))
+def q_platform_job_ids(spark, sf_dir):
+    """F07."""
+    return processed(spark, sf_dir).select("ingest_seq", "platform_job_id")
+
+
+_SOUGHT = [f"https://{p}.example/job/{k}" for k in range(1, 40) for p in D.PLATFORMS]
+
+
+@register("jobs_by_url", O.with_star(f"SELECT {', '.join(_JOB_OUT)} FROM s_jobs WHERE job_url IN ({', '.join(O.q(u) for u in _SOUGHT)})"))
+def q_jobs_by_url(spark, sf_dir):
+    """A lookup of some URLs in the stored table."""
+    return incremental_store(spark, sf_dir).jobs_by_url(_SOUGHT).select(*_JOB_OUT)
+
+
+_OK_SQL = " AND ".join(f"coalesce(length({c}), 0) > 0" for c in ["job_title", "job_description", "platform", "job_url"])
+
+
+@register("raw_postings_read", f"""WITH raw AS ({O.derived_postings_sql()})
+SELECT count(*) AS total_jobs, count(*) FILTER (WHERE {_OK_SQL} AND ingest_seq % 101 <> 0) AS transformed_jobs,
+  count(*) FILTER (WHERE NOT ({_OK_SQL}) OR ingest_seq % 101 = 0) AS errors, count(*) FILTER (WHERE ingest_seq % 101 = 0) AS unreadable
+FROM raw""")
+def q_raw_postings_read(spark, sf_dir):
+    """The postings as JSON lines, every 101st one broken off, read back by the declared schema and counted."""
+    import uuid
+
+    from ..schemas import CORRUPT, RAW_POSTING
+    from ..session import ensure_checkpoint_dir, materialize
+    from ..sources.raw import read_raw
+    raw = derived_postings(spark, sf_dir)
+    line = F.to_json(F.struct(*[f.name for f in RAW_POSTING.fields]))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobmart-lines-{uuid.uuid4().hex}"
+    raw.select(F.when(F.col("ingest_seq") % 101 == 0, F.substr(line, F.lit(1), F.length(line) - 5)).otherwise(line).alias("value")).write.text(path)
+    rows = materialize(read_raw(spark, path), "raw-read")
+    return transform_stats(rows).select("*", rows.select(F.count(CORRUPT)).scalar().alias("unreadable"))
 
 
 # --- crawl frontier (derived from events) --------------------------------------
-from .. import dictionaries as D  # noqa: E402
 from ..operators import crawl as C  # noqa: E402
 from ..sources import frontier as FR  # noqa: E402
 
@@ -450,6 +540,33 @@ def q_semantic_relevance(spark, sf_dir):
             .select("vec_id", F.round("similarity", 6).alias("similarity"), "relevant"))
 
 
+_LETTERS = "aetns"
+
+
+def letter_counts(texts: list[str]) -> list[list[float]]:
+    """A user's embedding that SQL can follow: how often five letters occur."""
+    return [[float(t.lower().count(c)) for c in _LETTERS] for t in texts]
+
+
+def _letters_sql(text: str) -> str:
+    return "[" + ", ".join(f"CAST(length({text}) - length(replace({text}, '{c}', '')) AS DOUBLE)" for c in _LETTERS) + "]"
+
+
+@register("semantic_relevance_text", f"""
+WITH v AS (SELECT doc_id, lower(concat_ws(' ', source, text)) AS t, {_letters_sql("lower(concat_ws(' ', source, text))")} AS e,
+             {_letters_sql(O.q(_KW_QUERY))} AS q FROM documents),
+s AS (SELECT doc_id, t, CASE WHEN list_inner_product(e, e) > 0
+        THEN list_inner_product(e, q) / (sqrt(list_inner_product(e, e)) * sqrt(list_inner_product(q, q))) END AS sim FROM v)
+SELECT doc_id, round(sim, 6) AS similarity, CASE WHEN sim IS NOT NULL THEN sim >= {D.SEMANTIC_THRESHOLD}
+  ELSE {" + ".join(f"CAST(instr(t, {O.q(w)}) > 0 AS INTEGER)" for w in _KW_QUERY.split())} >= {max(1, len(_KW_QUERY.split()) // 2)} END AS relevant
+FROM s""")
+def q_semantic_relevance_text(spark, sf_dir):
+    """Whole texts embedded by a user function in Arrow batches; the keyword test where there is no vector."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return (R.semantic_relevance_text(d, letter_counts, _KW_QUERY, title="source", description="text")
+            .select("doc_id", F.round("similarity", 6).alias("similarity"), "relevant"))
+
+
 _WORDS_CTE = f"""
 WITH w AS (
   SELECT doc_id, x.w AS word, x.p AS pos FROM (

@@ -6,15 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.load import StarTables
+from ..operators.load import StarTables, job_id
+
+DETAILS = ["job_id", "platform", "job_url", "job_title", "company_name", "location", "posted_date",
+           "scraped_at", "seniority_level", "salary_min", "salary_max", "salary_currency",
+           "clean_description", "raw_description"]
 
 
 def job_details(star: StarTables) -> DataFrame:
     """View 1 (J01): jobs with their descriptions."""
-    return star.jobs.join(star.job_descriptions, "job_id").select(
-        "job_id", "platform", "job_url", "job_title", "company_name", "location", "posted_date",
-        "scraped_at", "seniority_level", "salary_min", "salary_max", "salary_currency",
-        "clean_description", "raw_description")
+    return star.jobs.join(star.job_descriptions, "job_id").select(*DETAILS)
+
+
+def details_of(firsts: DataFrame) -> DataFrame:
+    """View 1 over processed postings that are one a job: both tables are columns of the same row."""
+    return firsts.select(job_id(F.col("job_url")).alias("job_id"), *DETAILS[1:])
 
 
 def skill_demand(star: StarTables) -> DataFrame:
@@ -59,13 +65,28 @@ def platform_job_count(star: StarTables) -> DataFrame:
 
 
 def postings_over_time(star: StarTables) -> DataFrame:
-    """View 5 (A05, F19)."""
-    return (star.jobs.filter(F.col("posted_date").isNotNull())
+    """View 5 (A05, F19): jobs per day; those whose date is there but cannot be read are one NULL group."""
+    return (star.jobs.filter(F.col("posted_date").isNotNull() | F.col("posted_date_text").isNotNull())
             .groupBy(F.col("posted_date").cast("date").alias("date"))
             .agg(F.count("job_id").alias("daily_job_count"))
             .orderBy("date"))
 
 
+def job_sketches(star: StarTables, lg_k: int = 12) -> DataFrame:
+    """A02's approximate option: a HyperLogLog sketch of the jobs of every skill and day.
+
+    Sketches merge, so one stored row a skill and day answers for any set of skills and days, and
+    new postings add rows without reading old ones.  ``2 ** lg_k`` registers: relative error about 1.04 / sqrt(2 ** lg_k)."""
+    linked = star.job_skills.join(star.jobs.select("job_id", F.col("posted_date").alias("date")), "job_id")
+    per = linked.groupBy("skill_id", "date").agg(F.hll_sketch_agg("job_id", F.lit(lg_k)).alias("jobs"))
+    return per.join(star.skills, "skill_id").select("skill_name", "skill_category", "date", "jobs")
+
+
+def distinct_jobs(sketches: DataFrame, *keys: str) -> DataFrame:
+    """(keys, job_count): estimated distinct jobs of each group of sketches; without keys, of all."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("jobs")).alias("job_count"))
+
+
 VIEWS = {
     "job_details_view": job_details,
     "skill_demand_view": skill_demand,

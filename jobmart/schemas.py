@@ -22,6 +22,9 @@ RAW_POSTING = T.StructType([
     T.StructField("scraped_at", T.StringType()),
 ])
 
+# where a reader puts the text of a row that does not fit the schema
+CORRUPT = "_corrupt_record"
+
 PROCESSED = T.StructType([
     T.StructField("ingest_seq", T.LongType()),
     T.StructField("platform_job_id", T.StringType()),
@@ -31,6 +34,7 @@ PROCESSED = T.StructType([
     T.StructField("company_name", T.StringType()),
     T.StructField("location", T.StringType()),
     T.StructField("posted_date", T.DateType()),
+    T.StructField("posted_date_text", T.StringType()),     # the date's text where it cannot be read
     T.StructField("scraped_at", T.TimestampNTZType()),
     T.StructField("seniority_level", T.StringType()),
     T.StructField("salary_min", T.LongType()),
@@ -44,7 +48,7 @@ PROCESSED = T.StructType([
 ])
 
 JOBS = T.StructType([
-    T.StructField("job_id", T.LongType(), False),
+    T.StructField("job_id", T.BinaryType(), False),
     T.StructField("platform_job_id", T.StringType(), False),
     T.StructField("platform", T.StringType(), False),
     T.StructField("job_url", T.StringType(), False),
@@ -52,6 +56,7 @@ JOBS = T.StructType([
     T.StructField("company_name", T.StringType()),
     T.StructField("location", T.StringType()),
     T.StructField("posted_date", T.DateType()),
+    T.StructField("posted_date_text", T.StringType()),     # the date's text where it cannot be read
     T.StructField("scraped_at", T.TimestampNTZType()),
     T.StructField("seniority_level", T.StringType()),
     T.StructField("salary_min", T.LongType()),
@@ -60,18 +65,18 @@ JOBS = T.StructType([
 ])
 
 SKILLS = T.StructType([
-    T.StructField("skill_id", T.LongType(), False),
+    T.StructField("skill_id", T.BinaryType(), False),
     T.StructField("skill_name", T.StringType(), False),
     T.StructField("skill_category", T.StringType()),
 ])
 
 JOB_SKILLS = T.StructType([
-    T.StructField("job_id", T.LongType(), False),
-    T.StructField("skill_id", T.LongType(), False),
+    T.StructField("job_id", T.BinaryType(), False),
+    T.StructField("skill_id", T.BinaryType(), False),
 ])
 
 JOB_DESCRIPTIONS = T.StructType([
-    T.StructField("job_id", T.LongType(), False),
+    T.StructField("job_id", T.BinaryType(), False),
     T.StructField("raw_description", T.StringType()),
     T.StructField("clean_description", T.StringType()),
 ])

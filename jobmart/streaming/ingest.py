@@ -19,12 +19,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.load import StarStore
 from ..operators.transform import transform_postings
-from ..schemas import RAW_POSTING
+from ..sources.raw import permissive
 
 
 def raw_posting_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(RAW_POSTING).format(fmt)
+    reader = permissive(spark.readStream, fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(source_dir)
@@ -32,9 +32,9 @@ def raw_posting_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet
 
 def start_ingest(spark: SparkSession, source_dir: str, store_root: str, checkpoint: str,
                  fmt: str = "parquet", available_now: bool = True,
-                 max_files_per_trigger: int | None = None, **transform_opts) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, digits: int = 1, **transform_opts) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and stops."""
-    store = StarStore(spark, store_root)
+    store = StarStore(spark, store_root, digits)
     store.setup()
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -48,12 +48,12 @@ def start_ingest(spark: SparkSession, source_dir: str, store_root: str, checkpoi
 
 
 def ingest_available(spark: SparkSession, source_dir: str, store_root: str, checkpoint: str,
-                     fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                     fmt: str = "parquet", max_files_per_trigger: int | None = None, digits: int = 1,
                      **transform_opts) -> StarStore:
     """Process every file not yet seen by this checkpoint, then return the store."""
     q = start_ingest(spark, source_dir, store_root, checkpoint, fmt, True,
-                     max_files_per_trigger, **transform_opts)
+                     max_files_per_trigger, digits, **transform_opts)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return StarStore(spark, store_root)
+    return StarStore(spark, store_root, digits)

@@ -155,3 +155,152 @@ def test_unreadable_time_is_null_not_now(spark):
     assert str(got[0]) == "2025-01-02 03:04:05" and got[1:] == [None, None]
     assert unreadable_times(raw).first()[0] == 1
     assert transform_postings(raw.drop("scraped_at")).first().scraped_at is not None
+
+
+# --- the store's layout, narrow first-wins, identity -------------------------------
+def _store(spark, path, rows, digits=2):
+    store = L.StarStore(spark, str(path), digits)
+    store.setup()
+    store.append(transform_postings(raw_df(spark, rows)))
+    return store
+
+
+def _posting(i, **kw):
+    return {"ingest_seq": i, "job_title": f"title {i}", "platform": "p", "job_url": f"https://x.example/{i}", "job_description": f"sql text {i}", **kw}
+
+
+def _scanned(df):
+    """Partitions and rows that the scans of a finished plan read."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            m = node.metrics()
+            found.append(tuple(m.apply(k).value() if m.contains(k) else None for k in ("numPartitions", "numOutputRows")))
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return found
+
+
+def test_a_batch_reads_its_prefixes_alone(spark, tmp_path):
+    store = _store(spark, tmp_path / "s", [_posting(i) for i in range(3000)])
+    few = transform_postings(raw_df(spark, [_posting(i, job_title="again") for i in range(0, 3000, 100)]))     # 1% of the keys
+    prefixes = store.prefixes_in(few)
+    assert len(prefixes) <= 30
+    old = store.tables(prefixes)
+    for name in ("jobs", "job_descriptions", "job_skills"):
+        df = getattr(old, name).select("job_id")
+        assert "PartitionFilters: [isnotnull(" in (plan := df._jdf.queryExecution().executedPlan().toString()) or "PartitionFilters: [prefix2" in plan
+        (parts, read), = _scanned(df)
+        assert parts == len(prefixes) and read < 3000 * 30 / 256 * 2
+    # what the batch holds is found there: nothing is added twice
+    assert store.append(few).first().jobs_new == 0
+    assert store.tables().jobs.count() == 3000
+    # one file a prefix and batch
+    assert all(len([f for f in files if f.endswith(".parquet")]) <= 2 for _, _, files in os.walk(store.path("jobs")))
+
+
+def test_a_store_of_another_layout_is_refused(spark, tmp_path):
+    _store(spark, tmp_path / "s", [_posting(1)])
+    try:
+        L.StarStore(spark, str(tmp_path / "s"), 3).setup()
+    except ValueError as e:
+        assert "prefix2" in str(e)
+    else:
+        raise AssertionError("a store with other prefixes must be refused")
+
+
+def test_crash_between_writes_of_the_laid_out_tables(spark, tmp_path):
+    batch = transform_postings(raw_df(spark, [_posting(i) for i in range(40)]))
+    store = L.StarStore(spark, str(tmp_path / "crash"))
+    store.setup()
+    partial = L.plan_load(store.tables(), batch).new
+    store._write("skills", partial.skills, 1)
+    store._write("jobs", partial.jobs, 40)
+    store.append(batch)
+    got, clean = store.tables(), L.load_batches(spark, [batch])[0]
+    assert _keys(got) == _keys(clean) and got.jobs.count() == got.job_descriptions.count() == 40
+
+
+def test_lookups_skip_files_and_row_groups(spark, tmp_path):
+    """One folder for a URL, and Bloom filters that rule row groups out."""
+    store = _store(spark, tmp_path / "s", [_posting(i) for i in range(2000)])
+    (parts, _), = _scanned(store.jobs_by_url(["https://x.example/77"]))
+    assert parts == 1 and store.jobs_by_url(["https://x.example/77"]).first().job_title == "title 77"
+    assert store.jobs_by_url(["https://x.example/77x", "https://x.example/1"]).count() == 1
+    assert store.skills_by_name(["SQL"]).first().skill_category is not None
+    files = [os.path.join(d, f) for n in ("jobs", "skills") for d, _, fs in os.walk(store.path(n)) for f in fs if f.endswith(".parquet")]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for f in files:
+        blocks = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(conf, jvm.org.apache.hadoop.fs.Path(f)).getBlocks()
+        for b in blocks:
+            marked = {c.getPath().toDotString() for c in b.getColumns() if c.getBloomFilterOffset() > 0}
+            assert marked == {"job_url" if "/jobs/" in f else "skill_name"}
+    # a value inside a file's range that the file does not hold: no row leaves the scan
+    whole = spark.read.parquet(store.path("jobs"))
+    held = whole.filter("prefix2 = '00'").select("job_url").orderBy("job_url").collect()
+    absent = held[0].job_url + "0" if len(held) > 1 else held[0].job_url + "x"
+    (_, read), = _scanned(spark.read.parquet(store.path("jobs")).filter(f"prefix2 = '00' and job_url = '{absent}'"))
+    assert read == 0
+
+
+def _first_by_plain_rule(rows):
+    best = {}
+    for r in rows:
+        if r["job_url"] is not None and (r["job_url"] not in best or r["ingest_seq"] < best[r["job_url"]]["ingest_seq"]):
+            best[r["job_url"]] = r
+    return {u: r["job_title"] for u, r in best.items()}
+
+
+def test_first_wins_on_narrow_rows(spark):
+    """A hot URL, ordinary repeats, ties, one word of marks only, no URL: the same winners."""
+    rows = [_posting(i, job_url=None if i % 50 == 0 else "hot" if i % 3 == 0 else f"u{i % 170}") for i in range(600)]
+    df = raw_df(spark, rows).repartition(5)
+    for words in (L.REPEAT_WORDS, 1):
+        got = L.first_per_url(df, words=words).collect()
+        assert {r.job_url: r.job_title for r in got} == _first_by_plain_rule(rows) and len(got) == len({r.job_url for r in got})
+        assert df.columns == L.first_per_url(df, words=words).columns
+    assert L.first_per_url(df.limit(0)).count() == 0
+    same = raw_df(spark, [_posting(1)] * 4 + [_posting(1, job_title="other")])
+    assert L.first_per_url(same).count() == 1
+
+
+def test_rows_that_occur_once_are_not_shuffled(spark):
+    """Only rows of repeated URLs and narrow rows pass an exchange; no text is under a window but that of ties."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = L.first_per_url(raw_df(spark, [_posting(i, job_url=f"u{min(i, 395)}") for i in range(400)]))
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().executedPlan()
+        found, todo = [], [plan]
+        while todo:
+            node = todo.pop()
+            if node.nodeName() in ("Exchange", "BroadcastExchange"):
+                m = node.metrics()
+                names = [node.output().apply(i).name() for i in range(node.output().size())]
+                key = "shuffleRecordsWritten" if m.contains("shuffleRecordsWritten") else "numOutputRows"
+                found.append(("job_description" in names, m.apply(key).value()))
+            kids = node.children()
+            todo += [kids.apply(i) for i in range(kids.size())]
+            if "QueryStage" in node.nodeName():
+                todo.append(node.plan())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found and sum(n for text, n in found if text) <= 5 + 1       # the five rows of the repeated URL (and no tie)
+
+
+def test_jobs_whose_64_bit_hashes_collide_stay_apart(spark, tmp_path, monkeypatch):
+    """Ids are 128 bits of the key: rows that agree in every shorter hash Spark offers lose nothing."""
+    star, _ = L.load_batches(spark, [transform_postings(raw_df(spark, [_posting(i) for i in range(50)]))])
+    assert all(len(r.job_id) == 16 for r in star.jobs.select("job_id").collect())
+    # a hash that knows four values only takes the place of the 64-bit one: marks and prefixes collide, rows do not
+    real = L.F.xxhash64
+    monkeypatch.setattr(L.F, "xxhash64", lambda *c: L.F.pmod(real(*c), L.F.lit(4)).cast("long"))
+    store = _store(spark, tmp_path / "s", [_posting(i, job_url=f"u{i % 40}") for i in range(60)], digits=1)
+    got = store.tables()
+    assert got.jobs.count() == got.job_descriptions.count() == 40
+    assert got.job_skills.count() == 40

@@ -71,3 +71,25 @@ def test_whole_word_rules(spark):
     assert [r.p5 for r in out] == [False, True, False, False]
     assert [r.tm for r in out] == [False, False, True, False]
     assert [r.py for r in out] == [False, False, False, False]
+
+
+def test_normalize_url_on_random_urls(spark):
+    """Native resolution equals urljoin on any mix of schemes, hosts, dots, parameters, blanks; no Python worker."""
+    import random
+    rng = random.Random(4)
+    parts = ["", "a", "b.html", "..", ".", "c;p", "d;", "x y", "é", ":", "//", "/", "?", "#", "q=1", "http:", "https:", "mailto:", "HTTP:",
+             "//h", "//H:80", "//[::1]", "//[bad", "\t", " ", "\n", ";", "ftp:", "foo:", "a/b/", "?x=1", "#f", "../", "./"]
+
+    def some():
+        return "".join(rng.choice(parts) for _ in range(rng.randint(0, 7)))
+    bases = ["https://host", "http://h/a//b/c", "http://h/a/b/;p?q", "rel/path", "//h/x", "mailto:x", "http://h/..", "HTTP://X/y/./z/../w;k?j"]
+    rows = [(rng.choice(bases) if rng.random() < 0.7 else some(), some()) for _ in range(2500)]
+
+    def joined(b, u):
+        try:
+            return urljoin(b, u) if u else ""
+        except ValueError:
+            return ""
+    df = spark.createDataFrame(rows, "b string, u string").select("b", "u", TX.normalize_url(F.col("u"), F.col("b")).alias("n"))
+    assert [(r.b, r.u, r.n) for r in df.collect()] == [(b, u, joined(b, u)) for b, u in rows]
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
