@@ -61,48 +61,70 @@ def _keys_ok(df: DataFrame) -> Column:
             & F.col("job_url").isNotNull() & F.col("job_title").isNotNull())
 
 
-# The repeated URLs are marked in a bitmap of 64 * REPEAT_WORDS bits, sent to all executors as
-# (word, bits) rows, one a word at most: its size is bounded however many URLs repeat.  Where they
-# are so many that other URLs share their bits, more rows take the way of the repeated ones.
+# Keys are marked in bitmaps of 64 * REPEAT_WORDS bits, sent to all executors as (word, bits) rows,
+# one a word at most: their size is bounded however many keys there are.  Where they are so many that
+# other keys share their bits, more rows take the way of the marked ones.
 REPEAT_WORDS = 1 << 18
 
 
+def _bitmap(key: Column, words: int) -> tuple[Column, Column]:
+    """(word, bit) of a hashed key."""
+    return F.pmod(key, F.lit(words)), F.pmod(F.shiftright(key, 32), F.lit(64)).cast("int")
+
+
+def _marks(keys: DataFrame, key: Column, words: int, name: str) -> DataFrame:
+    """The bitmap of a frame's keys."""
+    word, bit = _bitmap(key, words)
+    return keys.groupBy(word.alias(f"{name}_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias(f"{name}_bits"))
+
+
+def _with_mark(rows: DataFrame, marks: DataFrame, key: Column, words: int, name: str) -> DataFrame:
+    """``rows`` with column ``name``: whether their key may be in the bitmap."""
+    word, bit = _bitmap(key, words)
+    hit = F.call_function("shiftright", F.col(f"{name}_bits"), F.col(f"{name}_bit")).bitwiseAND(1) == 1
+    return (rows.select("*", word.alias(f"{name}_word"), bit.alias(f"{name}_bit")).join(F.broadcast(marks), f"{name}_word", "left")
+            .withColumn(name, F.coalesce(hit, F.lit(False))).drop(f"{name}_word", f"{name}_bit", f"{name}_bits"))
+
+
 def first_per_url(rows: DataFrame, order: list[str] | None = None, words: int = REPEAT_WORDS) -> DataFrame:
     """The earliest row (by ``order``, default ingest_seq) per job_url; rows without a URL are left out.
 
-    A first job reads URLs and orders alone and stages the URLs that repeat, with their first
-    order.  Whole rows are looked up there only where the bitmap says that their URL may repeat; without
-    repeated URLs, or without ties, those steps are not in the plan.  Whole rows are kept, so all columns
-    come from the same posting.  Rows that share URL and order are told apart by their content, the same way every time."""
+    Two jobs read URLs and orders alone: the first marks the URLs that repeat in a bitmap, the second finds the
+    first order of every marked URL and marks those.  Of the whole rows, those of unmarked URLs are
+    kept as they are, later rows of marked URLs fall away where they were read, and only marked first rows are
+    compared with the exact list.  Without repeated URLs, or without ties, those steps are not in the plan.  Whole
+    rows are kept, so all columns come from the same posting.  Rows that share URL and
+    order are told apart by their content, the same way every time."""
     return _first_per_url(rows, order, words)[0]
 
 
-def _first_per_url(rows: DataFrame, order: list[str] | None, words: int = REPEAT_WORDS) -> tuple[DataFrame, str]:
-    """``first_per_url`` and the folder that its rows read."""
-    place = F.struct(*[F.col(c) for c in (order or ["ingest_seq"])])
+def _first_per_url(rows: DataFrame, order: list[str] | None, words: int = REPEAT_WORDS) -> tuple[DataFrame, list[str]]:
+    """``first_per_url`` and the folders that its rows read."""
+    order = order or ["ingest_seq"]
     rows = rows.filter(F.col("job_url").isNotNull())
-    repeated, path = stage(
-        rows.select("job_url", place.alias("_at")).groupBy("job_url", "_at").agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy("job_url").agg(F.min(F.struct("_at", "_n")).alias("_first"), F.sum("_n").alias("_rows"))
-        .filter("_rows > 1").select("job_url", "_first"), "repeated")
-    seen = repeated.agg(F.count(F.lit(1)).alias("urls"), F.count(F.when(F.col("_first._n") > 1, 1)).alias("ties")).first()
-    if not seen.urls:
-        return rows, path
-    bit = F.xxhash64("job_url")
-    word, shift = F.pmod(bit, F.lit(words)).alias("_word"), F.pmod(F.shiftright(bit, 32), F.lit(64)).cast("int")
-    marks = repeated.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), shift)).alias("_marks"))
-    marked = rows.select("*", word, shift.alias("_bit")).join(F.broadcast(marks), "_word", "left")
-    may_repeat = F.coalesce(F.call_function("shiftright", F.col("_marks"), F.col("_bit")).bitwiseAND(1) == 1, F.lit(False))
-    once = marked.filter(~may_repeat).select(*rows.columns)
-    again = (marked.filter(may_repeat).join(repeated, "job_url", "left")
-             .filter(F.col("_first").isNull() | (place == F.col("_first._at"))))
-    if not seen.ties:
-        return once.unionByName(again.select(*rows.columns)), path
-    tied = F.coalesce(F.col("_first._n"), F.lit(1)) > 1
+    url, place = F.xxhash64("job_url"), F.xxhash64("job_url", *order)
+    at = F.struct(*[F.col(c) for c in order])
+    narrow = rows.select("job_url", *order)
+    repeated, url_path = stage(_marks(narrow.groupBy("job_url").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), url, words, "_url"), "repeated")
+    if repeated.isEmpty():
+        return rows, [url_path]
+    winners, win_path = stage(
+        _with_mark(narrow, repeated, url, words, "_url").filter("_url")
+        .groupBy("job_url", at.alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("job_url").agg(F.min(F.struct("_at", "_n")).alias("_first")).select("job_url", "_first._at", "_first._n"), "winners")
+    firsts = _marks(winners, F.xxhash64("job_url", *[F.col(f"_at.{c}") for c in order]), words, "_place")
+    marked = _with_mark(rows, repeated, url, words, "_url")
+    once = marked.filter(~F.col("_url")).select(*rows.columns)
+    again = (_with_mark(marked.filter("_url"), firsts, place, words, "_place").filter("_place")
+             .withColumn("_at", at).join(winners, ["job_url", "_at"]))
+    if winners.filter("_n > 1").isEmpty():
+        return once.unionByName(again.select(*rows.columns)), [url_path, win_path]
     text = [c for c in ("platform", "job_title", "job_description", "raw_description") if c in rows.columns]
     by_content = Window.partitionBy("job_url").orderBy(F.xxhash64(*text))
-    ties = again.filter(tied).withColumn("_n", F.row_number().over(by_content)).filter("_n = 1")
-    return once.unionByName(again.filter(~tied).select(*rows.columns)).unionByName(ties.select(*rows.columns)), path
+    ties = again.filter("_n > 1").withColumn("_n", F.row_number().over(by_content)).filter("_n = 1")
+    return (once.unionByName(again.filter("_n = 1").select(*rows.columns)).unionByName(ties.select(*rows.columns)),
+            [url_path, win_path])
 
 
 def exploded_skills(processed: DataFrame) -> DataFrame:
@@ -140,9 +162,9 @@ def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | Non
     postings are staged, for two tables read them."""
     accepted = processed.filter(_keys_ok(processed))
     ex = exploded_skills(accepted)
-    picked, repeated = _first_per_url(accepted, order)
+    picked, read = _first_per_url(accepted, order)
     firsts, path = stage(picked, "firsts")
-    drop_staged(processed.sparkSession, [repeated])
+    drop_staged(processed.sparkSession, read)
     batch = _star_of(firsts, ex, order or ["ingest_seq"])
     new = StarTables(
         jobs=_not_loaded(batch.jobs, existing.jobs, ["job_url"]),               # K01

@@ -32,3 +32,19 @@ def raw_df(spark, rows):
         d = {"ingest_seq": i, **r}
         data.append(tuple(d.get(n) for n in names))
     return spark.createDataFrame(data, RAW_POSTING)
+
+
+def shuffled(df):
+    """(column names, rows) of every exchange in a finished adaptive plan."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() in ("Exchange", "BroadcastExchange"):
+            m = node.metrics()
+            names = [node.output().apply(i).name() for i in range(node.output().size())]
+            found.append((names, m.apply("shuffleRecordsWritten" if m.contains("shuffleRecordsWritten") else "numOutputRows").value()))
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+    return found

@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import SF001, raw_df
+from conftest import SF001, raw_df, shuffled
 from jobmart.operators import load as L
 from jobmart.operators.transform import transform_postings
 from jobmart.sources.postings import derived_postings
@@ -275,19 +275,7 @@ def test_rows_that_occur_once_are_not_shuffled(spark):
     try:
         df = L.first_per_url(raw_df(spark, [_posting(i, job_url=f"u{min(i, 395)}") for i in range(400)]))
         df.collect()
-        plan = df._jdf.queryExecution().executedPlan().executedPlan()
-        found, todo = [], [plan]
-        while todo:
-            node = todo.pop()
-            if node.nodeName() in ("Exchange", "BroadcastExchange"):
-                m = node.metrics()
-                names = [node.output().apply(i).name() for i in range(node.output().size())]
-                key = "shuffleRecordsWritten" if m.contains("shuffleRecordsWritten") else "numOutputRows"
-                found.append(("job_description" in names, m.apply(key).value()))
-            kids = node.children()
-            todo += [kids.apply(i) for i in range(kids.size())]
-            if "QueryStage" in node.nodeName():
-                todo.append(node.plan())
+        found = [("job_description" in names, n) for names, n in shuffled(df)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found and sum(n for text, n in found if text) <= 5 + 1       # the five rows of the repeated URL (and no tie)
