@@ -4,7 +4,9 @@ A page is read once, tag by tag, with a stack of open elements (no recursion; un
 misnested and truncated markup is ordinary).  Text between block-level boundaries (block
 tags and line breaks) is a leaf block.  Its features: the tags, roles and class and id words of
 its ancestors, its own element, its length, the share of its text in links, how it ends,
-and its place on the page.  Scripts, styles, comments, titles, form controls, drawings and embedded objects
+and its place on the page.  Class names of ``html`` and ``body``, names that state what a page has
+(``has-sidebar``) or how a post is filed (``tag-news``), and names beside the text on an element that holds
+the page's text (``popular``, ``review``) are no features.  Scripts, styles, comments, titles, form controls, drawings and embedded objects
 are no text; one that is never closed ends with the element around it or at the next block.
 
 The field has two labels, main and other: emission weights for each feature, transition
@@ -18,7 +20,7 @@ Text: character references decoded, white space inside a block turned into one s
 trimmed; main blocks in page order, joined by one line feed.
 
 Defined results: null or empty html, and pages without main blocks, have an empty text and 0
-code points; repeated rows repeat their result; pages of any length and nesting are read whole.
+code points; an empty table gives no rows; repeated rows repeat their result; other columns are ignored, whatever their names; pages of any length and nesting are read whole.
 """
 
 from __future__ import annotations
@@ -36,17 +38,19 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
-TRAIN_PAGES = 1000
+TRAIN_PAGES = 1400
 SEED = 17
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*(?:>|\Z)", re.I | re.S)
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*(?:>|\Z)", re.I | re.S)
 # elements that hold no markup: they run to their end tag
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I) for t in "script style noscript iframe textarea title".split()}
 # elements whose text is not kept, and where the next tag of that name is
 _UNKEPT = {t: re.compile(rf"<(/?){t}(?=[\s/>])", re.I) for t in "template svg math object select button".split()}
 _FOREIGN = frozenset(("svg", "math"))
-_ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# class names that state what a page has, or how a post is filed, not what the element is
+_STATE = re.compile(r"(?:has|no|with|without|is|not|tag|category|format|type|status|lang|theme)[-_]", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _BLOCK = frozenset("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section "
@@ -76,59 +80,93 @@ _KIND_OF = {w: k for k, ws in _KINDS.items() for w in ws.split()}
 _TAG_KIND = {"nav": "menu", "menu": "menu", "aside": "side", "footer": "foot", "header": "head", "form": "form", "article": "main", "main": "main"}
 
 
-def _kind(features: set[str]) -> str | None:
-    """The kind of an element; what is around the text goes before the text itself, as in
-    an article's comments."""
-    kinds = {_KIND_OF[f[2:]] for f in features if f[:2] == "c=" and f[2:] in _KIND_OF}
-    kinds |= {_TAG_KIND[f[2:]] for f in features if f[:2] == "t=" and f[2:] in _TAG_KIND}
-    other = sorted(kinds - {"main"})
-    return other[0] if other else "main" if kinds else None
+class _Open:
+    """An open element: its tag, whether inside a link, the element around it, what its own tag and names say
+    (``own``), what is left of that where it holds the page's text (``quiet``), the characters of text in it,
+    and the innermost element around that keeps no text, with whether all such are unclosed."""
+    __slots__ = ("tag", "link", "parent", "own", "quiet", "total", "headed", "path", "kind", "unkept", "loose")
 
+    def __init__(self, tag: str, link: bool, parent: _Open | None, own: tuple = (frozenset(), None), quiet: tuple = (frozenset(), None),
+                 unkept: str | None = None, loose: bool = True):
+        self.tag, self.link, self.parent, self.own, self.quiet, self.unkept, self.loose = tag, link, parent, own, quiet, unkept, loose
+        self.total, self.headed, self.path, self.kind = 0, False, None, None
 
-class _Open:
-    """An open element: its tag, whether inside a link, the features of its path, and the
-    innermost element around that keeps no text, with whether all such are unclosed."""
-    __slots__ = ("tag", "link", "path", "kind", "unkept", "loose")
 
-    def __init__(self, tag: str, link: bool, path: frozenset, kind: str | None = None, unkept: str | None = None, loose: bool = True):
-        self.tag, self.link, self.path, self.kind, self.unkept, self.loose = tag, link, path, kind, unkept, loose
+def _named(value: str) -> list[list[str]]:
+    """The words of each class name or id."""
+    return [[w[:-1] if len(w) > 3 and w.endswith("s") else w for w in (x.lower() for x in _WORDS.findall(name))]
+            for name in value.split() if not _STATE.match(name)]
+
 
+def _element_features(tag: str, attrs: str) -> tuple[tuple[set[str], str | None], tuple[set[str], str | None]]:
+    """(features, kind) of an element, and what is left of them where it holds the page's text: there
+    names that speak of something beside the text say nothing.
 
-def _element_features(tag: str, attrs: str) -> set[str]:
-    out = {"t=" + tag}
-    if attrs and "=" in attrs or "hidden" in attrs:
+    What is around the text goes before the text itself, as in an article's comments, but for
+    ``article`` and ``main`` with a class name of their own for it."""
+    base, names = {"t=" + tag}, []
+    if tag not in ("html", "body") and attrs and ("=" in attrs or "hidden" in attrs):
         for name, value in _ATTR.findall(attrs):
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id"):
-                for w in _WORDS.findall(value):
-                    w = w.lower()
-                    out.add("c=" + (w[:-1] if len(w) > 3 and w.endswith("s") else w))
+                names += _named(value)
             elif name == "role":
-                out.add("r=" + value.lower())
+                base.add("r=" + value.lower())
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or \
                     name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                out.add("hidden")
-    return out
+                base.add("hidden")
+    kinds = [{_KIND_OF[w] for w in words if w in _KIND_OF} for words in names]
+    said = set().union(*kinds, {_TAG_KIND[tag]} if tag in _TAG_KIND else ())
+    beside = sorted(said - {"main"})
+    if tag in ("article", "main") and {"main"} in kinds:
+        beside = []
+    kind = beside[0] if beside else "main" if said else None
+    own = base | {"c=" + w for words in names for w in words} | ({"in=" + kind} if kind else set())
+    pure = [words for words, k in zip(names, kinds) if not k - {"main"}]
+    calm = _TAG_KIND.get(tag) or ("main" if any(_KIND_OF.get(w) == "main" for words in pure for w in words) else None)
+    quiet = base | {"c=" + w for words in pure for w in words} | ({"in=" + calm} if calm else set())
+    return (own, kind), (quiet, calm)
+
+
+def _settle(nodes: list[_Open]) -> None:
+    """Paths and kinds of all elements, once it is known which of them hold the page's text: those around
+    the first headline with a good part of the text, or, without a headline, those with most of it."""
+    whole = sum(e.total for e in nodes)
+    for e in reversed(nodes):
+        if e.parent is not None:
+            e.parent.total += e.total
+    headline = next((e for e in nodes if e.tag == "h1"), None)
+    at = headline
+    while at is not None and not at.headed:
+        at.headed = True
+        at = at.parent
+    for e in nodes:                                   # parents come before their children
+        if e.parent is None:
+            e.path = frozenset()
+            continue
+        holds = e.total >= 0.3 * whole if e.headed else headline is None and e.total >= 0.6 * whole
+        features, kind = e.quiet if holds else e.own
+        e.path = e.parent.path if features <= e.parent.path else e.parent.path | features
+        e.kind = kind or e.parent.kind
 
 
 def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, set[str]]]:
     """(text, features) of the leaf blocks in page order; ``known`` limits the features kept."""
-    found: list[tuple[str, str, frozenset, float, str | None]] = []
-    root = _Open("html", False, frozenset())
-    stack = [root]
+    found: list[tuple[str, str, _Open, float]] = []
+    root = _Open("html", False, None)
+    stack, nodes = [root], [root]
     parts: list[str] = []
     linked = total = 0
-    first: _Open | None = None
-    made: dict[tuple[str, str], tuple[frozenset, str | None]] = {}
+    first: tuple[str, _Open] | None = None
+    made: dict[tuple[str, str], tuple] = {}
 
     def close_block() -> None:
         nonlocal linked, total, first
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                own = next((e.tag for e in reversed(stack) if e.tag in _BLOCK), "html") if first is None else first.tag
-                found.append((text, own, first.path if first else frozenset(), linked / max(1, total),
-                              first.kind if first else None))
+                own, node = first or (next((e.tag for e in reversed(stack) if e.tag in _BLOCK), "html"), root)
+                found.append((text, own, node, linked / max(1, total)))
             parts.clear()
         linked = total = 0
         first = None
@@ -142,9 +180,9 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
         if n:
             top = stack[-1]
             if first is None:
-                at = next((e for e in reversed(stack) if e.tag in _BLOCK), root)
-                first = _Open(at.tag, False, top.path, top.kind)
+                first = next((e for e in reversed(stack) if e.tag in _BLOCK), root).tag, top
             total += n
+            top.total += n
             if top.link:
                 linked += n
         parts.append(text)
@@ -186,16 +224,16 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
             if not m.group(3).endswith("/") or tag not in _FOREIGN and top.unkept not in _FOREIGN:
                 following = _UNKEPT[tag].search(page, at)
                 loose = following is None or not following.group(1)
-                stack.append(_Open(tag, False, top.path, top.kind, tag, top.loose and loose))
+                stack.append(_Open(tag, False, top, unkept=tag, loose=top.loose and loose))
             continue
         if top.unkept:
             if tag not in _VOID and tag not in ("option", "optgroup") and not m.group(3).endswith("/"):
-                stack.append(_Open(tag, False, top.path, top.kind, top.unkept, top.loose))
+                stack.append(_Open(tag, False, top, unkept=top.unkept, loose=top.loose))
             continue
         if tag in _BLOCK:
             close_block()
         if tag in _CLOSES_P:         # a block element ends an open paragraph
-            for i in range(len(stack) - 1, max(0, len(stack) - 12), -1):
+            for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
                     pop_to(i)
                     break
@@ -213,24 +251,21 @@ def leaf_blocks(page: str, known: frozenset | None = None) -> list[tuple[str, se
         key = (tag, m.group(3))
         got = made.get(key)
         if got is None:
-            own = _element_features(*key)
-            kind = _kind(own)
-            if kind:
-                own.add("in=" + kind)
-            got = (frozenset(own) if known is None else known & own), kind
+            got = tuple((frozenset(f) if known is None else known & f, k) for f, k in _element_features(*key))
             if len(made) < 4096:
                 made[key] = got
-        own, kind = got
-        path = stack[-1].path
-        stack.append(_Open(tag, tag == "a" or stack[-1].link, path if own <= path else path | own, kind or stack[-1].kind))
+        stack.append(_Open(tag, tag == "a" or stack[-1].link, stack[-1], *got))
+        nodes.append(stack[-1])
     add(page[at:])
     close_block()
+    _settle(nodes)
 
     out, n = [], len(found)
     headline = next((i for i, b in enumerate(found) if b[1] == "h1"), -1)
-    for i, (text, own, path, link, kind) in enumerate(found):
+    for i, (text, own, node, link) in enumerate(found):
+        kind = node.kind
         words = text.count(" ") + 1
-        feats = set(path)
+        feats = set(node.path)
         feats.add("own=" + own)
         feats.add(f"near={kind}")
         if own[0] == "h" and own[1:].isdigit():
@@ -411,6 +446,13 @@ class _Layout:
                 out.append("<table>" + "".join(f"<tr><td>{_MARK}{self.words(1, 3)}</td><td>{_MARK}{self.words(1, 6)}</td></tr>" for _ in range(3)) + "</table>")
             elif main and kind < 0.30:
                 out.append(p.format(_MARK + self.words(1, 6)))
+            elif main and kind < 0.34:            # lists of links, and paragraphs that are mostly links, belong to the text
+                item = r.choice(["<li><a href='/r'>{}</a></li>", "<li><a href='/r'>{}</a> {}</li>", "<li>{} <a href='/r'>{}</a></li>"])
+                out.append("<ul>" + "".join(item.replace("{}", _MARK + self.words(2, 8), 1).replace("{}", self.words(2, 9)) for _ in range(r.randint(2, 6))) + "</ul>")
+            elif main and kind < 0.37:
+                out.append(p.format(f"{_MARK}<a href='/r'>{self.words(4, 14)}</a> {self.words(1, 5)}"))
+            elif main and kind < 0.41:
+                out.append(p.format(_MARK + self.words(1, 2) + r.choice([".", ".", "!", "?"])))
             else:
                 out.append(p.format(self.text(main)))
             if main and r.random() < 0.06:
@@ -457,7 +499,8 @@ class _Layout:
         return self.wrap(form, "div section", "newsletter subscribe signup login search contact", 1) if r.random() < 0.5 else form
 
     def share(self) -> str:
-        return self.wrap(self.links(3), "div ul p", "share social sharing share-buttons tags meta byline author", 1.0)
+        links = self.links(3)                     # a paragraph would end where a list begins
+        return self.wrap(links, "div ul p" if links.startswith("<a") else "div div ul", "share social sharing share-buttons tags meta byline author", 1.0)
 
     def comments(self) -> str:
         r, out = self.r, []
@@ -491,7 +534,14 @@ class _Layout:
         for extra, p in ((self.share, 0.12), (self.comments, 0.12), (self.notice, 0.06), (self.form, 0.06), (self.sidebar, 0.05)):
             if r.random() < p:
                 inner += extra()
-        return self.wrap(inner, "article article article main main div div section td", "content main article post entry story main-content page-content post-body", 0.35)
+        if r.random() < 0.08:
+            return inner                          # no element around the text
+        out = self.wrap(inner, "article article article main main div div section td", "content main article post entry story main-content page-content post-body", 0.35)
+        if r.random() < 0.25:                     # what blog software writes beside the name: how the post is filed, what the page has
+            extra = " ".join(r.sample("popular review trending featured has-comments tag-news category-more post-77 format-standard "
+                                      "related widget with-sidebar comment-open hentry".split(), r.randint(1, 3)))
+            out = re.sub(r'^<(\w+)(?: class="([^"]*)")?', lambda m: f'<{m[1]} class="{(m[2] or "")} {extra}"', out, count=1)
+        return out
 
     def page(self) -> str:
         r = self.r
@@ -506,7 +556,10 @@ class _Layout:
         inner = "".join(before) + main + "".join(after)
         if r.random() < 0.25:
             inner = self.wrap(inner, "div", "wrapper container page site layout row", 0.8)
-        return f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><style>p{{}}</style></head><body>{inner}</body></html>"
+        if r.random() < 0.06:                     # a page without markup, or of nothing but its text
+            return self.text(True, 1, 6) if r.random() < 0.5 else self.paragraphs(True, 1, 5)
+        names = r.choice(["", "", ' class="page has-sidebar"', ' class="single post comments-open"', ' id="sidebar-right" class="home widget"'])
+        return f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><style>p{{}}</style></head><body{names}>{inner}</body></html>"
 
 
 def labelled_pages(n: int, seed: int) -> list[tuple[list[tuple[str, set[str]]], list[bool]]]:

@@ -79,6 +79,36 @@ def test_held_out_layouts_and_planted_parts():
     assert H.main_text(page, model) == "Head & line\nFirst paragraph of the text.\nSecond paragraph, a little longer than the first one."
 
 
+INNER = ("<h1>Head line of it</h1><p>First paragraph of the text, long enough to be one.</p><p>Second paragraph, a little longer than the "
+         "first one.</p><ul><li><a href=/a>Item with a link</a></li></ul>")
+
+
+@pytest.mark.parametrize("article", [
+    "<article>", '<article class="post popular">', '<article class="review">', '<article data-id="ad-12">', '<article class="post has-comments">',
+    '<article class="tag-news">', '<article title="id=comment">', '<div class="post" data-class="comments-on">', "", "<main id=content>",
+    "<!--><article>", "<!---><article>", "<!-- x --!><article>", '<article xclass="sidebar" class=story>'])
+@pytest.mark.parametrize("body", ["<body>", '<body class="page has-sidebar">', '<body id="sidebar-right" class="widget">'])
+def test_ordinary_pages_keep_their_article(article, body):
+    end = {"d": "</div>", "m": "</main>", "": ""}.get(article[1:2], "</article>")
+    page = (f"<html><head><title>T</title></head>{body}<nav><a href=/>Home</a></nav>{article}{INNER}{end}"
+            "<section class='comments'><p>I do not agree with this text at all.</p></section><footer>&copy; Someone</footer></body></html>")
+    assert H.main_text(page, H.default_model()) == ("Head line of it\nFirst paragraph of the text, long enough to be one.\n"
+                                                    "Second paragraph, a little longer than the first one.\nItem with a link")
+
+
+def test_pages_of_nothing_but_text():
+    model = H.default_model()
+    for page in ("Just some plain text without any markup, in one piece.", "<p>One paragraph only, nothing around it.</p>"):
+        assert H.main_text(page, model) == page.replace("<p>", "").replace("</p>", "")
+    long = "<article><h1>Long one</h1>" + "<p>A paragraph of the long page, again.</p>" * 30_000 + "</article>"
+    assert H.main_text(f"<nav><a href=/>x</a></nav>{long}", model).count("\n") == 30_000
+
+
+def test_paragraphs_close_however_deep_the_inline_markup():
+    assert [t for t, _ in H.leaf_blocks("<p>a" + "<b>" * 40 + "b<p>c")] == ["ab", "c"]
+    assert "t=p" in H.leaf_blocks("<p>" + "<i>" * 30 + "x<div>y</div>")[0][1] and "t=p" not in H.leaf_blocks("<p>" + "<i>" * 30 + "x<div>y</div>")[1][1]
+
+
 def test_extract_real_pages(spark):
     df = spark.read.parquet(f"{SF001}/pages.parquet")
     got = H.extract(df).toPandas()
@@ -214,4 +244,4 @@ def test_pipeline_stages(spark):
 def test_queries_are_registered():
     import __spark_entry__ as E
     names = [k for k in E.queries() if k.startswith("op")]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in E.queries()
