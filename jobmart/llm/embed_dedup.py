@@ -17,8 +17,8 @@ and its smallest linked id, from which components are built.
 
 Rows: vec_id, n_links, component_id, kept.
 
-Defined results: vectors that are null, zero, empty, hold null or non-finite components, or whose
-dimension is not the table's most frequent one link with nothing; a row without vec_id takes a negative
+Defined results: vectors that are null, zero, empty, or hold null or non-finite components
+link with nothing; vectors link within their own dimension, which has an index of its own; a row without vec_id takes a negative
 id made from its vector; rows that share a vec_id are one node of the graph; an
 empty table gives no rows.
 """
@@ -205,19 +205,24 @@ def _verify(cell: int, left: pd.DataFrame, right: pd.DataFrame | None, threshold
 def near_dedup(embeddings: DataFrame, threshold: float = 0.9, target: float = 0.999, key: str = "vec_id",
                vector: str = "embedding") -> DataFrame:
     """One row per row of ``embeddings``; see the module's docstring."""
-    spark = embeddings.sparkSession
     v = F.col(vector)
     sound = (v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
              & F.exists(v, lambda x: x != 0))
     rows = embeddings.select(F.col(key).cast("long").alias("vec_id"), v.cast("array<double>").alias("embedding"),
                              F.coalesce(sound, F.lit(False)).alias("sound"))
     rows = rows.withColumn("node", F.coalesce("vec_id", -1 - F.shiftrightunsigned(F.xxhash64("embedding"), 1)))
-    dims = rows.filter("sound").groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("node").alias("component_id"), F.lit(True).alias("kept"))
-    if dims is None:
-        return alone
-    ok = F.col("sound") & (F.size("embedding") == dims.d)
-    classes = materialize(rows.filter(ok).groupBy("embedding").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("copies")),
+    dims = [r.d for r in rows.filter("sound").select(F.size("embedding").alias("d")).distinct().orderBy("d").collect()]
+    out = rows.filter(~F.col("sound")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("node").alias("component_id"),
+                                              F.lit(True).alias("kept"))
+    for d in dims:               # vectors of different dimensions have no cosine: an index for each
+        out = _of_dimension(rows.filter(F.col("sound") & (F.size("embedding") == d)), threshold, target).unionByName(out)
+    return out
+
+
+def _of_dimension(rows: DataFrame, threshold: float, target: float) -> DataFrame:
+    """Links and components of sound vectors of one dimension."""
+    spark = rows.sparkSession
+    classes = materialize(rows.groupBy("embedding").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("copies")),
                           "dedup-classes")
     index, visits = fit_index(classes, threshold, target)
     shared = spark.sparkContext.broadcast(index)
@@ -279,8 +284,5 @@ def near_dedup(embeddings: DataFrame, threshold: float = 0.9, target: float = 0.
     per_class = (classes.join(links, "node", "left").join(reach, "node", "left")
                  .select("embedding", F.coalesce("component", "node").alias("component_id"),
                          (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    linked = (rows.filter(ok).join(per_class, "embedding")
-              .select("vec_id", "n_links", "component_id", (F.col("node") == F.col("component_id")).alias("kept")))
-    rest = rows.filter(~ok).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("node").alias("component_id"),
-                                   F.lit(True).alias("kept"))
-    return linked.unionByName(rest)
+    return (rows.join(per_class, "embedding")
+            .select("vec_id", "n_links", "component_id", (F.col("node") == F.col("component_id")).alias("kept")))

@@ -177,3 +177,40 @@ def test_lone_pairs_are_found_with_large_codebooks(spark, monkeypatch, pairs, ot
     got = {r.vec_id: r.n_links for r in embed_dedup.near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
     assert np.mean([got[i] > 0 for i in range(1, pairs)]) >= 0.997
     assert len(got) == len(rows) and not any(got[i] for i in range(2 * pairs, 2 * pairs + others))
+
+
+def test_vectors_of_several_dimensions(spark):
+    """Every dimension links within itself, exactly as all pairs say."""
+    rng = np.random.default_rng(8)
+    rows = [(1, [1.0, 2.0, 3.0]), (2, [1.0, 2.0, 3.0]), (3, [2.0, 4.0, 6.0]), (4, [1.0]), (5, [-2.0]), (6, [4.0]), (7, [1.0, 0.0, 0.0, 0.0, 0.0])]
+    for d, first in ((2, 100), (5, 200), (8, 300)):
+        base = rng.normal(size=(15, d))
+        rows += [(first + k, (base[k % 15] + rng.normal(size=d) * 0.2).tolist()) for k in range(60)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    pairs = []
+    for (a, x), (b, y) in ((p, q) for k, p in enumerate(rows) for q in rows[:k] if len(p[1]) == len(q[1])):
+        x, y = np.array(x), np.array(y)
+        if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.9:
+            pairs.append((a, b))
+    comp = roots(pairs, [i for i, _ in rows])
+    got = {r.vec_id: r for r in embed_dedup.near_dedup(spark.createDataFrame([(i, v, 0) for i, v in rows], EMB)).collect()}
+    assert len(got) == len(rows)
+    found = sum(r.n_links for r in got.values()) / 2
+    assert found >= 0.99 * len(pairs) and found <= len(pairs)
+    assert [got[i].n_links for i in (1, 2, 3, 4, 5, 6, 7)] == [2, 2, 2, 1, 0, 1, 0]
+    if found == len(pairs):
+        assert {i: r.component_id for i, r in got.items()} == comp
+
+
+def test_one_of_each_knows_rows_not_ids(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, words, "a"), (1, "an unlike text that shares only the id of the other", "b"), (2, words, "c"), (None, words + " end", "d"),
+            (None, None, "e"), (None, "", "f"), (3, "", "g"), (3, "", "h"), (5, words, "i"), (4, "two words", "j"), (4, "two words", "k")]
+    schema = "doc_id long, text string, _node string, join_row string"
+    df = spark.createDataFrame([(i, t, n, "x") for i, t, n in rows], schema).repartition(3)
+    kept = ngram_join.one_of_each(df).collect()
+    assert kept[0].asDict().keys() == {"doc_id", "text", "_node", "join_row"}
+    names = sorted(r._node for r in kept)
+    # the copies leave one row with the smallest id, texts without words stay, "two words" leaves one
+    assert names[0] == "a" and set("befgh") <= set(names) and len(set("jk") & set(names)) == 1 and not set("cdi") & set(names)
+    assert ngram_join.one_of_each(df.limit(0)).count() == 0
