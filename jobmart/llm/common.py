@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, materialize, ship_package
 
 __all__ = ["ByteEncoder", "components", "ensure_checkpoint_dir", "id_text", "materialize", "partitions",
-           "read_table", "ship_package", "text_or_empty"]
+           "read_table", "ship_package", "text_or_empty", "unused"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -30,6 +30,14 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, for a helper column beside its own."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_text(col: str | Column) -> Column:
     """An id as text: pandas would turn a long column with nulls into floats."""
     return (F.col(col) if isinstance(col, str) else col).cast("string")

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, text_or_empty
+from .common import WORD, materialize, text_or_empty, unused
 
 SEED = 20240229
 BUCKET_ROWS = 256
@@ -167,10 +167,11 @@ def mix_sources(docs: DataFrame, seed: int = SEED, max_repeats: int = 3, text: s
 
 def apply_mix(docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
     """``docs`` as the mix holds them: every row as often as it was taken, all columns."""
-    each = Window.partitionBy("_h").orderBy(F.lit(0))      # numbers rows that repeat id and text
-    taken = (mix_sources(docs, seed, **how).filter("copies > 0").select(F.col("h").alias("_h"), F.col("copies").alias("_copies")))
-    taken = taken.withColumn("_n", F.row_number().over(each))
-    rows = docs.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", text_or_empty("text")))
-    rows = rows.withColumn("_n", F.row_number().over(each)).join(taken, ["_h", "_n"])
-    return (rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    h, n, copies, copy = (unused(docs, c) for c in ("mix_h", "mix_n", "mix_copies", "mix_copy"))
+    each = Window.partitionBy(h).orderBy(F.lit(0))         # numbers rows that repeat id and text
+    taken = (mix_sources(docs, seed, **how).filter("copies > 0").select(F.col("h").alias(h), F.col("copies").alias(copies)))
+    taken = taken.withColumn(n, F.row_number().over(each))
+    rows = docs.withColumn(h, F.xxhash64(F.lit(seed), "doc_id", text_or_empty("text")))
+    rows = rows.withColumn(n, F.row_number().over(each)).join(taken, [h, n])
+    return (rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
             .select(*docs.columns))

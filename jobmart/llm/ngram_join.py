@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize, partitions, text_or_empty
+from .common import components, materialize, partitions, text_or_empty, unused
 from .groups import local_roots, sorted_groups
 from .hashing import token_hashes
 
@@ -294,10 +294,16 @@ def _bitmap(ids: DataFrame, bits: int = BITMAP):
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one row of each group of linked rows (the smallest id), all columns."""
-    kept = jaccard_join(docs, **how).filter("kept").select(F.col("node").alias("_node")).distinct()
-    return (docs.withColumn("_node", node_id(F.col("doc_id"), text_or_empty("text")))
-            .join(kept, "_node", "left_semi").dropDuplicates(["_node"]).drop("_node"))
+    """``docs`` with one row of each group of linked rows (the smallest id, rows without one last), all columns.
+
+    Rows are told apart by a staged row number, not by doc_id: rows that share an id are one group
+    only if their texts are linked.  Rows without words are groups of their own."""
+    row = unused(docs, "join_row")
+    staged = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "join-rows")
+    groups = jaccard_join(staged.select(row, "text"), key=row, **how).select(F.col("doc_id").alias(row), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))[row]
+    kept = staged.select(row, "doc_id").join(groups, row).groupBy("component_id").agg(first.alias(row)).select(row)
+    return staged.join(kept, row, "left_semi").drop(row)
 
 
 def _any(conditions: list[Column]) -> Column:

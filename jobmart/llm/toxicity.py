@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import text_or_empty, unused
 
 MISSING = -2**31      # a row's label of a category that it does not hold
 SAMPLE = 12_000       # labelled rows the chain is fitted on, at most
@@ -230,6 +230,6 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = TOXIC) -> Da
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = TOXIC) -> DataFrame:
     """The rows of ``docs`` that are not toxic, all columns."""
     categories = label_categories()
-    held = "_toxicity"
+    held = unused(docs, "toxicity")
     return (with_probabilities(docs, train(docs, labels, categories), list(categories), held)
             .filter(F.col(f"{held}.toxic") < threshold).drop(held))

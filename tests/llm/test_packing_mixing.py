@@ -133,3 +133,12 @@ def test_mix_hits_targets_and_is_repeatable(spark):
 
 def test_mix_empty(spark):
     assert mixing.mix_sources(docs_df(spark, [])).count() == 0
+
+
+def test_mixed_rows_keep_columns_named_like_helpers(spark):
+    schema = "doc_id long, text string, source string, _h string, _n int, mix_h string, mix_copies int"
+    rows = [(i, "a b c " * (1 + i % 5), "s", f"h{i}", i, f"m{i}", -i) for i in range(40)] + [(None, None, None, None, None, None, None)] * 2
+    got = mixing.apply_mix(spark.createDataFrame(rows, schema))
+    assert got.columns == [c.split()[0] for c in schema.split(", ")]
+    for r in got.collect():
+        assert r.doc_id is None or (r._h, r._n, r.mix_h, r.mix_copies) == (f"h{r.doc_id}", r.doc_id, f"m{r.doc_id}", -r.doc_id)

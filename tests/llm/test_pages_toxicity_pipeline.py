@@ -245,3 +245,11 @@ def test_queries_are_registered():
     import __spark_entry__ as E
     names = [k for k in E.queries() if k.startswith("op")]
     assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in E.queries()
+
+
+def test_clean_rows_keep_a_column_named_like_the_helper(spark):
+    docs = spark.createDataFrame([(i, f"plain words number {i}", "own", "more") for i in range(6)],
+                                 "doc_id long, text string, _toxicity string, toxicity string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(6)], "doc_id long, quality int, toxic int")
+    got = toxicity.drop_toxic(docs, labels)
+    assert got.columns == docs.columns and {(r._toxicity, r.toxicity) for r in got.collect()} == {("own", "more")} and got.count() == 6
