@@ -533,10 +533,9 @@ def q_semantic_relevance(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     # the query vector is a scalar subquery (one row, computed once), projected
     # as a column before the array functions use it
-    query_vec = e.filter(F.col("vec_id") == 0).select("embedding").scalar()
-    query_norm = e.filter(F.col("vec_id") == 0).select(norm(F.col("embedding"))).scalar()
-    e = e.select("*", query_vec.alias("_query_vec"), query_norm.alias("_query_norm"))
-    return (R.semantic_relevance(e, "embedding", F.col("_query_vec"), query_norm=F.col("_query_norm"))
+    query = e.filter(F.col("vec_id") == 0).select(F.struct("embedding", norm(F.col("embedding")).alias("norm"))).scalar()
+    e = e.select("*", query.alias("_query"))
+    return (R.semantic_relevance(e, "embedding", F.col("_query.embedding"), query_norm=F.col("_query.norm"))
             .select("vec_id", F.round("similarity", 6).alias("similarity"), "relevant"))
 
 
