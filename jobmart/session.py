@@ -67,6 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+_STAGED: dict[str, list[str]] = {}      # application -> folders that it staged and still has
+
+
 def stage(df, name: str = "stage"):
     """Write ``df`` as Parquet under the shared checkpoint folder; (frame that reads it, path).
 
@@ -77,12 +80,13 @@ def stage(df, name: str = "stage"):
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/jobmart-{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
 def materialize(df, name: str = "stage"):
-    """``stage`` for frames whose files live as long as the session's folder."""
+    """``stage`` for frames whose files live until ``release``."""
     return stage(df, name)[0]
 
 
@@ -92,6 +96,15 @@ def drop_staged(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
+    held = _STAGED.get(spark.sparkContext.applicationId, [])
+    held[:] = [p for p in held if p not in set(paths)]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every folder that this application staged and still has, once its results are written; their number."""
+    paths = list(_STAGED.get(spark.sparkContext.applicationId, []))
+    drop_staged(spark, paths)
+    return len(paths)
 
 
 _SHIPPED: set[str] = set()

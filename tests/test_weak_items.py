@@ -115,3 +115,12 @@ def test_unreadable_dates_are_one_null_group(spark):
     assert got == {"2025-02-01": 2, "None": 3}
 
 
+
+
+def test_release_deletes_what_was_staged(spark):
+    import os
+    from jobmart.session import materialize, release, stage
+    kept = materialize(spark.range(3))
+    _, path = stage(spark.range(2))
+    assert kept.count() == 3 and os.path.isdir(path.removeprefix("file:"))
+    assert release(spark) >= 2 and not os.path.isdir(path.removeprefix("file:")) and release(spark) == 0
