@@ -1,13 +1,15 @@
 """LM scoring with a weighted backoff automaton.
 
-Model: an interpolated bigram model with absolute discounting over all training documents.
-States are the one-word histories and the empty one.  From state h, a word w that
-followed h in training has an arc weighted log p(w | h); every other word takes h's
-failure arc, weighted with the mass that the discounts of h left over, to the empty
-state, whose arc carries the discounted unigram probability (unseen words share what the
-unigram discounts left over).  A text is read once from left to right: the state carried is
-the last word, the log-probabilities of the arcs taken are summed.  Since a
-state is the word just read, the walk over a block of texts is done on arrays.
+Model: interpolated trigrams with absolute discounting over all training documents.
+States are histories of two words that occur at least ``REPEATS`` times in training, of one
+word, and the empty one.  From state h, a word w that followed h in training has an arc
+weighted log p(w | h); every other word takes h's failure arc, weighted with the mass that
+the discounts of h left over, to the state of h without its first word, and from there on to
+the empty state, whose arc carries the discounted unigram probability (unseen words share
+what the unigram discounts left over).  A history of two words that is no state of its own
+is that of its last word.  A text is read once from left to right: the state carried is the
+longest one that ends in the words read, the log-probabilities of the arcs taken are
+summed.  ``order=2`` leaves the two-word states out.
 
 Scale: neither the vocabulary nor the automaton fits a task, so texts are dealt to blocks of
 about ``BLOCK_BYTES`` and words to shards by their 64-bit hash.
@@ -16,12 +18,15 @@ about ``BLOCK_BYTES`` and words to shards by their 64-bit hash.
 2. each shard adds them up and answers every block with the totals of that block's words
    (count, number of distinct followers) and of the pairs whose total differs from the block's
    own count, and with its share of the corpus totals;
-3. each block builds the arcs its texts need and walks them.
+3. each block, which now knows the totals of its pairs, sends the words that follow the
+   pairs that are states to the shards of those pairs, which add up and answer in the same way;
+4. each block builds the arcs its texts need and walks them.
 
-Texts are shuffled once (both uses of the blocks share the exchange).  Pairs go to the shard of their
+Texts are shuffled once (all uses of the blocks share the exchange).  Pairs go to the shard of their
 first word; words that start many pairs (found in a small sample, which decides the dealing only,
 never a result) have their pairs spread over all shards by the second word.  A pair is kept as
-the first word's 64-bit hash and 32 bits of the second's.
+the first word's 64-bit hash and 32 bits of the second's, a triple as a 64-bit hash of its state
+and 32 bits of the word that follows.
 
 Base: add-one unigrams, sum of log10((c + 1) / (N + V + 1)).
 
@@ -47,7 +52,9 @@ FOLDS, HELD_OUT = 7, 2
 BLOCK_BYTES = 8 << 20
 END = np.uint64(1)           # the end token's hash
 HOT = 64                     # words whose pairs are spread, at most
-HOT_SAMPLE = 512             # documents they are looked for in
+HOT_SAMPLE = 512             # documents they are looked for in, from all over the table
+ORDER = 3
+REPEATS = 2                  # occurrences in training that make a history of two words a state
 
 
 # --- a block of texts ---------------------------------------------------------------
@@ -62,7 +69,7 @@ class Block:
         is_end = np.zeros(len(tokens), bool)
         is_end[ends] = True
         tokens[is_end], tokens[~is_end] = END, words
-        weight = np.repeat(train, self.sizes)
+        weight = self.weight = np.repeat(train, self.sizes)
         vocab, self.word = np.unique(tokens, return_inverse=True)
         order = np.argsort(vocab % np.uint64(shards), kind="stable")      # by shard, then hash
         place = np.empty(len(vocab), np.int64)
@@ -78,7 +85,7 @@ class Block:
         before[np.concatenate([[0], ends[:-1] + 1])] = self.end           # a text starts in the end state
         self.before = before
         # pairs: (first word's place, 32 bits of the second); hot first words by (shard, first, second)
-        second = mix64(self.vocab) >> np.uint64(32)
+        second = self.second_of = mix64(self.vocab) >> np.uint64(32)
         self.hot_of = np.full(len(vocab), -1, np.int64)
         found = np.searchsorted(hot, self.vocab)
         found[found == len(hot)] = 0
@@ -111,6 +118,46 @@ class Block:
                            self.warm_key[w], self.pair_counts[self.n_cold:][w])
 
 
+class Histories:
+    """The two-word histories of a block that are states, and the words that follow them."""
+
+    def __init__(self, block: Block, pairs: np.ndarray, shards: int):
+        inside = np.ones(len(block.word), bool)
+        inside[np.cumsum(block.sizes) - block.sizes] = False              # a text's first word follows the end state alone
+        self.place = np.flatnonzero(inside)
+        self.place = self.place[pairs[block.pair[self.place - 1]] >= REPEATS]
+        last = self.place - 1
+        key = mix64(block.vocab[block.before[last]] * np.uint64(0x9E3779B97F4A7C15) + mix64(block.vocab[block.word[last]]))
+        names, state = np.unique(key, return_inverse=True)
+        order = np.argsort(names % np.uint64(shards), kind="stable")
+        to = np.empty(len(names), np.int64)
+        to[order] = np.arange(len(names))
+        self.names, self.state = names[order], to[state]
+        self.at = np.searchsorted((self.names % np.uint64(shards)).astype(np.int64), np.arange(shards + 1))
+        code = (self.state.astype(np.uint64) << np.uint64(32)) | block.second_of[block.word[self.place]]
+        triples, self.triple = np.unique(code, return_inverse=True)
+        self.runs = np.bincount((triples >> np.uint64(32)).astype(np.int64), minlength=len(names))
+        self.triple_at = np.concatenate([[0], np.cumsum(self.runs)])[self.at]
+        self.second = (triples & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        self.counts = np.bincount(self.triple, weights=block.weight[self.place], minlength=len(triples)).astype(np.int64)
+
+    def parts(self, shards: int) -> Iterator[tuple[int, bytes]]:
+        """What each shard is sent."""
+        for s in range(shards):
+            h, t = slice(self.at[s], self.at[s + 1]), slice(self.triple_at[s], self.triple_at[s + 1])
+            yield s, _pack(self.names[h], self.runs[h], self.second[t], self.counts[t])
+
+    def totals(self, answers: dict[int, bytes], shards: int) -> tuple[np.ndarray, np.ndarray, float]:
+        """Number of different followers of each state, count of each triple, and the discount."""
+        stats, followers, counts = np.zeros(2, np.int64), np.zeros(len(self.names), np.int64), self.counts.copy()
+        for s in range(shards):
+            part, f, changed, total = _unpack(answers[s])
+            stats += part
+            followers[self.at[s]:self.at[s + 1]] = f
+            counts[self.triple_at[s] + np.cumsum(changed)] = total
+        return followers, counts, discount(*stats.tolist())
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays one after the other: hashes as they are, counts in the least width, compressed."""
     out = []
@@ -174,28 +221,53 @@ def answer(parts: list[bytes], hot: int) -> list[bytes]:
     return out
 
 
+def answer_histories(parts: list[bytes]) -> list[bytes]:
+    """A shard's answers to the blocks that sent ``parts`` of their two-word histories."""
+    got = [_unpack(p) for p in parts]
+    names, state = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+    code = (np.repeat(state, np.concatenate([g[1] for g in got])).astype(np.uint64) << np.uint64(32)) | np.concatenate(
+        [g[2] for g in got]).astype(np.uint64)
+    triples, inv, total = _totals([code], [np.concatenate([g[3] for g in got])])
+    followers = np.bincount((triples[total > 0] >> np.uint64(32)).astype(np.int64), minlength=len(names))
+    stats = np.array([(total == 1).sum(), (total == 2).sum()], np.int64)
+    out, h, t = [], 0, 0
+    for names_of, _, second, counts in got:
+        mine = total[inv[t:t + len(second)]]
+        changed = np.flatnonzero(mine != counts)
+        out.append(_pack(stats, followers[state[h:h + len(names_of)]], np.diff(changed, prepend=0), mine[changed]))
+        h, t = h + len(names_of), t + len(second)
+    return out
+
+
 # --- the walk ---------------------------------------------------------------------------
 def discount(n1: int, n2: int) -> float:
     """Absolute discount from the numbers of singletons and pairs."""
     return min(0.99, max(0.1, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
 
 
-def walk(block: Block, answers: dict[int, bytes], shards: int, hot: int) -> dict[str, np.ndarray]:
+class Model:
+    """What a block's texts need of the words and pairs of the whole corpus."""
+
+    def __init__(self, block: Block, answers: dict[int, bytes], shards: int, hot: int):
+        self.stats = np.zeros(6, np.int64)
+        self.count, self.followers = np.zeros(len(block.vocab), np.int64), np.zeros(len(block.vocab), np.int64)
+        warm_followers = np.zeros(hot, np.int64)
+        self.pairs = block.pair_counts.copy()
+        for s in range(shards):
+            part, c, f, wf, dc, tc, dw, tw = _unpack(answers[s])
+            self.stats += part
+            self.count[block.at[s]:block.at[s + 1]], self.followers[block.at[s]:block.at[s + 1]] = c, f
+            warm_followers += wf
+            self.pairs[block.cold_at[s] + np.cumsum(dc)] = tc
+            self.pairs[block.n_cold + block.warm_at[s] + np.cumsum(dw)] = tw
+        is_hot = block.hot_of >= 0
+        self.followers[is_hot] += warm_followers[block.hot_of[is_hot]]
+
+
+def walk(block: Block, model: Model, histories: Histories | None, answers: dict[int, bytes], shards: int) -> dict[str, np.ndarray]:
     """Scores of the block's texts: the arcs that they take and their sums."""
-    stats = np.zeros(6, np.int64)
-    count, followers = np.zeros(len(block.vocab), np.int64), np.zeros(len(block.vocab), np.int64)
-    warm_followers = np.zeros(hot, np.int64)
-    pairs = block.pair_counts.copy()
-    for s in range(shards):
-        part, c, f, wf, dc, tc, dw, tw = _unpack(answers[s])
-        stats += part
-        count[block.at[s]:block.at[s + 1]], followers[block.at[s]:block.at[s + 1]] = c, f
-        warm_followers += wf
-        pairs[block.cold_at[s] + np.cumsum(dc)] = tc
-        pairs[block.n_cold + block.warm_at[s] + np.cumsum(dw)] = tw
-    is_hot = block.hot_of >= 0
-    followers[is_hot] += warm_followers[block.hot_of[is_hot]]
-    n, v, u1, u2, b1, b2 = stats.tolist()
+    count = model.count
+    n, v, u1, u2, b1, b2 = model.stats.tolist()
     d1, d2 = discount(u1, u2), discount(b1, b2)
     if n:
         unigram = np.maximum(count - d1, 0) / n + d1 * v / n / (v + 1)
@@ -203,9 +275,13 @@ def walk(block: Block, answers: dict[int, bytes], shards: int, hot: int) -> dict
         unigram = np.ones(len(count))
     # every training word is followed by a word, so a state is left as often as its word occurs
     left = np.maximum(count, 1)
-    failure = np.where(count > 0, d2 * followers / left, 1.0)
-    seen, state = pairs[block.pair], block.before
+    failure = np.where(count > 0, d2 * model.followers / left, 1.0)
+    seen, state = model.pairs[block.pair], block.before
     p = np.maximum(seen - d2, 0) / left[state] + failure[state] * unigram[block.word]
+    if histories is not None and len(histories.place):
+        followers, triples, d3 = histories.totals(answers, shards)
+        at, left = histories.place, model.pairs[block.pair[histories.place - 1]]
+        p[at] = np.maximum(triples[histories.triple] - d3, 0) / left + d3 * followers[histories.state] / left * p[at]
     starts = np.cumsum(block.sizes) - block.sizes
     base = np.log10((count + 1) / (n + v + 1))
     return {"n_tokens": block.sizes, "n_known": np.add.reduceat((count > 0)[block.word].astype(np.int64), starts),
@@ -213,8 +289,11 @@ def walk(block: Block, answers: dict[int, bytes], shards: int, hot: int) -> dict
             "score": np.add.reduceat(np.log10(p), starts)}
 
 
-def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order: int = ORDER,
+                    key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     spark = docs.sparkSession
     rows = docs.select(id_text(key).alias("doc_id"), text_or_empty(text).alias("text"))
     rows = rows.withColumn("held_out", F.crc32(F.coalesce("doc_id", F.lit(""))) % FOLDS == HELD_OUT)
@@ -223,7 +302,8 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, key: str =
     shards = max(64, blocks // 2)
     n = partitions(spark, blocks // 4)
     # decides where pairs are counted, not what is counted
-    sample = [t for t, in rows.limit(HOT_SAMPLE).select(F.substring("text", 1, 20_000)).collect()]
+    sample = [t for t, in rows.select(F.substring("text", 1, 20_000).alias("t"), F.xxhash64("doc_id", F.lit(17)).alias("h"))
+              .orderBy("h").limit(HOT_SAMPLE).select("t").collect()]
     words, seen = np.unique(token_hashes(sample)[0], return_counts=True)
     often = np.flatnonzero(seen >= max(8, seen.sum() / (4 * shards)))
     hot = np.sort(np.append(words[often[np.argsort(-seen[often], kind="stable")][:HOT - 1]], END))
@@ -240,15 +320,40 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, key: str =
     def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"shard": pdf["shard"], "block": pdf["block"], "part": answer(list(pdf["part"]), n_hot)})
 
+    def of(answers: pd.DataFrame, what: int) -> dict[int, bytes]:
+        mine = answers[answers["what"] == what]
+        return dict(zip(mine["shard"], mine["part"]))
+
+    def count_histories(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame(columns=["shard", "block", "part"])
+        block = block_of(pdf)
+        histories = Histories(block, Model(block, of(answers, 2), shards, n_hot).pairs, shards)
+        return pd.DataFrame([(s, int(pdf["block"].iloc[0]), part) for s, part in histories.parts(shards)],
+                            columns=["shard", "block", "part"])
+
+    def add_up_histories(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"shard": pdf["shard"], "block": pdf["block"], "part": answer_histories(list(pdf["part"]))})
+
     def score(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-        got = walk(block_of(pdf), dict(zip(answers["shard"], answers["part"])), shards, n_hot)
+        block = block_of(pdf)
+        model = Model(block, of(answers, 2), shards, n_hot)
+        histories = Histories(block, model.pairs, shards) if order > 2 else None
+        got = walk(block, model, histories, of(answers, 3), shards)
         return pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "held_out": pdf["held_out"].to_numpy(), **got})
 
     part = "shard int, block long, part binary"
-    answers = (dealt.groupBy("block").applyInPandas(count, part).repartition(max(n, shards // 2), "shard")
-               .groupBy("shard").applyInPandas(add_up, part).repartition(n, "block"))
+
+    def answered(parts: DataFrame, by, what: int) -> DataFrame:
+        return (parts.repartition(max(n, shards // 2), "shard").groupBy("shard").applyInPandas(by, part)
+                .withColumn("what", F.lit(what)).repartition(n, "block"))
+
+    answers = answered(dealt.groupBy("block").applyInPandas(count, part), add_up, 2)
+    if order > 2:
+        more = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(count_histories, part)
+        answers = answers.unionByName(answered(more, add_up_histories, 3))
     return (dealt.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                                   "base_score double, score double")

@@ -35,36 +35,60 @@ def test_token_hashes_match_words():
     assert [(a == b) for a in h for b in h] == [(a == b) for a in words for b in words]
 
 
-def test_lm_against_brute_force(spark):
+@pytest.mark.parametrize("order", [2, 3])
+def test_lm_against_brute_force(spark, order):
     rows = some_docs()
-    got = lm.score_documents(spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA), block_bytes=500).toPandas()
+    got = lm.score_documents(spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA), block_bytes=500, order=order).toPandas()
     fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
     tok = [(i, fold(i), WORD.findall((t or "").translate(LOWER)) + [None]) for i, t in rows]
-    c, pairs = Counter(), Counter()
+    c, pairs, triples = Counter(), Counter(), Counter()
     for _, held, t in tok:
         if not held:
             c.update(t)
             pairs.update(zip([None] + t[:-1], t))
+            triples.update(zip([None] + t[:-2], t[:-1], t[1:]))
+    triples = Counter({x: k for x, k in triples.items() if order > 2 and pairs[x[:2]] >= lm.REPEATS})
     n, v = sum(c.values()), len(c)
     ones = lambda x, k: sum(y == k for y in x.values())
     d1, d2 = lm.discount(ones(c, 1), ones(c, 2)), lm.discount(ones(pairs, 1), ones(pairs, 2))
-    followers = Counter(h for h, _ in pairs)
+    d3 = lm.discount(ones(triples, 1), ones(triples, 2))
+    followers, after = Counter(h for h, _ in pairs), Counter(x[:2] for x in triples)
 
     def p(h, w):
+        """``h``: one word, or a tuple of two."""
+        if isinstance(h, tuple):
+            shorter = p(h[1], w)
+            return (max(triples[(*h, w)] - d3, 0) + d3 * after[h] * shorter) / pairs[h] if after[h] else shorter
         uni = max(c[w] - d1, 0) / n + d1 * v / n / (v + 1)
         return (max(pairs[h, w] - d2, 0) + d2 * followers[h] * uni) / c[h] if c[h] else uni
+
+    def histories(t):
+        return [None, *zip([None] + t[:-2], t[:-1])]
     want = sorted((-1 if i is None else i, held, len(t), sum(c[w] > 0 for w in t), n,
                    round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), 6),
-                   round(sum(math.log10(p(h, w)) for h, w in zip([None] + t[:-1], t)), 6)) for i, held, t in tok)
+                   round(sum(math.log10(p(h, w)) for h, w in zip(histories(t), t)), 6)) for i, held, t in tok)
     have = sorted((-1 if np.isnan(r.doc_id) else int(r.doc_id), bool(r.held_out), r.n_tokens, r.n_known, r.train_tokens,
                    round(r.base_score, 6), round(r.score, 6)) for r in got.itertuples())
     for a, b in zip(have, want):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
     # the model is a distribution: what follows a history sums to one over all types and one unseen type
-    for h in ("w1", None):
+    for h in ("w1", None, ("the", "the"), (None, "w1"), *list(after)[:5]):
         assert sum(p(h, w) for w in c) + p(h, "unseen") == pytest.approx(1)
 
 
+def test_lm_longer_histories_tell_repeated_texts_apart(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(rng.choice([f"w{k}" for k in range(40)], 30)), "x") for i in range(400)]
+    rows += [(1000 + i, rows[i][1], "x") for i in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    by_order = {}
+    for order in (2, 3):
+        got = lm.score_documents(docs, block_bytes=4000, order=order).filter("not held_out").toPandas().set_index("doc_id")["score"]
+        twice = [i for i in range(20) if i in got.index and 1000 + i in got.index]
+        by_order[order] = got[twice].mean() - got[[i for i in got.index if 20 <= i < 400]].mean()
+    assert by_order[3] > by_order[2] + 1
+
+
 def test_lm_empty(spark):
     assert lm.score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
