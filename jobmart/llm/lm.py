@@ -25,8 +25,8 @@ about ``BLOCK_BYTES`` and words to shards by their 64-bit hash.
 Texts are shuffled once (all uses of the blocks share the exchange).  Pairs go to the shard of their
 first word; words that start many pairs (found in a small sample, which decides the dealing only,
 never a result) have their pairs spread over all shards by the second word.  A pair is kept as
-the first word's 64-bit hash and 32 bits of the second's, a triple as a 64-bit hash of its state
-and 32 bits of the word that follows.
+the first word's 64-bit hash and 32 bits of the second's, a state of two words is
+told apart by its shard and 48 bits, a triple by its state and 32 bits of the word that follows.
 
 Base: add-one unigrams, sum of log10((c + 1) / (N + V + 1)).
 
@@ -119,47 +119,59 @@ class Block:
 
 
 class Histories:
-    """The two-word histories of a block that are states, and the words that follow them."""
+    """The two-word histories of a block that are states, and the words that follow them.
+
+    A pair whose training occurrences all lie in this block is known here in full, and so are
+    the triples that hold it; shards are sent the others, and the number of the known ones."""
 
     def __init__(self, block: Block, pairs: np.ndarray, shards: int):
         inside = np.ones(len(block.word), bool)
         inside[np.cumsum(block.sizes) - block.sizes] = False              # a text's first word follows the end state alone
         self.place = np.flatnonzero(inside)
         self.place = self.place[pairs[block.pair[self.place - 1]] >= REPEATS]
-        last = self.place - 1
+        last, own = self.place - 1, pairs == block.pair_counts
         key = mix64(block.vocab[block.before[last]] * np.uint64(0x9E3779B97F4A7C15) + mix64(block.vocab[block.word[last]]))
-        names, state = np.unique(key, return_inverse=True)
+        names, first, state = np.unique(key, return_index=True, return_inverse=True)
         order = np.argsort(names % np.uint64(shards), kind="stable")
         to = np.empty(len(names), np.int64)
         to[order] = np.arange(len(names))
-        self.names, self.state = names[order], to[state]
-        self.at = np.searchsorted((self.names % np.uint64(shards)).astype(np.int64), np.arange(shards + 1))
+        names, known, self.state = names[order], own[block.pair[last]][first][order], to[state]
+        shard = (names % np.uint64(shards)).astype(np.int64)
         code = (self.state.astype(np.uint64) << np.uint64(32)) | block.second_of[block.word[self.place]]
-        triples, self.triple = np.unique(code, return_inverse=True)
-        self.runs = np.bincount((triples >> np.uint64(32)).astype(np.int64), minlength=len(names))
-        self.triple_at = np.concatenate([[0], np.cumsum(self.runs)])[self.at]
-        self.second = (triples & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        triples, first, self.triple = np.unique(code, return_index=True, return_inverse=True)
+        of = (triples >> np.uint64(32)).astype(np.int64)
         self.counts = np.bincount(self.triple, weights=block.weight[self.place], minlength=len(triples)).astype(np.int64)
+        here = own[block.pair[self.place]][first] | known[of]             # triples that are known in full
+        self.followers = np.bincount(of[here & (self.counts > 0)], minlength=len(names))
+        self.own_stats = np.array([(self.counts[here] == 1).sum(), (self.counts[here] == 2).sum()], np.int64)
+        self.shared, self.sent = np.flatnonzero(~known), np.flatnonzero(~here)
+        self.names = names[self.shared] >> np.uint64(16)                  # within a shard
+        self.at = np.searchsorted(shard[self.shared], np.arange(shards + 1))
+        self.runs = np.bincount(of[self.sent], minlength=len(names))[self.shared]
+        self.sent_at = np.concatenate([[0], np.cumsum(self.runs)])[self.at]
+        self.second = (triples[self.sent] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
     def parts(self, shards: int) -> Iterator[tuple[int, bytes]]:
         """What each shard is sent."""
         for s in range(shards):
-            h, t = slice(self.at[s], self.at[s + 1]), slice(self.triple_at[s], self.triple_at[s + 1])
-            yield s, _pack(self.names[h], self.runs[h], self.second[t], self.counts[t])
+            h, t = slice(self.at[s], self.at[s + 1]), slice(self.sent_at[s], self.sent_at[s + 1])
+            yield s, _pack(self.names[h], self.runs[h], self.followers[self.shared[h]], self.second[t],
+                           self.counts[self.sent[t]], self.own_stats * (s == 0))
 
     def totals(self, answers: dict[int, bytes], shards: int) -> tuple[np.ndarray, np.ndarray, float]:
         """Number of different followers of each state, count of each triple, and the discount."""
-        stats, followers, counts = np.zeros(2, np.int64), np.zeros(len(self.names), np.int64), self.counts.copy()
+        stats, followers, counts = np.zeros(2, np.int64), self.followers.copy(), self.counts.copy()
         for s in range(shards):
             part, f, changed, total = _unpack(answers[s])
             stats += part
-            followers[self.at[s]:self.at[s + 1]] = f
-            counts[self.triple_at[s] + np.cumsum(changed)] = total
+            followers[self.shared[self.at[s]:self.at[s + 1]]] = f
+            counts[self.sent[self.sent_at[s] + np.cumsum(changed)]] = total
         return followers, counts, discount(*stats.tolist())
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays one after the other: hashes as they are, counts in the least width, compressed."""
+    """Arrays one after the other, compressed: counts in the least width; hashes, which are in order
+    or nearly so, as differences, a stream for each of their bytes."""
     out = []
     z = zstandard.ZstdCompressor(level=1)
     for a in arrays:
@@ -169,7 +181,14 @@ def _pack(*arrays: np.ndarray) -> bytes:
             data = z.compress(a.astype(kind).tobytes())
             tag = b"c" + kind[1:].encode()
         else:
-            data, tag = a.tobytes(), b"r" + a.dtype.str[1:].encode()
+            planes = np.diff(a, prepend=a.dtype.type(0)).view(np.uint8).reshape(len(a), a.itemsize).T
+            streams = []
+            for plane in planes:
+                raw = plane.tobytes()
+                small = z.compress(raw)
+                streams.append(small if len(small) < len(raw) else raw)
+            data = b"".join(len(x).to_bytes(8, "little") + x for x in streams)
+            tag = b"r" + a.dtype.str[1:].encode()
         out.append(tag + len(a).to_bytes(8, "little") + len(data).to_bytes(8, "little") + data)
     return b"".join(out)
 
@@ -177,13 +196,19 @@ def _pack(*arrays: np.ndarray) -> bytes:
 def _unpack(data: bytes) -> list[np.ndarray]:
     out, at, z = [], 0, zstandard.ZstdDecompressor()
     while at < len(data):
-        kind = "<" + data[at + 1:at + 3].decode()
+        kind = np.dtype("<" + data[at + 1:at + 3].decode())
         n, size = int.from_bytes(data[at + 3:at + 11], "little"), int.from_bytes(data[at + 11:at + 19], "little")
         body = data[at + 19:at + 19 + size]
         if data[at:at + 1] == b"c":
             out.append(np.frombuffer(z.decompress(body) if n else b"", kind).astype(np.int64))
         else:
-            out.append(np.frombuffer(body, kind))
+            planes, i = np.empty((n, kind.itemsize), np.uint8), 0
+            for k in range(kind.itemsize):
+                held = int.from_bytes(body[i:i + 8], "little")
+                stream = body[i + 8:i + 8 + held]
+                i += 8 + held
+                planes[:, k] = np.frombuffer(stream if held == n else z.decompress(stream), np.uint8)
+            out.append(np.cumsum(planes.reshape(-1).view(kind), dtype=kind))
         at += 19 + size
     return out
 
@@ -225,17 +250,18 @@ def answer_histories(parts: list[bytes]) -> list[bytes]:
     """A shard's answers to the blocks that sent ``parts`` of their two-word histories."""
     got = [_unpack(p) for p in parts]
     names, state = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
-    code = (np.repeat(state, np.concatenate([g[1] for g in got])).astype(np.uint64) << np.uint64(32)) | np.concatenate(
-        [g[2] for g in got]).astype(np.uint64)
-    triples, inv, total = _totals([code], [np.concatenate([g[3] for g in got])])
-    followers = np.bincount((triples[total > 0] >> np.uint64(32)).astype(np.int64), minlength=len(names))
-    stats = np.array([(total == 1).sum(), (total == 2).sum()], np.int64)
+    runs, known = (np.concatenate([g[k] for g in got]) for k in (1, 2))
+    code = (np.repeat(state, runs).astype(np.uint64) << np.uint64(32)) | np.concatenate([g[3] for g in got]).astype(np.uint64)
+    triples, inv, total = _totals([code], [np.concatenate([g[4] for g in got])])
+    followers = (np.bincount((triples[total > 0] >> np.uint64(32)).astype(np.int64), minlength=len(names))
+                 + np.bincount(state, weights=known, minlength=len(names)).astype(np.int64))
+    stats = sum((g[5] for g in got), np.array([(total == 1).sum(), (total == 2).sum()], np.int64))
     out, h, t = [], 0, 0
-    for names_of, _, second, counts in got:
-        mine = total[inv[t:t + len(second)]]
-        changed = np.flatnonzero(mine != counts)
-        out.append(_pack(stats, followers[state[h:h + len(names_of)]], np.diff(changed, prepend=0), mine[changed]))
-        h, t = h + len(names_of), t + len(second)
+    for g in got:
+        mine = total[inv[t:t + len(g[3])]]
+        changed = np.flatnonzero(mine != g[4])
+        out.append(_pack(stats, followers[state[h:h + len(g[0])]], np.diff(changed, prepend=0), mine[changed]))
+        h, t = h + len(g[0]), t + len(g[3])
     return out
 
 
@@ -297,13 +323,13 @@ def score_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES, order: int
     spark = docs.sparkSession
     rows = docs.select(id_text(key).alias("doc_id"), text_or_empty(text).alias("text"))
     rows = rows.withColumn("held_out", F.crc32(F.coalesce("doc_id", F.lit(""))) % FOLDS == HELD_OUT)
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = blocks_of(total, block_bytes, 64)
+    total, n_rows = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    blocks = blocks_of(total or 0, block_bytes, 64)
     shards = max(64, blocks // 2)
     n = partitions(spark, blocks // 4)
     # decides where pairs are counted, not what is counted
-    sample = [t for t, in rows.select(F.substring("text", 1, 20_000).alias("t"), F.xxhash64("doc_id", F.lit(17)).alias("h"))
-              .orderBy("h").limit(HOT_SAMPLE).select("t").collect()]
+    share = min(1.0, HOT_SAMPLE / max(1, n_rows))
+    sample = [t for t, in rows.select(F.substring("text", 1, 20_000)).sample(share, 17).limit(2 * HOT_SAMPLE).collect()]
     words, seen = np.unique(token_hashes(sample)[0], return_counts=True)
     often = np.flatnonzero(seen >= max(8, seen.sum() / (4 * shards)))
     hot = np.sort(np.append(words[often[np.argsort(-seen[often], kind="stable")][:HOT - 1]], END))
