@@ -117,8 +117,10 @@ class Problem:
 
     def refit(self, bins: np.ndarray, items: np.ndarray, rng: np.random.Generator) -> np.ndarray:
         """Best-fit displaced ``items``: bins with room first take one or two of them that fill
-        it to the last token; then the longest item left opens a bin and those that fit its room best
-        join it -- one, two or three that fill it exactly, else the longest that fits."""
+        it to the last token; then the longest item left goes to the open bin with the least room
+        that holds it, and one or two that fill up what is left there go with it.  If no open bin holds it,
+        it opens one, and those that fit its room best join it -- one, two or three that fill it
+        exactly, else the longest that fits."""
         cap, out, placed = self.capacity, bins.copy(), bins >= 0
         used = np.bincount(bins[placed], weights=self.lengths[placed]).astype(np.int64)
         pool: list[list[int]] = [[] for _ in range(cap + 1)]
@@ -157,13 +159,34 @@ class Problem:
                 remaining -= 1
 
         room = cap - used
+        bins_of: list[list[int]] = [[] for _ in range(cap + 1)]           # open bins by room
+        mask = 0
         for b in rng.permutation(np.flatnonzero(room > 0)).tolist():
-            found = exact(int(room[b])) if remaining else None
+            r = int(room[b])
+            found = exact(r) if remaining else None
             if found:
                 put(b, found)
+            else:
+                bins_of[r].append(b)
+                mask |= 1 << r
         while remaining:
             while not left[longest]:
                 longest -= 1
+            fits = mask >> longest
+            if fits:
+                r = longest + (fits & -fits).bit_length() - 1
+                b = bins_of[r].pop()
+                if not bins_of[r]:
+                    mask ^= 1 << r
+                put(b, (longest,))
+                r -= longest
+                found = exact(r) if r and remaining else None
+                if found:
+                    put(b, found)
+                elif r:
+                    bins_of[r].append(b)
+                    mask |= 1 << r
+                continue
             put(n, (longest,))
             gap = cap - longest
             while gap and remaining:
@@ -176,7 +199,7 @@ class Problem:
                     break
                 put(n, (int(fits[-1]),))
                 gap -= int(fits[-1])
-            n += 1
+            n += 1          # what room it has left holds none of the items left
         return out
 
     def crossover(self, a: np.ndarray, b: np.ndarray, rng: np.random.Generator) -> np.ndarray:

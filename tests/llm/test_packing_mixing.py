@@ -68,6 +68,27 @@ def test_packing_empty_table(spark):
     assert packing.pack_documents(docs_df(spark, [])).count() == 0
 
 
+def test_refit_fills_open_bins_before_it_opens_others():
+    p = packing.Problem(np.array([60, 60, 30, 30], np.int64), 100)
+    got = p.refit(np.array([0, 1, -1, -1]), np.array([2, 3]), np.random.default_rng(0))
+    assert sorted(got[2:].tolist()) == [0, 1] and got[:2].tolist() == [0, 1]
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        lengths = np.sort(rng.integers(1, 100, 60))[::-1].astype(np.int64)
+        p = packing.Problem(lengths, 100)
+        bins = p.best_fit(np.full(60, -1), np.arange(60))
+        gone = np.isin(bins, rng.choice(bins.max() + 1, 6, replace=False))
+        kept = np.full(60, -1)
+        kept[~gone] = np.unique(bins[~gone], return_inverse=True)[1]
+        got = p.refit(kept, np.flatnonzero(gone), rng)
+        fill = np.bincount(got, weights=lengths)
+        assert (got >= 0).all() and fill.max() <= 100 and (fill > 0).all() and (got[~gone] == kept[~gone]).all()
+        opened = np.arange(len(fill)) > kept.max()
+        # a piece opens a bin only if no bin that was there holds it
+        for b in np.flatnonzero(opened):
+            assert lengths[got == b].max() > 100 - fill[~opened].min()
+
+
 def test_crossover_keeps_every_piece_in_a_bin_with_room():
     rng = np.random.default_rng(3)
     p = packing.Problem(np.sort(rng.integers(1, 100, 200))[::-1].astype(np.int64), 100)
