@@ -16,8 +16,8 @@ about ``BLOCK_BYTES`` and words to shards by their 64-bit hash.
 
 1. each block counts its words and word pairs and sends every shard its part;
 2. each shard adds them up and answers every block with the totals of that block's words
-   (count, number of distinct followers) and of the pairs whose total differs from the block's
-   own count, and with its share of the corpus totals;
+   (count, number of distinct followers), what other blocks add to the counts of its pairs, and
+   its share of the corpus totals;
 3. each block, which now knows the totals of its pairs, sends the words that follow the
    pairs that are states to the shards of those pairs, which add up and answer in the same way;
 4. each block builds the arcs its texts need and walks them.
@@ -162,54 +162,47 @@ class Histories:
         """Number of different followers of each state, count of each triple, and the discount."""
         stats, followers, counts = np.zeros(2, np.int64), self.followers.copy(), self.counts.copy()
         for s in range(shards):
-            part, f, changed, total = _unpack(answers[s])
+            part, f, more = _unpack(answers[s])
             stats += part
             followers[self.shared[self.at[s]:self.at[s + 1]]] = f
-            counts[self.sent[self.sent_at[s] + np.cumsum(changed)]] = total
+            counts[self.sent[self.sent_at[s]:self.sent_at[s + 1]]] += more
         return followers, counts, discount(*stats.tolist())
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays one after the other, compressed: counts in the least width; hashes, which are in order
-    or nearly so, as differences, a stream for each of their bytes."""
+    """Arrays one after the other: counts in the least width, hashes, which are in order or nearly
+    so, as differences; each byte of a value goes to a stream of its own, which is compressed."""
     out = []
     z = zstandard.ZstdCompressor(level=1)
     for a in arrays:
         if a.dtype.kind == "i":
             top = int(a.max()) if len(a) else 0
-            kind = "<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8"
-            data = z.compress(a.astype(kind).tobytes())
-            tag = b"c" + kind[1:].encode()
+            kind, values = "<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8", a
         else:
-            planes = np.diff(a, prepend=a.dtype.type(0)).view(np.uint8).reshape(len(a), a.itemsize).T
-            streams = []
-            for plane in planes:
-                raw = plane.tobytes()
-                small = z.compress(raw)
-                streams.append(small if len(small) < len(raw) else raw)
-            data = b"".join(len(x).to_bytes(8, "little") + x for x in streams)
-            tag = b"r" + a.dtype.str[1:].encode()
-        out.append(tag + len(a).to_bytes(8, "little") + len(data).to_bytes(8, "little") + data)
+            kind, values = a.dtype.str, np.diff(a, prepend=a.dtype.type(0))
+        streams = []
+        for plane in values.astype(kind).view(np.uint8).reshape(len(a), -1 if len(a) else 1).T:
+            raw = plane.tobytes()
+            small = z.compress(raw)
+            streams.append(small if len(small) < len(raw) else raw)
+        out.append((b"c" if a.dtype.kind == "i" else b"r") + kind[1:].encode() + len(a).to_bytes(8, "little"))
+        out += [len(x).to_bytes(8, "little") + x for x in streams if len(a)]
     return b"".join(out)
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
     out, at, z = [], 0, zstandard.ZstdDecompressor()
     while at < len(data):
-        kind = np.dtype("<" + data[at + 1:at + 3].decode())
-        n, size = int.from_bytes(data[at + 3:at + 11], "little"), int.from_bytes(data[at + 11:at + 19], "little")
-        body = data[at + 19:at + 19 + size]
-        if data[at:at + 1] == b"c":
-            out.append(np.frombuffer(z.decompress(body) if n else b"", kind).astype(np.int64))
-        else:
-            planes, i = np.empty((n, kind.itemsize), np.uint8), 0
-            for k in range(kind.itemsize):
-                held = int.from_bytes(body[i:i + 8], "little")
-                stream = body[i + 8:i + 8 + held]
-                i += 8 + held
-                planes[:, k] = np.frombuffer(stream if held == n else z.decompress(stream), np.uint8)
-            out.append(np.cumsum(planes.reshape(-1).view(kind), dtype=kind))
-        at += 19 + size
+        counts, kind = data[at:at + 1] == b"c", np.dtype("<" + data[at + 1:at + 3].decode())
+        n, at = int.from_bytes(data[at + 3:at + 11], "little"), at + 11
+        planes = np.empty((n, kind.itemsize), np.uint8)
+        for k in range(kind.itemsize if n else 0):
+            held = int.from_bytes(data[at:at + 8], "little")
+            stream = data[at + 8:at + 8 + held]
+            at += 8 + held
+            planes[:, k] = np.frombuffer(stream if held == n else z.decompress(stream), np.uint8)
+        values = planes.reshape(-1).view(kind)
+        out.append(values.astype(np.int64) if counts else np.cumsum(values, dtype=kind))
     return out
 
 
@@ -240,9 +233,7 @@ def answer(parts: list[bytes], hot: int) -> list[bytes]:
     for g, n in zip(got, sizes):
         mine, mine_cold, mine_warm = word[u:u + n[0]], cold_total[inv[c:c + n[3]]], warm_total[warm_inv[w:w + n[5]]]
         u, c, w = u + n[0], c + n[3], w + n[5]
-        dc, dw = np.flatnonzero(mine_cold != g[4]), np.flatnonzero(mine_warm != g[6])
-        out.append(_pack(stats, total[mine], followers[mine], warm_followers.astype(np.int64),
-                         np.diff(dc, prepend=0), mine_cold[dc], np.diff(dw, prepend=0), mine_warm[dw]))
+        out.append(_pack(stats, total[mine], followers[mine], warm_followers.astype(np.int64), mine_cold - g[4], mine_warm - g[6]))
     return out
 
 
@@ -258,9 +249,7 @@ def answer_histories(parts: list[bytes]) -> list[bytes]:
     stats = sum((g[5] for g in got), np.array([(total == 1).sum(), (total == 2).sum()], np.int64))
     out, h, t = [], 0, 0
     for g in got:
-        mine = total[inv[t:t + len(g[3])]]
-        changed = np.flatnonzero(mine != g[4])
-        out.append(_pack(stats, followers[state[h:h + len(g[0])]], np.diff(changed, prepend=0), mine[changed]))
+        out.append(_pack(stats, followers[state[h:h + len(g[0])]], total[inv[t:t + len(g[3])]] - g[4]))
         h, t = h + len(g[0]), t + len(g[3])
     return out
 
@@ -280,12 +269,12 @@ class Model:
         warm_followers = np.zeros(hot, np.int64)
         self.pairs = block.pair_counts.copy()
         for s in range(shards):
-            part, c, f, wf, dc, tc, dw, tw = _unpack(answers[s])
+            part, c, f, wf, more_cold, more_warm = _unpack(answers[s])
             self.stats += part
             self.count[block.at[s]:block.at[s + 1]], self.followers[block.at[s]:block.at[s + 1]] = c, f
             warm_followers += wf
-            self.pairs[block.cold_at[s] + np.cumsum(dc)] = tc
-            self.pairs[block.n_cold + block.warm_at[s] + np.cumsum(dw)] = tw
+            self.pairs[block.cold_at[s]:block.cold_at[s + 1]] += more_cold
+            self.pairs[block.n_cold + block.warm_at[s]:block.n_cold + block.warm_at[s + 1]] += more_warm
         is_hot = block.hot_of >= 0
         self.followers[is_hot] += warm_followers[block.hot_of[is_hot]]
 
