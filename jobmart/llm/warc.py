@@ -128,7 +128,10 @@ def write_archives(pages: DataFrame, root: str, archive_bytes: int = 32 << 20) -
     # digests that occur once need no partner; the maximum combines before the shuffle
     groups = (rows.groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
               .filter("n > 1").drop("n"))
-    rows = (rows.join(groups, "digest", "left")
+    # joined on a second key too: the rows get an exchange of their own, which adaptive execution
+    # can split where one payload is that of many pages
+    k = F.xxhash64("digest").alias("k")
+    rows = (rows.select("*", k).join(groups.select("*", k), ["k", "digest"], "left")
             .withColumn("revisit", F.coalesce(F.col("page_id") != F.col("last"),
                                               F.col("page_id").isNull() & F.col("last").isNotNull()))
             .select("page_id", "url", "html", id_text("last").alias("last"), "revisit")
