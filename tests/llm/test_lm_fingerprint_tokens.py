@@ -89,6 +89,33 @@ def test_lm_longer_histories_tell_repeated_texts_apart(spark):
     assert by_order[3] > by_order[2] + 1
 
 
+def test_lm_scores_do_not_depend_on_the_blocks():
+    """Histories whose training texts lie in one block and whose held-out texts lie in others."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(rng.choice([f"w{k}" for k in range(3000)], 30)) for _ in range(60)]
+    rows = [(t, True) for t in texts for _ in range(2)] + [(t, False) for t in texts]
+    shards, hot = 4, np.array([lm.END])
+
+    def exchanged(parts, by):
+        out = [{} for _ in parts]
+        for s in range(shards):
+            for mine, part in zip(out, by([p[s] for p in parts])):
+                mine[s] = part
+        return out
+
+    def scores(deal):
+        blocks = [lm.Block([t for t, _ in b], np.array([train for _, train in b]), shards, hot) for b in deal]
+        models = [lm.Model(b, a, shards, 1) for b, a in
+                  zip(blocks, exchanged([dict(b.parts(shards)) for b in blocks], lambda parts: lm.answer(parts, 1)))]
+        histories = [lm.Histories(b, m.pairs, m.own, shards) for b, m in zip(blocks, models)]
+        answers = exchanged([dict(h.parts(shards)) for h in histories], lm.answer_histories)
+        return np.concatenate([lm.walk(b, m, h, a, shards)["score"] for b, m, h, a in zip(blocks, models, histories, answers)])
+
+    apart, whole = scores([rows[:60], rows[60:120], rows[120:150], rows[150:]]), scores([rows])
+    assert np.isfinite(apart).all()
+    assert apart == pytest.approx(whole, rel=1e-9)
+
+
 def test_lm_empty(spark):
     assert lm.score_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
