@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import WS
+from .text import WS, _let
 
 NUM = r"[0-9][0-9\.]*"
 UNIT = r"(?:triệu|tr|vnd|vnđ)"
@@ -56,13 +56,14 @@ def _tag(text: Column, patterns: list[tuple[str, int, str]]) -> Column:
     """Index of the first pattern with a match, prefixed to that match.
 
     Coalesce evaluates lazily, so later patterns only run when earlier ones miss.
+    The lambdas run each pattern once and, like the one of ``extract_skills``, keep this projection
+    out of whole-stage codegen: with it, the stage's method was too big for the JIT.
     """
-    cascade = F.coalesce(*[
-        F.nullif(F.concat(F.lit(str(i)), F.regexp_extract(text, p, 0)), F.lit(str(i)))
-        for i, (p, _, _) in enumerate(patterns)
-    ])
+    def cascade(t: Column) -> Column:
+        return F.coalesce(*[_let(F.regexp_extract(t, p, 0), lambda m, i=str(i): F.when(m != "", F.concat(F.lit(i), m)))
+                            for i, (p, _, _) in enumerate(patterns)])
     # every pattern needs a digit: texts without one skip the cascade
-    return F.when(text.rlike("[0-9]"), cascade)
+    return F.when(text.rlike("[0-9]"), _let(text, cascade))
 
 
 def _group(idx: Column, matched: Column, patterns, g: int) -> Column:

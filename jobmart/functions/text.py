@@ -62,6 +62,12 @@ def is_single_word(keyword: str) -> bool:
     return all(_is_word_char(ch) for ch in keyword)
 
 
+def anchor(keyword: str) -> str:
+    """The longest word of a keyword ('' without any).  Both ends of an occurrence are word
+    boundaries, so every word of the keyword is a token of a text that holds it."""
+    return max("".join(ch if _is_word_char(ch) else " " for ch in keyword).split(" "), key=len)
+
+
 def word_tokens(text: Column) -> Column:
     """Maximal runs of word characters.  A keyword made only of word characters
     occurs as a whole word exactly when it equals one of these tokens."""
@@ -73,8 +79,9 @@ def has_whole_word(text: Column, keywords: list[str], tokens: Column | None = No
 
     With ``tokens`` (``word_tokens(text)``, computed once per row) single-word
     keywords are a set-membership test.  Other keywords ("power bi", "node.js",
-    "5+") run a boundary regex, behind a substring pre-test so the regex only
-    runs on rows that can match; ``And``/``Or`` short-circuit in generated code.
+    "5+") bring their words as tokens: only rows that hold the ``anchor`` of one run the
+    substring pre-test, and only rows that can match the boundary regex;
+    ``And``/``Or`` short-circuit in generated code.
     """
     single = [k for k in keywords if is_single_word(k)] if tokens is not None else []
     multi = [k for k in keywords if k not in single]
@@ -83,6 +90,9 @@ def has_whole_word(text: Column, keywords: list[str], tokens: Column | None = No
         cond = F.arrays_overlap(tokens, F.array(*[F.lit(k) for k in single]))
     if multi:
         m = contains_any(text, multi) & text.rlike(whole_word_pattern(multi))
+        anchors = sorted({anchor(k) for k in multi})
+        if tokens is not None and "" not in anchors:
+            m = F.arrays_overlap(tokens, F.array(*[F.lit(a) for a in anchors])) & m
         cond = m if cond is None else (cond | m)
     return cond
 
@@ -127,8 +137,8 @@ def clean_description(c: Column, boilerplate: list[str] | None = None,
         s = F.regexp_replace(s, "(?:" + "|".join(escape(p) for p in phrases) + ")", "")
     s = F.regexp_replace(s, "[^ ]{%d,}" % max_word_chars, "")
     s = F.trim(F.regexp_replace(s, " {2,}", " "))
-    return F.when((c.isNull()) | (c == ""), F.lit(None).cast("string")) \
-            .otherwise(F.nullif(s, F.lit("")))
+    # not inside a condition, where ``nullif`` would run all passes twice; a null stays null
+    return F.nullif(s, F.lit(""))
 
 
 def quote_plus(c: Column) -> Column:

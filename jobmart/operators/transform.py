@@ -75,17 +75,17 @@ def _enriched(df: DataFrame, strict_salary: bool = False, unknown_label: str | N
     lv = D.SENIORITY_LEVELS if levels is None else levels
     kw_lists = [kws for cat in sk.values() for kws in cat.values()] + list(lv.values())
     base = base.select("*", E.keyword_hits(word_tokens(F.col("_text_dt")), kw_lists).alias("_tokens"))
+    base = E.with_labels(base, "clean_description", "posting_date")
     return base.select(
         "*",
         E.detect_seniority(F.col("_text_td"), levels=levels, unknown_label=unknown_label,
                            tokens=F.col("_tokens"))
          .alias("seniority_level"),
         E.extract_skills(F.col("_text_dt"), dictionary=skills, tokens=F.col("_tokens")).alias("extracted_skills"),
-        E.extract_company(F.col("clean_description"), F.col("company")).alias("company_name"),
-        E.extract_location(F.col("clean_description"), F.col("raw_location"), aliases)
-         .alias("location"),
-        E.extract_posted_date(F.col("clean_description"), F.col("posting_date")).alias("posted_date"),
-        E.posted_text(F.col("clean_description"), F.col("posting_date")).alias("_posted_text"),
+        E.extract_company(F.col("_company"), F.col("company")).alias("company_name"),
+        E.extract_location(F.col("_location"), F.col("raw_location"), aliases).alias("location"),
+        E.extract_posted_date(F.col("_posted_lead"), F.col("_posted_any")).alias("posted_date"),
+        E.posted_text(F.col("_posted"), F.col("posting_date")).alias("_posted_text"),
     )
 
 

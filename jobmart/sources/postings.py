@@ -55,7 +55,10 @@ def derived_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<p>Công ty: "), F.col("c_name"), F.lit(" Địa điểm: "), location,
         F.lit(" Ngày cập nhật: "), date_txt, F.lit("</p> <div>"), _pick(k % 11, FIX_SKILLS),
         F.lit("</div> "), _pick(k % 13, FIX_SALARIES), F.lit(" Chi tiết")))
-    joined = o.join(c, o.o_custkey == c.c_custkey, "inner")
+    # a file of few row groups is as few tasks, and what follows costs far more than reading: narrow
+    # rows are dealt out, evenly whatever their keys
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    joined = o.join(c, o.o_custkey == c.c_custkey, "inner").repartition(n)
     return joined.select(
         k.alias("ingest_seq"),
         (k % 2).alias("batch"),
