@@ -341,7 +341,10 @@ SELECT skill_name, count(*) AS job_count, true AS within_bound FROM s_links GROU
 def q_skill_demand_approx(spark, sf_dir):
     """A02's approximate option: daily sketches merged per skill; ``within_bound`` tells whether the estimate is
     within three standard errors of the exact count beside it."""
-    star = loaded_star(spark, sf_dir, ("firsts", "skills"))
+    from ..session import materialize
+    star = loaded_star(spark, sf_dir, ("skills",))
+    # of the jobs, the sketches read the dates alone
+    star = star._replace(jobs=materialize(star.jobs.select("job_id", "posted_date"), "jobs"))
     estimates = V.distinct_jobs(V.job_sketches(star), "skill_name").withColumnRenamed("job_count", "estimate")
     exact = V.skill_demand(star).select("skill_name", "job_count")
     bound = 3 * 1.04 / 4096 ** 0.5
