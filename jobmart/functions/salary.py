@@ -59,9 +59,11 @@ def _tag(text: Column, patterns: list[tuple[str, int, str]]) -> Column:
     The lambdas run each pattern once and, like the one of ``extract_skills``, keep this projection
     out of whole-stage codegen: with it, the stage's method was too big for the JIT.
     """
+    def tagged(i: int):
+        return lambda m: F.when(m != "", F.concat(F.lit(str(i)), m))
+
     def cascade(t: Column) -> Column:
-        return F.coalesce(*[_let(F.regexp_extract(t, p, 0), lambda m, i=str(i): F.when(m != "", F.concat(F.lit(i), m)))
-                            for i, (p, _, _) in enumerate(patterns)])
+        return F.coalesce(*[_let(F.regexp_extract(t, p, 0), tagged(i)) for i, (p, _, _) in enumerate(patterns)])
     # every pattern needs a digit: texts without one skip the cascade
     return F.when(text.rlike("[0-9]"), _let(text, cascade))
 
