@@ -79,3 +79,15 @@ def test_incremental_append_does_not_shuffle_history(spark, tmp_path):
     assert scans
     for i in scans:
         assert not any("Exchange hashpartitioning" in x for x in lines[max(0, i - 3):i])
+
+
+def test_transform_stages_fit_the_jit(spark):
+    """The JVM never compiles methods of more than 8,000 bytes of code."""
+    import re
+
+    from conftest import raw_df
+    from jobmart.operators.transform import transform_postings
+    df = transform_postings(raw_df(spark, [{"platform": "p", "job_url": "u", "job_title": "t", "job_description": "d"}]))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    sizes = re.findall(r"maxMethodCodeSize:(\d+)", df._jdf.queryExecution().explainString(mode))
+    assert sizes and max(map(int, sizes)) < 8000
