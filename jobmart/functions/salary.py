@@ -52,6 +52,13 @@ def _read_number(digits: Column) -> tuple[Column, Column]:
     return value, d.isNotNull() & ~finite
 
 
+def _eager(pattern: str) -> str:
+    """The same matches without backtracking: nothing that follows a number or blanks begins with their characters,
+    and a match that begins inside a run of digits would begin at the run's first one.  The SQL's engine has no such signs."""
+    p = pattern.replace(NUM, NUM + "+").replace(S, S + "+")
+    return "(?<![0-9])" + p if p.startswith(f"({NUM}") else p
+
+
 def _tag(text: Column, patterns: list[tuple[str, int, str]]) -> Column:
     """Index of the first pattern with a match, prefixed to that match.
 
@@ -62,8 +69,19 @@ def _tag(text: Column, patterns: list[tuple[str, int, str]]) -> Column:
     def tagged(i: int):
         return lambda m: F.when(m != "", F.concat(F.lit(str(i)), m))
 
+    def extracted(t: Column, i: int, p: str) -> Column:
+        found = _let(F.regexp_extract(t, p if strict else _eager(p), 0), tagged(i))
+        # a pattern is run only on texts that hold the words it asks for
+        for word in ("up to", "from"):
+            if p.startswith(word):
+                found = F.when(F.contains(t, F.lit(word)), found)
+        if p.endswith(UNIT):
+            found = F.when(F.contains(t, F.lit("tr")) | F.contains(t, F.lit("vn")), found)
+        return found
+
     def cascade(t: Column) -> Column:
-        return F.coalesce(*[_let(F.regexp_extract(t, p, 0), tagged(i)) for i, (p, _, _) in enumerate(patterns)])
+        return F.coalesce(*[extracted(t, i, p) for i, (p, _, _) in enumerate(patterns)])
+    strict = patterns is not PATTERNS
     # every pattern needs a digit: texts without one skip the cascade
     return F.when(text.rlike("[0-9]"), _let(text, cascade))
 

@@ -20,6 +20,8 @@ WORD = r"[\p{L}\p{N}_]"
 NON_WORD = r"[^\p{L}\p{N}_]"
 WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 WS_RUN = WS + "+"
+# the runs that are not one ASCII space already: replacing these alone gives what replacing all would
+WS_RUN_TO_CHANGE = rf"[\t-\r\x1c-\x1f\x85\p{{Z}}&&[^ ]]{WS}*| {WS_RUN}"
 
 _META = set("\\.^$|?*+()[]{}")
 
@@ -132,10 +134,11 @@ def clean_description(c: Column, boilerplate: list[str] | None = None,
     phrases = boilerplate if boilerplate is not None else D.BOILERPLATE
     s = lowered if lowered is not None else F.lower(c)     # reuse an already lowered column
     s = F.regexp_replace(s, "<[^>]+>", "")
-    s = F.regexp_replace(s, WS_RUN, " ")
+    s = F.regexp_replace(s, WS_RUN_TO_CHANGE, " ")
     if phrases:
         s = F.regexp_replace(s, "(?:" + "|".join(escape(p) for p in phrases) + ")", "")
-    s = F.regexp_replace(s, "[^ ]{%d,}" % max_word_chars, "")
+    # a word is looked at from its start alone
+    s = F.regexp_replace(s, "(?<![^ ])[^ ]{%d,}" % max_word_chars, "")
     s = F.trim(F.regexp_replace(s, " {2,}", " "))
     # not inside a condition, where ``nullif`` would run all passes twice; a null stays null
     return F.nullif(s, F.lit(""))

@@ -155,15 +155,17 @@ class LoadResult(NamedTuple):
     staged: list[str]         # folders that both read
 
 
-def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | None = None) -> LoadResult:
+def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | None = None, staged: bool = False) -> LoadResult:
     """Rows a batch adds to each table, given what the tables hold already.
 
     ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch.  The first
-    postings are staged, for two tables read them."""
+    postings are staged, for two tables read them; of a batch that is ``staged`` itself and repeats no
+    URL, they are its own rows and are not written once more."""
     accepted = processed.filter(_keys_ok(processed))
     ex = exploded_skills(accepted)
     picked, read = _first_per_url(accepted, order)
-    firsts, path = stage(picked, "firsts")
+    # without a list of winners no URL repeats
+    firsts, paths = (picked, []) if staged and len(read) == 1 else _staged_firsts(picked)
     drop_staged(processed.sparkSession, read)
     batch = _star_of(firsts, ex, order or ["ingest_seq"])
     new = StarTables(
@@ -173,7 +175,12 @@ def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | Non
         job_descriptions=_not_loaded(batch.job_descriptions, existing.job_descriptions, ["job_id"]))  # K02
     # The original counts every accepted row for jobs, descriptions and links
     # (an ignored duplicate still "succeeds"); skills count only new ones.
-    return LoadResult(new, _load_stats(processed, ex, new.jobs, new.skills, new.job_skills), [path])
+    return LoadResult(new, _load_stats(processed, ex, new.jobs, new.skills, new.job_skills), paths)
+
+
+def _staged_firsts(picked: DataFrame) -> tuple[DataFrame, list[str]]:
+    firsts, path = stage(picked, "firsts")
+    return firsts, [path]
 
 
 def _star_of(firsts: DataFrame | None, ex: DataFrame, order: list[str]) -> StarTables:
@@ -312,9 +319,9 @@ def orphans(star: StarTables) -> DataFrame:
 # ---------------------------------------------------------------------------
 class StarStore:
     """Parquet-backed star schema.  ``append`` is safe to retry: every table
-    only receives rows whose key it lacks, and new rows are staged as Parquet in
-    the checkpoint folder before any write, so a batch never reads files it is
-    writing.
+    only receives rows whose key it lacks, and a batch never reads files it is
+    writing: rows that are counted are staged as Parquet in the checkpoint folder
+    before any write, and the texts' table is read by the files listed before.
 
     ``jobs``, ``job_descriptions`` and ``job_skills`` lie in folders by the first ``digits`` hex digits of
     the job's id (16 ** digits folders, all about equally large): one digit up to some 10^8 jobs, two to 10^10,
@@ -322,6 +329,7 @@ class StarStore:
     keys alone.  Files of ``jobs`` and ``skills`` carry Bloom filters on URL and name, sized by the rows written."""
 
     WRITE_ORDER = ["skills", "jobs", "job_descriptions", "job_skills"]
+    COUNTED = ["skills", "jobs", "job_skills"]
     LOOKUP = {"jobs": "job_url", "skills": "skill_name"}
 
     def __init__(self, spark: SparkSession, root: str, digits: int = 1):
@@ -380,12 +388,13 @@ class StarStore:
 
         The batch and then its new rows are staged, so each stored table is read
         once, and only in the batch's prefixes; the stats count the staged rows; the staging
-        folders go when the batch is written."""
+        folders go when the batch is written.  New descriptions, which nothing counts, go
+        from the batch to their table without a copy between."""
         batch, path = stage(processed, "batch")
-        load = plan_load(self.tables(self.prefixes_in(batch)), batch)
+        load = plan_load(self.tables(self.prefixes_in(batch)), batch, staged=True)
         new, paths = load.new._asdict(), [path, *load.staged]
-        staged = {}
-        for n in self.WRITE_ORDER:
+        staged = dict(new)
+        for n in self.COUNTED:
             staged[n], path = stage(new[n], n)
             paths.append(path)
         accepted = batch.filter(_keys_ok(batch))
