@@ -23,13 +23,53 @@ def detect_seniority(text: Column, levels: dict[str, list[str]] | None = None,
     levels = D.SENIORITY_LEVELS if levels is None else levels
     order = priority or [lvl for lvl in D.SENIORITY_PRIORITY if lvl in levels] + \
         [lvl for lvl in levels if lvl not in D.SENIORITY_PRIORITY]
+    fallback = F.lit(unknown_label) if unknown_label is not None else F.lit(None).cast("string")
+    if not order:
+        return fallback
+    if tokens is not None:
+        first = F.array_min(_lists_found(text, tokens, [[k.lower() for k in levels[lvl]] for lvl in order]))
+        return F.coalesce(F.get(F.array(*[F.lit(lvl) for lvl in order]), first), fallback)
     expr = None
     for level in order:
-        kws = [k.lower() for k in levels[level]]
-        hit = has_whole_word(text, kws, tokens)
+        hit = has_whole_word(text, [k.lower() for k in levels[level]])
         expr = F.when(hit, F.lit(level)) if expr is None else expr.when(hit, F.lit(level))
-    fallback = F.lit(unknown_label) if unknown_label is not None else F.lit(None).cast("string")
-    return fallback if expr is None else expr.otherwise(fallback)
+    return expr.otherwise(fallback)
+
+
+def _lists_found(text: Column, tokens: Column, lists: list[list[str]]) -> Column:
+    """Indexes of the lists with a keyword in ``text`` as a whole word; they may repeat, and nulls stand between them.
+
+    A token names the lists of which it is a keyword and the keywords of several words that it is the
+    ``anchor`` of: only these are searched in the text, however many there are."""
+    codes: dict[str, list[int]] = {}
+    searched: list[tuple[int, str]] = []
+    for i, kws in enumerate(lists):
+        for k in kws:
+            if is_single_word(k):
+                codes.setdefault(k, []).append(i)
+            else:
+                codes.setdefault(anchor(k), []).append(len(lists) + len(searched))
+                searched.append((i, k))
+    always = codes.pop("", [])              # keywords without a word
+    found = F.array(*[F.lit(c) for c in always]).cast("array<int>")
+    if codes:
+        # a map's keys are compared one by one: a map a length keeps them few
+        by_length: list[dict[str, list[int]]] = [{} for _ in range(max(map(len, codes)) + 1)]
+        for w, at in codes.items():
+            by_length[len(w)][w] = at
+        maps = [F.create_map(*[x for w, at in words.items() for x in (F.lit(w), F.array(*[F.lit(c) for c in at]))])
+                if words else F.lit(None).cast("map<string,array<int>>") for words in by_length]
+        none = F.array().cast("array<int>")
+        of_token = F.flatten(F.transform(tokens, lambda t: F.coalesce(
+            F.try_element_at(F.get(F.array(*maps), F.length(t)), t), none)))
+        found = F.concat(F.coalesce(of_token, none), found) if always else F.coalesce(of_token, none)
+
+    def index(c: Column) -> Column:
+        hit = F.when(c < len(lists), c)
+        for j, (i, k) in enumerate(searched):
+            hit = hit.when(c == len(lists) + j, F.when(has_whole_word(text, [k]), F.lit(i)))
+        return hit
+    return F.transform(found, index) if searched else found
 
 
 _SKILLS = "array<struct<skill_name: string, skill_category: string>>"
@@ -41,35 +81,19 @@ def extract_skills(text: Column, dictionary: dict | None = None,
     """array<struct<skill_name, skill_category>> in dictionary order, one entry per
     skill with any keyword as a whole word.  ``text`` is lower(desc + ' ' + title).
 
-    With ``tokens`` every token is looked up in one map from word to skills; keywords of several
-    words are tried only where one of their words is a token."""
+    With ``tokens`` (``_lists_found``) only keywords that the tokens point at are tried."""
     entries = D.skill_entries(dictionary, types)
     if not entries:
         return F.array().cast(_SKILLS)
-    by_word: dict[str, list[int]] = {}
-    tried = []
-    for i, (_, _, _, kws) in enumerate(entries):
-        for k in kws:
-            if tokens is not None and is_single_word(k):
-                by_word.setdefault(k, []).append(i)
-        several = kws if tokens is None else [k for k in kws if not is_single_word(k)]
-        if several:
-            tried.append((i, several))
-    none = F.array().cast("array<int>")
-    found = none
-    if by_word:
-        skills = F.create_map(*[x for w, at in by_word.items() for x in (F.lit(w), F.array(*[F.lit(i) for i in at]))])
-        found = F.flatten(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(skills, t), none)))
-    if tried:
-        more = F.filter(F.array(*[F.when(has_whole_word(text, kws, tokens), F.lit(i)) for i, kws in tried]), lambda i: i.isNotNull())
-        anchors = sorted({anchor(k) for _, kws in tried for k in kws})
-        if tokens is not None and "" not in anchors:
-            more = F.when(F.arrays_overlap(tokens, F.array(*[F.lit(w) for w in anchors])), more).otherwise(none)
-        found = F.concat(F.coalesce(found, none), more)
+    if tokens is not None:
+        found = _lists_found(text, tokens, [kws for _, _, _, kws in entries])
+    else:
+        found = F.array(*[F.when(has_whole_word(text, kws), F.lit(i)) for i, (_, _, _, kws) in enumerate(entries)])
     # The lambdas keep these projections out of whole-stage codegen, where the keyword branches
     # became one method too big for the JIT.
+    found = F.filter(found, lambda i: i.isNotNull())
     rows = F.array(*[F.struct(F.lit(name).alias("skill_name"), F.lit(kind).alias("skill_category")) for _, name, kind, _ in entries])
-    found = F.transform(F.array_sort(F.array_distinct(F.coalesce(found, none))), lambda i: F.get(rows, i))
+    found = F.transform(F.sort_array(F.array_distinct(found)), lambda i: F.get(rows, i))
     if len({name for _, name, _, _ in entries}) == len(entries):
         return found
     # a name that matched under an earlier category is not repeated

@@ -56,7 +56,8 @@ def _eager(pattern: str) -> str:
     """The same matches without backtracking: nothing that follows a number or blanks begins with their characters,
     and a match that begins inside a run of digits would begin at the run's first one.  The SQL's engine has no such signs."""
     p = pattern.replace(NUM, NUM + "+").replace(S, S + "+")
-    return "(?<![0-9])" + p if p.startswith(f"({NUM}") else p
+    # the look back stands behind the first digit, so that other characters are passed over by one test
+    return p.replace("([0-9]", "([0-9](?<![0-9][0-9])", 1) if p.startswith(f"({NUM}") else p
 
 
 def _tag(text: Column, patterns: list[tuple[str, int, str]]) -> Column:

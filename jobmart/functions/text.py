@@ -11,6 +11,9 @@ oracle) read it the same way:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,8 +23,9 @@ WORD = r"[\p{L}\p{N}_]"
 NON_WORD = r"[^\p{L}\p{N}_]"
 WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 WS_RUN = WS + "+"
+WS_NOT_SPACE = r"[\t-\r\x1c-\x1f\x85\p{Z}&&[^ ]]"
 # the runs that are not one ASCII space already: replacing these alone gives what replacing all would
-WS_RUN_TO_CHANGE = rf"[\t-\r\x1c-\x1f\x85\p{{Z}}&&[^ ]]{WS}*| {WS_RUN}"
+WS_RUN_TO_CHANGE = rf"{WS_NOT_SPACE}{WS}*| {WS_RUN}"
 
 _META = set("\\.^$|?*+()[]{}")
 
@@ -51,6 +55,14 @@ def whole_word_pattern(keywords: list[str]) -> str:
     return "(?:" + "|".join(whole_word_alternative(k) for k in keywords) + ")"
 
 
+def _whole_word_search(keyword: str) -> str:
+    """``whole_word_alternative`` for Java's engine: the keyword is sought as plain text, its ends are looked at where it
+    stands.  The SQL's engine cannot look around."""
+    left = f"(?<!{WORD}{escape(keyword)})" if _is_word_char(keyword[0]) else f"(?<={WORD}{escape(keyword)})"
+    right = f"(?!{WORD})" if _is_word_char(keyword[-1]) else f"(?={WORD})"
+    return escape(keyword) + right + left
+
+
 def contains_any(text: Column, keywords: list[str]) -> Column:
     """Cheap substring pre-test: a whole-word hit implies a substring hit."""
     cond = None
@@ -91,7 +103,8 @@ def has_whole_word(text: Column, keywords: list[str], tokens: Column | None = No
     if single:
         cond = F.arrays_overlap(tokens, F.array(*[F.lit(k) for k in single]))
     if multi:
-        m = contains_any(text, multi) & text.rlike(whole_word_pattern(multi))
+        pattern = _whole_word_search(multi[0]) if len(multi) == 1 else whole_word_pattern(multi)
+        m = contains_any(text, multi) & text.rlike(pattern)
         anchors = sorted({anchor(k) for k in multi})
         if tokens is not None and "" not in anchors:
             m = F.arrays_overlap(tokens, F.array(*[F.lit(a) for a in anchors])) & m
@@ -134,12 +147,15 @@ def clean_description(c: Column, boilerplate: list[str] | None = None,
     phrases = boilerplate if boilerplate is not None else D.BOILERPLATE
     s = lowered if lowered is not None else F.lower(c)     # reuse an already lowered column
     s = F.regexp_replace(s, "<[^>]+>", "")
-    s = F.regexp_replace(s, WS_RUN_TO_CHANGE, " ")
+    # a pass that would change nothing is not run: finding that out is a search for bytes or one class of characters
+    s = _let(s, lambda t: F.when(F.contains(t, F.lit("  ")) | t.rlike(WS_NOT_SPACE), F.regexp_replace(t, WS_RUN_TO_CHANGE, " ")).otherwise(t))
     if phrases:
-        s = F.regexp_replace(s, "(?:" + "|".join(escape(p) for p in phrases) + ")", "")
+        s = _let(s, lambda t: F.when(reduce(or_, [F.contains(t, F.lit(p)) for p in phrases]),
+                                     F.regexp_replace(t, "(?:" + "|".join(escape(p) for p in phrases) + ")", "")).otherwise(t))
     # a word is looked at from its start alone
-    s = F.regexp_replace(s, "(?<![^ ])[^ ]{%d,}" % max_word_chars, "")
-    s = F.trim(F.regexp_replace(s, " {2,}", " "))
+    s = _let(s, lambda t: F.when(F.length(t) < max_word_chars, t).otherwise(
+        F.regexp_replace(t, "(?<![^ ])[^ ]{%d,}" % max_word_chars, "")))
+    s = F.trim(_let(s, lambda t: F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, " {2,}", " ")).otherwise(t)))
     # not inside a condition, where ``nullif`` would run all passes twice; a null stays null
     return F.nullif(s, F.lit(""))
 

@@ -23,7 +23,7 @@ import hashlib
 import os
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,11 @@ def job_id(url: Column) -> Column:
     return F.unhex(F.md5(url))
 
 
+def _job_id_of(df: DataFrame) -> Column:
+    """The job's id; a batch that was staged with it does not hash its URLs again."""
+    return (F.col("job_id") if "job_id" in df.columns else job_id(F.col("job_url"))).alias("job_id")
+
+
 def skill_id(name: Column) -> Column:
     return F.unhex(F.md5(name))
 
@@ -132,7 +137,7 @@ def exploded_skills(processed: DataFrame) -> DataFrame:
     # posexplode_outer + a filter, not posexplode: for an inner generator the
     # optimizer infers size(array) > 0 and pushes it below the projection, which
     # would evaluate the whole skill extraction twice.
-    keep = ["ingest_seq"] + [c for c in ["batch"] if c in processed.columns] + ["job_url"]
+    keep = ["ingest_seq"] + [c for c in ["batch"] if c in processed.columns] + ["job_url"] + [c for c in ["job_id"] if c in processed.columns]
     return (processed.select(*keep, F.posexplode_outer("extracted_skills").alias("pos", "s"))
             .select(*keep, "pos", "s.skill_name", "s.skill_category")
             .filter(F.col("skill_name").isNotNull() & (F.col("skill_name") != "")))
@@ -160,7 +165,8 @@ def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | Non
 
     ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch.  The first
     postings are staged, for two tables read them; of a batch that is ``staged`` itself and repeats no
-    URL, they are its own rows and are not written once more."""
+    URL, they are its own rows and are not written once more.  Its links are staged instead, for they meet the
+    stored ones twice."""
     accepted = processed.filter(_keys_ok(processed))
     ex = exploded_skills(accepted)
     picked, read = _first_per_url(accepted, order)
@@ -168,6 +174,9 @@ def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | Non
     firsts, paths = (picked, []) if staged and len(read) == 1 else _staged_firsts(picked)
     drop_staged(processed.sparkSession, read)
     batch = _star_of(firsts, ex, order or ["ingest_seq"])
+    if staged:
+        links, path = stage(batch.job_skills, "links")
+        batch, paths = batch._replace(job_skills=links), [*paths, path]
     new = StarTables(
         jobs=_not_loaded(batch.jobs, existing.jobs, ["job_url"]),               # K01
         skills=_not_loaded(batch.skills, existing.skills, ["skill_name"]),      # K03
@@ -185,16 +194,19 @@ def _staged_firsts(picked: DataFrame) -> tuple[DataFrame, list[str]]:
 
 def _star_of(firsts: DataFrame | None, ex: DataFrame, order: list[str]) -> StarTables:
     """The four tables' rows from the first posting of every URL and the postings' skills."""
-    jid = job_id(F.col("job_url")).alias("job_id")
-    seen = ex.groupBy("skill_name").agg(F.min_by("skill_category", F.struct(*order, "pos")).alias("skill_category"))
+    *lead, last = order
+    # the first order of a skill, category and position is one number, which needs no sort of all links; a null
+    # order comes first, and ``min`` passes over it
+    seen = (ex.groupBy("skill_name", "skill_category", "pos", *lead, F.col(last).isNull().alias("_none")).agg(F.min(last).alias(last))
+            .groupBy("skill_name").agg(F.min_by("skill_category", F.struct(*order, "pos")).alias("skill_category")))
     return StarTables(
-        jobs=firsts and firsts.select(jid, *[c for c in JOB_COLUMNS if c != "job_id"]),
+        jobs=firsts and firsts.select(_job_id_of(firsts), *[c for c in JOB_COLUMNS if c != "job_id"]),
         # category of the first sighting sticks
         skills=seen.select(skill_id(F.col("skill_name")).alias("skill_id"), "skill_name", "skill_category"),
         # every accepted posting links its skills, duplicates of a URL included
-        job_skills=ex.select(jid, skill_id(F.col("skill_name")).alias("skill_id")).distinct(),
+        job_skills=ex.select(_job_id_of(ex), skill_id(F.col("skill_name")).alias("skill_id")).distinct(),
         # the first posting's text
-        job_descriptions=firsts and firsts.select(jid, "raw_description", "clean_description"))
+        job_descriptions=firsts and firsts.select(_job_id_of(firsts), "raw_description", "clean_description"))
 
 
 def load_ordered(raw: DataFrame, order: list[str] = ("batch", "ingest_seq"),
@@ -265,17 +277,27 @@ def load_stats_by_batch(raw: DataFrame, batch: str = "batch", **transform_opts)
 
 def _load_stats(processed: DataFrame, ex: DataFrame, new_jobs: DataFrame,
                 new_skills: DataFrame, new_links: DataFrame) -> DataFrame:
+    # each count is a one-row aggregate; they are combined as scalar subqueries
+    return _stats_row(_batch_counts(processed, ex, new_skills), new_jobs.select(F.count(F.lit(1))).scalar(),
+                      new_links.select(F.count(F.lit(1))).scalar())
+
+
+def _batch_counts(processed: DataFrame, ex: DataFrame, new_skills: DataFrame) -> DataFrame:
+    """The counts that are known before jobs and links are compared with the stored ones, one row."""
     ok = _keys_ok(processed)
     rows = processed.agg(F.count(F.when(ok, 1)).alias("jobs_inserted"),
                          F.count(F.when(~ok, 1)).alias("errors"))
-    # each count is a one-row aggregate; they are combined as scalar subqueries
-    return rows.select(
+    return rows.select("*", new_skills.select(F.count(F.lit(1))).scalar().alias("skills_inserted"),
+                       ex.select(F.count(F.lit(1))).scalar().alias("job_skills_linked"))
+
+
+def _stats_row(counts: DataFrame, jobs_new: Column, job_skills_new: Column) -> DataFrame:
+    return counts.select(
         "jobs_inserted",
         F.col("jobs_inserted").alias("job_descriptions_inserted"),
-        new_skills.select(F.count(F.lit(1))).scalar().alias("skills_inserted"),
-        ex.select(F.count(F.lit(1))).scalar().alias("job_skills_linked"),
-        new_jobs.select(F.count(F.lit(1))).scalar().alias("jobs_new"),
-        new_links.select(F.count(F.lit(1))).scalar().alias("job_skills_new"),
+        "skills_inserted", "job_skills_linked",
+        jobs_new.alias("jobs_new"),
+        job_skills_new.alias("job_skills_new"),
         "errors",
     )
 
@@ -320,8 +342,8 @@ def orphans(star: StarTables) -> DataFrame:
 class StarStore:
     """Parquet-backed star schema.  ``append`` is safe to retry: every table
     only receives rows whose key it lacks, and a batch never reads files it is
-    writing: rows that are counted are staged as Parquet in the checkpoint folder
-    before any write, and the texts' table is read by the files listed before.
+    writing: the batch is staged as Parquet in the checkpoint folder
+    before any write, and the stored tables are read by the files listed before.
 
     ``jobs``, ``job_descriptions`` and ``job_skills`` lie in folders by the first ``digits`` hex digits of
     the job's id (16 ** digits folders, all about equally large): one digit up to some 10^8 jobs, two to 10^10,
@@ -329,7 +351,7 @@ class StarStore:
     keys alone.  Files of ``jobs`` and ``skills`` carry Bloom filters on URL and name, sized by the rows written."""
 
     WRITE_ORDER = ["skills", "jobs", "job_descriptions", "job_skills"]
-    COUNTED = ["skills", "jobs", "job_skills"]
+    COUNTED = ["jobs", "job_skills"]          # while they are written
     LOOKUP = {"jobs": "job_url", "skills": "skill_name"}
 
     def __init__(self, spark: SparkSession, root: str, digits: int = 1):
@@ -369,7 +391,7 @@ class StarStore:
 
     def prefixes_in(self, batch: DataFrame) -> list[str]:
         """The prefixes of a batch's URLs, at most 16 ** digits."""
-        rows = batch.select(self.prefix_of(job_id(F.col("job_url"))).alias("p")).distinct().collect()
+        rows = batch.select(self.prefix_of(_job_id_of(batch)).alias("p")).distinct().collect()
         return sorted(r.p for r in rows if r.p is not None)
 
     def jobs_by_url(self, urls: list[str]) -> DataFrame:
@@ -386,31 +408,31 @@ class StarStore:
         """Load one batch of processed postings; returns its A09 stats (collected
         already, one row) as a DataFrame.
 
-        The batch and then its new rows are staged, so each stored table is read
-        once, and only in the batch's prefixes; the stats count the staged rows; the staging
-        folders go when the batch is written.  New descriptions, which nothing counts, go
-        from the batch to their table without a copy between."""
-        batch, path = stage(processed, "batch")
+        The batch is staged, with the jobs' ids, and each stored table is read only in the batch's prefixes.  New jobs,
+        descriptions and links go from the batch to their tables without a copy between; jobs and links are counted by the
+        tasks that write them.  The staging folders go when the batch is written."""
+        batch, path = stage(processed.withColumn("job_id", job_id(F.col("job_url"))), "batch")
         load = plan_load(self.tables(self.prefixes_in(batch)), batch, staged=True)
-        new, paths = load.new._asdict(), [path, *load.staged]
-        staged = dict(new)
-        for n in self.COUNTED:
-            staged[n], path = stage(new[n], n)
-            paths.append(path)
-        accepted = batch.filter(_keys_ok(batch))
-        stats = _load_stats(batch, exploded_skills(accepted), staged["jobs"], staged["skills"], staged["job_skills"])
-        row = stats.first()                     # one row of counts
-        counts = {"jobs": row.jobs_new, "skills": row.skills_inserted}
+        skills, skills_path = stage(load.new.skills, "skills")
+        counts = _batch_counts(batch, exploded_skills(batch.filter(_keys_ok(batch))), skills)
+        row = counts.first()                    # one row of counts
+        # a batch has no more new jobs than accepted rows
+        filters = {"jobs": row.jobs_inserted, "skills": row.skills_inserted}
+        written = {n: Observation(n) for n in self.COUNTED}
         for n in self.WRITE_ORDER:
-            self._write(n, staged[n], counts.get(n, 0))
-        drop_staged(self.spark, paths)
-        return self.spark.createDataFrame([row], stats.schema)
-
-    def _write(self, name: str, rows: DataFrame, count: int) -> None:
-        """Append rows to a table: about one file a prefix, more where a prefix has many rows; ``count``, their
-        number, sizes the Bloom filters."""
+            self._write(n, skills if n == "skills" else getattr(load.new, n), filters.get(n, 0), written.get(n))
+        drop_staged(self.spark, [path, *load.staged, skills_path])
+        new = [F.lit(written[n].get["n"]).cast("long") for n in self.COUNTED]
+        return _stats_row(self.spark.createDataFrame([row], counts.schema), *new)
+
+    def _write(self, name: str, rows: DataFrame, count: int, written: Observation | None = None) -> None:
+        """Append rows to a table: about one file a prefix, more where a prefix has many rows; ``count``, the most
+        they can be, sizes the Bloom filters.  ``written`` counts them."""
         if name != "skills":
             rows = rows.withColumn(self.prefix, self.prefix_of(F.col("job_id"))).hint("rebalance", self.prefix)
+        if written is not None:
+            # behind the exchange: a task that writes counts once, however often what it reads is computed
+            rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
         out = rows.write.mode("append")
         if name in self.LOOKUP:
             a_file = 64 + (2 * count // 16 ** self.digits if name == "jobs" else count)

@@ -78,3 +78,38 @@ def test_only_runs_that_change_are_replaced(spark):
         assert r.a == r.b, r
         kept = " ".join(w for w in re.sub(r"\s+", " ", r.t.lower()).split(" ") if w and len(w) < 100)
         assert (r.c or "") == kept
+
+
+def test_levels_and_skills_are_searched_only_where_tokens_point(spark):
+    texts = ["phó giám đốc 5+x", "lead", "5 năm sql server", "xphó giám đốc", "tập trung", "power bix, a power bi", "3+ 3+a", "a++b c", "", None,
+             "thực tập sinh, trưởng nhóm", "\U0001d400power bi", "num py"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", TX.word_tokens(F.col("t")).alias("k"))
+    levels = {**D.SENIORITY_LEVELS, "odd": ["++", "a++"]}
+    skills = {**D.SKILL_DICTIONARY, "odd": {"Plus": ["++"], "SQL": ["a++b"]}}
+    out = df.select("t", *[f(F.col("t"), d, tokens=k).alias(f"{n}{i}") for n, f, d in (("l", E.detect_seniority, levels), ("s", E.extract_skills, skills))
+                           for i, k in enumerate((None, F.col("k")))])
+    rows = out.collect()
+    assert [(r.t, r.l0, r.s0) for r in rows] == [(r.t, r.l1, r.s1) for r in rows]
+    assert [r.l1 for r in rows][:5] == ["director_vp", "manager_lead", "senior", "director_vp", None]
+    plan = df.select(E.detect_seniority(F.col("t"), tokens=F.col("k")).alias("l"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_overlap" not in plan                 # one or two a level before
+
+
+def test_new_rows_go_to_their_tables_without_a_copy(spark, tmp_path, monkeypatch):
+    names, stats, star = _staged_by(spark, tmp_path, monkeypatch, ["u1", "u2", "u3"])
+    assert "jobs" not in names and "job_skills" not in names          # both were staged before
+    store = L.StarStore(spark, str(tmp_path / "star"))
+    again = store.append(_rows(spark, ["u2", "u4", "u4", None])).first()
+    assert (again.jobs_inserted, again.jobs_new, again.job_skills_new, again.job_skills_linked, again.skills_inserted) == (3, 1, 1, 3, 0)
+    assert again.asDict().keys() == stats.asDict().keys()
+    assert store.tables().jobs.count() == store.tables().job_skills.count() == 4
+
+
+def test_first_category_of_a_skill_needs_no_sort_of_all_links(spark):
+    links = [(4, 0, "u", 0, "SQL", "late"), (None, 0, "u", 1, "SQL", "unplaced"), (2, 0, "u", 1, "R", "second"), (2, 0, "u", 0, "R", "first"),
+             (1, 1, "u", 0, "R", "next batch"), (3, 0, "u", 5, "Go", None)]
+    ex = spark.createDataFrame(links, "ingest_seq long, batch long, job_url string, pos int, skill_name string, skill_category string")
+    got = L._star_of(None, ex, ["batch", "ingest_seq"]).skills
+    assert {r.skill_name: r.skill_category for r in got.collect()} == {"SQL": "unplaced", "R": "first", "Go": None}
+    lines = L._star_of(None, ex, ["ingest_seq"]).skills._jdf.queryExecution().sparkPlan().toString().splitlines()
+    assert "HashAggregate" in [x for x in lines if "Aggregate" in x][-1]      # the one next to the links
