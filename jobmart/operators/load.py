@@ -150,7 +150,7 @@ def _not_loaded(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataF
     keys first, so what meets the batch's wide rows is never larger than the batch.
     Spark broadcasts the batch's keys when they are small in bytes and shuffles keys
     otherwise.  With empty tables the optimizer prunes both joins."""
-    hits = existing.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
+    hits = existing.select(*keys).join(batch.select(*keys), keys, "left_semi")
     return batch.join(hits, keys, "left_anti")
 
 
@@ -165,16 +165,19 @@ def plan_load(existing: StarTables, processed: DataFrame, order: list[str] | Non
 
     ``order`` (default ``["ingest_seq"]``) decides first-wins inside the batch.  The first
     postings are staged, for two tables read them; of a batch that is ``staged`` itself and repeats no
-    URL, they are its own rows and are not written once more.  Its links are staged instead, for they meet the
-    stored ones twice."""
+    URL, they are its own rows and are not written once more.  Where URLs repeat, a staged batch's links are staged too,
+    for they meet the stored ones twice; otherwise a posting's links are its own, and nothing is shuffled to tell them apart."""
     accepted = processed.filter(_keys_ok(processed))
     ex = exploded_skills(accepted)
     picked, read = _first_per_url(accepted, order)
     # without a list of winners no URL repeats
-    firsts, paths = (picked, []) if staged and len(read) == 1 else _staged_firsts(picked)
+    once = len(read) == 1
+    firsts, paths = (picked, []) if staged and once else _staged_firsts(picked)
     drop_staged(processed.sparkSession, read)
     batch = _star_of(firsts, ex, order or ["ingest_seq"])
-    if staged:
+    if staged and once:
+        batch = batch._replace(job_skills=_own_links(accepted))
+    elif staged:
         links, path = stage(batch.job_skills, "links")
         batch, paths = batch._replace(job_skills=links), [*paths, path]
     new = StarTables(
@@ -192,6 +195,13 @@ def _staged_firsts(picked: DataFrame) -> tuple[DataFrame, list[str]]:
     return firsts, [path]
 
 
+def _own_links(postings: DataFrame) -> DataFrame:
+    """The links of postings whose URLs do not repeat: distinct in the row, so distinct."""
+    names = postings.select(_job_id_of(postings), F.explode_outer(F.array_distinct("extracted_skills.skill_name")).alias("skill_name"))
+    return (names.filter(F.col("skill_name").isNotNull() & (F.col("skill_name") != ""))
+            .select("job_id", skill_id(F.col("skill_name")).alias("skill_id")))
+
+
 def _star_of(firsts: DataFrame | None, ex: DataFrame, order: list[str]) -> StarTables:
     """The four tables' rows from the first posting of every URL and the postings' skills."""
     *lead, last = order

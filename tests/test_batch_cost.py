@@ -113,3 +113,45 @@ def test_first_category_of_a_skill_needs_no_sort_of_all_links(spark):
     assert {r.skill_name: r.skill_category for r in got.collect()} == {"SQL": "unplaced", "R": "first", "Go": None}
     lines = L._star_of(None, ex, ["ingest_seq"]).skills._jdf.queryExecution().sparkPlan().toString().splitlines()
     assert "HashAggregate" in [x for x in lines if "Aggregate" in x][-1]      # the one next to the links
+
+
+def _links_batch(spark, rows):
+    """Processed postings with these URLs and skill names."""
+    return _rows(spark, [u for u, _ in rows]).drop("extracted_skills").join(
+        spark.createDataFrame([(i, [(n, "c") for n in names]) for i, (_, names) in enumerate(rows)],
+                              "i long, extracted_skills array<struct<skill_name: string, skill_category: string>>"),
+        F.col("clean_description") == F.concat(F.lit("sql "), F.col("i").cast("string"))).drop("i")
+
+
+def test_links_of_a_batch_without_repeated_urls_are_not_shuffled_to_tell_them_apart(spark, tmp_path, monkeypatch):
+    names, stage = [], L.stage
+    monkeypatch.setattr(L, "stage", lambda df, name="stage": (names.append(name), stage(df, name))[1])
+    store = L.StarStore(spark, str(tmp_path / "star"))
+    store.setup()
+    first = store.append(_links_batch(spark, [("u1", ["SQL", "R", "SQL", "", None]), ("u2", []), ("u3", ["R"])])).first()
+    assert "links" not in names                         # staged, behind a shuffle, before
+    assert (first.job_skills_linked, first.job_skills_new, first.skills_inserted) == (4, 3, 2)
+    again = store.append(_links_batch(spark, [("u1", ["SQL", "Go"]), ("u4", ["R", "R"])])).first()
+    assert "links" not in names and (again.jobs_new, again.job_skills_linked, again.job_skills_new, again.skills_inserted) == (1, 4, 2, 1)
+    repeated = store.append(_links_batch(spark, [("u5", ["SQL"]), ("u5", ["SQL", "R"])])).first()
+    assert "links" in names and (repeated.jobs_new, repeated.job_skills_linked, repeated.job_skills_new) == (1, 3, 2)
+    star = store.tables()
+    got = sorted((r.job_url, r.skill_name) for r in star.job_skills.join(star.jobs, "job_id").join(star.skills, "skill_id").collect())
+    assert got == sorted([("u1", "SQL"), ("u1", "R"), ("u1", "Go"), ("u3", "R"), ("u4", "R"), ("u5", "SQL"), ("u5", "R")])
+
+
+def test_keys_meet_the_stored_ones_without_an_aggregate(spark):
+    batch = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    stored = spark.createDataFrame([("a",), ("a",), ("z",), (None,)], "k string")
+    got = L._not_loaded(batch, stored, ["k"])
+    assert sorted(r.v for r in got.collect()) == [3, 4]
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()      # one of the batch's keys before
+
+
+def test_dates_are_read_by_a_cast(spark):
+    texts = ["29/02/2024", "29/02/2023", "31/04/2020", "00/01/2020", "1997-03-12", "1997-13-12", "0000-01-01", "01/02/2020\n", " 2020-01-01", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(E.parse_date(F.col("t")).alias("d"), F.try_to_date("t", "yyyy-MM-dd").alias("iso"), "t")
+    got = {r.t: str(r.d) for r in df.filter("t not like '0000%'").collect() if r.d is not None}
+    assert got == {"29/02/2024": "2024-02-29", "1997-03-12": "1997-03-12"}
+    assert df.filter("t like '0000%' and d <=> iso").count() == 1
+    assert "gettimestamp" not in df.select("d")._jdf.queryExecution().optimizedPlan().toString().lower()     # a parser by pattern before
