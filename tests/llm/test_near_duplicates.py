@@ -1,6 +1,8 @@
 """N-gram join and embedding near-duplicates against all pairs, and on edge cases."""
 
+import os
 import re
+import threading
 
 import numpy as np
 import pytest
@@ -202,6 +204,72 @@ def test_vectors_of_several_dimensions(spark):
         assert {i: r.component_id for i, r in got.items()} == comp
 
 
+def test_disk_holds_a_few_copies_of_the_vectors(spark, monkeypatch):
+    """Shuffle files of the passes do not pile up: at no time do they take more than some copies of the vectors."""
+    monkeypatch.setattr(embed_dedup, "PASS_BYTES", 1, raising=False)      # as if the table were large: one copy a pass
+    n, d = 8000, 64
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(n, d)).astype(np.float32)
+    x[1::100] = turn(embed_dedup.unit(x[::100]), rng.normal(size=x[::100].shape), 0.95)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], EMB).repartition(4)
+    folders = [f.getPath() for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def held():
+        total = 0
+        for top in folders:
+            for at, _, names in os.walk(top):
+                for name in names:
+                    if name.startswith("shuffle_"):
+                        try:
+                            total += os.path.getsize(os.path.join(at, name))
+                        except FileNotFoundError:
+                            pass
+        return total
+
+    before, seen, over = held(), [], threading.Event()
+
+    def watch():
+        while not over.wait(0.05):
+            seen.append(held())
+
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        got = {r.vec_id: r.n_links for r in embed_dedup.near_dedup(df).collect()}
+    finally:
+        over.set()
+        watching.join()
+    assert len(got) == n and sum(got.values()) == 2 * len(x[::100])
+    assert max(seen) - before < 12 * x.nbytes
+
+
+@pytest.mark.parametrize("block", [4096, 200])
+def test_large_group_counts_each_pair_once(spark, monkeypatch, block):
+    """A group that fills cells in every table, in passes that take shares of the cells."""
+    monkeypatch.setattr(embed_dedup, "BLOCK", block)
+    monkeypatch.setattr(embed_dedup, "PER_CELL", 8)
+    monkeypatch.setattr(embed_dedup, "PASS_BYTES", 1, raising=False)
+    rng = np.random.default_rng(12)
+    centre = embed_dedup.unit(rng.normal(size=(1, 24)))
+    x = np.vstack([turn(np.repeat(centre, 700, 0), rng.normal(size=(700, 24)), c) for c in (0.99, 0.955)] + [rng.normal(size=(600, 24))])
+    near = embed_dedup.unit(x) @ embed_dedup.unit(x).T >= 0.9
+    np.fill_diagonal(near, False)
+    comp = roots(list(zip(*np.nonzero(near))), range(len(x)))
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embed_dedup.near_dedup(df).collect()}
+    links = np.array([got[i].n_links for i in range(len(x))])
+    assert len(got) == len(x) and (links <= near.sum(1)).all() and links.sum() >= 0.998 * near.sum()
+    assert np.mean([got[i].component_id == comp[i] for i in range(len(x))]) > 0.998
+
+
+def test_zeros_of_either_sign_are_equal(spark):
+    rows = [(1, [0.0, 1.0, 2.0]), (2, [-0.0, 1.0, 2.0]), (3, [1.0, -0.0, 0.0]), (4, [1.0, 0.0, -0.0]), (5, [-0.0, 0.0, 0.0])]
+    for kind in ("float", "double"):
+        got = embed_dedup.near_dedup(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")).collect()
+        assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == [
+            (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 0, 5, True)]
+
+
 def test_one_of_each_knows_rows_not_ids(spark):
     words = " ".join(f"w{i}" for i in range(40))
     rows = [(1, words, "a"), (1, "an unlike text that shares only the id of the other", "b"), (2, words, "c"), (None, words + " end", "d"),
